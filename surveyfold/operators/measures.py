@@ -68,12 +68,13 @@ def weighted_sum(value: Column, cond: Column | None = None, strict: bool = True)
     a NULL value among the matching rows makes the cell NULL, as R's
     ``sum`` without ``na.rm`` does (N2).
     """
+    if strict:
+        # A NULL value becomes NaN, which ``sum`` propagates like R's NA; the
+        # NaN total is turned back into NULL. No extra aggregation buffer.
+        value = F.coalesce(value.cast("double"), F.lit(float("nan")))
     v = value if cond is None else F.when(cond, value)
     total = F.sum(v)
-    if not strict:
-        return total
-    bad = F.when(value.isNull(), 1) if cond is None else F.when(cond & value.isNull(), 1)
-    return F.when(F.count(bad) == 0, total)
+    return F.nanvl(total, F.lit(None).cast("double")) if strict else total
 
 
 def row_count(cond: Column | None = None) -> Column:

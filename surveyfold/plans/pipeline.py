@@ -1,0 +1,44 @@
+"""One sample in, every table out (the reference's main entry, S9 + S10 + A13).
+
+``build_tables`` materializes the master cube once in the shared checkpoint
+folder, then writes the nine output tables and the quality frame. With
+``period_keys=("year",)`` the same call writes panels partitioned by year.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..sources.files import period_tag, write_table
+from .products import Survey
+
+
+def build_tables(survey: Survey, out_dir: str, fmt: str = "csv",
+                 year_col: str = "MULTYEAR", multi_year: bool = True) -> dict[str, DataFrame]:
+    """Write every product under ``out_dir/{table}`` and return them.
+
+    The period tag (``2015_2019``-style, S10) is a column of every
+    non-panel table and the partition folder of the output, so the files of
+    several samples sit side by side like the source's ``{table}_{period}``.
+    """
+    survey.materialize()
+    tables = dict(survey.tables())
+    tables["quality_conservation"] = survey.conservation()
+    if survey.period_keys:
+        parts = list(survey.period_keys)
+        for name, df in tables.items():
+            if all(k in df.columns for k in parts):
+                write_table(df, os.path.join(out_dir, name), fmt, partition_by=parts)
+            else:
+                write_table(df, os.path.join(out_dir, name), fmt)
+        return tables
+    col = year_col if year_col in survey.microdata.columns else "YEAR"
+    tag = period_tag(survey.microdata, col, multi_year).select("first_last_year")
+    # one-row frame of bounded size: attached by a broadcast cross join
+    for name, df in tables.items():
+        tagged = df.crossJoin(F.broadcast(tag)).withColumnRenamed("first_last_year", "period")
+        write_table(tagged, os.path.join(out_dir, name), fmt, partition_by=["period"])
+    return tables

@@ -128,8 +128,18 @@ class Survey:
         return cube.select(*keys, "state", "state_fips", *measures)
 
     def materialize(self) -> "Survey":
-        """Cut lineage after T1 (checkpoint in the shared folder) for reuse."""
-        self._cube = cut_lineage(self.master())
+        """Cut lineage after T1 (checkpoint in the shared folder) for reuse.
+
+        The derived dimensions (crosswalk, zone context, county zones) are
+        aggregates of bounded size; they are checkpointed too, so the eight
+        roll-ups neither re-run the person joins nor re-aggregate their sources.
+        """
+        if self._cube is None:
+            self._cube = cut_lineage(self.master())
+            self.crosswalk = cut_lineage(self.crosswalk)
+            self.zone_context = cut_lineage(self.zone_context)
+            if self.county_zones is not None:
+                self.county_zones = cut_lineage(self.county_zones)
         return self
 
     # -- helpers --------------------------------------------------------------
@@ -214,8 +224,12 @@ class Survey:
 
     # -- A13 ------------------------------------------------------------------
     def conservation(self) -> DataFrame:
-        """Totals before and after every roll-up, one ``quality`` frame."""
-        cube = self.master()
+        """Totals before and after every roll-up, one ``quality`` frame.
+
+        Evaluated on the materialized cube (as in the pipeline), so the nine
+        branches read one checkpoint instead of re-running the person joins.
+        """
+        cube = self.materialize().master()
         checks = [
             ("zone", cube, self.zone(), M.POP),
             ("state", cube, self.state(), M.POP),

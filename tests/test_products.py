@@ -71,3 +71,13 @@ def test_panel_years(spark):
     assert years[0] >= 1995 and len(years) >= 5
     one = Survey.from_driver_tables(spark, SF_SMALL).state()
     assert total(st, M.POP) == total(one, M.POP)
+
+
+def test_pipeline_writes_tables(spark, tmp_path):
+    from surveyfold.plans.pipeline import build_tables
+    s = Survey.from_driver_tables(spark, SF_SMALL)
+    build_tables(s, str(tmp_path / "out"), fmt="parquet", year_col="YEAR")
+    st = spark.read.parquet(str(tmp_path / "out" / "state_acs_data"))
+    assert st.select("period").distinct().count() == 1
+    assert st.first()["period"].count("_") == 1
+    assert spark.read.parquet(str(tmp_path / "out" / "quality_conservation")).count() == 8
