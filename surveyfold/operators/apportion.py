@@ -94,7 +94,8 @@ def apportion_stata(unit_values: DataFrame, crosswalk: DataFrame, unit_keys: Seq
     sum is 0, as ``egen sum`` treats missing as 0); one row per zone is kept;
     the national total is put on every row.
     """
-    merged = unit_values.join(crosswalk, on=list(unit_keys), how="full")
+    from .joins import merge_indicator
+    merged = merge_indicator(unit_values, crosswalk, unit_keys)
     per_zone = merged.groupBy(zone).agg(
         sum_na_rm(F.coalesce(F.col(share) * F.col(value), F.lit(0.0))).alias(f"cz_{value}"))
     return per_zone.withColumn(f"natl_{value}", F.sum(f"cz_{value}").over(Window.partitionBy()))

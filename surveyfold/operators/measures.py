@@ -102,6 +102,27 @@ def level_aggregates(measures: Sequence[Measure], level_col: str,
     return out
 
 
+def pivot_wider(df: DataFrame, keys: Sequence[str], names_from: str,
+                values: dict[str, Column], levels: Sequence[str],
+                count_names: Sequence[str] = ()) -> DataFrame:
+    """A5: ``pivot_wider(names_from, values_from, names_sep="_")`` + ``clean_names``.
+
+    One column ``{value}_{snake(level)}`` per (value, level), value-major in
+    the order given; a (key, level) pair without rows is NULL, never 0.
+    Levels are an explicit list (no extra job to discover them, and a NULL
+    or unlisted level cannot silently add a column). ``count_names`` are
+    values to be counted (``n()``) rather than summed.
+    """
+    from ..functions.columns import snake_case
+    aggs = []
+    for name, value in values.items():
+        for level in levels:
+            cond = F.col(names_from) == F.lit(level)
+            expr = row_count(cond) if name in count_names else F.sum(F.when(cond, value))
+            aggs.append(expr.alias(f"{name}_{snake_case(level)}"))
+    return df.groupBy(*keys).agg(*aggs)
+
+
 def prepare_persons(clean: DataFrame) -> DataFrame:
     """T0 derivations used by the cube: flags, status, origin."""
     imm = D.immigrant_flag("CITIZEN")

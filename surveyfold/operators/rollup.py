@@ -57,3 +57,16 @@ def with_total_row(df: DataFrame, key: str, aggs: dict[str, Column],
             .withColumn(flag, F.col("_gid") == 1)
             .withColumn(key, F.when(F.col(flag), F.lit(total_label)).otherwise(F.col(key)))
             .drop("_gid"))
+
+
+def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per group, the last in ``order`` (Stata ``by g: keep if _n==_N``).
+
+    A ``max`` over a struct led by the order columns, so it aggregates
+    map-side; a hot group never lands whole in one task. Ties on ``order``
+    are broken by the remaining columns, which makes the choice deterministic.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    packed = F.struct(*[F.col(c) for c in (*order, *rest)]).alias("_last")
+    out = df.groupBy(*keys).agg(F.max(packed).alias("_last"))
+    return out.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in (*order, *rest)])

@@ -69,8 +69,21 @@ ZONE_ROWS = ZONE_BANDS * ZONE_SUFFIXES
 CROSSWALK_ROWS = UNIT_ROWS * ZONE_SUFFIXES
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Driver table ``name``; one reader per session and path.
+
+    A fresh ``spark.read.parquet`` runs a small job to read the schema from
+    a footer. Dimensions such as ``customer`` and ``nation`` feed several
+    parts of one plan, so the handle is created once and reused.
+    """
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(key[1])
+    return df
 
 
 def zone_of(state: Column, county: Column) -> Column:

@@ -15,6 +15,20 @@ from pyspark.sql import functions as F
 from ..sources.files import period_tag, write_table
 from .products import Survey
 
+# Keys of each output table, for the key order at the sink (O1).
+TABLE_KEYS = {
+    "puma_sector_soc_acs_data": ["stpuma", "soc_minor", "naics_2d"],
+    "cz_acs_data": ["cz90"],
+    "state_acs_data": ["state_fips", "state"],
+    "cz_soc_minor_acs_data": ["cz90", "soc_minor"],
+    "state_soc_minor_acs_data": ["state_fips", "state", "soc_minor"],
+    "soc_minor_acs_data": ["soc_minor"],
+    "cz_sector_acs_data": ["cz90", "naics_2d"],
+    "state_sector_acs_data": ["state_fips", "state", "naics_2d"],
+    "sector_acs_data": ["naics_2d"],
+    "quality_conservation": ["step"],
+}
+
 
 def build_tables(survey: Survey, out_dir: str, fmt: str = "csv",
                  year_col: str = "MULTYEAR", multi_year: bool = True) -> dict[str, DataFrame]:
@@ -30,15 +44,17 @@ def build_tables(survey: Survey, out_dir: str, fmt: str = "csv",
     if survey.period_keys:
         parts = list(survey.period_keys)
         for name, df in tables.items():
-            if all(k in df.columns for k in parts):
-                write_table(df, os.path.join(out_dir, name), fmt, partition_by=parts)
-            else:
-                write_table(df, os.path.join(out_dir, name), fmt)
+            keys = parts + TABLE_KEYS.get(name, []) if all(k in df.columns for k in parts) \
+                else TABLE_KEYS.get(name, [])
+            write_table(df, os.path.join(out_dir, name), fmt,
+                        partition_by=parts if all(k in df.columns for k in parts) else None,
+                        order_by=keys)
         return tables
     col = year_col if year_col in survey.microdata.columns else "YEAR"
     tag = period_tag(survey.microdata, col, multi_year).select("first_last_year")
     # one-row frame of bounded size: attached by a broadcast cross join
     for name, df in tables.items():
         tagged = df.crossJoin(F.broadcast(tag)).withColumnRenamed("first_last_year", "period")
-        write_table(tagged, os.path.join(out_dir, name), fmt, partition_by=["period"])
+        write_table(tagged, os.path.join(out_dir, name), fmt, partition_by=["period"],
+                    order_by=TABLE_KEYS.get(name))
     return tables

@@ -372,15 +372,21 @@ def zone_context_from_pieces(pieces: DataFrame) -> DataFrame:
     """T16 (A18 + A19): main state, number of states and state list per zone.
 
     ``pieces``: ``cz90, statefip, state_abbv, pop`` (population per piece).
+    Pieces are first summed per (zone, state); one aggregate per zone then
+    yields the main state (``min_by`` on ``(-pop, state)``: largest part,
+    ties to the smaller code), the state count and the sorted ``"; "`` list.
+    The list is bounded by the number of states, whatever the data size.
     """
-    main = AP.main_state(pieces, ZONE, "statefip", "pop")
-    names = pieces.select("statefip", "state_abbv").distinct()
-    main = main.join(names, "statefip", "left").select(
-        F.col(ZONE).alias("ers90"), pad_left(F.col("statefip"), 2).alias("state_fips"),
-        "state_abbv")
-    states = AP.zone_states(pieces, ZONE, "state_abbv").withColumnRenamed(ZONE, "ers90")
-    return main.join(states, "ers90", "left").select(
-        "ers90", "state_fips", "state_abbv", "states_count", "states_abbv")
+    per_state = pieces.groupBy(ZONE, "statefip").agg(
+        F.sum("pop").alias("pop"), F.min("state_abbv").alias("state_abbv"))
+    main = F.min_by(F.struct("statefip", "state_abbv"), F.struct(-F.col("pop"), F.col("statefip")))
+    zones = per_state.groupBy(ZONE).agg(
+        main.alias("main"),
+        F.count(F.lit(1)).cast("int").alias("states_count"),
+        F.array_join(F.sort_array(F.collect_list("state_abbv")), "; ").alias("states_abbv"))
+    return zones.select(
+        F.col(ZONE).alias("ers90"), pad_left(F.col("main.statefip"), 2).alias("state_fips"),
+        F.col("main.state_abbv").alias("state_abbv"), "states_count", "states_abbv")
 
 
 def stack_panels(frames: Sequence[DataFrame]) -> DataFrame:

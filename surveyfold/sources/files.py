@@ -85,8 +85,15 @@ def read_panel(spark: SparkSession, directory: str, table: str,
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv",
-                partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
-    """CSV (``NA`` for NULL, header) or Parquet, optionally partitioned by period."""
+                partition_by: list[str] | None = None, mode: str = "overwrite",
+                order_by: list[str] | None = None) -> None:
+    """CSV (``NA`` for NULL, header) or Parquet, optionally partitioned by period.
+
+    ``order_by`` (O1) sorts rows by key at the sink only, as grouped output
+    is in R; Spark range-partitions for it, so it stays parallel.
+    """
+    if order_by:
+        df = df.orderBy(*order_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
