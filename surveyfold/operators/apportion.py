@@ -56,9 +56,18 @@ def apportion(unit_totals: DataFrame, crosswalk: DataFrame, unit: str, zone: str
     ])
 
 
-def zone_group_total(df: DataFrame, zone: str, value: str, name: str) -> DataFrame:
-    """Group total on every row (Stata ``bysort zone: egen name = sum(value)``)."""
-    return df.withColumn(name, F.sum(value).over(Window.partitionBy(zone)))
+def zone_group_total(df: DataFrame, zone: str, value: str, name: str,
+                     zone_rows: int = 1_000_000) -> DataFrame:
+    """Group total on every row (Stata ``bysort zone: egen name = sum(value)``).
+
+    Aggregated map-side per zone and joined back (broadcast when the zone
+    count is bounded), so a zone holding a third of the rows is never sorted
+    into one task as a window partition would be. Missing values count as 0
+    (``egen sum``); a NULL zone forms its own group.
+    """
+    totals = df.groupBy(zone).agg(sum_na_rm(value).alias(name))
+    return df.join(broadcast_bounded(totals, zone_rows),
+                   df[zone].eqNullSafe(totals[zone]), "left").drop(totals[zone])
 
 
 def main_state(pieces: DataFrame, zone: str, state: str, pop: str) -> DataFrame:

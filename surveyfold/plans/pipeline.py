@@ -26,6 +26,8 @@ TABLE_KEYS = {
     "cz_sector_acs_data": ["cz90", "naics_2d"],
     "state_sector_acs_data": ["state_fips", "state", "naics_2d"],
     "sector_acs_data": ["naics_2d"],
+    "labor_force_citizenship": ["is_total", "citizenship"],
+    "labor_force_citizenship_birthplace": ["is_total", "citizenship"],
     "quality_conservation": ["step"],
 }
 

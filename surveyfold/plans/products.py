@@ -220,6 +220,8 @@ class Survey:
             "cz_sector_acs_data": self.zone_sector(),
             "state_sector_acs_data": self.state_sector(),
             "sector_acs_data": self.sector(),
+            "labor_force_citizenship": self.labor_force_by_citizenship(),
+            "labor_force_citizenship_birthplace": self.labor_force_by_birthplace(),
         }
 
     # -- A13 ------------------------------------------------------------------
@@ -243,15 +245,33 @@ class Survey:
         return conservation_report(checks)
 
     # -- T10 / T11 (unfiltered microdata, Q5) ----------------------------------
-    def _citizenship(self) -> DataFrame:
-        dec = J.decode_labels(self.microdata, "CITIZEN", self.labels, "CITIZEN", "_cit",
-                              self.dim_rows)
+    BIRTHPLACE_LEVELS = ((D.BIRTHPLACE_US, "us_and_us_possessions"),
+                         ("Central America", "central_america"), ("Mexico", "mexico"),
+                         ("South America", "south_america"), (D.BIRTHPLACE_OTHERS, "others"))
+
+    def labor_force_base(self) -> DataFrame:
+        """Labour force by citizenship code x broad birthplace: the one pass over
+        persons that T10 and T11 share (at most codes x 5 rows).
+
+        The strict sum keeps NaN for an NA input so that the roll-ups above
+        still propagate it; they turn NaN into NULL at the end.
+        """
+        value = F.coalesce(flag_times(F.col("LABFORCE") == 2, "PERWT").cast("double"),
+                           F.lit(float("nan"))) if self.strict_na else \
+            flag_times(F.col("LABFORCE") == 2, "PERWT")
+        base = (self.microdata.withColumn("bpl_ii", D.birthplace_broad("BPL"))
+                .groupBy("CITIZEN", "bpl_ii").agg(F.sum(value).alias("lf")))
+        dec = J.decode_labels(base, "CITIZEN", self.labels, "CITIZEN", "_cit", self.dim_rows)
         return dec.withColumn("citizenship", D.citizenship_label("_cit")).drop("_cit")
 
+    @staticmethod
+    def _na(c):
+        return F.nanvl(c, F.lit(None).cast("double"))
+
     def labor_force_by_citizenship(self) -> DataFrame:
         """T10 (A6 + W1 + A8): labour force by citizenship, share, total row."""
-        lf = M.conditional_total(F.col("LABFORCE") == 2, "PERWT", self.strict_na)
-        df = R.with_total_row(self._citizenship(), "citizenship", {"labor_force": lf})
+        df = R.with_total_row(self.labor_force_base(), "citizenship",
+                              {"labor_force": self._na(F.sum("lf"))})
         # window over the aggregated frame (one row per citizenship label + total)
         total = F.max(F.when(F.col("is_total"), F.col("labor_force"))).over(Window.partitionBy())
         return df.withColumn("labor_force_share", F.try_divide(F.col("labor_force"), total))
@@ -259,16 +279,11 @@ class Survey:
     def labor_force_by_birthplace(self) -> DataFrame:
         """T11 (A7 + A5 + A9): citizenship x broad birthplace, pivoted, with a
         total row over the four named birthplaces (``Others`` left NULL)."""
-        df = self._citizenship().withColumn("bpl_ii", D.birthplace_broad("BPL"))
-        lf = M.conditional_total(F.col("LABFORCE") == 2, "PERWT", self.strict_na)
-        levels = ((D.BIRTHPLACE_US, "us_and_us_possessions"),
-                  ("Central America", "central_america"), ("Mexico", "mexico"),
-                  ("South America", "south_america"), (D.BIRTHPLACE_OTHERS, "others"))
-        # cell = the group's sum restricted to the level (NULL if no row, A5)
-        value = flag_times(F.col("LABFORCE") == 2, "PERWT")
-        cells = {name: M.weighted_sum(value, F.col("bpl_ii") == lvl, self.strict_na)
+        levels = self.BIRTHPLACE_LEVELS
+        # cell = sum restricted to the level; NULL when the pair has no row (A5)
+        cells = {name: self._na(F.sum(F.when(F.col("bpl_ii") == lvl, F.col("lf"))))
                  for lvl, name in levels}
-        out = R.with_total_row(df, "citizenship", cells)
+        out = R.with_total_row(self.labor_force_base(), "citizenship", cells)
         # the total row sums the named birthplaces with NA as 0 and leaves Others empty
         fix = {name: F.when(F.col("is_total"), F.coalesce(F.col(name), F.lit(0.0)))
                       .otherwise(F.col(name)) for _, name in levels[:-1]}
