@@ -37,20 +37,29 @@ def crosswalk_pieces(df: DataFrame, unit_keys: Sequence[str], zone: str,
 
 
 def apportion(unit_totals: DataFrame, crosswalk: DataFrame, unit: str, zone: str,
-              measures: Sequence[str], extra_keys: Sequence[str] = (),
+              measures: Sequence[str] | None = None, extra_keys: Sequence[str] = (),
               share: str = "county_prop_inpuma", crosswalk_rows: int = 1_000_000,
-              drop_na: bool = True) -> DataFrame:
+              drop_na: bool = True, prefixes: Sequence[str] = ()) -> DataFrame:
     """A11 (J3 + fan-out): spread unit totals over zones by share, sum by zone.
 
     ``left_join`` + ``drop_na`` of the source is an inner join on the unit
     followed by dropping rows with a NULL anywhere (``drop_na``); the crosswalk
     is broadcast when its proven row bound allows. Aggregation by unit happens
     *before* this fan-out, so the join multiplies aggregated rows only.
+
+    With ``prefixes`` the measures are chosen by prefix on the *joined* frame,
+    as the source does; a ``count`` prefix then also takes the crosswalk's
+    ``county_prop_incz`` / ``county_prop_inpuma`` columns, which come out as
+    ``sum(col * share)`` per zone (quirk Q14).
     """
     xw = broadcast_bounded(crosswalk, crosswalk_rows)
     joined = unit_totals.join(xw, on=unit, how="inner")
     if drop_na:
         joined = joined.na.drop(how="any")
+    if prefixes:
+        from ..functions.columns import select_prefix
+        keys = {unit, zone, *extra_keys}
+        measures = [c for c in select_prefix(joined, *prefixes) if c not in keys]
     return joined.groupBy(zone, *extra_keys).agg(*[
         sum_na_rm(F.col(m) * F.col(share)).alias(m) for m in measures
     ])

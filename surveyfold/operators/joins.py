@@ -26,6 +26,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def _keep_left_order(joined: DataFrame, left: DataFrame, right: DataFrame,
+                     keys: Sequence[str]) -> DataFrame:
+    # dplyr keeps x's columns in place and appends y's non-key columns
+    return joined.select(*left.columns, *[c for c in right.columns if c not in keys])
+
+
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner",
                  right_rows: int | None = None) -> DataFrame:
     """Join on every shared column name (``inner_join(x)`` without ``by``)."""
@@ -33,19 +39,21 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner",
     if not shared:
         raise ValueError("natural join needs at least one shared column")
     r = broadcast_bounded(right, right_rows) if right_rows is not None else right
-    return left.join(r, on=shared, how=how)
+    return _keep_left_order(left.join(r, on=shared, how=how), left, right, shared)
 
 
 def title_join(df: DataFrame, titles: DataFrame, key: str, title_rows: int) -> DataFrame:
     """Inner join to a title dictionary; unknown codes are dropped."""
-    return df.join(broadcast_bounded(titles, title_rows), on=key, how="inner")
+    out = df.join(broadcast_bounded(titles, title_rows), on=key, how="inner")
+    return _keep_left_order(out, df, titles, [key])
 
 
 def context_join(df: DataFrame, context: DataFrame, key: str, context_key: str,
                  context_rows: int) -> DataFrame:
     """Left join zone context, renaming its key to ours."""
     ctx = context.withColumnRenamed(context_key, key)
-    return df.join(broadcast_bounded(ctx, context_rows), on=key, how="left")
+    out = df.join(broadcast_bounded(ctx, context_rows), on=key, how="left")
+    return _keep_left_order(out, df, ctx, [key])
 
 
 def hierarchy_join(df: DataFrame, levels: Sequence[tuple[DataFrame, str]],

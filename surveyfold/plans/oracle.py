@@ -294,11 +294,17 @@ def t9_sector(period: bool = False) -> str:
     return _employment_rollup(["naics_2d"], period, _SECTOR_JOIN)
 
 
+Q14 = ["county_prop_incz", "county_prop_inpuma"]
+
+
 def _zone(extra: list[str], names: list[str], period: bool) -> str:
     pk = ["year"] if period else []
     unit = _rollup(pk + ["stpuma"] + extra, names)
     not_null = " AND ".join(f"u.{c} IS NOT NULL" for c in ["stpuma"] + extra)
     share = ", ".join(_sum0(n, f"u.{n} * x.county_prop_inpuma", integral=False) for n in names)
+    # the source's starts_with("count") also takes the crosswalk shares (Q14)
+    share += (", COALESCE(SUM(x.county_prop_incz * x.county_prop_inpuma), 0) AS county_prop_incz"
+              ", COALESCE(SUM(x.county_prop_inpuma * x.county_prop_inpuma), 0) AS county_prop_inpuma")
     gk = ", ".join([f"u.{c}" for c in pk] + ["x.cz90"] + [f"u.{c}" for c in extra])
     return (f"\nunit AS ({unit}),\nzone AS (SELECT {gk}, {share} FROM unit u "
             f"JOIN xwalk x ON u.stpuma = x.stpuma WHERE {not_null} GROUP BY {gk})")
@@ -307,7 +313,7 @@ def _zone(extra: list[str], names: list[str], period: bool) -> str:
 def t2_zone(period: bool = False) -> str:
     body = _with(PERSONS, CLEAN, master_cte(period), GEO, _zone([], FULL, period))
     pk = "z.year, " if period else ""
-    cols = ", ".join(_r(f"z.{n}") + f" AS {n}" for n in FULL)
+    cols = ", ".join(_r(f"z.{n}") + f" AS {n}" for n in FULL + Q14)
     return body + (f"\nSELECT {pk}z.cz90, {cols}, ROUND({_epop('z.' + M.EMP, 'z.' + M.POP)}, {ROUND}) "
                    f"AS \"EPOP\", c.state_fips, c.state_abbv, c.states_count, c.states_abbv "
                    f"FROM zone z LEFT JOIN zctx c ON z.cz90 = c.ers90")
@@ -317,7 +323,7 @@ def _zone_titled(extra: str, join: str, where: str, period: bool) -> str:
     body = _with(PERSONS, CLEAN, master_cte(period), GEO, SOC_TITLES, SECTOR_TITLES,
                  _zone([extra], EMPLOYMENT, period))
     pk = "z.year, " if period else ""
-    cols = ", ".join(_r(f"z.{n}") + f" AS {n}" for n in EMPLOYMENT)
+    cols = ", ".join(_r(f"z.{n}") + f" AS {n}" for n in EMPLOYMENT + Q14)
     return body + (f"\nSELECT {pk}z.cz90, z.{extra}, {cols}, c.state_fips, c.state_abbv, "
                    f"c.states_count, c.states_abbv, t.* EXCLUDE ({extra}) FROM zone z "
                    f"LEFT JOIN zctx c ON z.cz90 = c.ers90 {join} {where}")

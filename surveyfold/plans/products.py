@@ -128,18 +128,20 @@ class Survey:
         return cube.select(*keys, "state", "state_fips", *measures)
 
     def materialize(self) -> "Survey":
-        """Cut lineage after T1 (checkpoint in the shared folder) for reuse.
+        """Cut lineage after T1 (a written table in the shared folder) for reuse.
 
-        The derived dimensions (crosswalk, zone context, county zones) are
-        aggregates of bounded size; they are checkpointed too, so the eight
-        roll-ups neither re-run the person joins nor re-aggregate their sources.
+        Losing it would mean re-running the person joins, so the cube is a
+        durable Parquet table. The derived dimensions (crosswalk, zone
+        context, county zones) are aggregates of bounded size that are cheap to
+        rebuild from lineage; they are persisted, not written, so the roll-ups
+        do not re-aggregate their sources.
         """
         if self._cube is None:
-            self._cube = cut_lineage(self.master())
-            self.crosswalk = cut_lineage(self.crosswalk)
-            self.zone_context = cut_lineage(self.zone_context)
+            self._cube = cut_lineage(self.master(), "master_cube")
+            self.crosswalk = self.crosswalk.persist()
+            self.zone_context = self.zone_context.persist()
             if self.county_zones is not None:
-                self.county_zones = cut_lineage(self.county_zones)
+                self.county_zones = self.county_zones.persist()
         return self
 
     # -- helpers --------------------------------------------------------------
@@ -152,8 +154,7 @@ class Survey:
     def _apportioned(self, extra: Sequence[str], prefixes: Sequence[str]) -> DataFrame:
         cube = self.master()
         by_unit = R.rollup_prefixed(cube, self._k(UNIT, *extra), prefixes)
-        measures = [c for c in by_unit.columns if c not in (UNIT, *self.period_keys, *extra)]
-        return AP.apportion(by_unit, self._xwalk(), UNIT, ZONE, measures,
+        return AP.apportion(by_unit, self._xwalk(), UNIT, ZONE, prefixes=prefixes,
                             extra_keys=self._k(*extra), crosswalk_rows=self.dim_rows)
 
     def _with_zone_context(self, df: DataFrame) -> DataFrame:

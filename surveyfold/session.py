@@ -52,15 +52,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return conf_dir
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing ``df`` as Parquet into the shared checkpoint folder.
 
     Survives executor loss (the data lives in the shared folder, not on the
-    executors' local disks), and stops recomputation of the upstream joins
-    when several products reuse the same frame.
+    executors' local disks) and stops recomputation of the upstream joins
+    when several products reuse the frame. A written table is used rather
+    than ``Dataset.checkpoint``: a reliable RDD checkpoint evaluates the plan
+    once for its action and again to write the checkpoint files, while a
+    Parquet write evaluates it once, and the read-back gets column pruning.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return stage_table(df, name)
 
 
 def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -81,3 +81,15 @@ def test_pipeline_writes_tables(spark, tmp_path):
     assert st.select("period").distinct().count() == 1
     assert st.first()["period"].count("_") == 1
     assert spark.read.parquet(str(tmp_path / "out" / "quality_conservation")).count() == 8
+
+
+def test_zone_tables_carry_share_sums(survey):
+    """Q14: starts_with("count") after the crosswalk join also sums the shares."""
+    for df in (survey.zone(), survey.zone_occupation(), survey.zone_sector()):
+        cols = df.columns
+        assert cols.index("county_prop_incz") == cols.index("count_mexico") + 1
+        assert cols.index("county_prop_inpuma") == cols.index("county_prop_incz") + 1
+    zone = survey.zone()
+    # per zone: sum of squared shares is positive and at most the number of units
+    for r in zone.select("county_prop_inpuma").collect():
+        assert r[0] > 0
