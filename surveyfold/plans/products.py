@@ -246,9 +246,10 @@ class Survey:
         return conservation_report(checks)
 
     # -- T10 / T11 (unfiltered microdata, Q5) ----------------------------------
-    BIRTHPLACE_LEVELS = ((D.BIRTHPLACE_US, "us_and_us_possessions"),
-                         ("Central America", "central_america"), ("Mexico", "mexico"),
-                         ("South America", "south_america"), (D.BIRTHPLACE_OTHERS, "others"))
+    # pivot columns in the order the sorted groups present them (by label)
+    BIRTHPLACE_LEVELS = (("Central America", "central_america"), ("Mexico", "mexico"),
+                         (D.BIRTHPLACE_OTHERS, "others"), ("South America", "south_america"),
+                         (D.BIRTHPLACE_US, "us_and_us_possessions"))
 
     def labor_force_base(self) -> DataFrame:
         """Labour force by citizenship code x broad birthplace: the one pass over
@@ -270,7 +271,11 @@ class Survey:
         return F.nanvl(c, F.lit(None).cast("double"))
 
     def labor_force_by_citizenship(self) -> DataFrame:
-        """T10 (A6 + W1 + A8): labour force by citizenship, share, total row."""
+        """T10 (A6 + W1 + A8): labour force by citizenship, share, total row.
+
+        The total row's share is total / total, i.e. the sum of the shares
+        without its rounding noise.
+        """
         df = R.with_total_row(self.labor_force_base(), "citizenship",
                               {"labor_force": self._na(F.sum("lf"))})
         # window over the aggregated frame (one row per citizenship label + total)
@@ -287,7 +292,7 @@ class Survey:
         out = R.with_total_row(self.labor_force_base(), "citizenship", cells)
         # the total row sums the named birthplaces with NA as 0 and leaves Others empty
         fix = {name: F.when(F.col("is_total"), F.coalesce(F.col(name), F.lit(0.0)))
-                      .otherwise(F.col(name)) for _, name in levels[:-1]}
+                      .otherwise(F.col(name)) for lvl, name in levels if lvl != D.BIRTHPLACE_OTHERS}
         fix["others"] = F.when(~F.col("is_total"), F.col("others"))
         return out.withColumns(fix)
 

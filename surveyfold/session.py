@@ -36,6 +36,38 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     return spark
 
 
+# Settings for the cluster target (~100 TB input, ~1000 executors). The
+# cluster's own submit configuration applies them; nothing here overrides a
+# value the session already has.
+CLUSTER_CONF = {
+    # AQE re-plans with measured sizes: coalesces small shuffle partitions,
+    # turns sort-merge joins with a small measured side into broadcast joins,
+    # and splits skewed partitions of a hot key across tasks.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # start high and let AQE coalesce: ~100 TB of person joins shuffles a
+    # few tens of TB per join, i.e. ~100k partitions of ~256 MB
+    "spark.sql.shuffle.partitions": "100000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    # only bounded dimensions are hinted; measured sides up to 64 MB may be
+    # broadcast by AQE as well
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(spark: SparkSession) -> None:
+    """Fill in :data:`CLUSTER_CONF` for every key the submitted configuration
+    does not name (built-in defaults are replaced, explicit settings kept)."""
+    submitted = spark.sparkContext.getConf()
+    for key, value in CLUSTER_CONF.items():
+        if not submitted.contains(key):
+            spark.conf.set(key, value)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
