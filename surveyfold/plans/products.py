@@ -67,12 +67,46 @@ def soc_minor_titles(structure_minor: DataFrame) -> DataFrame:
             .withColumn("soc_minor", D.short_minor_code("minor_group")))
 
 
+class _Dim:
+    """A dimension given as a DataFrame or as a zero-argument builder.
+
+    Builders run on first use, so a product that needs no crosswalk (say the
+    state table) never constructs one: less driver-side analysis per query.
+    """
+
+    def __set_name__(self, owner, name):
+        self.slot = "_dim_" + name
+
+    def __get__(self, obj, objtype=None):
+        if obj is None:
+            return self
+        value = obj.__dict__.get(self.slot)
+        if value is not None and not isinstance(value, DataFrame):
+            value = value()
+            obj.__dict__[self.slot] = value
+        return value
+
+    def __set__(self, obj, value):
+        obj.__dict__[self.slot] = value
+
+
 class Survey:
-    """One survey sample and its dimensions; products are lazy DataFrames."""
+    """One survey sample and its dimensions; products are lazy DataFrames.
+
+    Every dimension argument may be a DataFrame or a zero-argument callable
+    returning one (built on first use).
+    """
+
+    microdata = _Dim()
+    labels = _Dim()
+    crosswalk = _Dim()
+    zone_context = _Dim()
+    soc_titles = _Dim()
+    sector_titles = _Dim()
+    county_zones = _Dim()
 
-    def __init__(self, spark: SparkSession, microdata: DataFrame, labels: DataFrame,
-                 crosswalk: DataFrame, zone_context: DataFrame, soc_titles: DataFrame,
-                 sector_titles: DataFrame, county_zones: DataFrame | None = None,
+    def __init__(self, spark: SparkSession, microdata, labels, crosswalk, zone_context,
+                 soc_titles, sector_titles, county_zones=None,
                  period_keys: Sequence[str] = (), dimension_rows: int = 100_000,
                  strict_na: bool = True):
         self.spark = spark
@@ -92,16 +126,15 @@ class Survey:
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str,
                            period_keys: Sequence[str] = ()) -> "Survey":
-        from .analog import (county_zones, crosswalk, microdata, value_labels)
         return cls(
             spark,
-            microdata=microdata(spark, sf_dir),
-            labels=value_labels(spark, sf_dir),
-            crosswalk=crosswalk(spark, sf_dir),
-            zone_context=zone_context_from_pieces(analog.zone_pieces(spark, sf_dir)),
-            soc_titles=soc_minor_titles(titles.soc_structure_minor(spark)),
-            sector_titles=titles.sector_titles(spark),
-            county_zones=county_zones(spark, sf_dir),
+            microdata=lambda: analog.microdata(spark, sf_dir),
+            labels=lambda: analog.value_labels(spark, sf_dir),
+            crosswalk=lambda: analog.crosswalk(spark, sf_dir),
+            zone_context=lambda: zone_context_from_pieces(analog.zone_pieces(spark, sf_dir)),
+            soc_titles=lambda: soc_minor_titles(titles.soc_structure_minor(spark)),
+            sector_titles=lambda: titles.sector_titles(spark),
+            county_zones=lambda: analog.county_zones(spark, sf_dir),
             period_keys=period_keys,
             dimension_rows=analog.CROSSWALK_ROWS,
         )

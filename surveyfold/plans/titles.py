@@ -156,17 +156,28 @@ CITIZEN_LABELS = (
 )
 
 
+_LOCAL: dict[tuple[str, str], DataFrame] = {}
+
+
+def _local(spark: SparkSession, name: str, rows, schema: str) -> DataFrame:
+    # small fixed code lists: one DataFrame per session, reused by every query
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _LOCAL:
+        _LOCAL[key] = spark.createDataFrame(list(rows), schema)
+    return _LOCAL[key]
+
+
 def soc_structure_minor(spark: SparkSession) -> DataFrame:
     """Minor-group rows of the occupation structure (``minor_group, title``)."""
-    return spark.createDataFrame(list(SOC_MINOR_GROUPS), "minor_group string, title string")
+    return _local(spark, "soc", SOC_MINOR_GROUPS, "minor_group string, title string")
 
 
 def sector_titles(spark: SparkSession) -> DataFrame:
     """Sector titles dimension (``naics_2d, sector, short_sector``)."""
-    return spark.createDataFrame(list(SECTORS), "naics_2d string, sector string, short_sector string")
+    return _local(spark, "sector", SECTORS, "naics_2d string, sector string, short_sector string")
 
 
 def citizen_labels(spark: SparkSession) -> DataFrame:
     """Codebook value labels of ``CITIZEN`` (``name, value, label``)."""
     rows = [("CITIZEN", v, lab) for v, lab in CITIZEN_LABELS]
-    return spark.createDataFrame(rows, "name string, value int, label string")
+    return _local(spark, "citizen", rows, "name string, value int, label string")
