@@ -139,6 +139,43 @@ class Survey:
             dimension_rows=analog.CROSSWALK_ROWS,
         )
 
+    @classmethod
+    def from_files(cls, spark: SparkSession, codebook: str, extract: str, crosswalk: str,
+                   zone_context: str, soc_structure: str, sector_titles: str,
+                   counties: str | None = None, period_keys: Sequence[str] = (),
+                   stage_microdata: bool = False) -> "Survey":
+        """A survey from the source's own inputs: XML codebook + fixed-width
+        extract (S1, S2) and the dimension files as CSV (S3, S5-S8).
+
+        With ``stage_microdata`` the decoded extract is written once as Parquet
+        in the shared checkpoint folder, so the products read a columnar table
+        with pushed filters instead of re-parsing text.
+        """
+        from ..sources import codebook as CB
+        from ..sources import files as FS
+        from ..session import stage_table
+        variables, labels = CB.read_codebook(spark, codebook)
+        keep = ["YEAR", "MULTYEAR", "STATEFIP", "COUNTYFIP", "PUMA", "GQ", "EMPSTAT",
+                "EMPSTATD", "LABFORCE", "AGE", "CITIZEN", "BPL", "PERWT", "OCCSOC", "INDNAICS"]
+        micro = CB.read_fixed_width(spark, extract, variables, keep=keep,
+                                    text_columns=("OCCSOC", "INDNAICS"))
+        micro = micro.withColumns({c: F.col(c).cast("int") for c in keep
+                                   if c in micro.columns and c not in ("PERWT", "OCCSOC", "INDNAICS")})
+        micro = micro.withColumn("PERWT", F.col("PERWT").cast("double"))
+        if stage_microdata:
+            micro = stage_table(micro, "microdata")
+        return cls(
+            spark,
+            microdata=micro,
+            labels=labels,
+            crosswalk=lambda: FS.read_crosswalk(spark, crosswalk),
+            zone_context=lambda: FS.read_zone_context(spark, zone_context),
+            soc_titles=lambda: soc_minor_titles(FS.read_soc_structure(spark, soc_structure)),
+            sector_titles=lambda: FS.read_sector_titles(spark, sector_titles),
+            county_zones=(lambda: FS.read_counties(spark, counties)) if counties else None,
+            period_keys=period_keys,
+        )
+
     # -- T0 / T1 ------------------------------------------------------------
     @cached_property
     def clean(self) -> DataFrame:

@@ -78,6 +78,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not conf_dir:
         conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local "
+                               "folder does not survive the loss of an executor")
         conf_dir = tempfile.mkdtemp(prefix="surveyfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)

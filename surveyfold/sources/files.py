@@ -93,7 +93,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv",
     is in R; Spark range-partitions for it, so it stays parallel.
     """
     if order_by:
-        df = df.orderBy(*order_by)
+        # partition columns lead, so the partitioned writer's required order
+        # is already met and it does not re-sort (which would scramble keys)
+        lead = [c for c in (partition_by or []) if c not in order_by]
+        df = df.orderBy(*lead, *order_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
