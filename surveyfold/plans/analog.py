@@ -120,8 +120,15 @@ def _bpl(same_nation: Column, s_nation: Column, s_region: Column) -> Column:
             .otherwise(100 + s_nation)).cast("int")
 
 
-def microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Person-level microdata in the census layout (all persons, no filter)."""
+def microdata(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataFrame:
+    """Person-level microdata in the census layout (all persons, no filter).
+
+    ``with_part=False`` leaves out the ``part`` join (``AGE``, ``OCCSOC`` and
+    ``INDNAICS`` come out NULL): the labour-force tables need none of its
+    columns, and with every ``l_partkey`` present in ``part`` (no orphan
+    keys in the driver tables) the join cannot change their rows, so one
+    lineitem-sized shuffle is saved at scale.
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
     orders = table(spark, sf_dir, "orders").select(
@@ -146,9 +153,14 @@ def microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "P", 3).otherwise(1).alias("GQ"),
         F.when(F.col("o_orderpriority") == "5-LOW", 14).otherwise(10).alias("EMPSTATD"),
     )
-    people = (li.join(order_attrs, li["l_orderkey"] == order_attrs["o_orderkey"])
-              .join(part, li["l_partkey"] == part["p_partkey"])
-              .join(supp, li["l_suppkey"] == supp["s_suppkey"])
+    people = li.join(order_attrs, li["l_orderkey"] == order_attrs["o_orderkey"])
+    if with_part:
+        people = people.join(part, li["l_partkey"] == part["p_partkey"])
+    else:
+        null = F.lit(None)
+        people = people.withColumns({"AGE": null.cast("int"), "OCCSOC": null.cast("string"),
+                                     "INDNAICS": null.cast("string")})
+    people = (people.join(supp, li["l_suppkey"] == supp["s_suppkey"])
               .join(s_nation, "s_nationkey"))
     same = F.col("s_nationkey") == F.col("c_nationkey")
     return people.select(

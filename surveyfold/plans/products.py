@@ -98,6 +98,7 @@ class Survey:
     """
 
     microdata = _Dim()
+    labor_microdata = _Dim()
     labels = _Dim()
     crosswalk = _Dim()
     zone_context = _Dim()
@@ -108,9 +109,12 @@ class Survey:
     def __init__(self, spark: SparkSession, microdata, labels, crosswalk, zone_context,
                  soc_titles, sector_titles, county_zones=None,
                  period_keys: Sequence[str] = (), dimension_rows: int = 100_000,
-                 strict_na: bool = True):
+                 strict_na: bool = True, labor_microdata=None):
         self.spark = spark
         self.microdata = microdata
+        # persons with at least CITIZEN, BPL, LABFORCE, PERWT (T10/T11);
+        # defaults to the full microdata
+        self.labor_microdata = labor_microdata
         self.labels = labels
         self.crosswalk = crosswalk
         self.zone_context = zone_context
@@ -129,6 +133,7 @@ class Survey:
         return cls(
             spark,
             microdata=lambda: analog.microdata(spark, sf_dir),
+            labor_microdata=lambda: analog.microdata(spark, sf_dir, with_part=False),
             labels=lambda: analog.value_labels(spark, sf_dir),
             crosswalk=lambda: analog.crosswalk(spark, sf_dir),
             zone_context=lambda: zone_context_from_pieces(analog.zone_pieces(spark, sf_dir)),
@@ -331,7 +336,8 @@ class Survey:
         value = F.coalesce(flag_times(F.col("LABFORCE") == 2, "PERWT").cast("double"),
                            F.lit(float("nan"))) if self.strict_na else \
             flag_times(F.col("LABFORCE") == 2, "PERWT")
-        base = (self.microdata.withColumn("bpl_ii", D.birthplace_broad("BPL"))
+        persons = self.labor_microdata if self.labor_microdata is not None else self.microdata
+        base = (persons.withColumn("bpl_ii", D.birthplace_broad("BPL"))
                 .groupBy("CITIZEN", "bpl_ii").agg(F.sum(value).alias("lf")))
         dec = J.decode_labels(base, "CITIZEN", self.labels, "CITIZEN", "_cit", self.dim_rows)
         return dec.withColumn("citizenship", D.citizenship_label("_cit")).drop("_cit")
