@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import derive as D
-from ..functions.columns import move_first, select_prefix
-from ..functions.scalars import flag_times, pad_left, pct_ratio, r_ifelse, sum_strict, text_between
+from ..functions.columns import move_first
+from ..functions.scalars import flag_times, pad_left, r_ifelse
 from ..operators import apportion as AP
 from ..operators import joins as J
 from ..operators import measures as M
@@ -223,13 +223,10 @@ class Survey:
     def _k(self, *keys: str) -> list[str]:
         return [*self.period_keys, *keys]
 
-    def _xwalk(self) -> DataFrame:
-        return self.crosswalk
-
     def _apportioned(self, extra: Sequence[str], prefixes: Sequence[str]) -> DataFrame:
         cube = self.master()
         by_unit = R.rollup_prefixed(cube, self._k(UNIT, *extra), prefixes)
-        return AP.apportion(by_unit, self._xwalk(), UNIT, ZONE, prefixes=prefixes,
+        return AP.apportion(by_unit, self.crosswalk, UNIT, ZONE, prefixes=prefixes,
                             extra_keys=self._k(*extra), crosswalk_rows=self.dim_rows)
 
     def _with_zone_context(self, df: DataFrame) -> DataFrame:
@@ -415,7 +412,8 @@ class Survey:
             "sa": r_ifelse(F.col("BPL") == 300, 1, 0),
         })
         w, e, lf = F.col("PERWT"), F.col("EMPSTAT_2"), F.col("LABFORCE_2")
-        s = (lambda x: sum_strict(x)) if self.strict_na else F.sum
+        def s(x):
+            return M.weighted_sum(x, None, self.strict_na)
         aggs = {
             "civ_noninst_pop": s(w),
             "civ_noninst_pop_employed": s(e * w),
@@ -497,5 +495,5 @@ def tag_period(df: DataFrame, year: int) -> DataFrame:
     return move_first(df.withColumn("year", F.lit(int(year))), "year")
 
 
-__all__ = ["Survey", "clean_microdata", "soc_minor_titles", "zone_context_from_pieces",
-           "stack_panels", "tag_period", "select_prefix", "text_between", "pct_ratio"]
+__all__ = ["Survey", "clean_microdata", "soc_minor_titles", "state_names",
+           "zone_context_from_pieces", "stack_panels", "tag_period"]

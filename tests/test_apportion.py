@@ -1,5 +1,4 @@
 """A11, A13, A17-A19, T15 on the literal fixtures."""
-from pyspark.sql import functions as F
 
 from surveyfold.operators import apportion as AP
 from surveyfold.operators.quality import conservation

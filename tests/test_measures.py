@@ -1,5 +1,4 @@
 """The fused cube equals the source's three-aggregate join form."""
-from functools import reduce
 
 from pyspark.sql import functions as F
 

@@ -1,7 +1,6 @@
 """End to end on the source's own input formats: codebook + fixed-width extract
 + CSV dimensions, with expected values worked out by hand."""
 import pytest
-from pyspark.sql import functions as F
 
 from surveyfold.plans.products import Survey
 
