@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import argparse
 
-from .plans.pipeline import build_tables
+from .plans.build import build_tables
 from .plans.products import Survey
 from .session import apply_cluster_conf
 from .sources.files import read_panel, write_table

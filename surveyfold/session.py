@@ -27,6 +27,11 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # In one local JVM a broadcast hash table is built by a single task;
+        # a fact-sized side (a few MB on disk at small scale factors) must not
+        # be chosen for it. Bounded dimensions are hinted and unaffected.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "1m")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.ansi.enabled", "true")

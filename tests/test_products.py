@@ -74,7 +74,7 @@ def test_panel_years(spark):
 
 
 def test_pipeline_writes_tables(spark, tmp_path):
-    from surveyfold.plans.pipeline import build_tables
+    from surveyfold.plans.build import build_tables
     s = Survey.from_driver_tables(spark, SF_SMALL)
     build_tables(s, str(tmp_path / "out"), fmt="parquet", year_col="YEAR")
     st = spark.read.parquet(str(tmp_path / "out" / "state_acs_data"))
