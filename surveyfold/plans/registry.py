@@ -112,9 +112,14 @@ def queries() -> dict[str, Query]:
         "t9_sector": _product("sector"),
         "t10_labor_force_citizenship": _product("labor_force_by_citizenship"),
         "t11_labor_force_birthplace": _product("labor_force_by_birthplace"),
+        "t12_zone_panel": _product("zone", period=True, rounded=True),
         "t12_state_panel": _product("state", period=True),
-        "t12_sector_panel": _product("sector", period=True),
+        "t12_zone_occupation_panel": _product("zone_occupation", period=True, rounded=True),
+        "t12_state_occupation_panel": _product("state_occupation", period=True),
+        "t12_occupation_panel": _product("occupation", period=True),
         "t12_zone_sector_panel": _product("zone_sector", period=True, rounded=True),
+        "t12_state_sector_panel": _product("state_sector", period=True),
+        "t12_sector_panel": _product("sector", period=True),
         "t13_occupation_hierarchy": _t13,
         "t14_occupation_titles": _t14,
         "t15_crosswalk_apportion": _product("crosswalk_apportion", rounded=True),
@@ -149,9 +154,14 @@ def oracle_sql() -> dict[str, str]:
         "t9_sector": o.t9_sector(),
         "t10_labor_force_citizenship": o.t10_labor_force_citizenship(),
         "t11_labor_force_birthplace": o.t11_labor_force_birthplace(),
+        "t12_zone_panel": o.t2_zone(period=True),
         "t12_state_panel": o.t3_state(period=True),
-        "t12_sector_panel": o.t9_sector(period=True),
+        "t12_zone_occupation_panel": o.t4_zone_occupation(period=True),
+        "t12_state_occupation_panel": o.t5_state_occupation(period=True),
+        "t12_occupation_panel": o.t6_occupation(period=True),
         "t12_zone_sector_panel": o.t7_zone_sector(period=True),
+        "t12_state_sector_panel": o.t8_state_sector(period=True),
+        "t12_sector_panel": o.t9_sector(period=True),
         "t13_occupation_hierarchy": o.t13_occupation_hierarchy(),
         "t14_occupation_titles": o.t14_occupation_titles(),
         "t15_crosswalk_apportion": o.t15_crosswalk_apportion(),
