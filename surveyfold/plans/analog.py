@@ -70,6 +70,26 @@ CROSSWALK_ROWS = UNIT_ROWS * ZONE_SUFFIXES
 
 
 _TABLES: dict[tuple[str, str], DataFrame] = {}
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _per_session(fn):
+    """Build a derived view once per session and arguments.
+
+    DataFrames are immutable lazy plans, so handing the same object to every
+    product is safe; it saves rebuilding (and re-analysing) the person joins
+    and dimensions for each query. Nothing is cached as data.
+    """
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
+        key = (fn.__name__, spark.sparkContext.applicationId, sf_dir, args,
+               tuple(sorted(kwargs.items())))
+        df = _PLANS.get(key)
+        if df is None:
+            df = _PLANS[key] = fn(spark, sf_dir, *args, **kwargs)
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +140,7 @@ def _bpl(same_nation: Column, s_nation: Column, s_region: Column) -> Column:
             .otherwise(100 + s_nation)).cast("int")
 
 
+@_per_session
 def microdata(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataFrame:
     """Person-level microdata in the census layout (all persons, no filter).
 
@@ -183,6 +204,7 @@ def microdata(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataF
     )
 
 
+@_per_session
 def value_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codebook value labels: ``STATEFIP`` from ``nation``, ``CITIZEN`` fixed."""
     states = table(spark, sf_dir, "nation").select(
@@ -191,6 +213,7 @@ def value_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states.unionByName(titles.citizen_labels(spark))
 
 
+@_per_session
 def customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer: state, unit, county and zone codes."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -203,6 +226,7 @@ def customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_per_session
 def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit -> zone crosswalk built from customer counts.
 
@@ -215,6 +239,7 @@ def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xw.withColumn("stpuma", D.geo_unit_key(F.col("statefip"), F.col("puma")))
 
 
+@_per_session
 def county_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """County -> zone table (1990 definition): ``county_fips, ers90, pop90``."""
     g = customer_geo(spark, sf_dir)
@@ -223,6 +248,7 @@ def county_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("cz90").alias("ers90"), "pop90"))
 
 
+@_per_session
 def zone_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population of every (zone, state) piece with the state's name."""
     g = customer_geo(spark, sf_dir)
@@ -234,6 +260,7 @@ def zone_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.join(names, "statefip", "left")
 
 
+@_per_session
 def soc_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 analog: occupation structure rows, one code filled per row.
 
@@ -264,3 +291,17 @@ def soc_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
         null.alias("major_group"), null.alias("minor_group"), null.alias("broad_group"),
         F.col("code").alias("detailed_occupation"), "title")
     return major.unionByName(minor).unionByName(broad).unionByName(det)
+
+
+@_per_session
+def zone_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T16 on the driver tables: main state and state list per zone."""
+    from .products import zone_context_from_pieces
+    return zone_context_from_pieces(zone_pieces(spark, sf_dir))
+
+
+@_per_session
+def soc_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T14 on the fixed SOC minor-group list (titles for the occupation tables)."""
+    from .products import soc_minor_titles
+    return soc_minor_titles(titles.soc_structure_minor(spark))

@@ -38,12 +38,29 @@ STATE_KEYS = ("state_fips", "state")
 # ---------------------------------------------------------------------------
 # Clean microdata
 # ---------------------------------------------------------------------------
+# Lazy plans built once per input handle (the inputs are kept alongside, so
+# an id is never reused while its entry lives).
+_CLEAN: dict[tuple[int, str | None], tuple[DataFrame, DataFrame]] = {}
+_CUBES: dict[tuple, tuple[DataFrame, DataFrame, DataFrame]] = {}
+
+
 def clean_microdata(micro: DataFrame, period: str | None = None) -> DataFrame:
     """Derived codes, universe filter (L4), flags and statuses.
 
     The filter is one conjunctive ``where`` on source columns, so Catalyst
     pushes each conjunct to the scan / join side that owns the column.
+    The lazy plan is built once per microdata handle and period.
     """
+    key = (id(micro), period)
+    hit = _CLEAN.get(key)
+    if hit is not None and hit[0] is micro:
+        return hit[1]
+    out = _clean_microdata(micro, period)
+    _CLEAN[key] = (micro, out)
+    return out
+
+
+def _clean_microdata(micro: DataFrame, period: str | None) -> DataFrame:
     df = D.universe(micro)
     cols = {
         UNIT: D.geo_unit_key(pad_left("STATEFIP", 2), F.col("PUMA")),
@@ -136,8 +153,8 @@ class Survey:
             labor_microdata=lambda: analog.microdata(spark, sf_dir, with_part=False),
             labels=lambda: analog.value_labels(spark, sf_dir),
             crosswalk=lambda: analog.crosswalk(spark, sf_dir),
-            zone_context=lambda: zone_context_from_pieces(analog.zone_pieces(spark, sf_dir)),
-            soc_titles=lambda: soc_minor_titles(titles.soc_structure_minor(spark)),
+            zone_context=lambda: analog.zone_context(spark, sf_dir),
+            soc_titles=lambda: analog.soc_titles(spark, sf_dir),
             sector_titles=lambda: titles.sector_titles(spark),
             county_zones=lambda: analog.county_zones(spark, sf_dir),
             period_keys=period_keys,
@@ -191,9 +208,19 @@ class Survey:
         """The master cube with state name and padded state code."""
         if self._cube is not None:
             return self._cube
+        clean, labels = self.clean, self.labels
+        key = (id(clean), id(labels), self.period_keys, self.strict_na, self.dim_rows)
+        hit = _CUBES.get(key)
+        if hit is not None and hit[0] is clean and hit[1] is labels:
+            return hit[2]
+        out = self._build_master(clean, labels)
+        _CUBES[key] = (clean, labels, out)
+        return out
+
+    def _build_master(self, clean: DataFrame, labels: DataFrame) -> DataFrame:
         keys = (*self.period_keys, *M.CUBE_KEYS)
-        cube = M.master_cube(self.clean, keys, strict=self.strict_na)
-        names = broadcast_bounded(state_names(self.labels), self.dim_rows)
+        cube = M.master_cube(clean, keys, strict=self.strict_na)
+        names = broadcast_bounded(state_names(labels), self.dim_rows)
         cube = cube.join(names, "state_code", "left").withColumns({
             "state": F.coalesce(F.col("state"), F.col("state_code").cast("string")),
             "state_fips": pad_left(F.col("state_code"), 2),

@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators import joins as J
 from . import analog, oracle
-from .products import Survey, soc_minor_titles, zone_context_from_pieces
+from .products import Survey, soc_minor_titles
 
 ROUND = oracle.ROUND
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,7 +86,7 @@ def _t14(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _t16(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zone_context_from_pieces(analog.zone_pieces(spark, sf_dir))
+    return analog.zone_context(spark, sf_dir)
 
 
 def _a17(spark: SparkSession, sf_dir: str) -> DataFrame:
