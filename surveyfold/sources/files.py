@@ -68,20 +68,28 @@ def read_sector_titles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_panel(spark: SparkSession, directory: str, table: str,
-               schema: str | StructType) -> DataFrame:
+               schema: str | StructType, expected_years=None) -> DataFrame:
     """S4 + U2: every ``{table}_{yyyy}.csv`` of ``directory`` in one scan.
 
     The glob is anchored at the table name and requires exactly four digits
     before ``.csv``, so ``cz_{table}_2019.csv`` and ``{table}_2015_2019.csv``
     are not picked up (N22). The year comes from the file path; ``year`` is
-    put first (P5).
+    put first (P5). With ``expected_years`` a missing year raises, as the
+    source's loop fails on a missing file (Q12); the check reads only the
+    distinct years (one small aggregate).
     """
     pattern = f"{directory.rstrip('/')}/{table}_[0-9][0-9][0-9][0-9].csv"
     df = read_csv(spark, pattern, schema)
     year = F.regexp_extract(F.col("_metadata.file_path"),
                             rf"/{re.escape(table)}_(\d{{4}})\.csv$", 1).cast("int")
     df = df.withColumn("year", year)
-    return df.select("year", *[c for c in df.columns if c != "year"])
+    df = df.select("year", *[c for c in df.columns if c != "year"])
+    if expected_years is not None:
+        found = {r[0] for r in df.select("year").distinct().collect()}
+        missing = sorted(set(int(y) for y in expected_years) - found)
+        if missing:
+            raise FileNotFoundError(f"{table}: no file for year(s) {missing} in {directory}")
+    return df
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv",

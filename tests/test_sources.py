@@ -47,6 +47,9 @@ def test_panel_glob_and_year(spark, tmp_path):
     df = FS.read_panel(spark, str(tmp_path), "x", "k string, v int")
     assert df.columns == ["year", "k", "v"]
     assert sorted(r.year for r in df.collect()) == [2018, 2019]
+    FS.read_panel(spark, str(tmp_path), "x", "k string, v int", expected_years=[2018, 2019])
+    with pytest.raises(FileNotFoundError):
+        FS.read_panel(spark, str(tmp_path), "x", "k string, v int", expected_years=range(2017, 2020))
 
 
 def test_stack_by_name(spark):
