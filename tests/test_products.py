@@ -93,3 +93,13 @@ def test_zone_tables_carry_share_sums(survey):
     # per zone: sum of squared shares is positive and at most the number of units
     for r in zone.select("county_prop_inpuma").collect():
         assert r[0] > 0
+
+
+def test_cli_build(spark, tmp_path):
+    from surveyfold.__main__ import main
+    out = tmp_path / "cli"
+    main(["--master", "local[2]", "build", "--sf-dir", SF_SMALL, "--out", str(out),
+          "--format", "parquet", "--panel"])
+    st = spark.read.parquet(str(out / "state_acs_data"))
+    assert "year" in st.columns and st.select("year").distinct().count() >= 5
+    assert (out / "labor_force_citizenship").exists()
