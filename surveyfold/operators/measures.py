@@ -137,14 +137,25 @@ def prepare_persons(clean: DataFrame) -> DataFrame:
 
 
 def master_cube(persons: DataFrame, keys: Sequence[str] = CUBE_KEYS,
-                strict: bool = True) -> DataFrame:
-    """T1 (A1 + A2 + A3 + A4 + X11): the finest cube, one shuffle.
+                strict: bool = True, two_phase: bool = True) -> DataFrame:
+    """T1 (A1 + A2 + A3 + A4 + X11): the finest cube.
 
     ``persons`` must carry ``stpuma, soc_minor, naics_2d, STATEFIP`` (int),
     ``PERWT, EMPSTAT_2, LABFORCE_2, foreign_born, foreing_born_det_1``.
     Output: keys, ``state_code`` (first state of the group, A2), then the
     measures in the source's column order and ``EPOP``.
+
+    ``two_phase`` (default) first sums four narrow measures by key x birth
+    status x kept origin, then pivots that aggregate wide. When a task sees
+    about as many distinct keys as rows (a fine cube over a large input),
+    partial aggregation cannot shrink much, and what crosses the exchange
+    is then 4 measures per row instead of 22. The pivot step reads the
+    aggregate, whose size is bounded by keys x 8 levels. ``two_phase=False``
+    is the single conditional aggregate (one exchange), best when each task
+    holds many rows per key.
     """
+    if two_phase:
+        return _master_cube_two_phase(persons, keys, strict)
     base = [measure_expr(m, None, strict).alias(m.name) for m in CUBE_MEASURES]
     by_status = level_aggregates(CUBE_MEASURES, "foreign_born", STATUS_LEVELS, strict)
     origin_measures = CUBE_MEASURES[1:]   # no population column by origin
@@ -169,3 +180,40 @@ def weighted_collapse(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     return df.groupBy(*keys).agg(*[
         F.coalesce(F.sum(F.col(v) * F.col(weight)), F.lit(0.0)).alias(v) for v in values
     ])
+
+
+def _master_cube_two_phase(persons: DataFrame, keys: Sequence[str], strict: bool) -> DataFrame:
+    kept = [lvl for lvl, _ in (*ORIGIN_LEVELS, *ORIGIN_LEVELS_LAST)]
+    origin = F.col("foreing_born_det_1")
+
+    def value(m: Measure) -> Column:
+        v = m.value()
+        return F.coalesce(v.cast("double"), F.lit(float("nan"))) if strict else v
+
+    # phase 1: narrow sums by key x status x kept origin (others grouped as NULL);
+    # NaN stands for an NA input and survives the second sum
+    narrow = persons.groupBy(*keys, "foreign_born", F.when(origin.isin(*kept), origin).alias("_origin")).agg(
+        F.min("STATEFIP").alias("state_code"),
+        *[(F.count(F.lit(1)) if m.weight is None else F.sum(value(m))).alias(f"_{i}")
+          for i, m in enumerate(CUBE_MEASURES)])
+
+    def part(i: int, cond: Column | None) -> Column:
+        src = F.col(f"_{i}")
+        return F.sum(src if cond is None else F.when(cond, src))
+
+    names = {m.name: i for i, m in enumerate(CUBE_MEASURES)}
+    cols = [part(i, None).alias(m.name) for i, m in enumerate(CUBE_MEASURES)]
+    for m in CUBE_MEASURES:
+        for lvl, suf in STATUS_LEVELS:
+            cols.append(part(names[m.name], F.col("foreign_born") == lvl).alias(f"{m.name}_{suf}"))
+    for levels in (ORIGIN_LEVELS, ORIGIN_LEVELS_LAST):
+        for m in CUBE_MEASURES[1:]:
+            for lvl, suf in levels:
+                cols.append(part(names[m.name], F.col("_origin") == lvl).alias(f"{m.name}_{suf}"))
+    # phase 2: pivot the aggregate wide
+    cube = narrow.groupBy(*keys).agg(F.min("state_code").alias("state_code"), *cols)
+    if strict:
+        cube = cube.withColumns({
+            c: F.nanvl(F.col(c), F.lit(None).cast("double"))
+            for c, t in cube.dtypes if t == "double"})
+    return cube.withColumn(EPOP, pct_ratio(EMP, POP))

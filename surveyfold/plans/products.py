@@ -126,7 +126,8 @@ class Survey:
     def __init__(self, spark: SparkSession, microdata, labels, crosswalk, zone_context,
                  soc_titles, sector_titles, county_zones=None,
                  period_keys: Sequence[str] = (), dimension_rows: int = 100_000,
-                 strict_na: bool = True, labor_microdata=None):
+                 strict_na: bool = True, labor_microdata=None,
+                 two_phase_cube: bool | None = None):
         self.spark = spark
         self.microdata = microdata
         # persons with at least CITIZEN, BPL, LABFORCE, PERWT (T10/T11);
@@ -141,6 +142,13 @@ class Survey:
         self.period_keys = tuple(period_keys)
         self.dim_rows = dimension_rows
         self.strict_na = strict_na
+        # Two-phase cube aggregation (narrow sums, then pivot; see master_cube).
+        # Default: on a cluster, where each task sees about as many cube keys
+        # as rows and the narrow exchange is ~5x smaller; off in local mode,
+        # where one task sees many rows per key and one aggregate is cheaper.
+        if two_phase_cube is None:
+            two_phase_cube = not spark.sparkContext.master.startswith("local")
+        self.two_phase_cube = two_phase_cube
         self._cube: DataFrame | None = None
 
     # -- construction from the driver tables --------------------------------
@@ -209,7 +217,8 @@ class Survey:
         if self._cube is not None:
             return self._cube
         clean, labels = self.clean, self.labels
-        key = (id(clean), id(labels), self.period_keys, self.strict_na, self.dim_rows)
+        key = (id(clean), id(labels), self.period_keys, self.strict_na, self.dim_rows,
+               self.two_phase_cube)
         hit = _CUBES.get(key)
         if hit is not None and hit[0] is clean and hit[1] is labels:
             return hit[2]
@@ -219,7 +228,7 @@ class Survey:
 
     def _build_master(self, clean: DataFrame, labels: DataFrame) -> DataFrame:
         keys = (*self.period_keys, *M.CUBE_KEYS)
-        cube = M.master_cube(clean, keys, strict=self.strict_na)
+        cube = M.master_cube(clean, keys, strict=self.strict_na, two_phase=self.two_phase_cube)
         names = broadcast_bounded(state_names(labels), self.dim_rows)
         cube = cube.join(names, "state_code", "left").withColumns({
             "state": F.coalesce(F.col("state"), F.col("state_code").cast("string")),

@@ -88,3 +88,12 @@ def test_strict_sum_null_weight(spark):
     assert r[M.POP] is None and r[M.N] == 2        # R: sum(c(NA, 4)) is NA
     loose = M.master_cube(M.prepare_persons(spark.createDataFrame(rows, SCHEMA)), strict=False)
     assert loose.first()[M.POP] == 4.0
+
+
+def test_two_phase_equals_fused(spark):
+    rows = ROWS + [("100", "111", "31", 1, None, 1, 2, 0, 1), ("300", "111", "44", 3, 4.0, None, 2, 5, 300)]
+    p = M.prepare_persons(spark.createDataFrame(rows, SCHEMA))
+    fused = M.master_cube(p, two_phase=False)
+    two = M.master_cube(p, two_phase=True)
+    assert fused.columns == two.columns
+    assert as_set(fused, fused.columns) == as_set(two, fused.columns)
