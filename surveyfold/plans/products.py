@@ -144,7 +144,7 @@ class Survey:
         self.strict_na = strict_na
         # Two-phase cube aggregation (narrow sums, then pivot; see master_cube).
         # Default: on a cluster, where each task sees about as many cube keys
-        # as rows and the narrow exchange is ~5x smaller; off in local mode,
+        # as rows and the narrow exchange moves ~2x fewer bytes; off in local mode,
         # where one task sees many rows per key and one aggregate is cheaper.
         if two_phase_cube is None:
             two_phase_cube = not spark.sparkContext.master.startswith("local")
