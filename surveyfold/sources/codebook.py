@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 VARIABLES_SCHEMA = "name string, start int, width int, dcml int, label string"
 
@@ -26,16 +27,21 @@ def read_codebook(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     raw = (spark.read.format("xml").option("rowTag", "var")
            .option("attributePrefix", "_").option("valueTag", "_VALUE").load(path))
     loc = F.col("location")
+    # the variable name attribute; some codebooks carry only ID
+    name = F.coalesce(*[F.col(c).cast("string") for c in ("_name", "_ID") if c in raw.columns])
     variables = raw.select(
-        F.col("_name").cast("string").alias("name"),
+        name.alias("name"),
         loc["_StartPos"].cast("int").alias("start"),
         loc["_width"].cast("int").alias("width"),
         F.coalesce(F.col("_dcml").cast("int"), F.lit(0)).alias("dcml"),
         F.col("labl").cast("string").alias("label"),
     )
     if "catgry" in raw.columns:
-        cats = raw.select(F.col("_name").cast("string").alias("name"),
-                          F.explode_outer("catgry").alias("c"))
+        cat = F.col("catgry")
+        # one category in the whole file is inferred as a struct, not a list
+        if not isinstance(raw.schema["catgry"].dataType, ArrayType):
+            cat = F.array(cat)
+        cats = raw.select(name.alias("name"), F.explode_outer(cat).alias("c"))
         labels = cats.where(F.col("c").isNotNull()).select(
             "name",
             F.col("c.catValu").cast("string").try_cast("int").alias("value"),

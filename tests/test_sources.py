@@ -77,3 +77,15 @@ def test_period_tag(spark):
     assert r.sample_description == "Based in ACS samples from 2015, 2017, 2019"
     r1 = FS.period_tag(df.where(F.col("MULTYEAR") == 2017), multi_year=False).first()
     assert r1.first_last_year == "2017"
+
+
+def test_codebook_namespace_and_single_category(spark, tmp_path):
+    xml = ('<?xml version="1.0"?><codeBook xmlns="ddi:codebook:2_5" version="2.5"><dataDscr>'
+           '<var ID="SEX" name="SEX" dcml="0" files="F1"><location StartPos="1" EndPos="1" width="1"/>'
+           '<labl>Sex</labl><varFormat type="numeric"/><catgry><catValu>1</catValu><labl>Male</labl>'
+           '</catgry></var><var ID="AGE" name="AGE" dcml="0"><location StartPos="2" EndPos="4" '
+           'width="3"/><labl>Age</labl></var></dataDscr></codeBook>')
+    (tmp_path / "c.xml").write_text(xml)
+    variables, labels = CB.read_codebook(spark, str(tmp_path / "c.xml"))
+    assert {r.name: (r.start, r.width) for r in variables.collect()} == {"SEX": (1, 1), "AGE": (2, 3)}
+    assert [(r.name, r.value, r.label) for r in labels.collect()] == [("SEX", 1, "Male")]
