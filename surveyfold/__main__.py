@@ -4,10 +4,13 @@
     python -m surveyfold files --codebook X.xml --extract X.dat --crosswalk C.csv \\
         --zone-context Z.csv --soc-structure S.csv --sector-titles T.csv --out OUT [--single-year]
     python -m surveyfold panel --dir OUT_CSV --table state_acs_data --schema "..." --out PANEL
+    python -m surveyfold hierarchy --structure soc_structure.csv --out OUT
 
 ``build`` runs every product on the driver tables (one sample; ``--panel``
 keys every table by year). ``files`` runs them on a real extract and its
 dimension files. ``panel`` stacks ``{table}_{yyyy}.csv`` files by year.
+``hierarchy`` writes the occupation hierarchy (detailed code with its broad,
+minor and major titles) from the structure file.
 """
 
 from __future__ import annotations
@@ -41,6 +44,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--table", required=True)
     p.add_argument("--schema", required=True)
     p.add_argument("--out", required=True)
+    h = sub.add_parser("hierarchy")
+    h.add_argument("--structure", required=True)
+    h.add_argument("--out", required=True)
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -63,8 +69,12 @@ def main(argv: list[str] | None = None) -> None:
         build_tables(survey, args.out, args.format,
                      year_col="YEAR" if args.single_year else "MULTYEAR",
                      multi_year=not args.single_year)
-    else:
+    elif args.cmd == "panel":
         write_table(read_panel(spark, args.dir, args.table, args.schema), args.out)
+    else:
+        from .sources.files import read_soc_structure
+        hier = Survey.occupation_hierarchy(read_soc_structure(spark, args.structure))
+        write_table(hier, args.out, order_by=["detailed_soc"])
 
 
 if __name__ == "__main__":
