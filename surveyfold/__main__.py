@@ -19,7 +19,7 @@ import argparse
 
 from .plans.build import build_tables
 from .plans.products import Survey
-from .session import apply_cluster_conf
+from .session import apply_cluster_conf, is_local
 from .sources.files import read_panel, write_table
 
 
@@ -54,10 +54,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.master:
         builder = builder.master(args.master).config("spark.ui.enabled", "false")
     spark = builder.getOrCreate()
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         apply_cluster_conf(spark)
     else:
-        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism * 2))
+        spark.conf.set("spark.sql.shuffle.partitions", str(2 * int(spark.conf.get("spark.default.parallelism", "8"))))
     if args.cmd == "build":
         survey = Survey.from_driver_tables(spark, args.sf_dir,
                                            ("year",) if args.panel else ())

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import derive as D
-from ..session import broadcast_bounded
+from ..session import broadcast_bounded, session_key
 from . import titles
 
 # ---------------------------------------------------------------------------
@@ -81,7 +81,7 @@ def _per_session(fn):
     and dimensions for each query. Nothing is cached as data.
     """
     def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
-        key = (fn.__name__, spark.sparkContext.applicationId, sf_dir, args,
+        key = (fn.__name__, session_key(spark), sf_dir, args,
                tuple(sorted(kwargs.items())))
         df = _PLANS.get(key)
         if df is None:
@@ -99,7 +99,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     a footer. Dimensions such as ``customer`` and ``nation`` feed several
     parts of one plan, so the handle is created once and reused.
     """
-    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    key = (session_key(spark), f"{sf_dir}/{name}.parquet")
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(key[1])

@@ -27,7 +27,7 @@ from ..operators import joins as J
 from ..operators import measures as M
 from ..operators import rollup as R
 from ..operators.quality import conservation_report
-from ..session import broadcast_bounded, cut_lineage
+from ..session import broadcast_bounded, cut_lineage, is_local
 from . import analog, titles
 
 ZONE = "cz90"
@@ -147,7 +147,7 @@ class Survey:
         # as rows and the narrow exchange moves ~2x fewer bytes; off in local mode,
         # where one task sees many rows per key and one aggregate is cheaper.
         if two_phase_cube is None:
-            two_phase_cube = not spark.sparkContext.master.startswith("local")
+            two_phase_cube = not is_local(spark)
         self.two_phase_cube = two_phase_cube
         self._cube: DataFrame | None = None
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import session_key
+
 # ---------------------------------------------------------------------------
 # SOC 2018 minor groups (minor_group, title), in code order.
 # The three 55-x groups (military) are part of the classification and are
@@ -161,7 +163,7 @@ _LOCAL: dict[tuple[str, str], DataFrame] = {}
 
 def _local(spark: SparkSession, name: str, rows, schema: str) -> DataFrame:
     # small fixed code lists: one DataFrame per session, reused by every query
-    key = (spark.sparkContext.applicationId, name)
+    key = (session_key(spark), name)
     if key not in _LOCAL:
         _LOCAL[key] = spark.createDataFrame(list(rows), schema)
     return _LOCAL[key]

@@ -15,6 +15,17 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 2_000_000
 
 
+def session_key(spark: SparkSession) -> str:
+    """A key for per-session memo tables (application id, or session id)."""
+    app = spark.conf.get("spark.app.id", None)
+    return app or str(id(spark))
+
+
+def is_local(spark: SparkSession) -> bool:
+    """True for a single-JVM ``local[...]`` master (tests, bench, laptops)."""
+    return (spark.conf.get("spark.master", "") or "").startswith("local")
+
+
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
                   app: str = "surveyfold") -> SparkSession:
     """Local session for tests and the bench (the cluster supplies its own)."""
@@ -67,9 +78,14 @@ CLUSTER_CONF = {
 def apply_cluster_conf(spark: SparkSession) -> None:
     """Fill in :data:`CLUSTER_CONF` for every key the submitted configuration
     does not name (built-in defaults are replaced, explicit settings kept)."""
-    submitted = spark.sparkContext.getConf()
+    try:
+        submitted = spark.sparkContext.getConf()
+        named = submitted.contains
+    except Exception:   # no SparkContext on a Connect session: runtime conf only
+        def named(key):
+            return spark.conf.get(key, None) not in (None, "")
     for key, value in CLUSTER_CONF.items():
-        if not submitted.contains(key):
+        if not named(key):
             spark.conf.set(key, value)
 
 
@@ -81,14 +97,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local "
                                "folder does not survive the loss of an executor")
         conf_dir = tempfile.mkdtemp(prefix="surveyfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir
 
 
