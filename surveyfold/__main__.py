@@ -38,6 +38,8 @@ def main(argv: list[str] | None = None) -> None:
         f.add_argument(f"--{name}", required=True)
     f.add_argument("--counties")
     f.add_argument("--single-year", action="store_true")
+    f.add_argument("--stage-partitions", type=int,
+                   help="spread a gzipped (unsplittable) extract before staging it")
     f.add_argument("--format", default="csv")
     p = sub.add_parser("panel")
     p.add_argument("--dir", required=True)
@@ -65,7 +67,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "files":
         survey = Survey.from_files(spark, args.codebook, args.extract, args.crosswalk,
                                    args.zone_context, args.soc_structure, args.sector_titles,
-                                   args.counties, stage_microdata=True)
+                                   args.counties, stage_microdata=True,
+                                   stage_partitions=args.stage_partitions)
         build_tables(survey, args.out, args.format,
                      year_col="YEAR" if args.single_year else "MULTYEAR",
                      multi_year=not args.single_year)

@@ -173,13 +173,17 @@ class Survey:
     def from_files(cls, spark: SparkSession, codebook: str, extract: str, crosswalk: str,
                    zone_context: str, soc_structure: str, sector_titles: str,
                    counties: str | None = None, period_keys: Sequence[str] = (),
-                   stage_microdata: bool = False) -> "Survey":
+                   stage_microdata: bool = False,
+                   stage_partitions: int | None = None) -> "Survey":
         """A survey from the source's own inputs: XML codebook + fixed-width
         extract (S1, S2) and the dimension files as CSV (S3, S5-S8).
 
         With ``stage_microdata`` the decoded extract is written once as Parquet
         in the shared checkpoint folder, so the products read a columnar table
-        with pushed filters instead of re-parsing text.
+        with pushed filters instead of re-parsing text. A gzipped extract
+        cannot be split, so one task reads it; ``stage_partitions`` spreads
+        the decoded rows over that many partitions before the write, making
+        the staged table (which every product reads) splittable.
         """
         from ..sources import codebook as CB
         from ..sources import files as FS
@@ -193,6 +197,8 @@ class Survey:
                                    if c in micro.columns and c not in ("PERWT", "OCCSOC", "INDNAICS")})
         micro = micro.withColumn("PERWT", F.col("PERWT").cast("double"))
         if stage_microdata:
+            if stage_partitions:
+                micro = micro.repartition(stage_partitions)
             micro = stage_table(micro, "microdata")
         return cls(
             spark,

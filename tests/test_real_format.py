@@ -87,3 +87,21 @@ def test_labor_force_tables_use_all_persons(survey):
     # unfiltered (Q5): the three dropped persons count too
     assert t10 == {"Not foreign born": 100 + 99 * 3, "Naturalized citizen": 50, "Not a citizen": 20,
                    "total": 100 + 99 * 3 + 70}
+
+
+def test_gzipped_extract_staged(spark, tmp_path):
+    import gzip
+    d = tmp_path
+    (d / "x.xml").write_text(_codebook())
+    with gzip.open(d / "x.dat.gz", "wt") as f:
+        f.write("\n".join("".join(p) for p in PEOPLE) + "\n")
+    for name, body in (("xw.csv", "statefip,puma,cz90,pop,pumapop,czpop,county_prop_incz,county_prop_inpuma\n"),
+                       ("ctx.csv", "ers90,state_fips,state_abbv,states_count,states_abbv,cbsa10,cbsa_name\n"),
+                       ("soc.csv", "major_group,minor_group,broad_group,detailed_occupation,title\n"),
+                       ("sec.csv", "naics_2d,sector,short_sector\n")):
+        (d / name).write_text(body)
+    s = Survey.from_files(spark, str(d / "x.xml"), str(d / "x.dat.gz"), str(d / "xw.csv"),
+                          str(d / "ctx.csv"), str(d / "soc.csv"), str(d / "sec.csv"),
+                          stage_microdata=True, stage_partitions=3)
+    st = {r.state: r.civ_noninst_pop for r in s.state().collect()}
+    assert st == {"Alabama": 170, "Alaska": 30}
