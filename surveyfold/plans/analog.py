@@ -78,7 +78,8 @@ def _per_session(fn):
 
     DataFrames are immutable lazy plans, so handing the same object to every
     product is safe; it saves rebuilding (and re-analysing) the person joins
-    and dimensions for each query. Nothing is cached as data.
+    and dimensions for each query. Only the bounded derived dimensions
+    (crosswalk, zone context, county zones) are also persisted as data.
     """
     def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
         key = (fn.__name__, session_key(spark), sf_dir, args,
@@ -236,7 +237,8 @@ def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.apportion import build_crosswalk, crosswalk_pieces
     pieces = crosswalk_pieces(customer_geo(spark, sf_dir), ["statefip", "puma"], "cz90")
     xw = build_crosswalk(pieces, ["statefip", "puma"], "cz90")
-    return xw.withColumn("stpuma", D.geo_unit_key(F.col("statefip"), F.col("puma")))
+    # bounded (units x zone suffixes) and used by every zone product: keep it
+    return xw.withColumn("stpuma", D.geo_unit_key(F.col("statefip"), F.col("puma"))).persist()
 
 
 @_per_session
@@ -245,7 +247,7 @@ def county_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = customer_geo(spark, sf_dir)
     return (g.groupBy("statefip", "county", "cz90").agg(F.count(F.lit(1)).alias("pop90"))
             .select(D.county_fips(F.col("statefip"), F.col("county")).alias("county_fips"),
-                    F.col("cz90").alias("ers90"), "pop90"))
+                    F.col("cz90").alias("ers90"), "pop90")).persist()
 
 
 @_per_session
@@ -297,7 +299,7 @@ def soc_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zone_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T16 on the driver tables: main state and state list per zone."""
     from .products import zone_context_from_pieces
-    return zone_context_from_pieces(zone_pieces(spark, sf_dir))
+    return zone_context_from_pieces(zone_pieces(spark, sf_dir)).persist()
 
 
 @_per_session

@@ -84,6 +84,12 @@ def soc_minor_titles(structure_minor: DataFrame) -> DataFrame:
             .withColumn("soc_minor", D.short_minor_code("minor_group")))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``persist()`` unless the frame is already kept."""
+    level = df.storageLevel
+    return df if (level.useMemory or level.useDisk) else df.persist()
+
+
 class _Dim:
     """A dimension given as a DataFrame or as a zero-argument builder.
 
@@ -255,10 +261,10 @@ class Survey:
         """
         if self._cube is None:
             self._cube = cut_lineage(self.master(), "master_cube")
-            self.crosswalk = self.crosswalk.persist()
-            self.zone_context = self.zone_context.persist()
+            self.crosswalk = _kept(self.crosswalk)
+            self.zone_context = _kept(self.zone_context)
             if self.county_zones is not None:
-                self.county_zones = self.county_zones.persist()
+                self.county_zones = _kept(self.county_zones)
         return self
 
     # -- helpers --------------------------------------------------------------
