@@ -4,7 +4,7 @@ Person-level records with a weight go in; weighted population, employment and
 labour-force counts by geography x occupation x industry x birth status come
 out. Everything is DataFrame / SQL work that Catalyst plans: native
 expressions, conditional aggregates, broadcast joins of size-bounded
-dimensions, and one shuffle for the finest cube that every roll-up reuses.
+dimensions, and one finest cube (no self-joins) that every roll-up reuses.
 
 Layout
     functions/  scalar rules (padding, canonical keys, R-like NA handling,

@@ -2,9 +2,10 @@
 
 The source builds the master cube as three aggregates (overall, by birth
 status, by origin), pivots two of them wide and left-joins the three on the
-unit x occupation x sector key. Here the three are one ``groupBy`` with
-conditional aggregates: one shuffle, map-side partial aggregation, no join,
-and NULL keys behave as in the join form (NULL groups with NULL, N3).
+unit x occupation x sector key. Here the three are conditional aggregates
+(fused in one ``groupBy``, or narrow sums then a pivot; see ``master_cube``):
+map-side partial aggregation, no join, and NULL keys behave as in the join
+form (NULL groups with NULL, N3).
 """
 
 from __future__ import annotations

@@ -350,7 +350,7 @@ class Survey:
         """Totals before and after every roll-up, one ``quality`` frame.
 
         Evaluated on the materialized cube (as in the pipeline), so the nine
-        branches read one checkpoint instead of re-running the person joins.
+        branches read one written table instead of re-running the person joins.
         """
         cube = self.materialize().master()
         checks = [
