@@ -184,20 +184,39 @@ def weighted_collapse(df: DataFrame, keys: Sequence[str], values: Sequence[str],
 
 
 def _master_cube_two_phase(persons: DataFrame, keys: Sequence[str], strict: bool) -> DataFrame:
+    return pivot_cube(narrow_cube(persons, keys, strict), keys, strict)
+
+
+def kept_origin() -> Column:
+    """Origin level if it is one of the pivoted levels, else NULL."""
     kept = [lvl for lvl, _ in (*ORIGIN_LEVELS, *ORIGIN_LEVELS_LAST)]
     origin = F.col("foreing_born_det_1")
+    return F.when(origin.isin(*kept), origin)
+
+
+def narrow_aggregates(strict: bool) -> list[Column]:
+    """Phase-1 aggregates: first state and the four measures as ``_0.._3``.
 
+    With ``strict`` an NA input is summed as NaN, which survives the second
+    phase and is turned into NULL only at the end (R's ``sum`` without
+    ``na.rm``).
+    """
     def value(m: Measure) -> Column:
         v = m.value()
         return F.coalesce(v.cast("double"), F.lit(float("nan"))) if strict else v
+    return [F.min("STATEFIP").alias("state_code"),
+            *[(F.count(F.lit(1)) if m.weight is None else F.sum(value(m))).alias(f"_{i}")
+              for i, m in enumerate(CUBE_MEASURES)]]
+
+
+def narrow_cube(persons: DataFrame, keys: Sequence[str], strict: bool = True) -> DataFrame:
+    """Phase 1: narrow sums by key x birth status x kept origin (others NULL)."""
+    return persons.groupBy(*keys, "foreign_born", kept_origin().alias("_origin")).agg(
+        *narrow_aggregates(strict))
 
-    # phase 1: narrow sums by key x status x kept origin (others grouped as NULL);
-    # NaN stands for an NA input and survives the second sum
-    narrow = persons.groupBy(*keys, "foreign_born", F.when(origin.isin(*kept), origin).alias("_origin")).agg(
-        F.min("STATEFIP").alias("state_code"),
-        *[(F.count(F.lit(1)) if m.weight is None else F.sum(value(m))).alias(f"_{i}")
-          for i, m in enumerate(CUBE_MEASURES)])
 
+def pivot_cube(narrow: DataFrame, keys: Sequence[str], strict: bool = True) -> DataFrame:
+    """Phase 2: pivot the narrow aggregate wide into the master cube layout."""
     def part(i: int, cond: Column | None) -> Column:
         src = F.col(f"_{i}")
         return F.sum(src if cond is None else F.when(cond, src))
@@ -211,7 +230,6 @@ def _master_cube_two_phase(persons: DataFrame, keys: Sequence[str], strict: bool
         for m in CUBE_MEASURES[1:]:
             for lvl, suf in levels:
                 cols.append(part(names[m.name], F.col("_origin") == lvl).alias(f"{m.name}_{suf}"))
-    # phase 2: pivot the aggregate wide
     cube = narrow.groupBy(*keys).agg(F.min("state_code").alias("state_code"), *cols)
     if strict:
         cube = cube.withColumns({

@@ -40,7 +40,8 @@ def build_tables(survey: Survey, out_dir: str, fmt: str = "csv",
     non-panel table and the partition folder of the output, so the files of
     several samples sit side by side like the source's ``{table}_{period}``.
     """
-    survey.materialize()
+    # one pass over the person joins serves the cube and the labour-force tables
+    survey.materialize(single_pass=True)
     tables = dict(survey.tables())
     tables["quality_conservation"] = survey.conservation()
     if survey.period_keys:

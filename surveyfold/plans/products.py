@@ -156,6 +156,7 @@ class Survey:
             two_phase_cube = not is_local(spark)
         self.two_phase_cube = two_phase_cube
         self._cube: DataFrame | None = None
+        self._labor_base: DataFrame | None = None
 
     # -- construction from the driver tables --------------------------------
     @classmethod
@@ -241,6 +242,11 @@ class Survey:
     def _build_master(self, clean: DataFrame, labels: DataFrame) -> DataFrame:
         keys = (*self.period_keys, *M.CUBE_KEYS)
         cube = M.master_cube(clean, keys, strict=self.strict_na, two_phase=self.two_phase_cube)
+        return self._label_cube(cube, labels)
+
+    def _label_cube(self, cube: DataFrame, labels: DataFrame) -> DataFrame:
+        """State name (X7, after the aggregate) and padded state code; T1 layout."""
+        keys = (*self.period_keys, *M.CUBE_KEYS)
         names = broadcast_bounded(state_names(labels), self.dim_rows)
         cube = cube.join(names, "state_code", "left").withColumns({
             "state": F.coalesce(F.col("state"), F.col("state_code").cast("string")),
@@ -250,23 +256,68 @@ class Survey:
                     if c not in (*keys, "state_code", "state", "state_fips")]
         return cube.select(*keys, "state", "state_fips", *measures)
 
-    def materialize(self) -> "Survey":
+    def materialize(self, single_pass: bool = False) -> "Survey":
         """Cut lineage after T1 (a written table in the shared folder) for reuse.
 
-        Losing it would mean re-running the person joins, so the cube is a
-        durable Parquet table. The derived dimensions (crosswalk, zone
-        context, county zones) are aggregates of bounded size that are cheap to
-        rebuild from lineage; they are persisted, not written, so the roll-ups
-        do not re-aggregate their sources.
+        Losing it would mean re-running the person joins, so what is written
+        is durable Parquet. By default that is the cube itself. With
+        ``single_pass`` it is one ``GROUPING SETS`` aggregate over *all*
+        persons that serves both the cube (universe persons) and the
+        labour-force tables (everyone), so the person joins run once for the
+        whole build instead of twice; the cube is then pivoted from it.
+        The derived dimensions (crosswalk, zone context, county zones) are
+        aggregates of bounded size that are cheap to rebuild from lineage;
+        they are persisted, not written.
         """
         if self._cube is None:
-            self._cube = cut_lineage(self.master(), "master_cube")
+            if single_pass:
+                self._single_pass()
+            else:
+                self._cube = cut_lineage(self.master(), "master_cube")
             self.crosswalk = _kept(self.crosswalk)
             self.zone_context = _kept(self.zone_context)
             if self.county_zones is not None:
                 self.county_zones = _kept(self.county_zones)
         return self
 
+    def _single_pass(self) -> None:
+        """One aggregate over all persons with two grouping sets:
+
+        A: universe flag x (period) x cube keys x birth status x kept origin
+           -> the narrow cube (rows with the flag set);
+        B: citizenship code x broad birthplace -> the labour-force base.
+
+        An ``Expand`` feeds each person row to both sets before the partial
+        aggregate, so only partial aggregates cross the exchange.
+        """
+        persons = self.microdata
+        period = "YEAR" if "year" in self.period_keys else None
+        uni = F.coalesce(D.civilian() & D.non_institutional() & D.working_age(), F.lit(False))
+        cols = {
+            UNIT: D.geo_unit_key(pad_left("STATEFIP", 2), F.col("PUMA")),
+            "soc_minor": D.soc_minor("OCCSOC"),
+            "naics_2d": D.sector_2d("INDNAICS"),
+            "_ua": uni,
+            "bpl_ii": D.birthplace_broad("BPL"),
+        }
+        if period:
+            cols["year"] = F.col(period).cast("int")
+        df = M.prepare_persons(persons.withColumns(cols)).withColumn("_origin", M.kept_origin())
+        lf = flag_times(F.col("LABFORCE") == 2, "PERWT")
+        if self.strict_na:
+            lf = F.coalesce(lf.cast("double"), F.lit(float("nan")))
+        set_a = ["_ua", *self.period_keys, *M.CUBE_KEYS, "foreign_born", "_origin"]
+        set_b = ["CITIZEN", "bpl_ii"]
+        both = df.groupingSets([set_a, set_b], *set_a, *set_b).agg(
+            *M.narrow_aggregates(self.strict_na), F.sum(lf).alias("lf"),
+            F.grouping("CITIZEN").alias("_in_a"))
+        both = cut_lineage(both, "person_pass")
+        keys = [*self.period_keys, *M.CUBE_KEYS]
+        narrow = both.where((F.col("_in_a") == 1) & F.col("_ua"))
+        cube = M.pivot_cube(narrow, keys, self.strict_na)
+        self._cube = _kept(self._label_cube(cube, self.labels))
+        self._labor_base = _kept(both.where(F.col("_in_a") == 0).select(*set_b, "lf"))
+
     # -- helpers --------------------------------------------------------------
     def _k(self, *keys: str) -> list[str]:
         return [*self.period_keys, *keys]
@@ -382,8 +433,11 @@ class Survey:
                            F.lit(float("nan"))) if self.strict_na else \
             flag_times(F.col("LABFORCE") == 2, "PERWT")
         persons = self.labor_microdata if self.labor_microdata is not None else self.microdata
-        base = (persons.withColumn("bpl_ii", D.birthplace_broad("BPL"))
-                .groupBy("CITIZEN", "bpl_ii").agg(F.sum(value).alias("lf")))
+        if self._labor_base is not None:        # from the single-pass build
+            base = self._labor_base
+        else:
+            base = (persons.withColumn("bpl_ii", D.birthplace_broad("BPL"))
+                    .groupBy("CITIZEN", "bpl_ii").agg(F.sum(value).alias("lf")))
         dec = J.decode_labels(base, "CITIZEN", self.labels, "CITIZEN", "_cit", self.dim_rows)
         return dec.withColumn("citizenship", D.citizenship_label("_cit")).drop("_cit")
 
