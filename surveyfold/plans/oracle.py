@@ -592,3 +592,31 @@ def a13_conservation() -> str:
         f"ROUND((SELECT SUM({m}) FROM {src}) - (SELECT SUM({m}) FROM master), {ROUND}) AS diff"
         for step, m, src in parts)
     return body + "\n" + sel
+
+
+def a1_weighted_counts() -> str:
+    aggs = ", ".join(f"{sql} AS {name}" for name, sql in CUBE_MEASURES[:4])
+    return _with(PERSONS, CLEAN, f"""
+a1 AS (
+  SELECT stpuma, soc_minor, naics_2d, MIN("STATEFIP") AS state_code, {aggs}
+  FROM clean GROUP BY stpuma, soc_minor, naics_2d
+)""") + f"""
+SELECT a.stpuma, a.soc_minor, a.naics_2d, COALESCE(n.n_name, CAST(a.state_code AS VARCHAR)) AS state,
+       {_pad('a.state_code', 2)} AS state_fips, {", ".join("a." + n for n, _ in CUBE_MEASURES[:4])}
+FROM a1 a LEFT JOIN nation n ON a.state_code = n.n_nationkey"""
+
+
+def _pivot_sql(names: list[str]) -> str:
+    chosen = [(n, sql) for n, sql in CUBE_MEASURES if n in names]
+    aggs = ", ".join(f"{sql} AS {name}" for name, sql in chosen)
+    return _with(PERSONS, CLEAN) + \
+        f"\nSELECT stpuma, soc_minor, naics_2d, {aggs} FROM clean GROUP BY stpuma, soc_minor, naics_2d"
+
+
+def a3_status_pivot() -> str:
+    return _pivot_sql([n for n, _ in CUBE_MEASURES if n.endswith(("_local", "_immigrant"))])
+
+
+def a4_origin_pivot() -> str:
+    return _pivot_sql([n for n, _ in CUBE_MEASURES
+                       if n.endswith(("_central_america", "_south_america", "_mexico"))])

@@ -256,6 +256,29 @@ class Survey:
                     if c not in (*keys, "state_code", "state", "state_fips")]
         return cube.select(*keys, "state", "state_fips", *measures)
 
+    # -- A1 / A3 / A4: the source's three intermediate aggregates ------------
+    def weighted_counts(self) -> DataFrame:
+        """A1 + A2: weighted counts by unit x occupation x sector, first state."""
+        keys = (*self.period_keys, *M.CUBE_KEYS)
+        agg = self.clean.groupBy(*keys).agg(
+            F.min("STATEFIP").alias("state_code"),
+            *[M.measure_expr(m, None, self.strict_na).alias(m.name) for m in M.CUBE_MEASURES])
+        return self._label_cube(agg, self.labels)
+
+    def status_pivot(self) -> DataFrame:
+        """A3: the four measures by birth status, pivoted wide (missing cell NULL)."""
+        keys = (*self.period_keys, *M.CUBE_KEYS)
+        return self.clean.groupBy(*keys).agg(*M.level_aggregates(
+            M.CUBE_MEASURES, "foreign_born", M.STATUS_LEVELS, self.strict_na))
+
+    def origin_pivot(self) -> DataFrame:
+        """A4: employment, labour force and count by detailed origin, pivoted;
+        only the Central / South America and Mexico columns are kept."""
+        keys = (*self.period_keys, *M.CUBE_KEYS)
+        return self.clean.groupBy(*keys).agg(*M.level_aggregates(
+            M.CUBE_MEASURES[1:], "foreing_born_det_1",
+            (*M.ORIGIN_LEVELS, *M.ORIGIN_LEVELS_LAST), self.strict_na))
+
     def materialize(self, single_pass: bool = False) -> "Survey":
         """Cut lineage after T1 (a written table in the shared folder) for reuse.
 

@@ -127,6 +127,9 @@ def queries() -> dict[str, Query]:
         "v1_county_table": _product("county_table"),
         "v1_county_zone": _product("county_zone"),
         # operator groups
+        "a1_weighted_counts": _product("weighted_counts"),
+        "a3_status_pivot": _product("status_pivot"),
+        "a4_origin_pivot": _product("origin_pivot"),
         "a13_conservation": _product("conservation", rounded=True),
         "a17_crosswalk": _a17,
         "j7_zone_coverage": _j7,
@@ -168,6 +171,9 @@ def oracle_sql() -> dict[str, str]:
         "t16_zone_context": o.t16_zone_context(),
         "v1_county_table": o.v1_county_table(),
         "v1_county_zone": o.v1_county_zone(),
+        "a1_weighted_counts": o.a1_weighted_counts(),
+        "a3_status_pivot": o.a3_status_pivot(),
+        "a4_origin_pivot": o.a4_origin_pivot(),
         "a13_conservation": o.a13_conservation(),
         "a17_crosswalk": o.a17_crosswalk(),
         "j7_zone_coverage": o.j7_zone_coverage(),
