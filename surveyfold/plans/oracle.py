@@ -620,3 +620,11 @@ def a3_status_pivot() -> str:
 def a4_origin_pivot() -> str:
     return _pivot_sql([n for n, _ in CUBE_MEASURES
                        if n.endswith(("_central_america", "_south_america", "_mexico"))])
+
+
+def a18_main_state() -> str:
+    return _with(GEO) + "\nSELECT cz90, statefip FROM zmain"
+
+
+def a19_zone_states() -> str:
+    return _with(GEO) + "\nSELECT cz90, states_count, states_abbv FROM zstates"

@@ -89,6 +89,16 @@ def _t16(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analog.zone_context(spark, sf_dir)
 
 
+def _a18(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.apportion import main_state
+    return main_state(analog.zone_pieces(spark, sf_dir), "cz90", "statefip", "pop")
+
+
+def _a19(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.apportion import zone_states
+    return zone_states(analog.zone_pieces(spark, sf_dir), "cz90", "state_abbv")
+
+
 def _a17(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_fractional(analog.crosswalk(spark, sf_dir))
 
@@ -132,6 +142,8 @@ def queries() -> dict[str, Query]:
         "a4_origin_pivot": _product("origin_pivot"),
         "a13_conservation": _product("conservation", rounded=True),
         "a17_crosswalk": _a17,
+        "a18_main_state": _a18,
+        "a19_zone_states": _a19,
         "j7_zone_coverage": _j7,
         "j9_counties_unmatched": _product("county_unmatched"),
         "j9_zones_without_data": _product("zones_without_data"),
@@ -176,6 +188,8 @@ def oracle_sql() -> dict[str, str]:
         "a4_origin_pivot": o.a4_origin_pivot(),
         "a13_conservation": o.a13_conservation(),
         "a17_crosswalk": o.a17_crosswalk(),
+        "a18_main_state": o.a18_main_state(),
+        "a19_zone_states": o.a19_zone_states(),
         "j7_zone_coverage": o.j7_zone_coverage(),
         "j9_counties_unmatched": o.j9_counties_unmatched(),
         "j9_zones_without_data": o.j9_zones_without_data(),
