@@ -628,3 +628,29 @@ def a18_main_state() -> str:
 
 def a19_zone_states() -> str:
     return _with(GEO) + "\nSELECT cz90, states_count, states_abbv FROM zstates"
+
+
+def w2_zone_group_total() -> str:
+    return _with(GEO) + """
+SELECT statefip, puma, cz90, pop, SUM(pop) OVER (PARTITION BY cz90) AS cz_pop_total FROM xpieces"""
+
+
+def w3_keep_last() -> str:
+    return _with(GEO) + """
+SELECT cz90, pop, statefip, puma FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY cz90 ORDER BY pop DESC, statefip DESC, puma DESC) AS rn
+  FROM xpieces) WHERE rn = 1"""
+
+
+def a5_pivot_wider() -> str:
+    levels = [(D.BIRTHPLACE_US, "us_and_us_possessions"), ("Central America", "central_america"),
+              ("Mexico", "mexico"), ("South America", "south_america"), (D.BIRTHPLACE_OTHERS, "others")]
+    bpl = ("CASE WHEN \"BPL\" <= 120 THEN 'US and US Possessions' WHEN \"BPL\" = 210 THEN "
+           "'Central America' WHEN \"BPL\" = 200 THEN 'Mexico' WHEN \"BPL\" = 300 THEN "
+           "'South America' ELSE 'Others' END")
+    emp = ", ".join(f"SUM(CASE WHEN bpl_ii = {_q(lv)} THEN emp2 * {_W} END) AS emp_{n}" for lv, n in levels)
+    cnt = ", ".join(f"CAST(SUM(CASE WHEN bpl_ii = {_q(lv)} THEN 1 END) AS BIGINT) AS n_{n}"
+                    for lv, n in levels)
+    return _with(PERSONS, CLEAN) + f"""
+SELECT "STATEFIP", {emp}, {cnt}
+FROM (SELECT *, {bpl} AS bpl_ii FROM clean) GROUP BY 1"""

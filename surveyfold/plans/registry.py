@@ -99,6 +99,28 @@ def _a19(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_states(analog.zone_pieces(spark, sf_dir), "cz90", "state_abbv")
 
 
+def _w2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.apportion import zone_group_total
+    pieces = analog.crosswalk(spark, sf_dir).select("statefip", "puma", "cz90", "pop")
+    return zone_group_total(pieces, "cz90", "pop", "cz_pop_total", analog.ZONE_ROWS)
+
+
+def _w3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.rollup import keep_last
+    pieces = analog.crosswalk(spark, sf_dir).select("cz90", "pop", "statefip", "puma")
+    return keep_last(pieces, ["cz90"], ["pop"])
+
+
+def _a5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions import derive as D
+    from ..operators.measures import pivot_wider
+    persons = _survey(spark, sf_dir).clean.withColumn("bpl_ii", D.birthplace_broad("BPL"))
+    levels = [D.BIRTHPLACE_US, "Central America", "Mexico", "South America", D.BIRTHPLACE_OTHERS]
+    return pivot_wider(persons, ["STATEFIP"], "bpl_ii",
+                       {"emp": F.col("EMPSTAT_2") * F.col("PERWT"), "n": F.lit(1)},
+                       levels, count_names=["n"])
+
+
 def _a17(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_fractional(analog.crosswalk(spark, sf_dir))
 
@@ -144,6 +166,9 @@ def queries() -> dict[str, Query]:
         "a17_crosswalk": _a17,
         "a18_main_state": _a18,
         "a19_zone_states": _a19,
+        "a5_pivot_wider": _a5,
+        "w2_zone_group_total": _w2,
+        "w3_keep_last": _w3,
         "j7_zone_coverage": _j7,
         "j9_counties_unmatched": _product("county_unmatched"),
         "j9_zones_without_data": _product("zones_without_data"),
@@ -190,6 +215,9 @@ def oracle_sql() -> dict[str, str]:
         "a17_crosswalk": o.a17_crosswalk(),
         "a18_main_state": o.a18_main_state(),
         "a19_zone_states": o.a19_zone_states(),
+        "a5_pivot_wider": o.a5_pivot_wider(),
+        "w2_zone_group_total": o.w2_zone_group_total(),
+        "w3_keep_last": o.w3_keep_last(),
         "j7_zone_coverage": o.j7_zone_coverage(),
         "j9_counties_unmatched": o.j9_counties_unmatched(),
         "j9_zones_without_data": o.j9_zones_without_data(),
