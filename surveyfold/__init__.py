@@ -15,5 +15,16 @@ Layout
     streaming/  incremental panel build with Structured Streaming
 """
 
-__all__ = ["__version__"]
+__all__ = ["Survey", "build_tables", "__version__"]
 __version__ = "0.1.0"
+
+
+def __getattr__(name):
+    # lazy, so importing a submodule does not pull in the whole package
+    if name == "Survey":
+        from .plans.products import Survey
+        return Survey
+    if name == "build_tables":
+        from .plans.build import build_tables
+        return build_tables
+    raise AttributeError(name)
