@@ -84,8 +84,10 @@ def soc_minor_titles(structure_minor: DataFrame) -> DataFrame:
             .withColumn("soc_minor", D.short_minor_code("minor_group")))
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """``persist()`` unless the frame is already kept."""
+def _kept(df: DataFrame | None) -> DataFrame | None:
+    """``persist()`` unless the frame is already kept (or absent)."""
+    if df is None:
+        return None
     level = df.storageLevel
     return df if (level.useMemory or level.useDisk) else df.persist()
 
@@ -299,8 +301,7 @@ class Survey:
                 self._cube = cut_lineage(self.master(), "master_cube")
             self.crosswalk = _kept(self.crosswalk)
             self.zone_context = _kept(self.zone_context)
-            if self.county_zones is not None:
-                self.county_zones = _kept(self.county_zones)
+            self.county_zones = _kept(self.county_zones)
         return self
 
     def _single_pass(self) -> None:

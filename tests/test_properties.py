@@ -70,3 +70,35 @@ def test_apportion_conserves_when_shares_sum_to_one(spark, units, data):
     xw = spark.createDataFrame(xw_rows, "stpuma string, cz90 string, county_prop_inpuma double")
     out = AP.apportion(unit_df, xw, "stpuma", "cz90", ["m"])
     assert abs(out.agg(F.sum("m")).first()[0] - sum(units.values())) < 1e-6
+
+
+MICRO_SCHEMA = ("YEAR int, MULTYEAR int, STATEFIP int, COUNTYFIP int, PUMA int, GQ int, EMPSTAT int, "
+                "EMPSTATD int, LABFORCE int, AGE int, CITIZEN int, BPL int, PERWT double, "
+                "OCCSOC string, INDNAICS string")
+micro_row = st.tuples(
+    st.just(2019), st.just(2019), st.sampled_from([1, 2, None]), st.just(1),
+    st.sampled_from([100, 200, None]), st.sampled_from([1, 3, None]), st.sampled_from([1, 2, 3, None]),
+    st.sampled_from([10, 14, None]), st.sampled_from([1, 2, None]), st.sampled_from([15, 30, 64, None]),
+    st.sampled_from([0, 2, 3, None]), st.sampled_from([1, 200, 210, 300, 450, None]),
+    st.one_of(st.integers(1, 50).map(float), st.none()),
+    st.sampled_from(["111021", "151252", None]), st.sampled_from(["311M", "4411", "3S", None]))
+
+
+@SETTINGS
+@given(st.lists(micro_row, min_size=1, max_size=20))
+def test_single_pass_equals_products(spark, rows):
+    from surveyfold.plans.products import Survey
+    labels = spark.createDataFrame([("STATEFIP", 1, "Alabama"), ("CITIZEN", 0, "N/A"),
+                                    ("CITIZEN", 2, "Naturalized citizen")],
+                                   "name string, value int, label string")
+    micro = spark.createDataFrame(rows, MICRO_SCHEMA)
+
+    def survey():
+        return Survey(spark, micro, labels, None, None, None, None)
+
+    def as_rows(df):
+        return sorted((tuple((c, r[c]) for c in sorted(df.columns)) for r in df.collect()), key=repr)
+    ref, one = survey(), survey().materialize(single_pass=True)
+    assert as_rows(one.master()) == as_rows(ref.master())
+    assert as_rows(one.labor_force_by_citizenship()) == as_rows(ref.labor_force_by_citizenship())
+    assert as_rows(one.labor_force_by_birthplace()) == as_rows(ref.labor_force_by_birthplace())
