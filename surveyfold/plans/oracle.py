@@ -244,7 +244,8 @@ def _with(*ctes: str) -> str:
 
 
 def _r(name: str) -> str:
-    return f"ROUND({name}, {ROUND})"
+    # + 0.0 turns a rounded -0.0 into 0.0 (a sign left by float residue)
+    return f"(ROUND({name}, {ROUND}) + 0.0)"
 
 
 def _epop(src_emp: str = M.EMP, src_pop: str = M.POP) -> str:
@@ -314,7 +315,7 @@ def t2_zone(period: bool = False) -> str:
     body = _with(PERSONS, CLEAN, master_cte(period), GEO, _zone([], FULL, period))
     pk = "z.year, " if period else ""
     cols = ", ".join(_r(f"z.{n}") + f" AS {n}" for n in FULL + Q14)
-    return body + (f"\nSELECT {pk}z.cz90, {cols}, ROUND({_epop('z.' + M.EMP, 'z.' + M.POP)}, {ROUND}) "
+    return body + (f"\nSELECT {pk}z.cz90, {cols}, {_r(_epop('z.' + M.EMP, 'z.' + M.POP))} "
                    f"AS \"EPOP\", c.state_fips, c.state_abbv, c.states_count, c.states_abbv "
                    f"FROM zone z LEFT JOIN zctx c ON z.cz90 = c.ers90")
 
@@ -442,8 +443,8 @@ per_zone AS (
   SELECT cz90, COALESCE(SUM(COALESCE(county_prop_inpuma * n_persons, 0.0)), 0.0) AS cz_n_persons
   FROM merged GROUP BY cz90
 )""") + f"""
-SELECT cz90, ROUND(cz_n_persons, {ROUND}) AS cz_n_persons,
-       ROUND(SUM(cz_n_persons) OVER (), {ROUND}) AS natl_n_persons FROM per_zone"""
+SELECT cz90, {_r('cz_n_persons')} AS cz_n_persons,
+       {_r('SUM(cz_n_persons) OVER ()')} AS natl_n_persons FROM per_zone"""
 
 
 def t16_zone_context() -> str:
@@ -587,9 +588,9 @@ def a13_conservation() -> str:
     ]
     sel = "\nUNION ALL\n".join(
         f"SELECT '{step}' AS step, '{m}' AS measure, "
-        f"ROUND((SELECT SUM({m}) FROM master), {ROUND}) AS before, "
-        f"ROUND((SELECT SUM({m}) FROM {src}), {ROUND}) AS after, "
-        f"ROUND((SELECT SUM({m}) FROM {src}) - (SELECT SUM({m}) FROM master), {ROUND}) AS diff"
+        f"{_r(f'(SELECT SUM({m}) FROM master)')} AS before, "
+        f"{_r(f'(SELECT SUM({m}) FROM {src})')} AS after, "
+        f"{_r(f'(SELECT SUM({m}) FROM {src}) - (SELECT SUM({m}) FROM master)')} AS diff"
         for step, m, src in parts)
     return body + "\n" + sel
 

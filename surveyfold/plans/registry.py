@@ -22,9 +22,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def round_fractional(df: DataFrame, digits: int = ROUND) -> DataFrame:
-    """Round every floating column (apportioned sums, shares, EPOP)."""
+    """Round every floating column (apportioned sums, shares, EPOP).
+
+    ``+ 0.0`` turns a rounded ``-0.0`` (the sign of a float residue around
+    zero, which depends on summation order) into ``0.0``.
+    """
     return df.withColumns({
-        f.name: F.round(F.col(f.name), digits)
+        f.name: F.round(F.col(f.name), digits) + F.lit(0.0)
         for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))
     })
 
