@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 def conservation(step: str, before: DataFrame, after: DataFrame, measure: str) -> DataFrame:
     """One row ``(step, measure, before, after, diff)``.
 
-    Both sides are single global aggregates (partial sums per task, one row
-    to the final reducer), so the check never gathers rows.
+    One global aggregate over the union of both sides (partial sums per
+    task, one row to the final reducer), so the check never gathers rows
+    and needs no join.
     """
-    b = before.agg(F.sum(measure).cast("double").alias("before"))
-    a = after.agg(F.sum(measure).cast("double").alias("after"))
-    return (b.crossJoin(a)
-            .select(F.lit(step).alias("step"), F.lit(measure).alias("measure"),
-                    "before", "after", (F.col("after") - F.col("before")).alias("diff")))
+    sides = (before.select(F.lit("before").alias("_side"), F.col(measure).cast("double").alias("_v"))
+             .unionByName(after.select(F.lit("after").alias("_side"),
+                                       F.col(measure).cast("double").alias("_v"))))
+    totals = sides.agg(F.sum(F.when(F.col("_side") == "before", F.col("_v"))).alias("before"),
+                       F.sum(F.when(F.col("_side") == "after", F.col("_v"))).alias("after"))
+    return totals.select(F.lit(step).alias("step"), F.lit(measure).alias("measure"),
+                         "before", "after", (F.col("after") - F.col("before")).alias("diff"))
 
 
 def conservation_report(checks: Sequence[tuple[str, DataFrame, DataFrame, str]]) -> DataFrame:

@@ -1,7 +1,8 @@
 """One sample in, every table out (the reference's main entry, S9 + S10 + A13).
 
-``build_tables`` materializes the master cube once in the shared checkpoint
-folder, then writes the nine output tables and the quality frame. With
+``build_tables`` runs one pass over the person joins (written once in the
+shared checkpoint folder), then writes the eleven output tables and the
+quality frame, each partitioned by the sample's period tag. With
 ``period_keys=("year",)`` the same call writes panels partitioned by year.
 """
 
@@ -53,11 +54,12 @@ def build_tables(survey: Survey, out_dir: str, fmt: str = "csv",
                         partition_by=parts if all(k in df.columns for k in parts) else None,
                         order_by=keys)
         return tables
-    col = year_col if year_col in survey.microdata.columns else "YEAR"
-    tag = period_tag(survey.microdata, col, multi_year).select("first_last_year")
-    # one-row frame of bounded size: attached by a broadcast cross join
+    years = survey.sample_years()
+    col = year_col if year_col in years.columns else "YEAR"
+    # the tag is one short string (like the source's file-name suffix): one
+    # tiny aggregate over the distinct years, then a literal on every table
+    period = period_tag(years, col, multi_year).first()["first_last_year"]
     for name, df in tables.items():
-        tagged = df.crossJoin(F.broadcast(tag)).withColumnRenamed("first_last_year", "period")
-        write_table(tagged, os.path.join(out_dir, name), fmt, partition_by=["period"],
-                    order_by=TABLE_KEYS.get(name))
+        write_table(df.withColumn("period", F.lit(period)), os.path.join(out_dir, name), fmt,
+                    partition_by=["period"], order_by=TABLE_KEYS.get(name))
     return tables

@@ -159,6 +159,7 @@ class Survey:
         self.two_phase_cube = two_phase_cube
         self._cube: DataFrame | None = None
         self._labor_base: DataFrame | None = None
+        self._years: DataFrame | None = None
 
     # -- construction from the driver tables --------------------------------
     @classmethod
@@ -326,21 +327,40 @@ class Survey:
         }
         if period:
             cols["year"] = F.col(period).cast("int")
+        year_cols = [c for c in ("YEAR", "MULTYEAR") if c in persons.columns]
+        cols.update({f"_{c}": F.col(c) for c in year_cols})
         df = M.prepare_persons(persons.withColumns(cols)).withColumn("_origin", M.kept_origin())
         lf = flag_times(F.col("LABFORCE") == 2, "PERWT")
         if self.strict_na:
             lf = F.coalesce(lf.cast("double"), F.lit(float("nan")))
         set_a = ["_ua", *self.period_keys, *M.CUBE_KEYS, "foreign_born", "_origin"]
         set_b = ["CITIZEN", "bpl_ii"]
-        both = df.groupingSets([set_a, set_b], *set_a, *set_b).agg(
+        set_c = [f"_{c}" for c in year_cols]          # the sample's years (S10, S11)
+        sets = [set_a, set_b] + ([set_c] if set_c else [])
+        group_cols = list(dict.fromkeys(c for g in sets for c in g))
+        both = df.groupingSets(sets, *group_cols).agg(
             *M.narrow_aggregates(self.strict_na), F.sum(lf).alias("lf"),
-            F.grouping("CITIZEN").alias("_in_a"))
+            F.grouping("_ua").alias("_not_a"), F.grouping("CITIZEN").alias("_not_b"))
         both = cut_lineage(both, "person_pass")
         keys = [*self.period_keys, *M.CUBE_KEYS]
-        narrow = both.where((F.col("_in_a") == 1) & F.col("_ua"))
+        narrow = both.where((F.col("_not_a") == 0) & F.col("_ua"))
         cube = M.pivot_cube(narrow, keys, self.strict_na)
         self._cube = _kept(self._label_cube(cube, self.labels))
-        self._labor_base = _kept(both.where(F.col("_in_a") == 0).select(*set_b, "lf"))
+        self._labor_base = _kept(both.where(F.col("_not_b") == 0).select(*set_b, "lf"))
+        if set_c:
+            self._years = both.where((F.col("_not_a") == 1) & (F.col("_not_b") == 1)).select(
+                *[F.col(f"_{c}").alias(c) for c in year_cols])
+
+    def sample_years(self) -> DataFrame:
+        """Distinct survey years (``YEAR``, ``MULTYEAR``) of the sample, for S10/S11.
+
+        Taken from the single-pass aggregate when there is one, so the
+        period tag costs no extra pass over the persons.
+        """
+        if self._years is not None:
+            return self._years
+        cols = [c for c in ("YEAR", "MULTYEAR") if c in self.microdata.columns]
+        return self.microdata.select(*cols).distinct()
 
     # -- helpers --------------------------------------------------------------
     def _k(self, *keys: str) -> list[str]:
