@@ -105,3 +105,33 @@ def test_gzipped_extract_staged(spark, tmp_path):
                           stage_microdata=True, stage_partitions=3)
     st = {r.state: r.civ_noninst_pop for r in s.state().collect()}
     assert st == {"Alabama": 170, "Alaska": 30}
+
+
+def test_cli_files_and_panel(spark, tmp_path):
+    from surveyfold.__main__ import main
+    d = tmp_path
+    (d / "x.xml").write_text(_codebook())
+    (d / "x.dat").write_text("\n".join("".join(p) for p in PEOPLE) + "\n")
+    (d / "xw.csv").write_text("statefip,puma,cz90,pop,pumapop,czpop,county_prop_incz,county_prop_inpuma\n"
+                              "1,100,100,1,1,1,1,1\n1,200,100,1,1,1,1,1\n2,100,300,1,1,1,1,1\n")
+    (d / "ctx.csv").write_text("ers90,state_fips,state_abbv,states_count,states_abbv,cbsa10,cbsa_name\n"
+                               "100,01,AL,1,AL,NA,NA\n300,02,AK,1,AK,NA,NA\n")
+    (d / "soc.csv").write_text("major_group,minor_group,broad_group,detailed_occupation,title\n"
+                               "NA,11-1000,NA,NA,Top Executives\n")
+    (d / "sec.csv").write_text("naics_2d,sector,short_sector\n31,Manufacturing,Manufacturing\n")
+    out = d / "out"
+    main(["--master", "local[2]", "files", "--codebook", str(d / "x.xml"), "--extract", str(d / "x.dat"),
+          "--crosswalk", str(d / "xw.csv"), "--zone-context", str(d / "ctx.csv"),
+          "--soc-structure", str(d / "soc.csv"), "--sector-titles", str(d / "sec.csv"),
+          "--out", str(out), "--format", "csv"])
+    parts = sorted(p.name for p in (out / "state_acs_data").iterdir() if p.name.startswith("period="))
+    assert parts == ["period=2015_2019"]                 # MULTYEAR first_last (S10)
+    zone = spark.read.option("header", True).csv(str(out / "cz_acs_data" / parts[0]))
+    assert sorted(r.cz90 for r in zone.collect()) == ["100", "300"]
+    # panel: stack per-year state files by name
+    for year in (2018, 2019):
+        (d / f"state_acs_data_{year}.csv").write_text("state_fips,count\n01,3\n")
+    main(["--master", "local[2]", "panel", "--dir", str(d), "--table", "state_acs_data",
+          "--schema", "state_fips string, count int", "--out", str(d / "panel")])
+    panel = spark.read.option("header", True).csv(str(d / "panel"))
+    assert sorted((r.year, r.state_fips) for r in panel.collect()) == [("2018", "01"), ("2019", "01")]
