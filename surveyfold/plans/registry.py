@@ -45,6 +45,15 @@ def _product(method: str, period: bool = False, rounded: bool = False) -> Query:
     return run
 
 
+def _single_pass(method: str) -> Query:
+    """A product read from the full build's single person pass (grouping sets)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        survey = _survey(spark, sf_dir).materialize(single_pass=True)
+        return getattr(survey, method)()
+    run.__name__ = f"{method}_single_pass"
+    return run
+
+
 def _x14(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions import derive as D
     part = analog.table(spark, sf_dir, "part")
@@ -148,6 +157,8 @@ def queries() -> dict[str, Query]:
         "t9_sector": _product("sector"),
         "t10_labor_force_citizenship": _product("labor_force_by_citizenship"),
         "t11_labor_force_birthplace": _product("labor_force_by_birthplace"),
+        "t1_master_cube_single_pass": _single_pass("master"),
+        "t11_labor_force_birthplace_single_pass": _single_pass("labor_force_by_birthplace"),
         "t12_zone_panel": _product("zone", period=True, rounded=True),
         "t12_state_panel": _product("state", period=True),
         "t12_zone_occupation_panel": _product("zone_occupation", period=True, rounded=True),
@@ -198,6 +209,8 @@ def oracle_sql() -> dict[str, str]:
         "t9_sector": o.t9_sector(),
         "t10_labor_force_citizenship": o.t10_labor_force_citizenship(),
         "t11_labor_force_birthplace": o.t11_labor_force_birthplace(),
+        "t1_master_cube_single_pass": o.t1_master(),
+        "t11_labor_force_birthplace_single_pass": o.t11_labor_force_birthplace(),
         "t12_zone_panel": o.t2_zone(period=True),
         "t12_state_panel": o.t3_state(period=True),
         "t12_zone_occupation_panel": o.t4_zone_occupation(period=True),
