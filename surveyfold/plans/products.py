@@ -236,11 +236,11 @@ class Survey:
         key = (id(clean), id(labels), self.period_keys, self.strict_na, self.dim_rows,
                self.two_phase_cube)
         hit = _CUBES.get(key)
-        if hit is not None and hit[0] is clean and hit[1] is labels:
-            return hit[2]
-        out = self._build_master(clean, labels)
-        _CUBES[key] = (clean, labels, out)
-        return out
+        if hit is None or hit[0] is not clean or hit[1] is not labels:
+            hit = _CUBES[key] = (clean, labels, self._build_master(clean, labels))
+        # A DataFrame plans its physical plan once; a fresh projection of the
+        # shared logical plan is planned under the session's current settings.
+        return hit[2].select("*")
 
     def _build_master(self, clean: DataFrame, labels: DataFrame) -> DataFrame:
         keys = (*self.period_keys, *M.CUBE_KEYS)
