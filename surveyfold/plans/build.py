@@ -45,6 +45,7 @@ def build_tables(survey: Survey, out_dir: str, fmt: str = "csv",
     survey.materialize(single_pass=True)
     tables = dict(survey.tables())
     tables["quality_conservation"] = survey.conservation()
+    tables["quality_unlisted_levels"] = survey.unlisted_levels()
     if survey.period_keys:
         parts = list(survey.period_keys)
         for name, df in tables.items():

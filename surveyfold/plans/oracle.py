@@ -655,3 +655,10 @@ def a5_pivot_wider() -> str:
     return _with(PERSONS, CLEAN) + f"""
 SELECT "STATEFIP", {emp}, {cnt}
 FROM (SELECT *, {bpl} AS bpl_ii FROM clean) GROUP BY 1"""
+
+
+def a5_unlisted_levels() -> str:
+    return _with(PERSONS, CLEAN) + """
+SELECT CAST(COUNT(CASE WHEN foreign_born IS NULL OR foreign_born NOT IN ('Local', 'immigrant')
+                       THEN 1 END) AS BIGINT) AS unlisted_status_rows
+FROM clean"""

@@ -160,6 +160,7 @@ class Survey:
         self._cube: DataFrame | None = None
         self._labor_base: DataFrame | None = None
         self._years: DataFrame | None = None
+        self._narrow: DataFrame | None = None
 
     # -- construction from the driver tables --------------------------------
     @classmethod
@@ -344,6 +345,7 @@ class Survey:
         both = cut_lineage(both, "person_pass")
         keys = [*self.period_keys, *M.CUBE_KEYS]
         narrow = both.where((F.col("_not_a") == 0) & F.col("_ua"))
+        self._narrow = narrow
         cube = M.pivot_cube(narrow, keys, self.strict_na)
         self._cube = _kept(self._label_cube(cube, self.labels))
         self._labor_base = _kept(both.where(F.col("_not_b") == 0).select(*set_b, "lf"))
@@ -440,6 +442,26 @@ class Survey:
             "labor_force_citizenship_birthplace": self.labor_force_by_birthplace(),
         }
 
+    # -- pivot level coverage (explicit level lists) ---------------------------
+    def unlisted_levels(self) -> DataFrame:
+        """Universe persons whose birth status is outside the pivoted levels.
+
+        The cube pivots on the fixed levels ``Local`` / ``immigrant``; a NULL
+        status (unknown birthplace of a flagged person) would have become an
+        extra ``..._na`` column in the source. Reported as one row instead
+        (``unlisted_status_rows``), read from the single-pass aggregate when
+        there is one.
+        """
+        levels = [lvl for lvl, _ in M.STATUS_LEVELS]
+        fb = F.col("foreign_born")
+        off = fb.isNull() | ~fb.isin(*levels)
+        if self._narrow is not None:
+            rows, src = F.sum(F.when(off, F.col("_3"))), self._narrow
+        else:
+            rows, src = F.count(F.when(off, 1)), self.clean
+        return src.agg(F.coalesce(rows.cast("bigint"), F.lit(0).cast("bigint"))
+                       .alias("unlisted_status_rows"))
+
     # -- A13 ------------------------------------------------------------------
     def conservation(self) -> DataFrame:
         """Totals before and after every roll-up, one ``quality`` frame.

@@ -182,6 +182,7 @@ def queries() -> dict[str, Query]:
         "a18_main_state": _a18,
         "a19_zone_states": _a19,
         "a5_pivot_wider": _a5,
+        "a5_unlisted_levels": _product("unlisted_levels"),
         "w2_zone_group_total": _w2,
         "w3_keep_last": _w3,
         "j7_zone_coverage": _j7,
@@ -233,6 +234,7 @@ def oracle_sql() -> dict[str, str]:
         "a18_main_state": o.a18_main_state(),
         "a19_zone_states": o.a19_zone_states(),
         "a5_pivot_wider": o.a5_pivot_wider(),
+        "a5_unlisted_levels": o.a5_unlisted_levels(),
         "w2_zone_group_total": o.w2_zone_group_total(),
         "w3_keep_last": o.w3_keep_last(),
         "j7_zone_coverage": o.j7_zone_coverage(),

@@ -102,3 +102,4 @@ def test_single_pass_equals_products(spark, rows):
     assert as_rows(one.master()) == as_rows(ref.master())
     assert as_rows(one.labor_force_by_citizenship()) == as_rows(ref.labor_force_by_citizenship())
     assert as_rows(one.labor_force_by_birthplace()) == as_rows(ref.labor_force_by_birthplace())
+    assert as_rows(one.unlisted_levels()) == as_rows(ref.unlisted_levels())
