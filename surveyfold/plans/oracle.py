@@ -298,7 +298,8 @@ def t9_sector(period: bool = False) -> str:
 Q14 = ["county_prop_incz", "county_prop_inpuma"]
 
 
-def _zone(extra: list[str], names: list[str], period: bool) -> str:
+def _zone(extra: list[str], names: list[str], period: bool, suffix: str = "") -> str:
+    """CTEs ``unit{suffix}`` (roll-up by unit) and ``zone{suffix}`` (apportioned)."""
     pk = ["year"] if period else []
     unit = _rollup(pk + ["stpuma"] + extra, names)
     not_null = " AND ".join(f"u.{c} IS NOT NULL" for c in ["stpuma"] + extra)
@@ -307,7 +308,7 @@ def _zone(extra: list[str], names: list[str], period: bool) -> str:
     share += (", COALESCE(SUM(x.county_prop_incz * x.county_prop_inpuma), 0) AS county_prop_incz"
               ", COALESCE(SUM(x.county_prop_inpuma * x.county_prop_inpuma), 0) AS county_prop_inpuma")
     gk = ", ".join([f"u.{c}" for c in pk] + ["x.cz90"] + [f"u.{c}" for c in extra])
-    return (f"\nunit AS ({unit}),\nzone AS (SELECT {gk}, {share} FROM unit u "
+    return (f"\nunit{suffix} AS ({unit}),\nzone{suffix} AS (SELECT {gk}, {share} FROM unit{suffix} u "
             f"JOIN xwalk x ON u.stpuma = x.stpuma WHERE {not_null} GROUP BY {gk})")
 
 
@@ -569,12 +570,9 @@ FROM persons"""
 def a13_conservation() -> str:
     """Before/after totals of every roll-up (rounded: zone sums are fractional)."""
     body = _with(PERSONS, CLEAN, master_cte(False), GEO, SOC_TITLES, SECTOR_TITLES,
-                 _zone([], [M.POP], False).replace("unit AS", "unit_a AS").replace("zone AS", "zone_a AS")
-                 .replace("FROM unit u", "FROM unit_a u"),
-                 _zone(["soc_minor"], [M.EMP], False).replace("unit AS", "unit_b AS")
-                 .replace("zone AS", "zone_b AS").replace("FROM unit u", "FROM unit_b u"),
-                 _zone(["naics_2d"], [M.EMP], False).replace("unit AS", "unit_c AS")
-                 .replace("zone AS", "zone_c AS").replace("FROM unit u", "FROM unit_c u"))
+                 _zone([], [M.POP], False, "_a"),
+                 _zone(["soc_minor"], [M.EMP], False, "_b"),
+                 _zone(["naics_2d"], [M.EMP], False, "_c"))
     pop, emp = M.POP, M.EMP
     parts = [
         ("zone", pop, "zone_a"),
