@@ -13,7 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from ..functions import derive as D
+from ..functions.scalars import pad_left
 from ..operators import joins as J
+from ..operators.apportion import main_state, zone_group_total, zone_states
+from ..operators.measures import pivot_wider
+from ..operators.rollup import keep_last
+from ..sources.files import period_tag
 from . import analog, oracle
 from .products import Survey, soc_minor_titles
 
@@ -55,29 +61,24 @@ def _single_pass(method: str) -> Query:
 
 
 def _x14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..functions import derive as D
     part = analog.table(spark, sf_dir, "part")
     return (part.select(D.soc_minor(analog._occsoc(part)).alias("soc_minor"))
             .groupBy("soc_minor").agg(F.count(F.lit(1)).alias("n_parts")))
 
 
 def _x15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..functions import derive as D
     part = analog.table(spark, sf_dir, "part")
     return (part.select(D.sector_2d(analog._indnaics(part)).alias("naics_2d"))
             .groupBy("naics_2d").agg(F.count(F.lit(1)).alias("n_parts")))
 
 
 def _x12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..functions import derive as D
-    from ..functions.scalars import pad_left
     g = analog.customer_geo(spark, sf_dir)
     return g.select("statefip", "puma",
                     D.geo_unit_key(pad_left("statefip", 2), F.col("puma")).alias("stpuma")).distinct()
 
 
 def _status_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..functions import derive as D
     s = _survey(spark, sf_dir)
     return (s.clean.withColumn("bpl_ii", D.birthplace_broad("BPL"))
             .groupBy("foreign_born", F.col("foreing_born_det_1").alias("origin"), "bpl_ii")
@@ -85,7 +86,6 @@ def _status_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..sources.files import period_tag
     return period_tag(analog.microdata(spark, sf_dir), "YEAR")
 
 
@@ -103,30 +103,24 @@ def _t16(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _a18(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.apportion import main_state
     return main_state(analog.zone_pieces(spark, sf_dir), "cz90", "statefip", "pop")
 
 
 def _a19(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.apportion import zone_states
     return zone_states(analog.zone_pieces(spark, sf_dir), "cz90", "state_abbv")
 
 
 def _w2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.apportion import zone_group_total
     pieces = analog.crosswalk(spark, sf_dir).select("statefip", "puma", "cz90", "pop")
     return zone_group_total(pieces, "cz90", "pop", "cz_pop_total", analog.ZONE_ROWS)
 
 
 def _w3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.rollup import keep_last
     pieces = analog.crosswalk(spark, sf_dir).select("cz90", "pop", "statefip", "puma")
     return keep_last(pieces, ["cz90"], ["pop"])
 
 
 def _a5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..functions import derive as D
-    from ..operators.measures import pivot_wider
     persons = _survey(spark, sf_dir).clean.withColumn("bpl_ii", D.birthplace_broad("BPL"))
     levels = [D.BIRTHPLACE_US, "Central America", "Mexico", "South America", D.BIRTHPLACE_OTHERS]
     return pivot_wider(persons, ["STATEFIP"], "bpl_ii",
