@@ -307,13 +307,14 @@ class Survey:
         return self
 
     def _single_pass(self) -> None:
-        """One aggregate over all persons with two grouping sets:
+        """One aggregate over all persons with three grouping sets:
 
         A: universe flag x (period) x cube keys x birth status x kept origin
            -> the narrow cube (rows with the flag set);
-        B: citizenship code x broad birthplace -> the labour-force base.
+        B: citizenship code x broad birthplace -> the labour-force base;
+        C: the survey years -> the period tag and sample description.
 
-        An ``Expand`` feeds each person row to both sets before the partial
+        An ``Expand`` feeds each person row to every set before the partial
         aggregate, so only partial aggregates cross the exchange.
         """
         persons = self.microdata
@@ -339,18 +340,18 @@ class Survey:
         set_c = [f"_{c}" for c in year_cols]          # the sample's years (S10, S11)
         sets = [set_a, set_b] + ([set_c] if set_c else [])
         group_cols = list(dict.fromkeys(c for g in sets for c in g))
-        both = df.groupingSets(sets, *group_cols).agg(
+        sets_agg = df.groupingSets(sets, *group_cols).agg(
             *M.narrow_aggregates(self.strict_na), F.sum(lf).alias("lf"),
             F.grouping("_ua").alias("_not_a"), F.grouping("CITIZEN").alias("_not_b"))
-        both = cut_lineage(both, "person_pass")
+        sets_agg = cut_lineage(sets_agg, "person_pass")
         keys = [*self.period_keys, *M.CUBE_KEYS]
-        narrow = both.where((F.col("_not_a") == 0) & F.col("_ua"))
+        narrow = sets_agg.where((F.col("_not_a") == 0) & F.col("_ua"))
         self._narrow = narrow
         cube = M.pivot_cube(narrow, keys, self.strict_na)
         self._cube = _kept(self._label_cube(cube, self.labels))
-        self._labor_base = _kept(both.where(F.col("_not_b") == 0).select(*set_b, "lf"))
+        self._labor_base = _kept(sets_agg.where(F.col("_not_b") == 0).select(*set_b, "lf"))
         if set_c:
-            self._years = both.where((F.col("_not_a") == 1) & (F.col("_not_b") == 1)).select(
+            self._years = sets_agg.where((F.col("_not_a") == 1) & (F.col("_not_b") == 1)).select(
                 *[F.col(f"_{c}").alias(c) for c in year_cols])
 
     def sample_years(self) -> DataFrame:
