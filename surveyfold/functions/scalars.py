@@ -55,9 +55,13 @@ def r_isin(c: ColumnOrName, values: Iterable) -> Column:
 
 
 def flag_times(cond: Column, value: ColumnOrName) -> Column:
-    """``value * (cond)`` with the logical as 0/1; NULL condition gives NULL."""
+    """``value * (cond)`` with the logical as 0/1.
+
+    A NULL condition gives NULL, and so does a NULL value even when the
+    condition is false (R: ``NA * FALSE`` is ``NA``).
+    """
     v = _col(value)
-    return F.when(cond, v).when(~cond, F.lit(0))
+    return F.when(cond, v).when(~cond, v * F.lit(0))
 
 
 def text_between(c: ColumnOrName, lo: str, hi: str) -> Column:

@@ -348,7 +348,7 @@ cit AS (
 cit2 AS (
   SELECT *, CASE WHEN cit_label = 'N/A' THEN 'Not foreign born'
                  WHEN NOT (cit_label = 'N/A') THEN cit_label END AS citizenship,
-         CASE WHEN "LABFORCE" = 2 THEN {_W} WHEN NOT ("LABFORCE" = 2) THEN 0.0 END AS lfw,
+         CASE WHEN "LABFORCE" = 2 THEN {_W} WHEN NOT ("LABFORCE" = 2) THEN {_W} * 0.0 END AS lfw,
          CASE WHEN "BPL" <= 120 THEN 'US and US Possessions' WHEN "BPL" = 210 THEN 'Central America'
               WHEN "BPL" = 200 THEN 'Mexico' WHEN "BPL" = 300 THEN 'South America'
               ELSE 'Others' END AS bpl_ii
@@ -375,17 +375,13 @@ _BPL_LEVELS = ((D.BIRTHPLACE_US, "us_and_us_possessions"), ("Central America", "
 
 def t11_labor_force_birthplace() -> str:
     cells = ", ".join(f"SUM(CASE WHEN bpl_ii = {_q(lv)} THEN lfw END) AS {n}" for lv, n in _BPL_LEVELS)
-    fixed = ", ".join(
-        f"CASE WHEN is_total THEN COALESCE({n}, 0.0) ELSE {n} END AS {n}" for _, n in _BPL_LEVELS[:-1])
+    totals = ", ".join(f"COALESCE(SUM({n}), 0.0) AS {n}" for _, n in _BPL_LEVELS[:-1])
+    names = ", ".join(n for _, n in _BPL_LEVELS)
     return _with(PERSONS, CITIZEN_LABELS, _CITIZENSHIP, f"""
-agg AS (
-  SELECT CASE WHEN GROUPING(citizenship) = 1 THEN 'total' ELSE citizenship END AS citizenship,
-         {cells}, GROUPING(citizenship) = 1 AS is_total
-  FROM cit2 GROUP BY ROLLUP (citizenship)
-)""") + f"""
-SELECT citizenship, is_total, {fixed},
-       CASE WHEN NOT is_total THEN others END AS others
-FROM agg"""
+g AS (SELECT citizenship, {cells} FROM cit2 GROUP BY citizenship)""") + f"""
+SELECT citizenship, {names}, false AS is_total FROM g
+UNION ALL
+SELECT 'total' AS citizenship, {totals}, CAST(NULL AS DOUBLE) AS others, true AS is_total FROM g"""
 
 
 _STRUCTURE = f"""

@@ -526,17 +526,24 @@ class Survey:
 
     def labor_force_by_birthplace(self) -> DataFrame:
         """T11 (A7 + A5 + A9): citizenship x broad birthplace, pivoted, with a
-        total row over the four named birthplaces (``Others`` left NULL)."""
+        total row over the four named birthplaces (``Others`` left NULL).
+
+        The total row is ``sum(cell, na.rm=TRUE)`` over the *group rows*, as
+        the source's summary row: a group whose cell is NA is skipped, an
+        all-NA column totals 0. It is an aggregate of the few group rows.
+        """
         levels = self.BIRTHPLACE_LEVELS
         # cell = sum restricted to the level; NULL when the pair has no row (A5)
-        cells = {name: self._na(F.sum(F.when(F.col("bpl_ii") == lvl, F.col("lf"))))
-                 for lvl, name in levels}
-        out = R.with_total_row(self.labor_force_base(), "citizenship", cells)
-        # the total row sums the named birthplaces with NA as 0 and leaves Others empty
-        fix = {name: F.when(F.col("is_total"), F.coalesce(F.col(name), F.lit(0.0)))
-                      .otherwise(F.col(name)) for lvl, name in levels if lvl != D.BIRTHPLACE_OTHERS}
-        fix["others"] = F.when(~F.col("is_total"), F.col("others"))
-        return out.withColumns(fix)
+        cells = [self._na(F.sum(F.when(F.col("bpl_ii") == lvl, F.col("lf")))).alias(name)
+                 for lvl, name in levels]
+        groups = self.labor_force_base().groupBy("citizenship").agg(*cells)
+        named = [name for lvl, name in levels if lvl != D.BIRTHPLACE_OTHERS]
+        total = groups.agg(
+            F.lit("total").alias("citizenship"),
+            *[(F.coalesce(F.sum(name), F.lit(0.0)) if name in named
+               else F.lit(None).cast("double")).alias(name) for _, name in levels])
+        return (groups.withColumn("is_total", F.lit(False))
+                .unionByName(total.withColumn("is_total", F.lit(True))))
 
     # -- T13 / T14 / T15 / T16 ---------------------------------------------------
     @staticmethod

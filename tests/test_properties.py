@@ -103,3 +103,62 @@ def test_single_pass_equals_products(spark, rows):
     assert as_rows(one.labor_force_by_citizenship()) == as_rows(ref.labor_force_by_citizenship())
     assert as_rows(one.labor_force_by_birthplace()) == as_rows(ref.labor_force_by_birthplace())
     assert as_rows(one.unlisted_levels()) == as_rows(ref.unlisted_levels())
+
+
+LF_LABELS = {0: "N/A", 2: "Naturalized citizen", 3: "Not a citizen"}
+lf_row = st.tuples(st.sampled_from([0, 2, 3, 5, None]),                 # CITIZEN (5 unlabelled)
+                   st.sampled_from([1, 2, None]),                       # LABFORCE
+                   st.one_of(st.integers(1, 9).map(float), st.none()),  # PERWT
+                   st.sampled_from([1, 150, 200, 210, 300, None]))      # BPL
+
+
+def _r_labor_tables(rows):
+    """Brute-force model of the source's two labour-force tables (R NA rules)."""
+    def label(c):
+        if c is None:
+            return None
+        lab = LF_LABELS.get(c, str(c))
+        return "Not foreign born" if lab == "N/A" else lab
+
+    def bpl_ii(b):
+        if b is not None and b <= 120:
+            return "us_and_us_possessions"
+        return {210: "central_america", 200: "mexico", 300: "south_america"}.get(b, "others")
+
+    def term(lfc, w):       # PERWT * (LABFORCE == 2), NA if either is NA
+        return None if lfc is None or w is None else w * (1.0 if lfc == 2 else 0.0)
+
+    def rsum(xs):           # sum without na.rm
+        return None if any(x is None for x in xs) else float(sum(xs))
+    groups, cells = {}, {}
+    for cit, lfc, w, b in rows:
+        groups.setdefault(label(cit), []).append(term(lfc, w))
+        cells.setdefault((label(cit), bpl_ii(b)), []).append(term(lfc, w))
+    t10 = {k: rsum(v) for k, v in groups.items()}
+    total = rsum(list(t10.values()))
+    def share(a, b):        # x / 0 is NULL here (R: NaN; blueprint N10)
+        return None if a is None or b is None or b == 0 else a / b
+    t10_rows = {k: (v, share(v, total)) for k, v in t10.items()}
+    t10_rows["total"] = (total, share(total, total))
+    names = ["central_america", "mexico", "others", "south_america", "us_and_us_possessions"]
+    t11 = {g: {n: (rsum(cells[(g, n)]) if (g, n) in cells else None) for n in names} for g in groups}
+    t11["total"] = {n: (float(sum(r[n] for r in t11.values() if r[n] is not None))
+                        if n != "others" else None) for n in names}
+    return t10_rows, t11
+
+
+@SETTINGS
+@given(st.lists(lf_row, min_size=1, max_size=25))
+def test_labor_force_tables_match_r_model(spark, rows):
+    from surveyfold.plans.products import Survey
+    labels = spark.createDataFrame([("CITIZEN", k, v) for k, v in LF_LABELS.items()],
+                                   "name string, value int, label string")
+    micro = spark.createDataFrame(rows, "CITIZEN int, LABFORCE int, PERWT double, BPL int")
+    s = Survey(spark, micro, labels, None, None, None, None)
+    want10, want11 = _r_labor_tables(rows)
+    got10 = {r.citizenship if not r.is_total else "total": (r.labor_force, r.labor_force_share)
+             for r in s.labor_force_by_citizenship().collect()}
+    assert got10 == want10
+    got11 = {r.citizenship if not r.is_total else "total":
+             {n: r[n] for n in want11["total"]} for r in s.labor_force_by_birthplace().collect()}
+    assert got11 == want11

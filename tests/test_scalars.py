@@ -31,8 +31,8 @@ def test_r_isin_null_is_false(spark):
 
 def test_flag_times(spark):
     got = one(spark, S.flag_times(F.col("f") == 2, "w"), "f int, w double",
-              [(2, 5.0), (1, 5.0), (None, 5.0)])
-    assert got == [5.0, 0.0, None]
+              [(2, 5.0), (1, 5.0), (None, 5.0), (1, None)])
+    assert got == [5.0, 0.0, None, None]        # NA * FALSE is NA
 
 
 def test_text_between_is_textual(spark):
