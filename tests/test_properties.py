@@ -162,3 +162,100 @@ def test_labor_force_tables_match_r_model(spark, rows):
     got11 = {r.citizenship if not r.is_total else "total":
              {n: r[n] for n in want11["total"]} for r in s.labor_force_by_birthplace().collect()}
     assert got11 == want11
+
+
+cube_row = st.tuples(
+    st.just(2019), st.just(2019), st.sampled_from([1, 2]), st.just(1), st.sampled_from([100, 200]),
+    st.sampled_from([1, 3, None]), st.sampled_from([1, 2, 3, None]), st.sampled_from([10, 14, None]),
+    st.sampled_from([1, 2, None]), st.sampled_from([15, 30, 64, None]), st.sampled_from([0, 2, 3, None]),
+    st.sampled_from([1, 200, 210, 300, 450, None]), st.one_of(st.integers(1, 50).map(float), st.none()),
+    st.sampled_from(["111021", "151252", None]), st.sampled_from(["311M", "4411", None]))
+
+
+def _r_cube_and_state(rows):
+    """Brute-force model of the source's master cube and state table (R NA rules)."""
+    def in_universe(r):
+        gq, esd, age = r[5], r[7], r[9]
+        return (esd is not None and esd not in (13, 14, 15) and gq is not None and gq != 3
+                and age is not None and 16 <= age <= 64)
+
+    def ifelse(c, a, b):
+        return None if c is None else (a if c else b)
+
+    def mul(a, b):
+        return None if a is None or b is None else a * b
+
+    def rsum(xs):
+        return None if any(x is None for x in xs) else float(sum(xs))
+
+    cube = {}
+    for r in filter(in_universe, rows):
+        st_, puma, occ, ind = r[2], r[4], r[13], r[14]
+        stpuma = str(int(f"{st_:03d}{puma:05d}"))
+        soc = None if occ is None else (occ[:4] if occ[:4] in ("1512", "3111", "5151") else occ[:3])
+        s2 = None if ind is None else ind[:2]
+        naics = None if s2 is None else ("31" if "30" <= s2 <= "33" else "44" if "44" <= s2 <= "45"
+                                         else "48" if "48" <= s2 <= "49" else s2)
+        emp, lf = ifelse(None if r[6] is None else r[6] == 1, 1, 0), ifelse(None if r[8] is None else r[8] == 2, 1, 0)
+        imm = r[10] in (2, 3, 4, 5)
+        bpl, w = r[11], r[12]
+        big = None if bpl is None else bpl > 120
+        status_c = (False if big is False or not imm else (None if big is None else True))
+        status = None if status_c is None else ("immigrant" if status_c else "Local")
+        origin = ("Central America" if bpl == 210 and imm else "Mexico" if bpl == 200 and imm
+                  else "South America" if bpl == 300 and imm else "other")
+        g = cube.setdefault((stpuma, soc, naics), {"state": st_, "rows": []})
+        g["rows"].append((w, mul(emp, w), mul(lf, w), status, origin))
+    measures = {}
+    for key, g in cube.items():
+        rs = g["rows"]
+        m = {"state_code": g["state"], "civ_noninst_pop": rsum([x[0] for x in rs]),
+             "civ_noninst_pop_employed": rsum([x[1] for x in rs]),
+             "civ_noninst_labforce": rsum([x[2] for x in rs]), "count": len(rs)}
+        for lvl, suf in (("Local", "local"), ("immigrant", "immigrant")):
+            sub = [x for x in rs if x[3] == lvl]
+            for i, name in ((0, "civ_noninst_pop"), (1, "civ_noninst_pop_employed"), (2, "civ_noninst_labforce")):
+                m[f"{name}_{suf}"] = rsum([x[i] for x in sub]) if sub else None
+            m[f"count_{suf}"] = len(sub) if sub else None
+        for lvl, suf in (("Central America", "central_america"), ("South America", "south_america"),
+                         ("Mexico", "mexico")):
+            sub = [x for x in rs if x[4] == lvl]
+            for i, name in ((1, "civ_noninst_pop_employed"), (2, "civ_noninst_labforce")):
+                m[f"{name}_{suf}"] = rsum([x[i] for x in sub]) if sub else None
+            m[f"count_{suf}"] = len(sub) if sub else None
+        measures[key] = m
+    state = {}
+    for m in measures.values():
+        acc = state.setdefault(f"{m['state_code']:02d}", {})
+        for k, v in m.items():
+            if k != "state_code":
+                acc[k] = acc.get(k, 0) + (v or 0)        # sum(., na.rm = TRUE)
+    for acc in state.values():
+        pop, emp = acc["civ_noninst_pop"], acc["civ_noninst_pop_employed"]
+        acc["EPOP"] = None if pop == 0 else emp / pop * 100
+    return measures, state
+
+
+@SETTINGS
+@given(st.lists(cube_row, min_size=1, max_size=25))
+def test_cube_and_state_match_r_model(spark, rows):
+    from surveyfold.plans.products import Survey
+    labels = spark.createDataFrame([("STATEFIP", 1, "Alabama"), ("STATEFIP", 2, "Alaska")],
+                                   "name string, value int, label string")
+    micro = spark.createDataFrame(rows, MICRO_SCHEMA)
+    s = Survey(spark, micro, labels, None, None, None, None)
+    want_cube, want_state = _r_cube_and_state(rows)
+    got_cube = {(r.stpuma, r.soc_minor, r.naics_2d): r.asDict() for r in s.master().collect()}
+    assert set(got_cube) == set(want_cube)
+    for key, m in want_cube.items():
+        g = got_cube[key]
+        assert int(g["state_fips"]) == m["state_code"]
+        for k, v in m.items():
+            if k != "state_code":
+                assert g[k] == v, (key, k, g[k], v)
+    got_state = {r.state_fips: r.asDict() for r in s.state().collect()}
+    assert set(got_state) == set(want_state)
+    for st_code, acc in want_state.items():
+        for k, v in acc.items():
+            got = got_state[st_code][k]
+            assert (got is None and v is None) or abs(got - v) < 1e-9, (st_code, k, got, v)
