@@ -15,6 +15,7 @@ from .scalars import (
     pad_left,
     r_ifelse,
     r_isin,
+    r_paste0,
     r_substr,
     remove_all,
     remove_first,
@@ -73,12 +74,12 @@ def geo_unit_key(state, unit) -> Column:
 
     ``("01", 100)`` -> ``"00100100"`` -> ``"100100"``.
     """
-    return canonical_key(F.concat(pad_left(state, 3), pad_left(unit, 5)))
+    return canonical_key(r_paste0(pad_left(state, 3), pad_left(unit, 5)))
 
 
 def county_fips(state, county) -> Column:
-    """State padded to 2 + county padded to 3."""
-    return F.concat(pad_left(state, 2), pad_left(county, 3))
+    """State padded to 2 + county padded to 3 (``paste0``: NA gives ``"NA"``)."""
+    return r_paste0(pad_left(state, 2), pad_left(county, 3))
 
 
 # ---------------------------------------------------------------------------
@@ -105,9 +106,9 @@ def soc_parent_codes(detailed) -> dict[str, Column]:
     """Parent codes of a detailed SOC code ``11-1011``."""
     d = _col(detailed)
     return {
-        "major_group": F.concat(r_substr(d, 1, 3), F.lit("0000")),
-        "minor_group": F.concat(r_substr(d, 1, 4), F.lit("000")),
-        "broad_group": F.concat(r_substr(d, 1, 6), F.lit("0")),
+        "major_group": r_paste0(r_substr(d, 1, 3), F.lit("0000")),
+        "minor_group": r_paste0(r_substr(d, 1, 4), F.lit("000")),
+        "broad_group": r_paste0(r_substr(d, 1, 6), F.lit("0")),
     }
 
 

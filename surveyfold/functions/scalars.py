@@ -90,6 +90,11 @@ def remove_all(c: ColumnOrName, literal: str) -> Column:
     return F.replace(_col(c), F.lit(literal), F.lit(""))
 
 
+def r_paste0(*cols: ColumnOrName) -> Column:
+    """R ``paste0``: text concatenation where NA becomes the text ``"NA"``."""
+    return F.concat(*[F.coalesce(_col(c).cast("string"), F.lit("NA")) for c in cols])
+
+
 def r_substr(c: ColumnOrName, start: int, stop: int) -> Column:
     """R ``substr(x, start, stop)`` (1-based, inclusive)."""
     return F.substring(_col(c).cast("string"), start, stop - start + 1)

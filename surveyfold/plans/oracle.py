@@ -25,8 +25,13 @@ def _pad(expr: str, width: int) -> str:
             f"THEN lpad(CAST({expr} AS VARCHAR), {width}, '0') ELSE CAST({expr} AS VARCHAR) END)")
 
 
+def _paste0(*parts: str) -> str:
+    """R ``paste0``: NA becomes the text 'NA' (DuckDB's concat would skip it)."""
+    return "concat(" + ", ".join(f"COALESCE({p}, 'NA')" for p in parts) + ")"
+
+
 def _unit_key(state: str, unit: str) -> str:
-    return f"CAST(TRY_CAST(concat({_pad(state, 3)}, {_pad(unit, 5)}) AS BIGINT) AS VARCHAR)"
+    return f"CAST(TRY_CAST({_paste0(_pad(state, 3), _pad(unit, 5))} AS BIGINT) AS VARCHAR)"
 
 
 NAICS_LIST = "[" + ", ".join(_q(c) for c in analog.NAICS_CODES) + "]"
@@ -468,7 +473,7 @@ _V1 = [("civ_noninst_pop", _W), ("civ_noninst_pop_employed", f"emp2 * {_W}"),
 
 _COUNTY = f"""
 cp AS (
-  SELECT concat({_pad('"STATEFIP"', 2)}, {_pad('"COUNTYFIP"', 3)}) AS "COUNTYFIP_S", "STATEFIP",
+  SELECT {_paste0(_pad('"STATEFIP"', 2), _pad('"COUNTYFIP"', 3))} AS "COUNTYFIP_S", "STATEFIP",
          CASE WHEN "EMPSTAT" = 1 THEN 1 ELSE 0 END AS emp2,
          CASE WHEN "LABFORCE" = 2 THEN 1 ELSE 0 END AS lf2,
          CAST("BPL" > 120 AS INTEGER) AS fb,
@@ -484,7 +489,7 @@ county_tbl AS (
   FROM cp GROUP BY 1, 2
 ),
 czones AS (
-  SELECT concat({_pad('statefip', 2)}, {_pad('county', 3)}) AS county_fips, cz90 AS ers90,
+  SELECT {_paste0(_pad('statefip', 2), _pad('county', 3))} AS county_fips, cz90 AS ers90,
          COUNT(*) AS pop90
   FROM geo GROUP BY statefip, county, cz90
 )"""

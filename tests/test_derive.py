@@ -15,7 +15,14 @@ def test_geo_unit_key(spark):
 
 
 def test_county_fips(spark):
-    assert col_of(spark, D.county_fips(F.col("s"), F.col("c")), "s int, c int", [(1, 7)]) == ["01007"]
+    got = col_of(spark, D.county_fips(F.col("s"), F.col("c")), "s int, c int",
+                 [(1, 7), (None, 7), (1, None)])
+    assert got == ["01007", "NA007", "01NA"]      # paste0 writes NA as "NA"
+
+
+def test_geo_unit_key_na(spark):
+    got = col_of(spark, D.geo_unit_key(F.col("s"), F.col("u")), "s string, u int", [(None, 100), ("01", None)])
+    assert got == [None, None]                    # "NA00100" is not a number
 
 
 def test_soc_minor(spark):
