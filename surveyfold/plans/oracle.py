@@ -483,11 +483,16 @@ cp AS (
   FROM persons
   WHERE NOT ("EMPSTATD" IN (13, 14, 15)) AND "GQ" <> 3 AND "AGE" BETWEEN 16 AND 64
 ),
-county_tbl AS (
-  SELECT "COUNTYFIP_S" AS "COUNTYFIP", "STATEFIP",
+county_agg AS (
+  SELECT "COUNTYFIP_S" AS "COUNTYFIP", "STATEFIP" AS state_code,
          {", ".join((f"CAST(SUM({e}) AS BIGINT) AS {n}" if n.startswith("count") else f"SUM({e}) AS {n}") for n, e in _V1)}
   FROM cp GROUP BY 1, 2
 ),
+county_tbl AS (
+  SELECT a."COUNTYFIP", COALESCE(n.n_name, CAST(a.state_code AS VARCHAR)) AS "STATE",
+         {_pad('a.state_code', 2)} AS "STATEFIP", a.* EXCLUDE ("COUNTYFIP", state_code)
+  FROM county_agg a LEFT JOIN nation n ON a.state_code = n.n_nationkey
+),
 czones AS (
   SELECT {_paste0(_pad('statefip', 2), _pad('county', 3))} AS county_fips, cz90 AS ers90,
          COUNT(*) AS pop90

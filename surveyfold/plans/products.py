@@ -607,7 +607,16 @@ class Survey:
             "count_ca": s(F.col("ca")).cast("bigint"),
             "count_sa": s(F.col("sa")).cast("bigint"),
         }
-        g = df.groupBy("COUNTYFIP", "STATEFIP").agg(*[v.alias(k) for k, v in aggs.items()])
+        g = df.groupBy("COUNTYFIP", F.col("STATEFIP").alias("state_code")).agg(
+            *[v.alias(k) for k, v in aggs.items()])
+        # keys as in the source (COUNTYFIP, STATE, STATEFIP): the label and the
+        # padded code are functions of the state code, attached after the aggregate
+        names = broadcast_bounded(state_names(self.labels), self.dim_rows)
+        g = g.join(names, "state_code", "left").select(
+            "COUNTYFIP",
+            F.coalesce(F.col("state"), F.col("state_code").cast("string")).alias("STATE"),
+            pad_left(F.col("state_code"), 2).alias("STATEFIP"),
+            *aggs.keys())
         return R.with_epop(g)
 
     V1_MEASURES = ("civ_noninst_pop", "civ_noninst_pop_employed",
