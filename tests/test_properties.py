@@ -321,3 +321,25 @@ def test_occupation_table_matches_r_model(spark, rows):
     got = {r.soc_minor: {"emp": r.civ_noninst_pop_employed, "n": r["count"]}
            for r in s.occupation().collect()}
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(cube_row, min_size=1, max_size=25))
+def test_sector_table_matches_r_model(spark, rows):
+    """Cube -> sum(., na.rm=TRUE) by sector -> natural join to sector titles
+    (untitled sectors drop); checked on employment and count."""
+    from surveyfold.plans.products import Survey
+    labels = spark.createDataFrame([("STATEFIP", 1, "Alabama")], "name string, value int, label string")
+    sectors = spark.createDataFrame([("31", "Manufacturing", "Manufacturing")],
+                                    "naics_2d string, sector string, short_sector string")
+    s = Survey(spark, spark.createDataFrame(rows, MICRO_SCHEMA), labels, None, None, None, sectors)
+    cube, _ = _r_cube_and_state(rows)
+    want = {}
+    for (_u, _soc, naics), m in cube.items():
+        if naics == "31":
+            w = want.setdefault(naics, {"emp": 0.0, "n": 0})
+            w["emp"] += m["civ_noninst_pop_employed"] or 0.0
+            w["n"] += m["count"] or 0
+    got = {r.naics_2d: {"emp": r.civ_noninst_pop_employed, "n": r["count"]}
+           for r in s.sector().collect()}
+    assert got == want
