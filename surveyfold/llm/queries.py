@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup as op4
+from . import mixing as op9
+from . import simhash as op3
+from . import wacz as op2
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,9 +35,44 @@ WINDOW w AS (PARTITION BY sha ORDER BY n DESC, doc_id NULLS LAST)
 """
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.round_trip(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_OP2 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM q
+"""
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9.taken_per_document(op9.mix(read(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
-    return {"op4_exact_dedup": op4_exact_dedup}
+    return {
+        "op2_warc": op2_warc,
+        "op3_simhash": op3_simhash,
+        "op4_exact_dedup": op4_exact_dedup,
+        "op9_mixing": op9_mixing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": ORACLE_OP4}
+    return {
+        "op2_warc": ORACLE_OP2,
+        "op4_exact_dedup": ORACLE_OP4,
+    }
