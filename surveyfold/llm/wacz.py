@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, stage_table
+from .common import shuffle_partitions
 
 # fixed values: record layouts and signatures of the ZIP and ZIP64 formats
 LOCAL, CENTRAL, END = b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06"
@@ -333,7 +334,10 @@ def read_archives(manifest: DataFrame, folder: str, payload: bool = True) -> Dat
                         rows, held = [], 0
                 yield frame(rows)
 
-    return manifest.repartition(F.col("path")).mapInPandas(read, RECORD_SCHEMA)
+    # a fixed number of tasks: the manifest is small, and adaptive coalescing
+    # would put all archives into one
+    tasks = shuffle_partitions(manifest.sparkSession)
+    return manifest.repartition(tasks, "path").mapInPandas(read, RECORD_SCHEMA)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 100, force64: bool = False) -> DataFrame:
