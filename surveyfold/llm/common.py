@@ -41,3 +41,9 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def tokenizer(name: str) -> str:
+    """Path of a public vocabulary file, the same on the driver and the executors."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))

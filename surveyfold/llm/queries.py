@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup as op4
 from . import mixing as op9
+from . import packing as op6
 from . import simhash as op3
 from . import wacz as op2
-from .common import read
+from .common import read, tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +59,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6.pack(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.taken_per_document(op9.mix(read(spark, sf_dir, "documents")))
 
@@ -67,6 +72,7 @@ def queries() -> dict[str, Query]:
         "op2_warc": op2_warc,
         "op3_simhash": op3_simhash,
         "op4_exact_dedup": op4_exact_dedup,
+        "op6_packing": op6_packing,
         "op9_mixing": op9_mixing,
     }
 
