@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup as op4
+from . import language as op1
 from . import mixing as op9
 from . import packing as op6
+from . import secrets as op5
 from . import simhash as op3
 from . import wacz as op2
 from .common import read, tokenizer
@@ -36,6 +38,11 @@ WINDOW w AS (PARTITION BY sha ORDER BY n DESC, doc_id NULLS LAST)
 """
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return op1.predict(docs, op1.fit(docs))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2.round_trip(read(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -59,6 +66,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5.scan(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.pack(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -69,9 +80,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_language": op1_language,
         "op2_warc": op2_warc,
         "op3_simhash": op3_simhash,
         "op4_exact_dedup": op4_exact_dedup,
+        "op5_secrets": op5_secrets,
         "op6_packing": op6_packing,
         "op9_mixing": op9_mixing,
     }
