@@ -12,6 +12,7 @@ from . import mixing as op9
 from . import packing as op6
 from . import secrets as op5
 from . import simhash as op3
+from . import toxicity as op10
 from . import wacz as op2
 from .common import read, tokenizer
 
@@ -78,6 +79,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.taken_per_document(op9.mix(read(spark, sf_dir, "documents")))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return op10.predict(docs, op10.learn(docs, read(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language": op1_language,
@@ -87,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op5_secrets": op5_secrets,
         "op6_packing": op6_packing,
         "op9_mixing": op9_mixing,
+        "op10_toxicity": op10_toxicity,
     }
 
 
