@@ -39,6 +39,7 @@ MOST_LEAVES = 50_000         # of a subtree; larger ones are cut at SUB_BITS mor
 SUB_BITS = 8
 FRONTIER = 1 << 18           # node pairs that step at once
 VOTE_CHUNK = 1 << 16
+HELD_ROWS = 1 << 18          # rows of whole subtrees that are joined at once
 
 
 # --- fingerprints ------------------------------------------------------------
@@ -92,17 +93,15 @@ def _halves(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.uint64)
     return np.clip(mid, lo, hi)
 
 
-def trie_pairs(values: np.ndarray, budget: int, starts: list[tuple[int, int, int, int, int, int]],
-               ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_pairs(values: np.ndarray, budget: int, starts: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Leaf pairs (i, j) within the budget under the start pairs.
 
-    ``values``: sorted unsigned leaves; a start pair is (lo, hi) of either node,
-    the depth that the two have in common and the bits that differ so far. A
-    pair of a node with itself gives each leaf pair once. Where both nodes are
-    one leaf the rest of the path is taken in one step.
+    ``values``: sorted unsigned leaves. ``starts``: arrays of equal length, the
+    ranges (lo, hi) of either node, the depth that the two nodes have and the
+    bits that differ so far. A pair of a node with itself gives each leaf pair
+    once. Where both nodes are one leaf the rest of the path is one step.
     """
-    stack = [(depth, *(np.array([x], dtype=np.int64) for x in (alo, ahi, blo, bhi, diff)))
-             for alo, ahi, blo, bhi, depth, diff in starts if ahi > alo and bhi > blo]
+    stack = [(int(d), *(x[starts[4] == d] for x in (*starts[:4], starts[5]))) for d in np.unique(starts[4])]
     while stack:
         depth, alo, ahi, blo, bhi, diff = stack.pop()
         if len(alo) > FRONTIER:
@@ -113,8 +112,7 @@ def trie_pairs(values: np.ndarray, budget: int, starts: list[tuple[int, int, int
         single = (ahi - alo == 1) & (bhi - blo == 1)
         if single.any():
             i, j = alo[single], blo[single]
-            apart = np.bitwise_count(values[i] ^ values[j])
-            hit = (i != j) & (apart <= budget)
+            hit = (i != j) & (np.bitwise_count(values[i] ^ values[j]) <= budget)
             if hit.any():
                 yield i[hit], j[hit]
             alo, ahi, blo, bhi, diff = (x[~single] for x in (alo, ahi, blo, bhi, diff))
@@ -137,28 +135,22 @@ def trie_pairs(values: np.ndarray, budget: int, starts: list[tuple[int, int, int
             stack.append((depth + 1, *nxt))
 
 
-def subtree_pairs(rotated: np.ndarray, home: np.ndarray, top: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one subtree: home leaves with each other and with the visitors.
+def subtree_starts(values: np.ndarray, group: np.ndarray, home: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Start pairs of many subtrees: each one's home node with itself and with
+    the nodes of its visitors.
 
-    All leaves share their first ``top`` bits but for the sub-name bits in
-    which visitors differ.
+    Rows are sorted by (group, value); a subtree's rows share their first
+    ``top`` bits but for the visitors, each run of which has a name of its own.
     """
-    own, guests = np.sort(rotated[home]), np.sort(rotated[~home])
-    if len(own) > 1:
-        for i, j in trie_pairs(own, budget, [(0, len(own), 0, len(own), 0, 0)]):
-            yield own[i], own[j]
-    if len(own) and len(guests):
-        # one sorted array; home and guest leaves are told apart by their sub-name
-        both = np.sort(np.concatenate([own, guests]))
-        name = own[0] >> np.uint64(BITS - top)
-        a0, a1 = np.searchsorted(both, own[0]), np.searchsorted(both, own[-1], side="right")
-        names = np.unique(guests >> np.uint64(BITS - top))
-        for other in names:
-            mine = guests[guests >> np.uint64(BITS - top) == other]
-            b0, b1 = np.searchsorted(both, mine[0]), np.searchsorted(both, mine[-1], side="right")
-            apart = int(np.bitwise_count(other ^ name))
-            for i, j in trie_pairs(both, budget, [(int(a0), int(a1), int(b0), int(b1), top, apart)]):
-                yield both[i], both[j]
+    name = values >> (np.uint64(BITS) - top.astype(np.uint64))
+    edge = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (name[1:] != name[:-1]), [True]]))
+    lo, hi = edge[:-1], edge[1:]
+    own = home[lo]
+    home_of = np.full(int(group[-1]) + 1, -1)
+    home_of[group[lo[own]]] = np.flatnonzero(own)
+    node, guest = np.flatnonzero(own & (hi - lo > 1)), np.flatnonzero(~own & (home_of[group[lo]] >= 0))
+    a, b = np.concatenate([node, home_of[group[lo[guest]]]]), np.concatenate([node, guest])
+    return lo[a], hi[a], lo[b], hi[b], top[lo[a]], np.bitwise_count(name[lo[a]] ^ name[lo[b]]).astype(np.int64)
 
 
 def rotate(values: np.ndarray, shift: int) -> np.ndarray:
@@ -200,38 +192,65 @@ def links(distinct: DataFrame, budget: int = BUDGET, most_leaves: int = MOST_LEA
                       (F.col("width") + F.when(F.col("large"), SUB_BITS).otherwise(0)).alias("top")))
 
     cuts = blocks(budget)
-    starts = [s for s, _ in cuts]
+
+    def pairs(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Links of whole subtrees, given sorted by (block, name, at, unsigned rot)."""
+        block = int(f.block.iloc[0])
+        values = f.rot.to_numpy().view(np.uint64)
+        keys = [f[c].to_numpy() for c in ("name", "at")]
+        group = np.concatenate([[0], np.cumsum(np.any([k[1:] != k[:-1] for k in keys], axis=0))])
+        order = np.lexsort((values, group))
+        values, home, top = values[order], f.home.to_numpy()[order], f.top.to_numpy()[order].astype(np.int64)
+        starts = subtree_starts(values, group, home, top)
+        # visitors of one subtree are the home leaves of another, so a value may
+        # stand in several groups: a node's range is searched inside its group
+        for x, y in grouped_pairs(values, group, starts):
+            x, y = rotate(x, BITS - cuts[block][0]), rotate(y, BITS - cuts[block][0])
+            new = np.ones(len(x), dtype=bool)       # an earlier block that agrees as well has found the pair
+            for start, width in cuts[:block]:
+                new &= rotate(x ^ y, start) >> np.uint64(BITS - width) != 0
+            if new.any():
+                yield pd.DataFrame({"a": x[new].view(np.int64), "b": y[new].view(np.int64)})
+
+    def grouped_pairs(values, group, starts):
+        plain = values[1:] >= values[:-1]
+        if plain.all():
+            spans = [(0, len(values))]
+        else:                                       # only where subtrees were cut
+            cut = np.concatenate([[0], np.flatnonzero(~plain) + 1, [len(values)]])
+            spans = list(zip(cut[:-1], cut[1:], strict=True))
+        for lo, hi in spans:
+            inside = (starts[0] >= lo) & (starts[1] <= hi) & (starts[2] >= lo) & (starts[3] <= hi)
+            part = tuple(x[inside] - lo * (k < 4) for k, x in enumerate(starts))
+            own = values[lo:hi]
+            for i, j in trie_pairs(own, budget, part):
+                yield own[i], own[j]
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
 
-        def groups(f: pd.DataFrame, last: bool) -> Iterator[pd.DataFrame]:
-            cols = [f[c].to_numpy() for c in ("block", "name", "at")]
-            new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
-            edges = np.concatenate([[0], new, [len(f)]])
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if b == len(f) and not last:
-                    held.append(f.iloc[a:])
-                elif b - a > 1:
-                    g = f.iloc[a:b]
-                    block = int(g.block.iloc[0])
-                    for x, y in subtree_pairs(g.rot.to_numpy().view(np.uint64), g.home.to_numpy(),
-                                              int(g.top.iloc[0]), budget):
-                        x, y = rotate(x, BITS - starts[block]), rotate(y, BITS - starts[block])
-                        # an earlier block that agrees as well has found the pair
-                        new_ = np.ones(len(x), dtype=bool)
-                        for start, width in cuts[:block]:
-                            new_ &= rotate(x ^ y, start) >> np.uint64(BITS - width) != 0
-                        yield pd.DataFrame({"a": x[new_].view(np.int64), "b": y[new_].view(np.int64)})
+        def whole(last: bool) -> Iterator[pd.DataFrame]:
+            f = pd.concat(held, ignore_index=True)
+            held.clear()
+            if not len(f):
+                return
+            block = f.block.to_numpy()
+            ends = [*(np.flatnonzero(block[1:] != block[:-1]) + 1), len(f)]
+            if not last:                            # the last subtree may go on in the next batch
+                keys = [f[c].to_numpy() for c in ("block", "name", "at")]
+                end = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+                end = int(end[-1]) if len(end) else 0
+                held.append(f.iloc[end:])
+                ends = [*(e for e in ends if e < end), *([end] if end else [])]
+            for a, b in zip([0, *ends], ends, strict=False):
+                yield from pairs(f.iloc[a:b])
 
         for f in batches:
-            f = pd.concat([*held, f], ignore_index=True)
-            held.clear()
-            yield from groups(f, False)
+            held.append(f)
+            if sum(map(len, held)) > HELD_ROWS:
+                yield from whole(False)
         if held:
-            f = pd.concat(held, ignore_index=True)
-            held.clear()
-            yield from groups(f, True)
+            yield from whole(True)
 
     return (visits.repartition(F.col("block"), F.col("name"), F.col("at"))
             .sortWithinPartitions("block", "name", "at").mapInPandas(join, "a long, b long"))
