@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import balltree as op8
 from . import exact_dedup as op4
 from . import language as op1
 from . import mixing as op9
@@ -75,6 +76,26 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.pack(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op8_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8.top_k(read(spark, sf_dir, "embeddings"))
+
+
+ORACLE_OP8 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.taken_per_document(op9.mix(read(spark, sf_dir, "documents")))
 
@@ -92,6 +113,7 @@ def queries() -> dict[str, Query]:
         "op4_exact_dedup": op4_exact_dedup,
         "op5_secrets": op5_secrets,
         "op6_packing": op6_packing,
+        "op8_search": op8_search,
         "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
     }
@@ -101,4 +123,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_warc": ORACLE_OP2,
         "op4_exact_dedup": ORACLE_OP4,
+        "op8_search": ORACLE_OP8,
     }
