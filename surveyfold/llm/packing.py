@@ -17,13 +17,16 @@ to its ids.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
-import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,55 +36,125 @@ from .common import ROW, text_or_empty
 
 LENGTH, END_ID = 4096, 2
 HASHED, DIMS, CURVE_BITS = 256, 3, 10
-CACHE_WORDS = 400_000
+BATCH_BYTES, GATHER_WORDS = 8 << 20, 1 << 18
 
 
 # --- token ids ---------------------------------------------------------------
 
-class WordCache:
+# a plain word is two pre-tokens: Latin letters, then ASCII marks other than an
+# apostrophe (which may begin a contraction)
+PLAIN = "^(?P<a>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<b>[!-&(-/:-@\\[-`{-~]*)$"
+JOINED = 64                  # pre-tokens that are encoded in one call
+MOST_KNOWN = 400_000         # pre-tokens a worker remembers
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The concatenation of starts[i], ..., starts[i] + sizes[i] - 1."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+class Flat(NamedTuple):
+    """Lists of ids end to end."""
+
+    ids: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, ids: np.ndarray, sizes: np.ndarray) -> Flat:
+        return cls(ids, np.cumsum(sizes) - sizes, sizes)
+
+    def take(self, which: np.ndarray) -> Flat:
+        return Flat.of(self.ids[ranges(self.starts[which], self.sizes[which])], self.sizes[which])
+
+
+class WordTokenizer:
     """Ids of texts by a tokenizer that drops white space and never joins words.
 
     For such a tokenizer the ids of a text are those of its words in order, so
-    words are encoded once. A plain word (Latin letters, then ASCII marks other
-    than an apostrophe) is two pre-tokens, which are cached on their own.
+    only the distinct words of a batch are encoded.
     """
 
-    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]+)")
-
-    def __init__(self, path: str, most: int = CACHE_WORDS):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # the task has one core
         from tokenizers import Tokenizer
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.words: dict[str, list[int]] = {}
-        self.parts: dict[str, list[int]] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        split = {w: m.groups() if (m := self.PLAIN.fullmatch(w)) and "<|" not in w else (w,) for w in words}
-        fresh = list({p for ps in split.values() for p in ps if p not in self.parts})
-        for p, e in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-            self.parts[p] = e.ids
-        for w, ps in split.items():
-            self.words[w] = self.parts[ps[0]] if len(ps) == 1 else self.parts[ps[0]] + self.parts[ps[1]]
-
-    def encode(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        if len(self.words) > self.most:      # bounded memory; words come back as they are met
-            self.words.clear()
-            self.parts.clear()
-        known = self.words
-        missing = {w for w in words if w not in known}
-        if missing:
-            self._learn(missing)
-        out: list[int] = []
-        for w in words:
-            out += known[w]
-        return np.array(out, dtype=np.uint32)
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.size = max(vocabulary.values(), default=0) + 1
+        self.ends_word = np.zeros(self.size, dtype=bool)
+        self.ends_word[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
+        self.index: dict[str, int] = {}                  # pre-tokens met before
+        self.known = Flat.of(np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64))
+
+    def one_by_one(self, parts: list[str]) -> Flat:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return Flat.of(np.fromiter(itertools.chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum())), sizes)
+
+    def pre_tokens(self, parts: list[str]) -> Flat:
+        """Ids of single pre-tokens: many go in one call, word-end tokens part them."""
+        if not self.ends_word.any():
+            return self.one_by_one(parts)
+        at = np.fromiter((self.index.get(p, -1) for p in parts), dtype=np.int64, count=len(parts))
+        fresh = [parts[i] for i in np.flatnonzero(at < 0)]
+        if fresh:
+            found, base = self._pre_tokens(fresh), len(self.index)
+            at[at < 0] = np.arange(len(fresh)) + base
+            both = Flat.of(np.concatenate([self.known.ids, found.ids]), np.concatenate([self.known.sizes, found.sizes]))
+            if base + len(fresh) <= MOST_KNOWN:          # bounded: what comes later is encoded again
+                self.known = both
+                self.index.update(zip(fresh, range(base, base + len(fresh)), strict=True))
+            return both.take(at)
+        return self.known.take(at)
+
+    def _pre_tokens(self, parts: list[str]) -> Flat:
+        calls = [parts[i:i + JOINED] for i in range(0, len(parts), JOINED)]
+        out = self.one_by_one([" ".join(c) for c in calls])
+        ends = self.ends_word[out.ids]
+        per_call = np.add.reduceat(ends, out.starts, dtype=np.int64) if len(calls) else np.zeros(0, dtype=np.int64)
+        if out.sizes.min(initial=1) < 1 or per_call.tolist() != [len(c) for c in calls]:
+            return self.one_by_one(parts)                # not one word end for each: no short cut
+        stops = np.flatnonzero(ends) + 1
+        return Flat.of(out.ids, np.diff(np.concatenate([[0], stops])))
+
+    def words(self, words: pa.Array) -> Flat:
+        """Ids of distinct words."""
+        split = pc.extract_regex(words, PLAIN)
+        plain = np.asarray(split.is_valid())
+        other = self.one_by_one(words.filter(pa.array(~plain)).to_pylist())
+        a, b = (pc.struct_field(split.drop_null(), k).dictionary_encode() for k in "ab")
+        ids_a, ids_b = (self.pre_tokens(x.dictionary.to_pylist()) if k == "a" else self.one_by_one(x.dictionary.to_pylist())
+                        for k, x in (("a", a), ("b", b)))
+        both, n_a, n_o = Flat.of(np.concatenate([ids_a.ids, ids_b.ids, other.ids]), np.concatenate(
+            [ids_a.sizes, ids_b.sizes, other.sizes])), len(ids_a.sizes), len(ids_a.sizes) + len(ids_b.sizes)
+        # a plain word is a pair of pre-tokens, any other one list
+        pair = np.full((len(words), 2), -1, dtype=np.int64)
+        pair[plain, 0], pair[plain, 1] = np.asarray(a.indices), np.asarray(b.indices) + n_a
+        pair[~plain, 0] = np.arange(len(other.sizes)) + n_o
+        sizes = np.append(both.sizes, 0)[pair]
+        flat = both.take(pair[pair >= 0])
+        return Flat.of(flat.ids, sizes.sum(axis=1))
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, Flat]]:
+        """(first text, ids of some texts), in order."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.values.dictionary_encode()
+        known = self.words(coded.dictionary)
+        index, at = np.asarray(coded.indices), np.asarray(split.offsets).astype(np.int64)
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(at, at[first] + GATHER_WORDS, side="right")) - 1)
+            part = known.take(index[at[first]:at[last]])
+            before = np.append(part.starts, len(part.ids))[at[first:last + 1] - at[first]]
+            yield first, Flat.of(part.ids, np.diff(before))
+            first = last
 
 
 @functools.cache
-def word_cache(path: str) -> WordCache:
-    """One cache per Python worker, which serves many tasks."""
-    return WordCache(path)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One per Python worker, which serves many tasks."""
+    return WordTokenizer(path)
 
 
 # --- curve -------------------------------------------------------------------
@@ -117,14 +190,14 @@ def projection(seed: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((HASHED, DIMS))
 
 
-def curve_keys(documents: list[np.ndarray], seed: int = 1) -> np.ndarray:
+def curve_keys(documents: Flat, seed: int = 1) -> np.ndarray:
     """The Hilbert keys of documents given by their ids (no ids: the middle cell)."""
-    v = np.zeros((len(documents), HASHED))
-    for row, ids in zip(v, documents, strict=True):
-        h = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
-        h ^= h >> np.uint64(31)
-        counts = np.log1p(np.bincount((h % np.uint64(2 * HASHED)).astype(np.int64), minlength=2 * HASHED))
-        row[:] = counts[:HASHED] - counts[HASHED:]
+    n = len(documents.sizes)
+    h = documents.ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
+    h ^= h >> np.uint64(31)
+    slot = (h % np.uint64(2 * HASHED)).astype(np.int64) + np.repeat(np.arange(n) * 2 * HASHED, documents.sizes)
+    counts = np.log1p(np.bincount(slot, minlength=n * 2 * HASHED).reshape(n, 2, HASHED))
+    v = counts[:, 0] - counts[:, 1]
     norm = np.sqrt((v * v).sum(axis=1, keepdims=True))
     y = v / np.where(norm > 0, norm, 1) @ projection(seed)        # each about standard normal
     cell = (1 / (1 + np.exp(-1.702 * y)) * (1 << CURVE_BITS)).astype(np.int64)
@@ -133,21 +206,43 @@ def curve_keys(documents: list[np.ndarray], seed: int = 1) -> np.ndarray:
 
 # --- on Spark ----------------------------------------------------------------
 
-def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """(row tag, doc_id, key, n, ids as little-endian 32-bit) per row, written down."""
+def id_type(size: int) -> str:
+    """Two bytes an id where the vocabulary allows."""
+    return "<u2" if size <= 1 << 16 else "<u4"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = word_cache(tokenizer_path)
-        for f in batches:
-            ids = [cache.encode(t) for t in f["__text"]]
-            yield pd.DataFrame({"__at": f["__at"], "key": curve_keys(ids),
-                                "n": [len(x) + 1 for x in ids],
-                                "ids": [np.append(x, end_id).astype("<u4").tobytes() for x in ids]})
+
+def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
+    """(row tag, doc_id, key, n, ids as little-endian numbers of id_type) per row, written down."""
+    schema = "`__at` string, key long, n long, ids binary"
+
+    def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Slices of about BATCH_BYTES of text; a longer text is one alone."""
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0)).astype(np.int64)
+        part = (np.cumsum(sizes) - sizes) // BATCH_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = word_tokenizer(tokenizer_path)
+        kind = id_type(max(tokenizer.size, end_id + 1))
+        for batch in itertools.chain.from_iterable(map(slices, batches)):
+            for first, found in tokenizer.encode(batch.column(1)):
+                count = len(found.sizes)
+                ids = np.full(len(found.ids) + count, end_id, dtype=kind)
+                ids[np.arange(len(found.ids)) + np.repeat(np.arange(count), found.sizes)] = found.ids
+                n = found.sizes + 1
+                ends = np.concatenate([[0], np.cumsum(n)]) * ids.itemsize
+                packed = pa.Array.from_buffers(pa.large_binary(), count, [
+                    None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(ids.tobytes())])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, count), pa.array(curve_keys(found)), pa.array(n),
+                     packed.cast(pa.binary())], names=["__at", "key", "n", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     at = F.struct("doc_id", F.monotonically_increasing_id().alias(ROW))
-    out = docs.select(F.to_json(at).alias("__at"), text_or_empty().alias("__text")).mapInPandas(
-        run, "`__at` string, key long, n long, ids binary")
+    out = docs.select(F.to_json(at).alias("__at"), text_or_empty().alias("__text")).mapInArrow(run, schema)
     back = F.from_json("__at", f"doc_id {kind}, `{ROW}` long")
     return stage_table(out.select(back.alias("at"), "key", "n", "ids").select("at.*", "key", "n", "ids"), "pack-ids")
 
@@ -180,8 +275,8 @@ def line_starts(tokens: DataFrame) -> tuple[DataFrame, int]:
     return inside.join(offsets, "part").select(ROW, (F.col("before") + F.col("inside")).alias("start_at")), at
 
 
-def pieces(placed: DataFrame, total: int, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
-    """Documents cut at the sequence ends."""
+def pieces(placed: DataFrame, total: int, kind: str, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
+    """Documents cut at the sequence ends; ``kind`` is the type of the packed ids."""
     full = total // length
     tail, at = [], full * length
     while at < total:                      # powers of two, largest first
@@ -195,7 +290,7 @@ def pieces(placed: DataFrame, total: int, length: int = LENGTH, with_ids: bool =
         for f in batches:
             rows = []
             for at, begin, raw in zip(f["__at"], f.start_at, f.ids, strict=True):
-                ids = memoryview(raw).cast("I")
+                ids = np.frombuffer(raw, dtype=kind).astype("<u4")
                 n, here = len(ids), 0
                 while here < n:
                     place = begin + here
@@ -207,8 +302,8 @@ def pieces(placed: DataFrame, total: int, length: int = LENGTH, with_ids: bool =
                         seq, first, end = full + k, int(tail[k]), int(tail[k + 1])
                     take = min(n - here, end - place)
                     part = ids[here:here + take]
-                    rows.append((at, here, take, zlib.crc32(part), n, seq, place - first,
-                                 *([np.array(part, dtype=np.int32)] if with_ids else [])))
+                    rows.append((at, here, take, zlib.crc32(part.tobytes()), n, seq, place - first,
+                                 *([part.astype(np.int32)] if with_ids else [])))
                     here += take
             yield pd.DataFrame(rows, columns=[c.split()[0].strip("`") for c in schema.split(", ")])
 
@@ -227,5 +322,5 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: int
     starts, total = line_starts(tokens)
     kind = docs.schema["doc_id"].dataType.simpleString()
     placed = tokens.join(starts, ROW).select(F.to_json(F.struct("doc_id")).alias("__at"), "start_at", "ids")
-    out = pieces(placed, total, length, with_ids)
+    out = pieces(placed, total, id_type(max(word_tokenizer(tokenizer_path).size, end_id + 1)), length, with_ids)
     return out.withColumn("doc_id", F.from_json("__at", f"doc_id {kind}")["doc_id"]).drop("__at")
