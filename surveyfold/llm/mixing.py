@@ -2,8 +2,9 @@
 
 The words of a source form one line, its documents in a seeded random order.
 The line is cut into equal blocks; a source whose target is ``r`` times its
-size draws ``round(r * blocks)`` of them: every block ``floor(r)`` times and a
-seeded random subset, without repetition, once more.
+size draws ``r * blocks`` of them: every block ``floor(r)`` times and a seeded
+random subset, without repetition, once more. What is left below one block is
+taken from the front of the next block of the permutation.
 
 Output shards get their share of each source from a splitting tree: at a node
 the draws of all sources are split between the left and the right half of the
@@ -33,7 +34,7 @@ from .common import ROW, tag_rows, text_or_empty
 WEIGHTS = (3, 1, 2)          # by source in code-point order, repeating
 SHARE = Fraction(3, 2)       # of all sizes
 MOST = 2                     # times a source's size
-BLOCK_WORDS, LEAST_BLOCKS = 4096, 1000
+BLOCK_WORDS, LEAST_BLOCKS, LEAST_WORDS = 4096, 1000, 256
 SHARD_WORDS, MAX_SHARDS = 1 << 22, 4096
 ORDER_BITS = 12              # leading bits of the random order that group a source's rows
 WORD = r"[^\x20\x09-\x0D]+"
@@ -129,19 +130,21 @@ def plan(line: DataFrame, seed: int) -> list[dict]:
     out = []
     for k, (row, target) in enumerate(zip(found, targets(sizes), strict=True)):
         size = row["size"]
-        blocks = min(size, max(LEAST_BLOCKS, size // BLOCK_WORDS))
+        # about LEAST_BLOCKS at least, unless they would be shorter than LEAST_WORDS
+        blocks = max(1, min(size // LEAST_WORDS, max(LEAST_BLOCKS, size // BLOCK_WORDS)))
+        draws = Fraction(target) / size * blocks if size else Fraction(0)
         out.append({"source": row.source, "k": k, "source_size": size, "target": target, "blocks": blocks,
-                    "draws": round(Fraction(target) / size * blocks) if size else 0})
+                    "draws": int(draws), "rest": round((draws - int(draws)) * size / blocks)})
     words = sum(sizes)
     shards = max(1, min(MAX_SHARDS, -(-words // SHARD_WORDS)))
-    ends = np.cumsum(split_tree([s["draws"] for s in out], shards, seed), axis=0)
+    ends = np.cumsum(split_tree([s["draws"] + (s["rest"] > 0) for s in out], shards, seed), axis=0)
     for s in out:
         s["shard_ends"] = ends[:, s["k"]].tolist()
     return out
 
 
 PLAN_SCHEMA = ("source string, k int, source_size long, target double, blocks long, draws long, "
-               "shard_ends array<long>")
+               "rest long, shard_ends array<long>")
 PIECE_SCHEMA = ("doc_id long, `__row_tag` long, size long, source_size long, target double, copy long, "
                 "first_word long, words long, shard long, place long")
 
@@ -173,13 +176,15 @@ def place_pieces(placed: DataFrame, seed: int) -> DataFrame:
         lo = np.maximum(bound(block, total[at], blocks[at]), start[at])
         hi = np.minimum(bound(block + 1, total[at], blocks[at]), (start + size)[at])
         draws, k = some.draws.to_numpy(np.int64)[at], some.k.to_numpy(np.uint64)[at]
+        front = bound(block, total[at], blocks[at]) + some.rest.to_numpy(np.int64)[at]
         rows = []
         for copy in range(MOST):
             key = (k + np.uint64(seed)) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(copy)
             draw = copy * blocks[at] + permuted(block, blocks[at], key)
-            hit = np.flatnonzero(draw < draws)
+            words = np.where(draw < draws, hi, np.where(draw == draws, np.minimum(hi, front), lo)) - lo
+            hit = np.flatnonzero(words > 0)
             rows.append(pd.DataFrame({"row": at[hit], "copy": copy, "first_word": (lo - start[at])[hit],
-                                      "words": (hi - lo)[hit], "draw": draw[hit]}))
+                                      "words": words[hit], "draw": draw[hit]}))
         drawn = pd.concat(rows)
         drawn["index"] = some.index.to_numpy()[drawn.row.to_numpy()]
         shard = np.zeros(len(drawn), dtype=np.int64)
@@ -189,7 +194,7 @@ def place_pieces(placed: DataFrame, seed: int) -> DataFrame:
             ends = np.asarray(f.shard_ends[np.flatnonzero(f.k.to_numpy() == kind)[0]])
             shard[own] = np.searchsorted(ends, drawn.draw.to_numpy()[own], side="right")
         drawn["shard"] = shard
-        out = f.drop(columns=["shard_ends", "blocks", "draws", "k"]).merge(
+        out = f.drop(columns=["shard_ends", "blocks", "draws", "rest", "k"]).merge(
             drawn.set_index("index").drop(columns=["row", "draw"]), how="left", left_index=True, right_index=True)
         place = pd.util.hash_pandas_object(out[["u", "copy", "first_word"]], index=False)
         out["place"] = place.to_numpy().view(np.int64)
@@ -221,7 +226,7 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     plans = [tuple(s[c.split()[0]] for c in PLAN_SCHEMA.split(", ")) for s in plan(line, seed)]
     table = spark.createDataFrame(plans, PLAN_SCHEMA).withColumnRenamed("source", "s")
     placed = line.join(table, line.source.eqNullSafe(table.s)).select(
-        "doc_id", ROW, "u", "size", "start", "k", "source_size", "target", "blocks", "draws", "shard_ends")
+        "doc_id", ROW, "u", "size", "start", "k", "source_size", "target", "blocks", "draws", "rest", "shard_ends")
     return place_pieces(placed, seed)
 
 

@@ -11,6 +11,7 @@ from . import exact_dedup as op4
 from . import language as op1
 from . import mixing as op9
 from . import packing as op6
+from . import repeats as op7
 from . import secrets as op5
 from . import simhash as op3
 from . import toxicity as op10
@@ -76,6 +77,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.pack(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op8_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.top_k(read(spark, sf_dir, "embeddings"))
 
@@ -113,6 +118,7 @@ def queries() -> dict[str, Query]:
         "op4_exact_dedup": op4_exact_dedup,
         "op5_secrets": op5_secrets,
         "op6_packing": op6_packing,
+        "op7_repeats": op7_repeats,
         "op8_search": op8_search,
         "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
