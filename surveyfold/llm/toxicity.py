@@ -1,25 +1,27 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Terms are words and, since invective is inflected, the 4- and 5-letter pieces
-of words. The vocabulary holds the terms whose chi-square against the label is
-largest among the examples; document frequencies are counted over all
-documents. Examples are at most ``PER_CLASS`` labelled rows of either label,
-picked by a hash of the id.
+Terms are the 4- and 5-letter pieces of a text's letters (lower case, every run
+of other characters one space), since invective is inflected and compounded;
+a term is known by its 64-bit hash. The vocabulary holds the terms whose
+chi-square against the label is largest among the examples; document
+frequencies are counted over all documents. Examples are at most
+``PER_CLASS`` labelled rows of either label, picked by a hash of the id.
 
 The index stores, for every term and every block of ``BLOCK`` examples, the
 postings and the largest weight among them. A query adds up the block maxima
 of its terms, visits blocks by that bound, largest first, and stops at the
 first block whose bound is below the k-th best cosine so far: the k neighbours
-are exact. They vote with their squared cosine, times the share that their
-label has among all labelled rows over the share it has among the examples; a
-prior of that base rate keeps weak evidence from deciding. The vote's log-odds
-are calibrated by a logistic curve, fitted to the examples' own votes with each
+are exact. Queries go in batches, those that visit the same block next together.
+
+Neighbours vote with their squared cosine, times the share that their label
+has among all labelled rows over the share it has among the examples; a prior
+of that base rate keeps weak evidence from deciding. The vote's log-odds are
+calibrated by a logistic curve, fitted to the examples' own votes with each
 left out of its neighbours.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -30,48 +32,58 @@ from pyspark.sql import functions as F
 
 from ..session import stage_table
 from .common import is_held_out, text_or_empty
+from .language import letters
+from .packing import Flat, ranges
 
-PER_CLASS, TERMS, LEAST_CHI, LEAST_DF = 4000, 4096, 20.0, 4
+PER_CLASS, TERMS, LEAST_CHI, LEAST_DF = 2500, 1500, 30.0, 4
 BLOCK, NEIGHBOURS, PRIOR_WEIGHT = 64, 15, 0.5
 THRESHOLD = 0.7
-WORD = re.compile(r"[^\W\d_]+")
 PIECES = (4, 5)
-CACHE_WORDS = 300_000
+PROBE_BITS = 20
+BATCH_DOCS = 512
 
 
-def terms_of(word: str) -> set[str]:
-    """A lower-case word and its pieces; ``^`` and ``$`` mark its ends."""
-    full = f"^{word}$"
-    return {full, *(full[i:i + n] for n in PIECES for i in range(len(full) - n + 1))}
+# --- terms -------------------------------------------------------------------
 
+def piece_hashes(text: str) -> np.ndarray:
+    """Hashes of all pieces of the whole text, repeats included."""
+    points = letters(text)
+    out, k = [], np.uint64(0x9E3779B97F4A7C15)
+    for n in PIECES:
+        if len(points) < n:
+            continue
+        h = np.full(len(points) - n + 1, n, dtype=np.uint64)
+        for i in range(n):
+            h = (h ^ points[i:i + len(h)]) * k
+        out.append(h ^ h >> np.uint64(32))
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
-class Vocabulary:
-    """Counts of known terms in a text; words are looked up once per worker."""
 
-    def __init__(self, terms: dict[str, int]):
-        self.terms, self.words = terms, {}
+class Vocabulary:
+    """Finds known terms; a bitmap of their low bits drops most other pieces first."""
 
-    def ids(self, word: str) -> tuple[int, ...]:
-        return tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms                       # sorted hashes
+        self.probe = np.zeros(1 << PROBE_BITS, dtype=bool)
+        self.mask = np.uint64((1 << PROBE_BITS) - 1)
+        self.probe[(terms & self.mask).astype(np.int64)] = True
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(term ids ascending, counts) over the whole text."""
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        known, found = self.words, []
-        for word in WORD.findall(text.lower()):
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = self.ids(word)
-            if ids:
-                found += ids
-        return np.unique(np.array(found, dtype=np.int64), return_counts=True)
+        """(term numbers ascending, counts)."""
+        if not len(self.terms):
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        h = piece_hashes(text)
+        h = h[self.probe[(h & self.mask).astype(np.int64)]]
+        at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
+        return np.unique(at[self.terms[at] == h], return_counts=True)
+
 
+# --- index -------------------------------------------------------------------
 
 class Index(NamedTuple):
     """The examples' unit vectors as postings by term, with block maxima."""
 
-    vocabulary: dict[str, int]
+    terms: np.ndarray             # hashes, ascending
     idf: np.ndarray
     starts: np.ndarray            # (terms, blocks + 1): postings of term t in block b
     rows: np.ndarray              # example in block, by posting
@@ -83,50 +95,73 @@ class Index(NamedTuple):
     base_rate: float
     scale: tuple[float, float] = (0.0, 1.0)       # of the log-odds of the vote
 
-    def vector(self, found: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        ids, n = found
-        w = (1 + np.log(n)) * self.idf[ids]
-        return ids, w / max(np.sqrt((w * w).sum()), 1e-12)
-
-    def nearest(self, ids: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest with a cosine above zero, ties to
-        the smaller example; exact."""
-        bound = w @ self.maxima[ids]
-        order = np.argsort(-bound, kind="stable")
-        best, score = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for b in order[:np.count_nonzero(bound > 0)]:
-            if len(score) == k and bound[b] < score[-1] - 1e-9:
+    def vectors(self, found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[Flat, np.ndarray]:
+        """Unit TF-IDF vectors: term numbers of all documents, and their weights."""
+        terms = Flat.of(np.concatenate([x[0] for x in found]), np.array([len(x[0]) for x in found], dtype=np.int64))
+        w = (1 + np.log(np.concatenate([x[1] for x in found]))) * self.idf[terms.ids]
+        doc = np.repeat(np.arange(len(found)), terms.sizes)
+        norm = np.sqrt(np.bincount(doc, weights=w * w, minlength=len(found)))
+        return terms, w / norm[doc]
+
+    def nearest(self, terms: Flat, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(examples, cosines), each (documents, k): the k nearest with a cosine
+        above zero, best first, ties to the smaller example; -1 where there are fewer."""
+        n, blocks = len(terms.sizes), self.maxima.shape[1]
+        near, cos = np.full((n, k), -1, dtype=np.int64), np.zeros((n, k))
+        doc = np.repeat(np.arange(n), terms.sizes)
+        bound = np.zeros((n, blocks))
+        some = np.flatnonzero(terms.sizes)
+        if not len(some) or not blocks:
+            return near, cos
+        bound[some] = np.add.reduceat(self.maxima[terms.ids] * w[:, None], terms.starts[some], axis=0)
+        order = np.argsort(-bound, axis=1, kind="stable")
+        active = some
+        for step in range(blocks):
+            block = order[active, step]
+            top = bound[active, block]
+            go = (top > 0) & (top >= cos[active, k - 1] - 1e-9)      # later bounds are no larger
+            active, block = active[go], block[go]
+            if not len(active):
                 break
-            lo, hi = self.starts[ids, b], self.starts[ids, b + 1]
-            n = hi - lo
-            at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-            cos = np.bincount(self.rows[at], weights=self.weights[at] * np.repeat(w, n), minlength=BLOCK)
-            hit = np.flatnonzero(cos > 0)
-            best = np.concatenate([best, hit + b * BLOCK])
-            score = np.concatenate([score, cos[hit]])
-            top = np.lexsort((best, -score))[:k]
-            best, score = best[top], score[top]
-        return best, score
-
-    def odds(self, found: tuple[np.ndarray, np.ndarray], k: int, but: int | None = None) -> tuple[float, list[int]]:
-        """Log-odds of the vote, and the neighbours' ids without example ``but``."""
-        if not len(found[0]) or not len(self.labels):
-            return float(np.log(self.base_rate / (1 - self.base_rate))), []
-        near, cos = self.nearest(*self.vector(found), k + (but is not None))
+            for b in np.unique(block):
+                own = active[block == b]
+                at = ranges(terms.starts[own], terms.sizes[own])
+                lo, hi = self.starts[terms.ids[at], b], self.starts[terms.ids[at], b + 1]
+                posting = ranges(lo.astype(np.int64), (hi - lo).astype(np.int64))
+                row = np.repeat(np.searchsorted(own, doc[at]), hi - lo)
+                sums = np.bincount(row * BLOCK + self.rows[posting], minlength=len(own) * BLOCK,
+                                   weights=self.weights[posting] * np.repeat(w[at], hi - lo)).reshape(-1, BLOCK)
+                # cosines of equal examples may differ in the last bit; rounded, ties are ties
+                both = np.concatenate([cos[own], np.round(sums, 12)], axis=1)
+                ids = np.concatenate([near[own], np.broadcast_to(np.arange(BLOCK) + b * BLOCK, sums.shape)], axis=1)
+                ids = np.where(both > 0, ids, -1)
+                best = np.lexsort((ids, -both), axis=1)[:, :k]
+                near[own], cos[own] = np.take_along_axis(ids, best, 1), np.take_along_axis(both, best, 1)
+        return near, cos
+
+    def odds(self, found: list[tuple[np.ndarray, np.ndarray]], k: int, but: np.ndarray | None = None,
+             ) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Log-odds of every document's vote and its neighbours' ids, without the example ``but``."""
+        near, cos = self.nearest(*self.vectors(found), k + (but is not None))
         if but is not None:
-            other = self.ids[near] != but
-            near, cos = near[other][:k], cos[other][:k]
+            cos = np.where(self.ids[near] == but[:, None], 0, cos)
+            order = np.argsort(-cos, axis=1, kind="stable")[:, :k]
+            near, cos = np.take_along_axis(near, order, 1), np.take_along_axis(cos, order, 1)
         labels = self.labels[near]
         votes = cos * cos * self.vote[labels]
-        share = (votes[labels == 1].sum() + PRIOR_WEIGHT * self.base_rate) / (votes.sum() + PRIOR_WEIGHT)
-        return float(np.log(share / (1 - share))), self.ids[near].tolist()
+        share = ((votes * labels).sum(axis=1) + PRIOR_WEIGHT * self.base_rate) / (votes.sum(axis=1) + PRIOR_WEIGHT)
+        return np.log(share / (1 - share)), [self.ids[x[c > 0]] for x, c in zip(near, cos, strict=True)]
 
-    def score(self, found: tuple[np.ndarray, np.ndarray], k: int = NEIGHBOURS) -> tuple[float, list[int]]:
-        """Calibrated score and the neighbours' ids; no known term gives the base rate."""
-        if not len(found[0]) or not len(self.labels):
-            return self.base_rate, []
-        x, ids = self.odds(found, k)
-        return float(1 / (1 + np.exp(-(self.scale[0] + self.scale[1] * x)))), ids
+    def score(self, found: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Calibrated scores and the neighbours' ids; no known term gives the base rate."""
+        known = np.array([len(x[0]) > 0 for x in found], dtype=bool)
+        scores, ids = np.full(len(found), self.base_rate), [np.zeros(0, dtype=np.int64)] * len(found)
+        if known.any() and len(self.labels):
+            x, voted = self.odds([f for f in found if len(f[0])], k)
+            scores[known] = 1 / (1 + np.exp(-(self.scale[0] + self.scale[1] * x)))
+            for at, v in zip(np.flatnonzero(known), voted, strict=True):
+                ids[at] = v
+        return scores, ids
 
 
 def platt(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -143,7 +178,7 @@ def platt(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, floa
     return float(w[0]), float(max(w[1], 0.0))
 
 
-def build_index(vocabulary: dict[str, int], idf: np.ndarray, examples: list, vote: np.ndarray, base_rate: float) -> Index:
+def build_index(terms: np.ndarray, idf: np.ndarray, examples: list, vote: np.ndarray, base_rate: float) -> Index:
     """``examples``: (id, label, term ids, unit weights). Like examples get into
     the same block: they are ordered by their heaviest term."""
     examples = sorted(examples, key=lambda e: (int(e[2][np.argmax(e[3])]) if len(e[2]) else -1, e[0]))
@@ -159,7 +194,7 @@ def build_index(vocabulary: dict[str, int], idf: np.ndarray, examples: list, vot
                       [ends[blocks::blocks]], axis=1) if blocks else np.zeros((len(idf), 1), dtype=np.int64)
     maxima = np.zeros(len(idf) * blocks)
     np.maximum.at(maxima, cell, weight)
-    return Index(vocabulary, idf, starts.astype(np.int32), (row % BLOCK).astype(np.int16), weight,
+    return Index(terms, idf, starts.astype(np.int32), (row % BLOCK).astype(np.int16), weight,
                  maxima.reshape(len(idf), blocks) if blocks else np.zeros((len(idf), 0)),
                  np.array([e[1] for e in examples], dtype=np.int64), np.array([e[0] for e in examples], dtype=np.int64),
                  vote, base_rate)
@@ -177,7 +212,7 @@ def labelled(labels: DataFrame) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_terms: int = TERMS, seed: int = 11) -> Index:
     """The index; without examples of both labels it has none and scores are the base rate.
 
-    To the driver come two counts, at most ``most_terms`` terms and at most
+    To the driver come two counts, at most ``most_terms`` terms, and at most
     ``2 * per_class`` term vectors.
     """
     known = stage_table(labelled(labels), "tox-labels")
@@ -192,26 +227,26 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
 
     def term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in batches:
-            seen: dict[str, list[int]] = {}
-            for text, y in zip(f["text"], f["toxic"], strict=True):
-                for t in set().union(*map(terms_of, set(WORD.findall(text.lower())))):
-                    seen.setdefault(t, [0, 0])[y] += 1
-            yield pd.DataFrame([(t, *n) for t, n in seen.items()], columns=["term", "n0", "n1"])
+            seen = [np.unique(piece_hashes(t)) for t in f["text"]]
+            label = np.repeat(f["toxic"].to_numpy(), [len(x) for x in seen])
+            term, at = np.unique(np.concatenate(seen), return_inverse=True)
+            n = [np.bincount(at[label == y], minlength=len(term)) for y in (0, 1)]
+            yield pd.DataFrame({"term": term.view(np.int64), "n0": n[0], "n1": n[1]})
 
-    counts = (examples.mapInPandas(term_counts, "term string, n0 long, n1 long")
+    counts = (examples.mapInPandas(term_counts, "term long, n0 long, n1 long")
               .groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
     have = {r.toxic: r["count"] for r in examples.groupBy("toxic").count().collect()}
     if len(have) < 2:
-        return build_index({}, np.zeros(0), [], np.ones(2), float(base))    # nothing to tell apart
+        return build_index(np.zeros(0, dtype=np.uint64), np.zeros(0), [], np.ones(2), float(base))    # nothing to tell apart
     d0, d1 = F.lit(float(have[0])), F.lit(float(have[1]))
     a, b = F.col("n1"), F.col("n0")
     chi = (d0 + d1) * F.pow(a * (d0 - b) - b * (d1 - a), F.lit(2)) / (d0 * d1 * (a + b) * (d0 + d1 - a - b + 1e-9))
     best = (counts.withColumn("chi", chi).filter((F.col("chi") >= LEAST_CHI) & (a + b >= LEAST_DF))
             .orderBy(F.desc("chi"), "term").limit(most_terms).select("term").collect())
-    vocabulary = {t: k for k, t in enumerate(sorted(r.term for r in best))}
+    terms = np.sort(np.array([r.term for r in best], dtype=np.int64).view(np.uint64))
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, df, n = Vocabulary(vocabulary), np.zeros(len(vocabulary) + 1, dtype=np.int64), 0
+        words, df = Vocabulary(terms), np.zeros(len(terms) + 1, dtype=np.int64)
         for f in batches:
             for text in f["text"]:
                 df[words.counts(text)[0]] += 1
@@ -219,14 +254,14 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
         hit = np.flatnonzero(df)
         yield pd.DataFrame({"term": hit, "df": df[hit]})
 
-    df = np.zeros(len(vocabulary) + 1)
+    df = np.zeros(len(terms) + 1)
     for r in (docs.select(text_or_empty().alias("text")).mapInPandas(frequencies, "term int, df long")
               .groupBy("term").agg(F.sum("df").alias("df")).collect()):
         df[r.term] = r.df
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Vocabulary(vocabulary)
+        words = Vocabulary(terms)
         for f in batches:
             found = [words.counts(t) for t in f["text"]]
             yield pd.DataFrame({"doc_id": f["doc_id"], "toxic": f["toxic"], "terms": [x[0] for x in found],
@@ -239,17 +274,24 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
         w = (1 + np.log(n)) * idf[ids]
         made.append((r.doc_id, r.toxic, ids, w / max(np.sqrt((w * w).sum()), 1e-12)))
     shares = np.array([1 - base, base]) / np.array([have[0], have[1]]) * sum(have.values())
-    index = build_index(vocabulary, idf, made, shares / shares[1], float(base))
+    index = build_index(terms, idf, made, shares / shares[1], float(base))
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def left_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
-        words = Vocabulary(own.vocabulary)
+        words = Vocabulary(own.terms)
         for f in batches:
-            yield pd.DataFrame({"toxic": f["toxic"], "odds": [
-                own.odds(words.counts(t), NEIGHBOURS, d)[0] for t, d in zip(f["text"], f["doc_id"], strict=True)]})
+            for a in range(0, len(f), BATCH_DOCS):
+                part = f.iloc[a:a + BATCH_DOCS]
+                found = [words.counts(t) for t in part["text"]]
+                some = np.array([len(x[0]) > 0 for x in found], dtype=bool)
+                if some.any():
+                    odds, _ = own.odds([x for x in found if len(x[0])], NEIGHBOURS, part["doc_id"].to_numpy()[some])
+                    yield pd.DataFrame({"toxic": part["toxic"].to_numpy()[some], "odds": odds})
 
     odds = examples.mapInPandas(left_out, "toxic int, odds double").toPandas()     # two numbers per example
+    if odds.empty:
+        return index
     y = odds.toxic.to_numpy()
     return index._replace(scale=platt(odds.odds.to_numpy(), y, shares[y]))
 
@@ -265,10 +307,12 @@ def predict(docs: DataFrame, index: Index, threshold: float = THRESHOLD, k: int
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
-        words = Vocabulary(own.vocabulary)
+        words = Vocabulary(own.terms)
         for f in batches:
-            rows = [own.score(words.counts(t), k) for t in f["__text"]]
-            yield pd.DataFrame({"__at": f["__at"], "score": [r[0] for r in rows], "evidence": [r[1] for r in rows]})
+            for a in range(0, len(f), BATCH_DOCS):
+                part = f.iloc[a:a + BATCH_DOCS]
+                scores, voted = own.score([words.counts(t) for t in part["__text"]], k)
+                yield pd.DataFrame({"__at": part["__at"].to_numpy(), "score": scores, "evidence": voted})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     at = F.to_json(F.struct("doc_id", is_held_out().alias("held_out")))
