@@ -3,12 +3,14 @@
     python -m surveyfold build --sf-dir DIR --out OUT [--panel] [--format csv|parquet]
     python -m surveyfold files --codebook X.xml --extract X.dat --crosswalk C.csv \\
         --zone-context Z.csv --soc-structure S.csv --sector-titles T.csv --out OUT [--single-year]
-    python -m surveyfold panel --dir OUT_CSV --table state_acs_data --schema "..." --out PANEL
+    python -m surveyfold panel --dir OUT_CSV --table state_acs_data --schema "..." --out PANEL [--years 2008-2019]
+    python -m surveyfold panels --dir OUT --years 2008-2019 --out PANELS [--format csv|parquet]
     python -m surveyfold hierarchy --structure soc_structure.csv --out OUT
 
 ``build`` runs every product on the driver tables (one sample; ``--panel``
 keys every table by year). ``files`` runs them on a real extract and its
-dimension files. ``panel`` stacks ``{table}_{yyyy}.csv`` files by year.
+dimension files. ``panel`` stacks ``{table}_{yyyy}.csv`` files by year;
+``panels`` stacks the eight tables of single-year builds in one folder.
 ``hierarchy`` writes the occupation hierarchy (detailed code with its broad,
 minor and major titles) from the structure file.
 """
@@ -17,12 +19,21 @@ from __future__ import annotations
 
 import argparse
 
-from .plans.build import build_tables
+from .plans.build import build_panels, build_tables
 from .plans.products import Survey
 from .session import apply_cluster_conf, is_local
 from .sources.files import read_panel, write_table
 
 
+def year_list(text: str) -> list[int]:
+    """``2008-2010,2012`` as [2008, 2009, 2010, 2012]."""
+    out = []
+    for part in text.split(","):
+        first, _, last = part.partition("-")
+        out += range(int(first), int(last or first) + 1)
+    return out
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="surveyfold")
     ap.add_argument("--master", help="only for local runs; spark-submit sets it otherwise")
@@ -46,6 +57,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--table", required=True)
     p.add_argument("--schema", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--years", type=year_list)
+    ps = sub.add_parser("panels")
+    ps.add_argument("--dir", required=True)
+    ps.add_argument("--years", type=year_list, required=True)
+    ps.add_argument("--out", required=True)
+    ps.add_argument("--format", default="csv")
     h = sub.add_parser("hierarchy")
     h.add_argument("--structure", required=True)
     h.add_argument("--out", required=True)
@@ -73,7 +90,9 @@ def main(argv: list[str] | None = None) -> None:
                      year_col="YEAR" if args.single_year else "MULTYEAR",
                      multi_year=not args.single_year)
     elif args.cmd == "panel":
-        write_table(read_panel(spark, args.dir, args.table, args.schema), args.out)
+        write_table(read_panel(spark, args.dir, args.table, args.schema, args.years), args.out)
+    elif args.cmd == "panels":
+        build_panels(spark, args.dir, args.out, args.years, args.format)
     else:
         from .sources.files import read_soc_structure
         hier = Survey.occupation_hierarchy(read_soc_structure(spark, args.structure))

@@ -38,7 +38,7 @@ def crosswalk_pieces(df: DataFrame, unit_keys: Sequence[str], zone: str,
 
 def apportion(unit_totals: DataFrame, crosswalk: DataFrame, unit: str, zone: str,
               measures: Sequence[str] | None = None, extra_keys: Sequence[str] = (),
-              share: str = "county_prop_inpuma", crosswalk_rows: int = 1_000_000,
+              share: str = "county_prop_inpuma", crosswalk_rows: int | None = None,
               drop_na: bool = True, prefixes: Sequence[str] = ()) -> DataFrame:
     """A11 (J3 + fan-out): spread unit totals over zones by share, sum by zone.
 
@@ -66,7 +66,7 @@ def apportion(unit_totals: DataFrame, crosswalk: DataFrame, unit: str, zone: str
 
 
 def zone_group_total(df: DataFrame, zone: str, value: str, name: str,
-                     zone_rows: int = 1_000_000) -> DataFrame:
+                     zone_rows: int | None = None) -> DataFrame:
     """Group total on every row (Stata ``bysort zone: egen name = sum(value)``).
 
     Aggregated map-side per zone and joined back (broadcast when the zone

@@ -1,8 +1,8 @@
 """Joins of the pipeline.
 
-Dimension sides (titles, zone context, crosswalks, label dictionaries) have
-row counts bounded by code lists, so they are broadcast through
-:func:`broadcast_bounded`; the fact side is never shuffled for them.
+A dimension side is hinted for broadcast only with a proven row bound
+(:func:`broadcast_bounded`); without one the planner decides by measured size.
+NULL keys match NULL keys, as in the source's joins.
 """
 
 from __future__ import annotations
@@ -17,13 +17,16 @@ from ..session import broadcast_bounded
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                   how: str = "left") -> DataFrame:
-    """Equi-join where NULL keys match NULL keys (dplyr default, N3)."""
+                   how: str = "left", right_rows: int | None = None) -> DataFrame:
+    """Equi-join where NULL keys match NULL keys (dplyr default, N3).
+
+    ``right_rows``: proven row bound of the right side, for a broadcast hint.
+    """
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
     cond = reduce(lambda a, b: a & b,
                   [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
-    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
+    return left.join(broadcast_bounded(r, right_rows), cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def _keep_left_order(joined: DataFrame, left: DataFrame, right: DataFrame,
@@ -38,29 +41,28 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner",
     shared = [c for c in left.columns if c in set(right.columns)]
     if not shared:
         raise ValueError("natural join needs at least one shared column")
-    r = broadcast_bounded(right, right_rows) if right_rows is not None else right
-    return _keep_left_order(left.join(r, on=shared, how=how), left, right, shared)
+    return _keep_left_order(null_safe_join(left, right, shared, how, right_rows), left, right, shared)
 
 
-def title_join(df: DataFrame, titles: DataFrame, key: str, title_rows: int) -> DataFrame:
+def title_join(df: DataFrame, titles: DataFrame, key: str, title_rows: int | None = None) -> DataFrame:
     """Inner join to a title dictionary; unknown codes are dropped."""
-    out = df.join(broadcast_bounded(titles, title_rows), on=key, how="inner")
+    out = null_safe_join(df, titles, [key], "inner", title_rows)
     return _keep_left_order(out, df, titles, [key])
 
 
 def context_join(df: DataFrame, context: DataFrame, key: str, context_key: str,
-                 context_rows: int) -> DataFrame:
+                 context_rows: int | None = None) -> DataFrame:
     """Left join zone context, renaming its key to ours."""
     ctx = context.withColumnRenamed(context_key, key)
-    out = df.join(broadcast_bounded(ctx, context_rows), on=key, how="left")
+    out = null_safe_join(df, ctx, [key], "left", context_rows)
     return _keep_left_order(out, df, ctx, [key])
 
 
 def hierarchy_join(df: DataFrame, levels: Sequence[tuple[DataFrame, str]],
-                   rows_per_level: int) -> DataFrame:
+                   rows_per_level: int | None = None) -> DataFrame:
     """Chain of left joins attaching the title of each parent level."""
     for dim, key in levels:
-        df = df.join(broadcast_bounded(dim, rows_per_level), on=key, how="left")
+        df = null_safe_join(df, dim, [key], "left", rows_per_level)
     return df
 
 
@@ -72,8 +74,8 @@ def coverage(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -
     """
     lk = left.select(F.col(left_key).alias("key")).distinct().withColumn("in_left", F.lit(True))
     rk = right.select(F.col(right_key).alias("key")).distinct().withColumn("in_right", F.lit(True))
-    return (lk.join(rk, on="key", how="full")
-            .select("key",
+    return (lk.join(rk, lk["key"].eqNullSafe(rk["key"]), "full")
+            .select(F.coalesce(lk["key"], rk["key"]).alias("key"),
                     F.coalesce("in_left", F.lit(False)).alias("in_left"),
                     F.coalesce("in_right", F.lit(False)).alias("in_right")))
 
@@ -81,8 +83,8 @@ def coverage(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -
 def anti_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               keep: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``left`` without a match in ``right``, distinct on ``keep``."""
-    out = left.join(right.select(F.col(right_key).alias(left_key)).distinct(),
-                    on=left_key, how="left_anti")
+    known = right.select(F.col(right_key).alias("__known")).distinct()
+    out = left.join(known, left[left_key].eqNullSafe(known["__known"]), "left_anti")
     return out.select(*(keep or [left_key])).distinct()
 
 
@@ -98,7 +100,7 @@ def merge_indicator(master: DataFrame, using: DataFrame, keys: Sequence[str]) ->
 
 
 def decode_labels(df: DataFrame, code: str, labels: DataFrame, variable: str,
-                  out: str, label_rows: int = 10_000) -> DataFrame:
+                  out: str, label_rows: int | None = None) -> DataFrame:
     """Code -> label from the codebook, falling back to the code as text.
 
     ``labels`` has columns ``name, value, label``; only ``variable``'s labels

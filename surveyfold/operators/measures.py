@@ -169,12 +169,6 @@ def master_cube(persons: DataFrame, keys: Sequence[str] = CUBE_KEYS,
     return cube.withColumn(EPOP, pct_ratio(EMP, POP))
 
 
-def conditional_total(flag: Column, weight: str = "PERWT", strict: bool = True) -> Column:
-    """``sum(PERWT * (flag))`` with the logical as 0/1."""
-    from ..functions.scalars import flag_times
-    return weighted_sum(flag_times(flag, weight), None, strict)
-
-
 def weighted_collapse(df: DataFrame, keys: Sequence[str], values: Sequence[str],
                       weight: str = "PERWT") -> DataFrame:
     """Stata ``collapse (sum) x [pw=w], by(keys)``: ``sum(x * w)`` per group."""

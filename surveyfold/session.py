@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,6 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 2_000_000
 
 
-def session_key(spark: SparkSession) -> str:
-    """A key for per-session memo tables (application id, or session id)."""
-    app = spark.conf.get("spark.app.id", None)
-    return app or str(id(spark))
-
-
 def is_local(spark: SparkSession) -> bool:
     """True for a single-JVM ``local[...]`` master (tests, bench, laptops)."""
     return (spark.conf.get("spark.master", "") or "").startswith("local")
@@ -63,9 +58,9 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    # start high and let AQE coalesce: ~100 TB of person joins shuffles a
-    # few tens of TB per join, i.e. ~100k partitions of ~256 MB
-    "spark.sql.shuffle.partitions": "100000",
+    # for everything but the person joins: roll-ups of an aggregate that the
+    # code lists bound, where a high number would be scheduling only
+    "spark.sql.shuffle.partitions": "2000",
     "spark.sql.files.maxPartitionBytes": "512m",
     # only bounded dimensions are hinted; measured sides up to 64 MB may be
     # broadcast by AQE as well
@@ -75,6 +70,24 @@ CLUSTER_CONF = {
 }
 
 
+# ~100 TB of person joins shuffles a few tens of TB per join, i.e. ~100k
+# partitions of ~256 MB to begin with; AQE coalesces from there.
+PERSON_PASS_PARTITIONS = 100_000
+
+
+@contextmanager
+def person_pass(spark: SparkSession):
+    """Many shuffle partitions while the person joins run (cluster settings only)."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if before == CLUSTER_CONF[name]:
+        spark.conf.set(name, str(PERSON_PASS_PARTITIONS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def apply_cluster_conf(spark: SparkSession) -> None:
     """Fill in :data:`CLUSTER_CONF` for every key the submitted configuration
     does not name (built-in defaults are replaced, explicit settings kept)."""
@@ -126,16 +139,27 @@ def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.staged_path = path
+    return out
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete the folder behind a frame of :func:`stage_table`; it is unusable then."""
+    path = df.staged_path
+    jvm = df.sparkSession._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
-def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+def broadcast_bounded(df: DataFrame, max_rows: int | None) -> DataFrame:
     """Broadcast hint for a side whose row count is bounded by construction.
 
     ``max_rows`` is the proven upper bound (from key construction or a fixed
-    code list). If that bound exceeds :data:`BROADCAST_ROW_LIMIT` the frame is
-    returned unhinted and the planner (AQE, with measured sizes) decides.
+    code list). Without one (None: a table read from a file), or if it exceeds
+    :data:`BROADCAST_ROW_LIMIT`, the frame is returned unhinted and the planner
+    (AQE, with measured sizes) decides.
     """
-    if max_rows <= BROADCAST_ROW_LIMIT:
+    if max_rows is not None and max_rows <= BROADCAST_ROW_LIMIT:
         return F.broadcast(df)
     return df

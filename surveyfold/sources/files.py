@@ -8,7 +8,7 @@ the period in a file name per table.
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +32,25 @@ MINOR_SOC_SCHEMA = "occ_code string, occ_title string, minor_socxx string"
 
 def read_csv(spark: SparkSession, path: str, schema: str | StructType,
              null_value: str = "NA") -> DataFrame:
-    """S3: CSV with header, explicit schema, ``NA`` as NULL."""
+    """S3: CSV with header, columns matched by name, ``NA`` as NULL.
+
+    The header (of the first file under ``path``) says in which order the
+    columns stand; a missing or extra column raises here. A cell that does not
+    fit its type, or another file under ``path`` with another header, fails the
+    job that reads it.
+    """
+    wanted = _struct(schema)
+    header = spark.read.option("header", True).csv(path).columns
+    if sorted(header) != sorted(wanted.names):
+        raise ValueError(f"{path}: columns {sorted(header)}, expected {sorted(wanted.names)}")
+    in_file = StructType([wanted[c] for c in header])
     return (spark.read.option("header", True).option("nullValue", null_value)
-            .option("mode", "FAILFAST").schema(schema).csv(path))
+            .option("mode", "FAILFAST").option("enforceSchema", False)
+            .schema(in_file).csv(path).select(*wanted.names))
+
+
+def _struct(schema: str | StructType) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
 def read_crosswalk(spark: SparkSession, path: str) -> DataFrame:
@@ -69,27 +85,48 @@ def read_sector_titles(spark: SparkSession, path: str) -> DataFrame:
 
 def read_panel(spark: SparkSession, directory: str, table: str,
                schema: str | StructType, expected_years=None) -> DataFrame:
-    """S4 + U2: every ``{table}_{yyyy}.csv`` of ``directory`` in one scan.
+    """S4 + U2: every ``{table}_{yyyy}.csv`` of ``directory``, stacked by column name.
 
     The glob is anchored at the table name and requires exactly four digits
     before ``.csv``, so ``cz_{table}_2019.csv`` and ``{table}_2015_2019.csv``
-    are not picked up (N22). The year comes from the file path; ``year`` is
-    put first (P5). With ``expected_years`` a missing year raises, as the
-    source's loop fails on a missing file (Q12); the check reads only the
-    distinct years (one small aggregate).
+    are not picked up (N22). Each file is read by its own header, so files may
+    order their columns differently; a missing or extra column raises (N20).
+    The year comes from the file name; ``year`` is put first (P5). With
+    ``expected_years`` a missing year raises, as the source's loop fails on a
+    missing file (Q12). The driver lists one path per year, no rows.
     """
     pattern = f"{directory.rstrip('/')}/{table}_[0-9][0-9][0-9][0-9].csv"
-    df = read_csv(spark, pattern, schema)
-    year = F.regexp_extract(F.col("_metadata.file_path"),
-                            rf"/{re.escape(table)}_(\d{{4}})\.csv$", 1).cast("int")
-    df = df.withColumn("year", year)
-    df = df.select("year", *[c for c in df.columns if c != "year"])
-    if expected_years is not None:
-        found = {r[0] for r in df.select("year").distinct().collect()}
-        missing = sorted(set(int(y) for y in expected_years) - found)
-        if missing:
-            raise FileNotFoundError(f"{table}: no file for year(s) {missing} in {directory}")
-    return df
+    listed = spark.read.format("binaryFile").load(pattern).select("path")
+    paths = {int(r.path[-8:-4]): r.path for r in listed.collect()}
+    return _stack_years({y: (lambda p=p: read_csv(spark, p, schema)) for y, p in paths.items()},
+                        table, directory, expected_years)
+
+
+def _stack_years(readers: dict, table: str, place: str, expected_years) -> DataFrame:
+    missing = sorted({int(y) for y in expected_years or ()} - set(readers))
+    if missing or not readers:
+        raise FileNotFoundError(f"{table}: no file for year(s) {missing or 'any'} in {place}")
+    frames = []
+    for year in sorted(readers):
+        df = readers[year]()
+        frames.append(df.select(F.lit(year).alias("year"), *[c for c in df.columns if c != "year"]))
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def read_built_panel(spark: SparkSession, out_dir: str, table: str, years,
+                     schema: str | StructType, fmt: str = "csv") -> DataFrame:
+    """U2 on the build's own output: ``{table}/period={yyyy}`` of every year, stacked by name."""
+    place = f"{out_dir.rstrip('/')}/{table}"
+
+    def reader(year: int):
+        path = f"{place}/period={year}"
+        if fmt == "csv":
+            return lambda: read_csv(spark, path, schema)
+        return lambda: spark.read.schema(_struct(schema)).format(fmt).load(path)
+    listed = {r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", True)
+              .load(place).select("path").collect()} if years else set()
+    have = [int(y) for y in years if any(f"/period={int(y)}/" in p for p in listed)]
+    return _stack_years({y: reader(y) for y in have}, table, out_dir, years)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv",
@@ -107,7 +144,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv",
         df = df.orderBy(*lead, *order_by)
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # an overwrite replaces the periods it writes and no other
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         w.option("header", True).option("nullValue", "NA").csv(path)
     else:

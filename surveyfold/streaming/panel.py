@@ -5,11 +5,14 @@ by looping over years. When period files arrive over time, the same stack
 is a file-source stream: every new ``{table}_{yyyy}.csv`` is read once,
 tagged with its year from the path, and appended to a Parquet panel
 partitioned by year. Progress lives in a checkpoint in the shared folder,
-so a restarted job resumes without re-reading or duplicating files.
+so a restarted job resumes without re-reading or duplicating files. Files
+must have the schema's columns in its order; another header or a cell that
+does not fit its type fails the query.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 
@@ -27,12 +30,14 @@ def start_panel_stream(spark: SparkSession, directory: str, table: str,
                        available_now: bool = True) -> StreamingQuery:
     """Stream ``{directory}/{table}_{yyyy}.csv`` files into a year-partitioned panel."""
     stream = (spark.readStream.option("header", True).option("nullValue", "NA")
-              .schema(schema).csv(f"{directory.rstrip('/')}/{table}_[0-9][0-9][0-9][0-9].csv"))
+              .option("mode", "FAILFAST").option("enforceSchema", False).schema(schema).csv(f"{directory.rstrip('/')}/{table}_[0-9][0-9][0-9][0-9].csv"))
     year = F.regexp_extract(F.col("_metadata.file_path"),
                             rf"/{re.escape(table)}_(\d{{4}})\.csv$", 1).cast("int")
     tagged = stream.withColumn("year", year)
     tagged = tagged.select("year", *[c for c in tagged.columns if c != "year"])
-    ckpt = checkpoint or os.path.join(checkpoint_root(spark), f"panel-{table}")
+    # progress belongs to one (source, output) pair: a new output starts from the first file
+    pair = hashlib.sha256(f"{directory}\n{table}\n{out_path}".encode()).hexdigest()[:16]
+    ckpt = checkpoint or os.path.join(checkpoint_root(spark), f"panel-{table}-{pair}")
     writer = (tagged.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", ckpt).partitionBy("year"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -10,6 +10,7 @@ from conftest import SF_SMALL
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as E  # noqa: E402
+from surveyfold.plans import registry  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
 
@@ -22,13 +23,13 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL)
-    rel = con.sql(E.oracle_sql()[name])
+    sdf = registry.queries()[name](spark, SF_SMALL)
+    rel = con.sql(registry.oracle_sql()[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
     assert rows_of(sdf.columns, [tuple(r) for r in sdf.collect()]) == rows_of(rel.columns, rel.fetchall())
 

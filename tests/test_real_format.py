@@ -130,7 +130,7 @@ def test_cli_files_and_panel(spark, tmp_path):
     assert sorted(r.cz90 for r in zone.collect()) == ["100", "300"]
     # panel: stack per-year state files by name
     for year in (2018, 2019):
-        (d / f"state_acs_data_{year}.csv").write_text("state_fips,count\n01,3\n")
+        (d / f"state_acs_data_{year}.csv").write_text("state_fips,count\n01,3\n" if year == 2018 else "count,state_fips\n3,01\n")
     main(["--master", "local[2]", "panel", "--dir", str(d), "--table", "state_acs_data",
           "--schema", "state_fips string, count int", "--out", str(d / "panel")])
     panel = spark.read.option("header", True).csv(str(d / "panel"))
