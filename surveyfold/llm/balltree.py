@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..session import stage_table
-from .common import ROW, shuffle_partitions, tag_rows
+from .common import ROW, bound_batches, shuffle_partitions, tag_rows, tidy
 
 K, EVERY = 5, 50
 SHARD_ROWS, BLOCK_QUERIES, LEAF_ROWS = 4096, 256, 64
@@ -152,6 +152,7 @@ def top_k(table: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_i
     candidates: all of them. Empty in, empty out; other columns are not read.
     """
     spark = table.sparkSession
+    bound_batches(spark)
     vectors = tag_rows(table.select(F.col(id_col).cast("long").alias("id"), integer_vector(vector_col).alias("v"))
                        .filter("id is not null and v is not null"), "search-vectors")
     sizes = {r.dims: (r.n, r.q) for r in vectors.groupBy(F.size("v").alias("dims")).agg(
@@ -182,6 +183,7 @@ def top_k(table: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_i
     asked = stage_table(numbered(vectors.filter(F.col("id") % every == 0), blocks, "block").groupBy("block")
                         .applyInPandas(block_of, "block long, queries binary"), "search-queries")
 
+    @tidy
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in batches:
             for number, tree, block, seed in zip(f.block, f.tree, f.queries, f.seed, strict=True):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +49,39 @@ def tokenizer(name: str) -> str:
     """Path of a public vocabulary file, the same on the driver and the executors."""
     import public_tokenizers
     return str(public_tokenizers.path(name))
+
+
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that Python tasks get by bytes, not by rows alone:
+    ten thousand documents have no bounded size."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if in_bytes(spark.conf.get(name)) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Return freed memory to the system: an executor's other workers need it
+    while this one waits for its next task."""
+    import ctypes
+    import sys
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+def tidy(task: Callable) -> Callable:
+    """A task over batches that gives its memory back when it ends."""
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+    return run

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import is_held_out
+from .common import bound_batches, is_held_out, tidy
 
 BUCKETS = (1 << 11, 1 << 13, 1 << 15)         # of 1-, 2- and 3-grams
 OFFSETS = (0, BUCKETS[0], BUCKETS[0] + BUCKETS[1])
@@ -131,6 +131,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 5) -> Mod
     Rows with a null lang or text teach nothing. The driver gets one row per
     language and one per (n-gram bucket, language) that occurs.
     """
+    bound_batches(docs.sparkSession)
     usable = docs.filter(~is_held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
     languages = sorted(counts)
@@ -141,6 +142,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 5) -> Mod
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     index = {k: i for i, k in enumerate(languages)}
 
+    @tidy
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[int, np.ndarray] = {}
         for f in batches:
@@ -182,8 +184,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     learned language every other text is of that language; with none all are
     ``und``. Rows that repeat get the same answer; a null doc_id is not held out.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)     # a fixed number of weights per bit
 
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for f in batches:
@@ -201,10 +205,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     """The rows whose text has a language: ``und`` goes, everything else stays as it came."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType(docs.schema.fields)
     at = docs.columns.index("text")
 
+    @tidy
     def run(batches):
         import pyarrow as pa
         for b in batches:

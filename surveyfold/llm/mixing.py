@@ -29,13 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..session import stage_table
-from .common import ROW, tag_rows, text_or_empty
+from .common import ROW, bound_batches, tag_rows, text_or_empty, tidy
 
 WEIGHTS = (3, 1, 2)          # by source in code-point order, repeating
 SHARE = Fraction(3, 2)       # of all sizes
 MOST = 2                     # times a source's size
 BLOCK_WORDS, LEAST_BLOCKS, LEAST_WORDS = 4096, 1000, 256
 SHARD_WORDS, MAX_SHARDS = 1 << 22, 4096
+MOST_QUOTAS = 1 << 22        # shard quotas of all sources, which tasks get by broadcast
 ORDER_BITS = 12              # leading bits of the random order that group a source's rows
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -136,20 +137,20 @@ def plan(line: DataFrame, seed: int) -> list[dict]:
         out.append({"source": row.source, "k": k, "source_size": size, "target": target, "blocks": blocks,
                     "draws": int(draws), "rest": round((draws - int(draws)) * size / blocks)})
     words = sum(sizes)
-    shards = max(1, min(MAX_SHARDS, -(-words // SHARD_WORDS)))
+    shards = max(1, min(MAX_SHARDS, -(-words // SHARD_WORDS), MOST_QUOTAS // max(1, len(out))))
     ends = np.cumsum(split_tree([s["draws"] + (s["rest"] > 0) for s in out], shards, seed), axis=0)
     for s in out:
-        s["shard_ends"] = ends[:, s["k"]].tolist()
+        s["shard_ends"] = ends[:, s["k"]]
     return out
 
 
 PLAN_SCHEMA = ("source string, k int, source_size long, target double, blocks long, draws long, "
-               "rest long, shard_ends array<long>")
+               "rest long")
 PIECE_SCHEMA = ("doc_id long, `__row_tag` long, size long, source_size long, target double, copy long, "
                 "first_word long, words long, shard long, place long")
 
 
-def place_pieces(placed: DataFrame, seed: int) -> DataFrame:
+def place_pieces(placed: DataFrame, shard_ends: list[np.ndarray], seed: int) -> DataFrame:
     """A row per drawn run of a document's words (none drawn: one row of no words).
 
     A document's words meet ``words / block + 1`` blocks; a task holds the
@@ -165,6 +166,8 @@ def place_pieces(placed: DataFrame, seed: int) -> DataFrame:
         wide = r * (q + 1)
         return np.where(pos < wide, pos // (q + 1), r + (pos - wide) // np.maximum(q, 1))
 
+    shared = placed.sparkSession.sparkContext.broadcast(shard_ends)     # MOST_QUOTAS numbers at most
+
     def pieces(f: pd.DataFrame) -> pd.DataFrame:
         f = f.reset_index(drop=True)
         some = f[f["size"] > 0]
@@ -191,10 +194,9 @@ def place_pieces(placed: DataFrame, seed: int) -> DataFrame:
         kinds = f.k.to_numpy()[drawn["index"].to_numpy()]
         for kind in np.unique(kinds):
             own = np.flatnonzero(kinds == kind)
-            ends = np.asarray(f.shard_ends[np.flatnonzero(f.k.to_numpy() == kind)[0]])
-            shard[own] = np.searchsorted(ends, drawn.draw.to_numpy()[own], side="right")
+            shard[own] = np.searchsorted(shared.value[kind], drawn.draw.to_numpy()[own], side="right")
         drawn["shard"] = shard
-        out = f.drop(columns=["shard_ends", "blocks", "draws", "rest", "k"]).merge(
+        out = f.drop(columns=["blocks", "draws", "rest", "k"]).merge(
             drawn.set_index("index").drop(columns=["row", "draw"]), how="left", left_index=True, right_index=True)
         place = pd.util.hash_pandas_object(out[["u", "copy", "first_word"]], index=False)
         out["place"] = place.to_numpy().view(np.int64)
@@ -204,6 +206,7 @@ def place_pieces(placed: DataFrame, seed: int) -> DataFrame:
         out["doc_id"] = out["doc_id"].astype("Int64")
         return out[["doc_id", "__row_tag", "size", "source_size", "target", "copy", "first_word", "words", "shard", "place"]]
 
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in batches:
             f["doc_id"] = f["doc_id"].astype("Int64")
@@ -222,12 +225,14 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     is split into files and tasks.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     line = stage_table(source_line(docs, seed), "mix-line")
-    plans = [tuple(s[c.split()[0]] for c in PLAN_SCHEMA.split(", ")) for s in plan(line, seed)]
+    sources = plan(line, seed)
+    plans = [tuple(s[c.split()[0]] for c in PLAN_SCHEMA.split(", ")) for s in sources]
     table = spark.createDataFrame(plans, PLAN_SCHEMA).withColumnRenamed("source", "s")
     placed = line.join(table, line.source.eqNullSafe(table.s)).select(
-        "doc_id", ROW, "u", "size", "start", "k", "source_size", "target", "blocks", "draws", "rest", "shard_ends")
-    return place_pieces(placed, seed)
+        "doc_id", ROW, "u", "size", "start", "k", "source_size", "target", "blocks", "draws", "rest")
+    return place_pieces(placed, [s["shard_ends"] for s in sources], seed)
 
 
 def taken_per_document(pieces: DataFrame) -> DataFrame:

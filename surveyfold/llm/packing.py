@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import ROW, text_or_empty
+from .common import BATCH_BYTES, ROW, bound_batches, text_or_empty, tidy
 
 LENGTH, END_ID = 4096, 2
 HASHED, DIMS, CURVE_BITS = 256, 3, 10
-BATCH_BYTES, GATHER_WORDS = 8 << 20, 1 << 18
+GATHER_WORDS = 1 << 18
 
 
 # --- token ids ---------------------------------------------------------------
@@ -45,7 +45,7 @@ BATCH_BYTES, GATHER_WORDS = 8 << 20, 1 << 18
 # apostrophe (which may begin a contraction)
 PLAIN = "^(?P<a>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<b>[!-&(-/:-@\\[-`{-~]*)$"
 JOINED = 64                  # pre-tokens that are encoded in one call
-MOST_KNOWN = 400_000         # pre-tokens a worker remembers
+MOST_KNOWN = 150_000         # pre-tokens a worker remembers
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -213,6 +213,7 @@ def id_type(size: int) -> str:
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """(row tag, doc_id, key, n, ids as little-endian numbers of id_type) per row, written down."""
+    bound_batches(docs.sparkSession)
     schema = "`__at` string, key long, n long, ids binary"
 
     def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -224,6 +225,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Dat
             if b > a:
                 yield batch.slice(a, b - a)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(tokenizer_path)
         kind = id_type(max(tokenizer.size, end_id + 1))
@@ -254,6 +256,7 @@ def line_starts(tokens: DataFrame) -> tuple[DataFrame, int]:
     documents share is spread over several ranges.
     """
 
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, at = TaskContext.get().partitionId(), 0
         for f in batches:
@@ -286,6 +289,7 @@ def pieces(placed: DataFrame, total: int, kind: str, length: int = LENGTH, with_
     schema = ("`__at` string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
               "offset long" + (", ids array<int>" if with_ids else ""))
 
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in batches:
             rows = []

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import bound_batches, text_or_empty, tidy
 
 # fixed values: the base patterns of the contract (ASCII letters only, whatever
 # other letters fold to them)
@@ -95,6 +95,7 @@ def scan(docs: DataFrame, vocabulary: str, most_ratio: float = MOST_RATIO) -> Da
     """
     schema = "`__at` string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoding(vocabulary)
         for f in batches:
@@ -109,6 +110,7 @@ def scan(docs: DataFrame, vocabulary: str, most_ratio: float = MOST_RATIO) -> Da
             yield pd.DataFrame({"__at": f["__at"], "n_assign": counts[:, 0], "n_access": counts[:, 1],
                                 "n_hex": counts[:, 2], "base_sha256": digests, "spans": spans})
 
+    bound_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = docs.select(F.to_json(F.struct("doc_id")).alias("__at"), text_or_empty().alias("__text")).mapInPandas(run, schema)
     return out.select(F.from_json("__at", f"doc_id {kind}")["doc_id"].alias("doc_id"),

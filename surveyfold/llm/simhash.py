@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import ROW, tag_rows, text_or_empty
+from .common import ROW, bound_batches, tag_rows, text_or_empty, tidy
 from .components import connected_components
 
 BITS = 64
@@ -68,11 +68,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS, seed: int = SEED
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, row_col: str | None = None) -> DataFrame:
     """(doc_id, row tag, fp as a signed 64-bit number) per row, written down."""
 
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in batches:
             fps = np.fromiter((fingerprint(t, shingle) for t in f["__text"]), dtype=np.uint64, count=len(f))
             yield pd.DataFrame({"__at": f["__at"], "fp": fps.view(np.int64)})
 
+    bound_batches(docs.sparkSession)
     # only the tag travels with the text: an id column may hold nulls, which
     # pandas would turn into floats
     tag = F.col(row_col) if row_col else F.monotonically_increasing_id()
@@ -226,6 +228,7 @@ def links(distinct: DataFrame, budget: int = BUDGET, most_leaves: int = MOST_LEA
             for i, j in trie_pairs(own, budget, part):
                 yield own[i], own[j]
 
+    @tidy
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import is_held_out, text_or_empty
+from .common import bound_batches, is_held_out, text_or_empty, tidy
 from .language import letters
 from .packing import Flat, ranges
 
@@ -215,6 +215,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
     To the driver come two counts, at most ``most_terms`` terms, and at most
     ``2 * per_class`` term vectors.
     """
+    bound_batches(docs.sparkSession)
     known = stage_table(labelled(labels), "tox-labels")
     totals = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     rank = F.xxhash64(F.lit(seed), "doc_id")
@@ -225,6 +226,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
                            .dropDuplicates(["doc_id"]), "tox-examples")
     base = totals.get(1, 0) / max(1, sum(totals.values()))
 
+    @tidy
     def term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in batches:
             seen = [np.unique(piece_hashes(t)) for t in f["text"]]
@@ -245,6 +247,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
             .orderBy(F.desc("chi"), "term").limit(most_terms).select("term").collect())
     terms = np.sort(np.array([r.term for r in best], dtype=np.int64).view(np.uint64))
 
+    @tidy
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, df = Vocabulary(terms), np.zeros(len(terms) + 1, dtype=np.int64)
         for f in batches:
@@ -260,6 +263,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
         df[r.term] = r.df
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
+    @tidy
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Vocabulary(terms)
         for f in batches:
@@ -277,6 +281,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
     index = build_index(terms, idf, made, shares / shares[1], float(base))
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
+    @tidy
     def left_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
         words = Vocabulary(own.terms)
@@ -303,8 +308,10 @@ def predict(docs: DataFrame, index: Index, threshold: float = THRESHOLD, k: int
     one without a known term, scores the base rate. Rows that repeat score
     alike; a null doc_id is not held out. An empty table gives no rows.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(index)     # bounded by examples and terms
 
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
         words = Vocabulary(own.terms)

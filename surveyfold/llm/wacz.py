@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, stage_table
-from .common import shuffle_partitions
+from .common import bound_batches, shuffle_partitions, tidy
 
 # fixed values: record layouts and signatures of the ZIP and ZIP64 formats
 LOCAL, CENTRAL, END = b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06"
@@ -274,6 +274,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = 16 << 2
                    level: int = 6, force64: bool = False) -> DataFrame:
     """Write the classified rows as archives of about ``archive_bytes``; the manifest."""
 
+    @tidy
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, base = open_fs(folder)
         fs.create_dir(base, recursive=True)
@@ -302,6 +303,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = 16 << 2
             flush()
         yield pd.DataFrame(done, columns=["path", "records", "bytes"])
 
+    bound_batches(records.sparkSession)
     # ids as nullable numbers: pandas would turn a column with a null into floats
     return records.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")}) \
         .mapInPandas(write, MANIFEST_SCHEMA)
@@ -314,6 +316,7 @@ RECORD_SCHEMA = ("page_id long, url string, record_type string, refers_to long,
 def read_archives(manifest: DataFrame, folder: str, payload: bool = True) -> DataFrame:
     """Records of the archives that the manifest names, one archive at a time."""
 
+    @tidy
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, _ = open_fs(folder)
         columns = [c.split()[0] for c in RECORD_SCHEMA.split(", ")]
