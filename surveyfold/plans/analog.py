@@ -123,11 +123,21 @@ def _bpl(same_nation: Column, s_nation: Column, s_region: Column) -> Column:
             .otherwise(100 + s_nation)).cast("int")
 
 
-def microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
+def microdata_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The persons with NULLs in four columns and ages up to 100, for the rules
+    that the NULL-free driver tables would not exercise."""
+    def gone(col: str, mod: int) -> Column:
+        return F.when(F.col("PARTKEY") % mod != 1, F.col(col))
+    return microdata(spark, sf_dir, keep_part=True).withColumns({
+        "BPL": gone("BPL", 13), "CITIZEN": gone("CITIZEN", 11), "LABFORCE": gone("LABFORCE", 17),
+        "PERWT": gone("PERWT", 1009), "AGE": 2 * F.col("AGE")}).drop("PARTKEY")
+
+
+def microdata(spark: SparkSession, sf_dir: str, keep_part: bool = False) -> DataFrame:
     """Person-level microdata in the census layout (all persons, no filter).
 
     A person is a line whose order, part and supplier all exist; every table
-    starts from this one set.
+    starts from this one set. ``keep_part`` adds the line's part key.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
@@ -175,6 +185,7 @@ def microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("PERWT"),
         "OCCSOC",
         "INDNAICS",
+        *([F.col("l_partkey").alias("PARTKEY")] if keep_part else []),
     )
 
 

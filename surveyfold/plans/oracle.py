@@ -9,12 +9,24 @@ aliased to the Spark name. Fractional (apportioned) measures are rounded to
 
 from __future__ import annotations
 
-from . import analog, titles
-from ..functions import derive as D
-from ..operators import measures as M
+from . import titles
 
 ROUND = 6
 
+# Fixed values, written out here and not taken from the code under test:
+# output names, pivot levels with their column suffixes, selector prefixes,
+# and the binding of the driver tables.
+POP, EMP, LF, N = "civ_noninst_pop", "civ_noninst_pop_employed", "civ_noninst_labforce", "count"
+STATUS_LEVELS = (("Local", "local"), ("immigrant", "immigrant"))
+ORIGIN_LEVELS = (("Central America", "central_america"), ("South America", "south_america"))
+ORIGIN_LEVELS_LAST = (("Mexico", "mexico"),)
+FULL_PREFIXES, EMPLOYMENT_PREFIXES = (POP, EMP, LF, N), (EMP, N)
+US, OTHERS = "US and US Possessions", "Others"
+UNITS_PER_STATE, COUNTIES_PER_STATE, ZONE_BANDS, ZONE_SUFFIXES = 40, 50, 5, 7
+OCCSOC_NULL_MOD, INDNAICS_NULL_MOD, OCC_SUFFIX_MULT = 101, 103, 7919
+NAICS_CODES = ("11 21 22 23 31 32 33 42 44 45 48 49 51 52 53 54 55 56 61 62 71 72 81 92 "
+               "99 3S 4S").split()
+
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -34,23 +46,39 @@ def _unit_key(state: str, unit: str) -> str:
     return f"CAST(TRY_CAST({_paste0(_pad(state, 3), _pad(unit, 5))} AS BIGINT) AS VARCHAR)"
 
 
-NAICS_LIST = "[" + ", ".join(_q(c) for c in analog.NAICS_CODES) + "]"
+NAICS_LIST = "[" + ", ".join(_q(c) for c in NAICS_CODES) + "]"
 OCCSOC_SQL = (
-    f"CASE WHEN p.p_partkey % {analog.OCCSOC_NULL_MOD} = 0 THEN NULL ELSE concat("
+    f"CASE WHEN p.p_partkey % {OCCSOC_NULL_MOD} = 0 THEN NULL ELSE concat("
     "CAST(11 + 2 * ((CAST(substring(p.p_brand, 7, 10) AS INTEGER) - 1) % 25) AS VARCHAR), "
-    f"lpad(CAST((p.p_partkey * {analog.OCC_SUFFIX_MULT}) % 10000 AS VARCHAR), 4, '0')) END")
+    f"lpad(CAST((p.p_partkey * {OCC_SUFFIX_MULT}) % 10000 AS VARCHAR), 4, '0')) END")
 INDNAICS_SQL = (
-    f"CASE WHEN p.p_partkey % {analog.INDNAICS_NULL_MOD} = 0 THEN NULL ELSE concat("
-    f"list_extract({NAICS_LIST}, CAST(p.p_partkey % {len(analog.NAICS_CODES)} AS INTEGER) + 1), "
+    f"CASE WHEN p.p_partkey % {INDNAICS_NULL_MOD} = 0 THEN NULL ELSE concat("
+    f"list_extract({NAICS_LIST}, CAST(p.p_partkey % {len(NAICS_CODES)} AS INTEGER) + 1), "
     "lpad(CAST(p.p_partkey % 100 AS VARCHAR), 2, '0')) END")
 
+# The persons as they come, and with NULLs in four columns and ages beyond 64.
+_AS_THEY_COME = "SELECT * EXCLUDE (partkey) FROM persons_raw"
+_WITH_NULLS = """SELECT * EXCLUDE (partkey) REPLACE (
+    CASE WHEN partkey % 13 = 1 THEN NULL ELSE "BPL" END AS "BPL",
+    CASE WHEN partkey % 11 = 1 THEN NULL ELSE "CITIZEN" END AS "CITIZEN",
+    CASE WHEN partkey % 17 = 1 THEN NULL ELSE "LABFORCE" END AS "LABFORCE",
+    CASE WHEN partkey % 1009 = 1 THEN NULL ELSE "PERWT" END AS "PERWT",
+    2 * "AGE" AS "AGE") FROM persons_raw"""
+
+
+def with_nulls(sql: str) -> str:
+    """The same statement on persons with NULLs."""
+    return sql.replace(_AS_THEY_COME, _WITH_NULLS)
+
+
 PERSONS = f"""
-persons AS (
+persons_raw AS (
   SELECT
+    p.p_partkey AS partkey,
     CAST(year(o.o_orderdate) AS INTEGER) AS "YEAR",
     CAST(c.c_nationkey AS INTEGER) AS "STATEFIP",
-    CAST(c.c_custkey % {analog.COUNTIES_PER_STATE} AS INTEGER) AS "COUNTYFIP",
-    CAST(c.c_custkey % {analog.UNITS_PER_STATE} AS INTEGER) AS "PUMA",
+    CAST(c.c_custkey % {COUNTIES_PER_STATE} AS INTEGER) AS "COUNTYFIP",
+    CAST(c.c_custkey % {UNITS_PER_STATE} AS INTEGER) AS "PUMA",
     CASE WHEN o.o_orderstatus = 'P' THEN 3 ELSE 1 END AS "GQ",
     CASE WHEN o.o_orderpriority = '5-LOW' THEN 14 ELSE 10 END AS "EMPSTATD",
     CASE WHEN l.l_returnflag = 'N' THEN 1 WHEN l.l_returnflag = 'A' THEN 2 ELSE 3 END AS "EMPSTAT",
@@ -75,7 +103,8 @@ persons AS (
   JOIN part p ON l.l_partkey = p.p_partkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN nation sn ON s.s_nationkey = sn.n_nationkey
-)"""
+),
+persons AS ({_AS_THEY_COME})"""
 
 _SOC = 'substring("OCCSOC", 1, 4)'
 CLEAN = f"""
@@ -117,18 +146,25 @@ def _cell(value: str, cond: str | None, count: bool) -> str:
     if count:
         inner = "1" if cond is None else f"CASE WHEN {cond} THEN 1 END"
         return f"CAST({'COUNT(*)' if cond is None else f'SUM({inner})'} AS BIGINT)"
-    return f"SUM({value})" if cond is None else f"SUM(CASE WHEN {cond} THEN {value} END)"
+    return _strict_sum(value, cond)
+
+
+def _strict_sum(value: str, cond: str | None = None) -> str:
+    """R's ``sum`` without ``na.rm``: NULL if a matching row's value is NULL."""
+    rows, values = ("COUNT(*)", value) if cond is None else (
+        f"COUNT(CASE WHEN {cond} THEN 1 END)", f"CASE WHEN {cond} THEN {value} END")
+    return f"CASE WHEN {rows} = COUNT({values}) THEN SUM({values}) END"
 
 
-_VALUES = {M.POP: _W, M.EMP: f"emp2 * {_W}", M.LF: f"lf2 * {_W}", M.N: None}
+_VALUES = {POP: _W, EMP: f"emp2 * {_W}", LF: f"lf2 * {_W}", N: None}
 
 
 def _cube_measures() -> list[tuple[str, str]]:
     out = [(name, _cell(v, None, v is None)) for name, v in _VALUES.items()]
     for name, v in _VALUES.items():
-        for level, suf in M.STATUS_LEVELS:
+        for level, suf in STATUS_LEVELS:
             out.append((f"{name}_{suf}", _cell(v, f"foreign_born = {_q(level)}", v is None)))
-    for levels in (M.ORIGIN_LEVELS, M.ORIGIN_LEVELS_LAST):
+    for levels in (ORIGIN_LEVELS, ORIGIN_LEVELS_LAST):
         for name, v in list(_VALUES.items())[1:]:
             for level, suf in levels:
                 out.append((f"{name}_{suf}", _cell(v, f"origin = {_q(level)}", v is None)))
@@ -146,8 +182,8 @@ def _prefixed(prefixes) -> list[str]:
     return out
 
 
-FULL = _prefixed(M.FULL_PREFIXES)
-EMPLOYMENT = _prefixed(M.EMPLOYMENT_PREFIXES)
+FULL = _prefixed(FULL_PREFIXES)
+EMPLOYMENT = _prefixed(EMPLOYMENT_PREFIXES)
 
 
 def _is_count(name: str) -> bool:
@@ -167,7 +203,7 @@ cube0 AS (
 master AS (
   SELECT c.*, COALESCE(n.n_name, CAST(c.state_code AS VARCHAR)) AS state,
          {_pad('c.state_code', 2)} AS state_fips,
-         c.{M.EMP} / NULLIF(c.{M.POP}, 0) * 100 AS "EPOP"
+         c.{EMP} / NULLIF(c.{POP}, 0) * 100 AS "EPOP"
   FROM cube0 c LEFT JOIN nation n ON c.state_code = n.n_nationkey
 )"""
 
@@ -188,10 +224,10 @@ def _rollup(keys: list[str], names: list[str], src: str = "master") -> str:
 GEO = f"""
 geo AS (
   SELECT CAST(c_nationkey AS INTEGER) AS statefip,
-         CAST(c_custkey % {analog.UNITS_PER_STATE} AS INTEGER) AS puma,
-         CAST(c_custkey % {analog.COUNTIES_PER_STATE} AS INTEGER) AS county,
-         CAST(100 * (c_nationkey % {analog.ZONE_BANDS} + 1)
-              + (c_custkey % {analog.COUNTIES_PER_STATE}) % {analog.ZONE_SUFFIXES} AS INTEGER) AS cz90
+         CAST(c_custkey % {UNITS_PER_STATE} AS INTEGER) AS puma,
+         CAST(c_custkey % {COUNTIES_PER_STATE} AS INTEGER) AS county,
+         CAST(100 * (c_nationkey % {ZONE_BANDS} + 1)
+              + (c_custkey % {COUNTIES_PER_STATE}) % {ZONE_SUFFIXES} AS INTEGER) AS cz90
   FROM customer
 ),
 xpieces AS (SELECT statefip, puma, cz90, CAST(COUNT(*) AS DOUBLE) AS pop FROM geo GROUP BY statefip, puma, cz90),
@@ -253,7 +289,7 @@ def _r(name: str) -> str:
     return f"(ROUND({name}, {ROUND}) + 0.0)"
 
 
-def _epop(src_emp: str = M.EMP, src_pop: str = M.POP) -> str:
+def _epop(src_emp: str = EMP, src_pop: str = POP) -> str:
     return f"{src_emp} / NULLIF({src_pop}, 0) * 100"
 
 
@@ -321,7 +357,7 @@ def t2_zone(period: bool = False) -> str:
     body = _with(PERSONS, CLEAN, master_cte(period), GEO, _zone([], FULL, period))
     pk = "z.year, " if period else ""
     cols = ", ".join(_r(f"z.{n}") + f" AS {n}" for n in FULL + Q14)
-    return body + (f"\nSELECT {pk}z.cz90, {cols}, {_r(_epop('z.' + M.EMP, 'z.' + M.POP))} "
+    return body + (f"\nSELECT {pk}z.cz90, {cols}, {_r(_epop('z.' + EMP, 'z.' + POP))} "
                    f"AS \"EPOP\", c.state_fips, c.state_abbv, c.states_count, c.states_abbv "
                    f"FROM zone z LEFT JOIN zctx c ON z.cz90 = c.ers90")
 
@@ -365,7 +401,7 @@ def t10_labor_force_citizenship() -> str:
     return _with(PERSONS, CITIZEN_LABELS, _CITIZENSHIP, """
 agg AS (
   SELECT CASE WHEN GROUPING(citizenship) = 1 THEN 'total' ELSE citizenship END AS citizenship,
-         SUM(lfw) AS labor_force, GROUPING(citizenship) = 1 AS is_total
+         """ + _strict_sum("lfw") + """ AS labor_force, GROUPING(citizenship) = 1 AS is_total
   FROM cit2 GROUP BY ROLLUP (citizenship)
 )""") + """
 SELECT citizenship, labor_force, is_total,
@@ -373,13 +409,13 @@ SELECT citizenship, labor_force, is_total,
 FROM agg"""
 
 
-_BPL_LEVELS = ((D.BIRTHPLACE_US, "us_and_us_possessions"), ("Central America", "central_america"),
+_BPL_LEVELS = ((US, "us_and_us_possessions"), ("Central America", "central_america"),
                ("Mexico", "mexico"), ("South America", "south_america"),
-               (D.BIRTHPLACE_OTHERS, "others"))
+               (OTHERS, "others"))
 
 
 def t11_labor_force_birthplace() -> str:
-    cells = ", ".join(f"SUM(CASE WHEN bpl_ii = {_q(lv)} THEN lfw END) AS {n}" for lv, n in _BPL_LEVELS)
+    cells = ", ".join(f"{_strict_sum('lfw', f'bpl_ii = {_q(lv)}')} AS {n}" for lv, n in _BPL_LEVELS)
     totals = ", ".join(f"COALESCE(SUM({n}), 0.0) AS {n}" for _, n in _BPL_LEVELS[:-1])
     names = ", ".join(n for _, n in _BPL_LEVELS)
     return _with(PERSONS, CITIZEN_LABELS, _CITIZENSHIP, f"""
@@ -474,18 +510,15 @@ _V1 = [("civ_noninst_pop", _W), ("civ_noninst_pop_employed", f"emp2 * {_W}"),
 _COUNTY = f"""
 cp AS (
   SELECT {_paste0(_pad('"STATEFIP"', 2), _pad('"COUNTYFIP"', 3))} AS "COUNTYFIP_S", "STATEFIP",
-         CASE WHEN "EMPSTAT" = 1 THEN 1 ELSE 0 END AS emp2,
-         CASE WHEN "LABFORCE" = 2 THEN 1 ELSE 0 END AS lf2,
-         CAST("BPL" > 120 AS INTEGER) AS fb,
-         CASE WHEN "BPL" = 210 THEN 1 ELSE 0 END AS ca,
-         CASE WHEN "BPL" = 200 THEN 1 ELSE 0 END AS mx,
-         CASE WHEN "BPL" = 300 THEN 1 ELSE 0 END AS sa, "PERWT"
+         CAST("EMPSTAT" = 1 AS INTEGER) AS emp2, CAST("LABFORCE" = 2 AS INTEGER) AS lf2,
+         CAST("BPL" > 120 AS INTEGER) AS fb, CAST("BPL" = 210 AS INTEGER) AS ca,
+         CAST("BPL" = 200 AS INTEGER) AS mx, CAST("BPL" = 300 AS INTEGER) AS sa, "PERWT"
   FROM persons
   WHERE NOT ("EMPSTATD" IN (13, 14, 15)) AND "GQ" <> 3 AND "AGE" BETWEEN 16 AND 64
 ),
 county_agg AS (
   SELECT "COUNTYFIP_S" AS "COUNTYFIP", "STATEFIP" AS state_code,
-         {", ".join((f"CAST(SUM({e}) AS BIGINT) AS {n}" if n.startswith("count") else f"SUM({e}) AS {n}") for n, e in _V1)}
+         {", ".join((f"CAST({_strict_sum(e)} AS BIGINT) AS {n}" if n.startswith("count") else f"{_strict_sum(e)} AS {n}") for n, e in _V1)}
   FROM cp GROUP BY 1, 2
 ),
 county_tbl AS (
@@ -588,10 +621,10 @@ FROM persons"""
 def a13_conservation() -> str:
     """Before/after totals of every roll-up (rounded: zone sums are fractional)."""
     body = _with(PERSONS, CLEAN, master_cte(False), GEO, SOC_TITLES, SECTOR_TITLES,
-                 _zone([], [M.POP], False, "_a"),
-                 _zone(["soc_minor"], [M.EMP], False, "_b"),
-                 _zone(["naics_2d"], [M.EMP], False, "_c"))
-    pop, emp = M.POP, M.EMP
+                 _zone([], [POP], False, "_a"),
+                 _zone(["soc_minor"], [EMP], False, "_b"),
+                 _zone(["naics_2d"], [EMP], False, "_c"))
+    pop, emp = POP, EMP
     parts = [
         ("zone", pop, "zone_a"),
         ("state", pop, "master"),
@@ -660,8 +693,8 @@ SELECT cz90, pop, statefip, puma FROM (
 
 
 def a5_pivot_wider() -> str:
-    levels = [(D.BIRTHPLACE_US, "us_and_us_possessions"), ("Central America", "central_america"),
-              ("Mexico", "mexico"), ("South America", "south_america"), (D.BIRTHPLACE_OTHERS, "others")]
+    levels = [(US, "us_and_us_possessions"), ("Central America", "central_america"),
+              ("Mexico", "mexico"), ("South America", "south_america"), (OTHERS, "others")]
     bpl = ("CASE WHEN \"BPL\" <= 120 THEN 'US and US Possessions' WHEN \"BPL\" = 210 THEN "
            "'Central America' WHEN \"BPL\" = 200 THEN 'Mexico' WHEN \"BPL\" = 300 THEN "
            "'South America' ELSE 'Others' END")

@@ -59,6 +59,17 @@ def _single_pass(method: str) -> Query:
     return run
 
 
+def _with_nulls(method: str, single_pass: bool = False, rounded: bool = False) -> Query:
+    """A product on persons with NULL birthplace, citizenship, labour force and weight."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        survey = _survey(spark, sf_dir)
+        survey.microdata = analog.microdata_with_nulls(spark, sf_dir)
+        df = getattr(survey.single_pass() if single_pass else survey, method)()
+        return round_fractional(df) if rounded else df
+    run.__name__ = f"{method}_with_nulls"
+    return run
+
+
 def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Survey.from_driver_tables(spark, sf_dir, two_phase_cube=False).master()
 
@@ -195,6 +206,17 @@ def queries() -> dict[str, Query]:
         "t1_master_cube_fused": _fused,
         "j1_j2_join_form": _product("join_form"),
         "u1_stack": _u1,
+        # persons with NULLs
+        "t1_nulls": _with_nulls("master"),
+        "t1_nulls_join_form": _with_nulls("join_form"),
+        "t1_nulls_single_pass": _with_nulls("master", single_pass=True),
+        "t2_nulls": _with_nulls("zone", rounded=True),
+        "t3_nulls": _with_nulls("state"),
+        "t10_nulls": _with_nulls("labor_force_by_citizenship"),
+        "t11_nulls": _with_nulls("labor_force_by_birthplace"),
+        "t11_nulls_single_pass": _with_nulls("labor_force_by_birthplace", single_pass=True),
+        "v1_nulls": _with_nulls("county_table"),
+        "a5_nulls_unlisted_levels": _with_nulls("unlisted_levels"),
         "t1_master_cube_single_pass": _single_pass("master"),
         "t11_labor_force_birthplace_single_pass": _single_pass("labor_force_by_birthplace"),
         "t12_zone_panel": _product("zone", period=True, rounded=True),
@@ -253,6 +275,16 @@ def oracle_sql() -> dict[str, str]:
         "t1_master_cube_fused": o.t1_master(),
         "j1_j2_join_form": o.t1_master(),
         "u1_stack": o.t3_state(period=True),
+        "t1_nulls": o.with_nulls(o.t1_master()),
+        "t1_nulls_join_form": o.with_nulls(o.t1_master()),
+        "t1_nulls_single_pass": o.with_nulls(o.t1_master()),
+        "t2_nulls": o.with_nulls(o.t2_zone()),
+        "t3_nulls": o.with_nulls(o.t3_state()),
+        "t10_nulls": o.with_nulls(o.t10_labor_force_citizenship()),
+        "t11_nulls": o.with_nulls(o.t11_labor_force_birthplace()),
+        "t11_nulls_single_pass": o.with_nulls(o.t11_labor_force_birthplace()),
+        "v1_nulls": o.with_nulls(o.v1_county_table()),
+        "a5_nulls_unlisted_levels": o.with_nulls(o.a5_unlisted_levels()),
         "t1_master_cube_single_pass": o.t1_master(),
         "t11_labor_force_birthplace_single_pass": o.t11_labor_force_birthplace(),
         "t12_zone_panel": o.t2_zone(period=True),
