@@ -103,9 +103,3 @@ def r_substr(c: ColumnOrName, start: int, stop: int) -> Column:
 def sum_na_rm(c: ColumnOrName) -> Column:
     """A10: ``sum(x, na.rm=TRUE)``: NULLs skipped, all-NULL gives 0."""
     return F.coalesce(F.sum(_col(c)), F.lit(0))
-
-
-def sum_strict(c: ColumnOrName) -> Column:
-    """``sum(x)`` without ``na.rm``: any NULL input makes the total NULL."""
-    x = _col(c)
-    return F.when(F.count(F.lit(1)) == F.count(x), F.sum(x))

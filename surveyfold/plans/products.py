@@ -560,6 +560,15 @@ class Survey:
         xw = self.crosswalk.select("statefip", "puma", ZONE, "county_prop_inpuma")
         return AP.apportion_stata(units, xw, ["statefip", "puma"], ZONE, "n_persons")
 
+    # Measure names of the county table, in its column order.
+    V1_MEASURES = ("civ_noninst_pop", "civ_noninst_pop_employed",
+                   "civ_noninst_pop_employed_foreign", "civ_noninst_pop_employed_ca",
+                   "civ_noninst_pop_employed_mx", "civ_noninst_pop_employed_sa",
+                   "civ_noninst_labforce", "civ_noninst_labforce_foreign",
+                   "civ_noninst_labforce_ca", "civ_noninst_labforce_mx",
+                   "civ_noninst_labforce_sa", "count_foreign", "count_mx", "count_ca",
+                   "count_sa")
+
     # -- V1 ------------------------------------------------------------------------
     def county_persons(self) -> DataFrame:
         """V1 input: universe persons with the padded county code."""
@@ -579,23 +588,11 @@ class Survey:
         w, e, lf = F.col("PERWT"), F.col("EMPSTAT_2"), F.col("LABFORCE_2")
         def s(x):
             return M.weighted_sum(x, None, self.strict_na)
-        aggs = {
-            "civ_noninst_pop": s(w),
-            "civ_noninst_pop_employed": s(e * w),
-            "civ_noninst_pop_employed_foreign": s(e * w * F.col("fb")),
-            "civ_noninst_pop_employed_ca": s(e * w * F.col("ca")),
-            "civ_noninst_pop_employed_mx": s(e * w * F.col("mx")),
-            "civ_noninst_pop_employed_sa": s(e * w * F.col("sa")),
-            "civ_noninst_labforce": s(lf * w),
-            "civ_noninst_labforce_foreign": s(lf * w * F.col("fb")),
-            "civ_noninst_labforce_ca": s(lf * w * F.col("ca")),
-            "civ_noninst_labforce_mx": s(lf * w * F.col("mx")),
-            "civ_noninst_labforce_sa": s(lf * w * F.col("sa")),
-            "count_foreign": s(F.col("fb")).cast("bigint"),
-            "count_mx": s(F.col("mx")).cast("bigint"),
-            "count_ca": s(F.col("ca")).cast("bigint"),
-            "count_sa": s(F.col("sa")).cast("bigint"),
-        }
+        values = [w, e * w, *[e * w * F.col(c) for c in ("fb", "ca", "mx", "sa")],
+                  lf * w, *[lf * w * F.col(c) for c in ("fb", "ca", "mx", "sa")],
+                  *[F.col(c) for c in ("fb", "mx", "ca", "sa")]]
+        aggs = {n: s(v).cast("bigint") if n.startswith("count") else s(v)
+                for n, v in zip(self.V1_MEASURES, values, strict=True)}
         g = df.groupBy("COUNTYFIP", F.col("STATEFIP").alias("state_code")).agg(
             *[v.alias(k) for k, v in aggs.items()])
         # keys as in the source (COUNTYFIP, STATE, STATEFIP): the label and the
@@ -608,14 +605,6 @@ class Survey:
             *aggs.keys())
         return R.with_epop(g)
 
-    V1_MEASURES = ("civ_noninst_pop", "civ_noninst_pop_employed",
-                   "civ_noninst_pop_employed_foreign", "civ_noninst_pop_employed_ca",
-                   "civ_noninst_pop_employed_mx", "civ_noninst_pop_employed_sa",
-                   "civ_noninst_labforce", "civ_noninst_labforce_foreign",
-                   "civ_noninst_labforce_ca", "civ_noninst_labforce_mx",
-                   "civ_noninst_labforce_sa", "count_foreign", "count_mx", "count_ca",
-                   "count_sa")
-
     def county_zone(self) -> DataFrame:
         """V1 (J10 + A15): county table -> zone by plain sums, EPOP.
 

@@ -33,8 +33,9 @@ def read_codebook(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
         name.alias("name"),
         loc["_StartPos"].cast("int").alias("start"),
         loc["_width"].cast("int").alias("width"),
-        F.coalesce(F.col("_dcml").cast("int"), F.lit(0)).alias("dcml"),
-        F.col("labl").cast("string").alias("label"),
+        # columns of the XML reader are those that the file has somewhere
+        F.coalesce(_given(raw, "_dcml").cast("int"), F.lit(0)).alias("dcml"),
+        _given(raw, "labl").cast("string").alias("label"),
     )
     if "catgry" in raw.columns:
         cat = F.col("catgry")
@@ -51,6 +52,10 @@ def read_codebook(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     return variables, labels
 
 
+def _given(df: DataFrame, name: str) -> Column:
+    return F.col(name) if name in df.columns else F.lit(None)
+
+
 def _field(line: Column, start: int, width: int, dcml: int, as_text: bool) -> Column:
     raw = F.trim(F.substring(line, start, width))
     if as_text:

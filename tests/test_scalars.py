@@ -52,9 +52,8 @@ def test_remove_first_and_all(spark):
     assert [(x.f, x.a) for x in r] == [("151200", "151200"), ("ab-c", "abc"), (None, None)]
 
 
-def test_sum_na_rm_and_strict(spark):
+def test_sum_na_rm(spark):
     df = spark.createDataFrame([("g1", None), ("g1", None), ("g2", 1), ("g2", None), ("g2", 2)],
                                "g string, x int")
-    out = {r.g: (r.rm, r.strict) for r in df.groupBy("g").agg(
-        S.sum_na_rm("x").alias("rm"), S.sum_strict("x").alias("strict")).collect()}
-    assert out == {"g1": (0, None), "g2": (3, None)}
+    out = {r.g: r.rm for r in df.groupBy("g").agg(S.sum_na_rm("x").alias("rm")).collect()}
+    assert out == {"g1": 0, "g2": 3}

@@ -79,6 +79,15 @@ def test_period_tag(spark):
     assert r1.first_last_year == "2017"
 
 
+def test_codebook_without_decimals_and_labels(spark, tmp_path):
+    (tmp_path / "c.xml").write_text('<codeBook><dataDscr><var name="AGE"><location StartPos="2" width="3"/></var>'
+                                    '<var name="SEX"><location StartPos="1" width="1"/></var></dataDscr></codeBook>')
+    variables, labels = CB.read_codebook(spark, str(tmp_path / "c.xml"))
+    assert sorted((r.name, r.start, r.width, r.dcml, r.label) for r in variables.collect()) == [
+        ("AGE", 2, 3, 0, None), ("SEX", 1, 1, 0, None)]
+    assert labels.count() == 0
+
+
 def test_codebook_namespace_and_single_category(spark, tmp_path):
     xml = ('<?xml version="1.0"?><codeBook xmlns="ddi:codebook:2_5" version="2.5"><dataDscr>'
            '<var ID="SEX" name="SEX" dcml="0" files="F1"><location StartPos="1" EndPos="1" width="1"/>'
