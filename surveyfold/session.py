@@ -131,13 +131,16 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return stage_table(df, name)
 
 
-def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
+                compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back."""
     spark = df.sparkSession
     path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if compression:
+        writer = writer.option("compression", compression)
     writer.parquet(path)
     out = spark.read.parquet(path)
     out.staged_path = path
