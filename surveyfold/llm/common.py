@@ -28,7 +28,30 @@ def tag_rows(df: DataFrame, name: str, *cols: str | Column) -> DataFrame:
     next, so the tag is only usable once it is written down.
     """
     chosen = list(cols) if cols else [F.col(c) for c in df.columns if c != ROW]
-    return stage_table(df.select(*chosen, F.monotonically_increasing_id().alias(ROW)), name)
+    return stage_table(df.select(*chosen, F.monotonically_increasing_id().alias(ROW)), name, compression="zstd")
+
+
+def content_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Names a row by its id and text (SHA-256): a tag that needs no copy of the
+    table, the same for rows that repeat."""
+    def part(c: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("="), c), F.lit("-"))
+    return F.sha2(F.concat(part(F.col(id_col).cast("string")), F.lit("\n"), part(F.col(text_col))), 256)
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame, name: str) -> DataFrame:
+    """The rows of ``docs`` whose content key is kept, one of those that repeat.
+
+    ``decided``: a row per row of ``docs``, with its key as ``ROW`` and ``kept``.
+    """
+    decided = stage_table(decided.select(ROW, "kept"), f"{name}-decided")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    hits = docs.withColumn(ROW, content_key()).join(decided.filter("kept").select(ROW), ROW, "left_semi")
+    repeated = stage_table(decided.groupBy(ROW).count().filter("count > 1").select(ROW), f"{name}-repeated")
+    if repeated.isEmpty():
+        return hits.select(columns)
+    single = hits.join(repeated, ROW, "left_anti")
+    return single.union(hits.join(repeated, ROW, "left_semi").dropDuplicates([ROW])).select(columns)
 
 
 def text_or_empty(col: str = "text") -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import ASCII_SPACE, ROW, shuffle_partitions, tag_rows, text_or_empty
+from .common import ASCII_SPACE, ROW, content_key, keep_rows, shuffle_partitions, text_or_empty
 
 KEY = ("digest", "norm_bytes", "witness")
 
@@ -93,6 +93,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they came."""
-    tagged = tag_rows(docs, "exact-docs")
-    kept = exact_dedup(tagged, row_col=ROW).filter("kept").select(ROW)
-    return tagged.join(kept, ROW, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.select("doc_id", "text", content_key().alias(ROW))
+    return keep_rows(docs, exact_dedup(named, row_col=ROW), "exact")

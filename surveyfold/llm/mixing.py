@@ -261,8 +261,8 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
     """``docs`` as the mix takes them, all columns kept: a row per drawn run of words.
 
     Adjoining pieces of one copy are one run again; a copy drawn whole keeps
-    its text as it was, other rows get the words drawn. Rows come shard by
-    shard, in the shard's shuffled order.
+    its text as it was, other rows get the words drawn. A shard's rows are
+    together in one partition, in the shard's shuffled order.
     """
     tagged = tag_rows(docs, "mix-docs")
     pieces = mix(tagged, seed).filter("words > 0")
@@ -282,5 +282,5 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
             F.when(whole, 0).otherwise(F.col("__words"))))
     n_chars = {"n_chars": F.char_length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return (out.withColumn("text", text).withColumns(n_chars)
-            .repartitionByRange("__shard", "__place").sortWithinPartitions("__shard", "__place")
+            .repartition("__shard").sortWithinPartitions("__shard", "__place")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import ROW, bound_batches, tag_rows, text_or_empty, tidy
+from .common import ROW, bound_batches, content_key, keep_rows, text_or_empty, tidy
 from .components import connected_components
 
 BITS = 64
@@ -82,7 +82,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, row_col: str | N
     source = docs.select(F.to_json(packed).alias("__at"), text_or_empty().alias("__text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = source.mapInPandas(run, "`__at` string, fp long")
-    back = F.from_json("__at", f"doc_id {kind}, `{ROW}` long")
+    tag_kind = docs.schema[row_col].dataType.simpleString() if row_col else "long"
+    back = F.from_json("__at", f"doc_id {kind}, `{ROW}` {tag_kind}")
     return stage_table(out.select(back.alias("at"), "fp").select("at.*", "fp"), "simhash-fingerprints")
 
 
@@ -286,6 +287,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, budget: int =
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, budget: int = BUDGET) -> DataFrame:
     """One row of each group of near copies, all columns as they came."""
-    tagged = tag_rows(docs, "simhash-docs")
-    kept = near_duplicates(tagged, shingle, budget, row_col=ROW).filter("kept").select(ROW)
-    return tagged.join(kept, ROW, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.select("doc_id", "text", content_key().alias(ROW))
+    return keep_rows(docs, near_duplicates(named, shingle, budget, row_col=ROW), "simhash")
