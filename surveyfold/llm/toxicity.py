@@ -1,17 +1,21 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Terms are the 4- and 5-letter pieces of a text's letters (lower case, every run
-of other characters one space), since invective is inflected and compounded;
-a term is known by its 64-bit hash. The vocabulary holds the terms whose
-chi-square against the label is largest among the examples; document
-frequencies are counted over all documents. Examples are at most
+Terms are the whole words of a text and, since invective is inflected and
+compounded, the 4- and 5-letter pieces of its letters (lower case, every run
+of other characters one space); a term is known by its 64-bit hash. The
+vocabulary holds all terms that ``LEAST_DF`` examples have; document
+frequencies are counted over all documents. A term's weight is its TF-IDF times
+the strength of its association with the label among the examples (phi, the
+root of chi-square per example), so terms that tell the labels apart count most
+and no number of terms or labels is a threshold. Examples are at most
 ``PER_CLASS`` labelled rows of either label, picked by a hash of the id.
 
 The index stores, for every term and every block of ``BLOCK`` examples, the
 postings and the largest weight among them. A query adds up the block maxima
 of its terms, visits blocks by that bound, largest first, and stops at the
 first block whose bound is below the k-th best cosine so far: the k neighbours
-are exact. Queries go in batches, those that visit the same block next together.
+are exact (example weights are kept in single precision). Queries go in
+batches, those that visit the same block next together.
 
 Neighbours vote with their squared cosine, times the share that their label
 has among all labelled rows over the share it has among the examples; a prior
@@ -27,20 +31,23 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
+from .balltree import packed, unpacked
 from .common import bound_batches, is_held_out, text_or_empty, tidy
 from .language import letters
 from .packing import Flat, ranges
 
-PER_CLASS, TERMS, LEAST_CHI, LEAST_DF = 2500, 1500, 30.0, 4
+PER_CLASS, LEAST_DF = 4000, 4
 BLOCK, NEIGHBOURS, PRIOR_WEIGHT = 64, 15, 0.5
 THRESHOLD = 0.7
 PIECES = (4, 5)
-PROBE_BITS = 20
+PROBE_BITS = 22
 BATCH_DOCS = 512
+VISIT_TERMS = 1 << 16        # of the queries that visit a block at once
 
 
 # --- terms -------------------------------------------------------------------
@@ -59,23 +66,46 @@ def piece_hashes(text: str) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
+def word_hashes(text: str) -> np.ndarray:
+    """Hashes of all whole words, repeats included."""
+    points = letters(text)
+    at = np.flatnonzero(points != 32)
+    if not len(at):
+        return np.zeros(0, dtype=np.uint64)
+    begin = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
+    place = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))
+    x = points[at] * np.uint64(0x9E3779B97F4A7C15) ^ (place + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = np.add.reduceat(x ^ x >> np.uint64(32), begin) * np.uint64(0x94D049BB133111EB)
+    return h ^ h >> np.uint64(32)
+
+
+def term_hashes(text: str) -> np.ndarray:
+    return np.concatenate([piece_hashes(text), word_hashes(text)])
+
+
 class Vocabulary:
-    """Finds known terms; a bitmap of their low bits drops most other pieces first."""
+    """Finds known terms: by their low bits, those that share them by search."""
 
     def __init__(self, terms: np.ndarray):
         self.terms = terms                       # sorted hashes
-        self.probe = np.zeros(1 << PROBE_BITS, dtype=bool)
         self.mask = np.uint64((1 << PROBE_BITS) - 1)
-        self.probe[(terms & self.mask).astype(np.int64)] = True
+        low = (terms & self.mask).astype(np.int64)
+        self.probe = np.full(1 << PROBE_BITS, -1, dtype=np.int32)
+        self.probe[low] = np.arange(len(terms))
+        self.shared = np.zeros(1 << PROBE_BITS, dtype=bool)
+        self.shared[low[self.probe[low] != np.arange(len(terms))]] = True
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(term numbers ascending, counts)."""
         if not len(self.terms):
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        h = piece_hashes(text)
-        h = h[self.probe[(h & self.mask).astype(np.int64)]]
-        at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
-        return np.unique(at[self.terms[at] == h], return_counts=True)
+        h = term_hashes(text)
+        low = (h & self.mask).astype(np.int64)
+        at = self.probe[low].astype(np.int64)
+        search = np.flatnonzero(self.shared[low])
+        at[search] = np.minimum(np.searchsorted(self.terms, h[search]), len(self.terms) - 1)
+        return np.unique(at[(at >= 0) & (self.terms[at] == h)], return_counts=True)
 
 
 # --- index -------------------------------------------------------------------
@@ -84,8 +114,8 @@ class Index(NamedTuple):
     """The examples' unit vectors as postings by term, with block maxima."""
 
     terms: np.ndarray             # hashes, ascending
-    idf: np.ndarray
-    starts: np.ndarray            # (terms, blocks + 1): postings of term t in block b
+    idf: np.ndarray               # times the association with the label
+    starts: np.ndarray            # (blocks, terms + 1): postings of term t in block b
     rows: np.ndarray              # example in block, by posting
     weights: np.ndarray
     maxima: np.ndarray            # (terms, blocks)
@@ -95,13 +125,19 @@ class Index(NamedTuple):
     base_rate: float
     scale: tuple[float, float] = (0.0, 1.0)       # of the log-odds of the vote
 
+    def __reduce__(self):
+        """Sent without what the postings tell: workers lay out starts and maxima."""
+        counts = np.diff(self.starts, axis=1).astype(np.uint8)
+        small = zstandard.ZstdCompressor(level=1).compress(counts.tobytes())
+        return unfolded, (small, counts.shape, self._replace(starts=None, maxima=None)._asdict())
+
     def vectors(self, found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[Flat, np.ndarray]:
         """Unit TF-IDF vectors: term numbers of all documents, and their weights."""
         terms = Flat.of(np.concatenate([x[0] for x in found]), np.array([len(x[0]) for x in found], dtype=np.int64))
         w = (1 + np.log(np.concatenate([x[1] for x in found]))) * self.idf[terms.ids]
         doc = np.repeat(np.arange(len(found)), terms.sizes)
         norm = np.sqrt(np.bincount(doc, weights=w * w, minlength=len(found)))
-        return terms, w / norm[doc]
+        return terms, w / np.maximum(norm, 1e-12)[doc]
 
     def nearest(self, terms: Flat, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines), each (documents, k): the k nearest with a cosine
@@ -113,7 +149,9 @@ class Index(NamedTuple):
         some = np.flatnonzero(terms.sizes)
         if not len(some) or not blocks:
             return near, cos
-        bound[some] = np.add.reduceat(self.maxima[terms.ids] * w[:, None], terms.starts[some], axis=0)
+        for q in some:
+            own = slice(terms.starts[q], terms.starts[q] + terms.sizes[q])
+            bound[q] = w[own] @ self.maxima[terms.ids[own]].astype(np.float64)
         order = np.argsort(-bound, axis=1, kind="stable")
         active = some
         for step in range(blocks):
@@ -123,10 +161,13 @@ class Index(NamedTuple):
             active, block = active[go], block[go]
             if not len(active):
                 break
-            for b in np.unique(block):
-                own = active[block == b]
+            by = np.lexsort((active, block))
+            held = np.cumsum(terms.sizes[active[by]]) // VISIT_TERMS
+            cuts = np.flatnonzero((np.diff(block[by]) != 0) | (np.diff(held) != 0)) + 1
+            for own in np.split(by, cuts):
+                b, own = block[own[0]], active[own]
                 at = ranges(terms.starts[own], terms.sizes[own])
-                lo, hi = self.starts[terms.ids[at], b], self.starts[terms.ids[at], b + 1]
+                lo, hi = self.starts[b, terms.ids[at]], self.starts[b, terms.ids[at] + 1]
                 posting = ranges(lo.astype(np.int64), (hi - lo).astype(np.int64))
                 row = np.repeat(np.searchsorted(own, doc[at]), hi - lo)
                 sums = np.bincount(row * BLOCK + self.rows[posting], minlength=len(own) * BLOCK,
@@ -183,23 +224,41 @@ def build_index(terms: np.ndarray, idf: np.ndarray, examples: list, vote: np.nda
     the same block: they are ordered by their heaviest term."""
     examples = sorted(examples, key=lambda e: (int(e[2][np.argmax(e[3])]) if len(e[2]) else -1, e[0]))
     blocks = -(-len(examples) // BLOCK)
-    row = np.repeat(np.arange(len(examples)), [len(e[2]) for e in examples])
-    term = np.concatenate([e[2] for e in examples] or [np.zeros(0, dtype=np.int64)]).astype(np.int64)
-    weight = np.concatenate([e[3] for e in examples] or [np.zeros(0)])
-    order = np.lexsort((row, term))
-    row, term, weight = row[order], term[order], weight[order]
-    cell = term * blocks + row // BLOCK
-    ends = np.searchsorted(cell, np.arange(len(idf) * blocks + 1))
-    starts = np.stack([ends[b:b + len(idf) * blocks:blocks] for b in range(blocks)] +
-                      [ends[blocks::blocks]], axis=1) if blocks else np.zeros((len(idf), 1), dtype=np.int64)
-    maxima = np.zeros(len(idf) * blocks)
-    np.maximum.at(maxima, cell, weight)
-    return Index(terms, idf, starts.astype(np.int32), (row % BLOCK).astype(np.int16), weight,
-                 maxima.reshape(len(idf), blocks) if blocks else np.zeros((len(idf), 0)),
+    starts, rows, weights = np.zeros((blocks, len(idf) + 1), dtype=np.int32), [], []
+    for b in range(blocks):
+        part = examples[b * BLOCK:(b + 1) * BLOCK]
+        term = np.concatenate([e[2] for e in part])
+        order = np.argsort(term, kind="stable")
+        starts[b, 1:] = np.cumsum(np.bincount(term, minlength=len(idf)))
+        starts[b] += sum(map(len, rows))
+        rows.append(np.repeat(np.arange(len(part), dtype=np.uint8), [len(e[2]) for e in part])[order])
+        weights.append(np.concatenate([e[3] for e in part])[order])
+    weight = np.concatenate(weights) if weights else np.zeros(0)
+    return Index(terms, idf, starts, np.concatenate(rows) if rows else np.zeros(0, dtype=np.uint8), weight,
+                 block_maxima(starts, weight),
                  np.array([e[1] for e in examples], dtype=np.int64), np.array([e[0] for e in examples], dtype=np.int64),
                  vote, base_rate)
 
 
+def block_maxima(starts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """(terms, blocks): the largest weight of a term in a block."""
+    out = np.zeros((starts.shape[1] - 1, len(starts)), dtype=weights.dtype)
+    for b, s in enumerate(starts):
+        has = np.flatnonzero(s[1:] > s[:-1])
+        if len(has):
+            out[has, b] = np.maximum.reduceat(weights[:s[-1]], s[has])
+    return out
+
+
+def unfolded(small: bytes, shape: tuple[int, int], fields: dict) -> Index:
+    counts = np.frombuffer(zstandard.ZstdDecompressor().decompress(small), dtype=np.uint8).reshape(shape)
+    starts = np.zeros((shape[0], shape[1] + 1), dtype=np.int32)
+    for b in range(shape[0]):
+        starts[b, 1:] = np.cumsum(counts[b])
+        starts[b] += starts[b - 1, -1] if b else 0
+    return Index(**fields | {"starts": starts, "maxima": block_maxima(starts, fields["weights"])})
+
+
 # --- learning on Spark -------------------------------------------------------
 
 def labelled(labels: DataFrame) -> DataFrame:
@@ -209,11 +268,11 @@ def labelled(labels: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")).filter(F.col("toxic").isin(0, 1))
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_terms: int = TERMS, seed: int = 11) -> Index:
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 11) -> Index:
     """The index; without examples of both labels it has none and scores are the base rate.
 
-    To the driver come two counts, at most ``most_terms`` terms, and at most
-    ``2 * per_class`` term vectors.
+    To the driver come two counts, the terms that ``LEAST_DF`` examples have, and
+    the term vectors of at most ``2 * per_class`` examples.
     """
     bound_batches(docs.sparkSession)
     known = stage_table(labelled(labels), "tox-labels")
@@ -229,7 +288,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
     @tidy
     def term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in batches:
-            seen = [np.unique(piece_hashes(t)) for t in f["text"]]
+            seen = [np.unique(term_hashes(t)) for t in f["text"]]
             label = np.repeat(f["toxic"].to_numpy(), [len(x) for x in seen])
             term, at = np.unique(np.concatenate(seen), return_inverse=True)
             n = [np.bincount(at[label == y], minlength=len(term)) for y in (0, 1)]
@@ -243,9 +302,11 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
     d0, d1 = F.lit(float(have[0])), F.lit(float(have[1]))
     a, b = F.col("n1"), F.col("n0")
     chi = (d0 + d1) * F.pow(a * (d0 - b) - b * (d1 - a), F.lit(2)) / (d0 * d1 * (a + b) * (d0 + d1 - a - b + 1e-9))
-    best = (counts.withColumn("chi", chi).filter((F.col("chi") >= LEAST_CHI) & (a + b >= LEAST_DF))
-            .orderBy(F.desc("chi"), "term").limit(most_terms).select("term").collect())
-    terms = np.sort(np.array([r.term for r in best], dtype=np.int64).view(np.uint64))
+    found = (counts.filter(a + b >= LEAST_DF)
+             .select("term", F.sqrt(chi / (d0 + d1)).alias("phi")).toPandas())
+    terms = found.term.to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(terms)
+    terms, phi = terms[order], found.phi.to_numpy(np.float64)[order]
 
     @tidy
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,27 +319,26 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
         yield pd.DataFrame({"term": hit, "df": df[hit]})
 
     df = np.zeros(len(terms) + 1)
-    for r in (docs.select(text_or_empty().alias("text")).mapInPandas(frequencies, "term int, df long")
-              .groupBy("term").agg(F.sum("df").alias("df")).collect()):
-        df[r.term] = r.df
-    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+    seen = (docs.select(text_or_empty().alias("text")).mapInPandas(frequencies, "term int, df long")
+            .groupBy("term").agg(F.sum("df").alias("df")).toPandas())
+    df[seen.term.to_numpy()] = seen.df
+    gain = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * phi
 
     @tidy
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Vocabulary(terms)
         for f in batches:
-            found = [words.counts(t) for t in f["text"]]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "toxic": f["toxic"], "terms": [x[0] for x in found],
-                                "n": [x[1] for x in found]})
-
-    sparse = examples.mapInPandas(vectors, "doc_id long, toxic int, terms array<long>, n array<long>").collect()
-    made = []
-    for r in sparse:
-        ids, n = np.array(r.terms, dtype=np.int64), np.array(r.n, dtype=np.int64)
-        w = (1 + np.log(n)) * idf[ids]
-        made.append((r.doc_id, r.toxic, ids, w / max(np.sqrt((w * w).sum()), 1e-12)))
+            blobs = []
+            for ids, n in map(words.counts, f["text"]):
+                w = (1 + np.log(n)) * gain[ids]
+                unit = w / max(np.sqrt((w * w).sum()), 1e-12)
+                blobs.append(packed(terms=ids.astype(np.int32), weights=unit.astype(np.float32)))
+            yield pd.DataFrame({"doc_id": f["doc_id"], "toxic": f["toxic"], "vector": blobs})
+
+    sparse = examples.mapInPandas(vectors, "doc_id long, toxic int, vector binary").toLocalIterator()
+    made = [(r.doc_id, r.toxic, v["terms"], v["weights"]) for r in sparse for v in [unpacked(r.vector)]]
     shares = np.array([1 - base, base]) / np.array([have[0], have[1]]) * sum(have.values())
-    index = build_index(terms, idf, made, shares / shares[1], float(base))
+    index = build_index(terms, gain, made, shares / shares[1], float(base))
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     @tidy
@@ -295,6 +355,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_t
                     yield pd.DataFrame({"toxic": part["toxic"].to_numpy()[some], "odds": odds})
 
     odds = examples.mapInPandas(left_out, "toxic int, odds double").toPandas()     # two numbers per example
+    shared.destroy()
     if odds.empty:
         return index
     y = odds.toxic.to_numpy()

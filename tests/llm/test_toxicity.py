@@ -1,3 +1,5 @@
+import pickle
+
 import numpy as np
 import pytest
 
@@ -70,3 +72,25 @@ def test_awkward_rows(spark, docs):
     none = op.learn(docs, labels.limit(0))
     assert {r.score for r in op.predict(docs, none).collect()} == {0.0}
     assert rows(op.predict(empty_docs(spark), none)) == []
+
+
+def test_every_frequent_term_counts(spark):
+    """Whole words beside pieces, no cap on terms, and no floor that few labels do not reach."""
+    common = "one two six the"
+    docs = spark.createDataFrame(
+        [(3 * i, f"{common} {'vile rot' if i % 2 else 'kind sun'} {' '.join(f'w{chr(97 + i % 5)}{chr(97 + k % 26)}{chr(97 + k // 26)}' for k in range(600))}")
+         for i in range(40)] + [(1000, "one")], "doc_id long, text string")
+    labels = spark.createDataFrame([(3 * i, 0, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    index = op.learn(docs, labels)
+    known = set(index.terms.tolist())
+    assert {int(op.word_hashes(w)[0]) for w in ("vile", "rot", "kind", "one", "the")} <= known
+    assert len(known) > 1500
+    again = pickle.loads(pickle.dumps(index))
+    assert all(np.array_equal(a, b) for a, b in zip(index, again, strict=True))
+    assert op.PER_CLASS == 4000
+
+
+def test_words_of_a_text():
+    a, b = op.word_hashes("Clown, you clown! nwolc"), op.word_hashes("you")
+    assert len(a) == 4 and a[0] == a[2] != a[3] and a[1] == b[0]
+    assert len(op.word_hashes("12 3")) == 0
