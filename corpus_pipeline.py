@@ -18,7 +18,7 @@ from surveyfold.session import checkpoint_root
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in which no language can be told (null, or without a letter) go."""
+    """Texts that are null or without a letter go; the language told drops no other."""
     return language.keep_identified(docs, language.fit(docs))
 
 

@@ -204,7 +204,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows whose text has a language: ``und`` goes, everything else stays as it came."""
+    """The rows whose text has a letter, as they came: others have no language.
+
+    Neither the language told nor its ambiguity drops a row, and where no
+    language could be learned a lettered text stays although it is ``und``.
+    """
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType(docs.schema.fields)
@@ -213,8 +217,10 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     @tidy
     def run(batches):
         import pyarrow as pa
+        m = shared.value
         for b in batches:
-            keep = [shared.value.predict(t.as_py())[0] != "und" for t in b.column(at)]
+            texts = [t.as_py() for t in b.column(at)]
+            keep = [(m.predict(t)[0] != "und") if m.languages else bool(t) and bool((letters(t) != 32).any()) for t in texts]
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, schema)

@@ -85,3 +85,10 @@ def test_nothing_to_learn_from(spark):
     one = spark.createDataFrame([(0, "hello there", "en"), (3, "hi", "en")], "doc_id long, text string, lang string")
     assert {r.lang_pred for r in op.predict(one, op.fit(one)).collect()} == {"en"}
     assert {r.lang_pred for r in op.predict(one, none).collect()} == {"und"}
+
+
+def test_nothing_learned_keeps_lettered_texts(spark, docs):
+    none = op.fit(docs.filter(op.is_held_out()))
+    assert none.languages == []
+    kept = op.keep_identified(docs, none)
+    assert kept.count() == sum(any(c.isalpha() for c in r.text or "") for r in docs.collect()) > 0
