@@ -257,23 +257,29 @@ def word_slice(text: pd.Series, first: pd.Series, words: pd.Series) -> pd.Series
     return pd.Series(out, dtype=str)
 
 
-def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """``docs`` as the mix takes them, all columns kept: a row per drawn run of words.
-
-    Adjoining pieces of one copy are one run again; a copy drawn whole keeps
-    its text as it was, other rows get the words drawn. A shard's rows are
-    together in one partition, in the shard's shuffled order.
-    """
-    tagged = tag_rows(docs, "mix-docs")
-    pieces = mix(tagged, seed).filter("words > 0")
+def drawn_runs(pieces: DataFrame) -> DataFrame:
+    """Adjoining pieces of one copy that go to the same shard, as one run."""
     copies = W.partitionBy(ROW, "copy").orderBy("first_word")
     ends = F.col("first_word") + F.col("words")
-    runs = (pieces.withColumn("new", (F.coalesce(F.lag(ends).over(copies), F.lit(-1)) != F.col("first_word")).cast("int"))
+    new = ((F.coalesce(F.lag(ends).over(copies), F.lit(-1)) != F.col("first_word"))
+           | (F.lag("shard").over(copies) != F.col("shard")))
+    return (pieces.filter("words > 0").withColumn("new", new.cast("int"))
             .withColumn("run", F.sum("new").over(copies))
             .groupBy(ROW, "copy", "run")
             .agg(F.min("first_word").alias("__first"), F.sum("words").alias("__words"), F.first("size").alias("__size"),
-                 F.min_by("shard", "first_word").alias("__shard"), F.min_by("place", "first_word").alias("__place"))
+                 F.first("shard").alias("__shard"), F.min_by("place", "first_word").alias("__place"))
             .drop("copy", "run"))
+
+
+def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
+    """``docs`` as the mix takes them, all columns kept: a row per drawn run of words.
+
+    Adjoining pieces of one copy are one run again if they go to the same shard;
+    a run that is the whole text keeps it as it was, other rows get the words
+    drawn. A shard's rows are together in one partition, in the shard's shuffled order.
+    """
+    tagged = tag_rows(docs, "mix-docs")
+    runs = drawn_runs(mix(tagged, seed))
     cut = F.pandas_udf(word_slice, "string")
     whole = F.col("__words") == F.col("__size")
     out = tagged.join(runs, ROW)

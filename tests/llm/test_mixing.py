@@ -94,3 +94,19 @@ def test_stage_gives_the_words_that_are_taken(spark, docs):
         assert r.n_chars == len(r.text) and any(d == r.doc_id and r.text in (t or "") for d, t in whole)
     assert rows(op.mixed_documents(empty_docs(spark))) == []
     assert Fraction(3, 2) == op.SHARE
+
+
+def test_shards_hold_the_quotas_of_the_tree(spark, monkeypatch):
+    monkeypatch.setattr(op, "SHARD_WORDS", 20_000)
+    docs = op.tag_rows(read(spark, "/root/testdata/sf0.01", "documents"), "mix-test")
+    plans = {s["source"]: s for s in op.plan(op.source_line(docs, 7), 7)}
+    runs = op.drawn_runs(op.mix(docs)).join(docs.select(op.ROW, "source"), op.ROW)
+    got = {(r.source, r["__shard"]): r["n"] for r in runs.groupBy("source", "__shard").agg({"__words": "sum"}).toDF("source", "__shard", "n").collect()}
+    for name, s in plans.items():
+        quotas = np.diff(s["shard_ends"], prepend=0)
+        assert len(quotas) > 10
+        q = s["source_size"] // s["blocks"]
+        partial = s["draws"] if s["rest"] else -1                   # the draw that is taken in part
+        for shard, quota in enumerate(quotas.tolist()):
+            cut = s["shard_ends"][shard] - quota <= partial < s["shard_ends"][shard]
+            assert (quota - cut) * q <= got.get((name, shard), 0) <= quota * (q + 1)
