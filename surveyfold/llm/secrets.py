@@ -35,7 +35,7 @@ HINTS = ("passw", "secret", "token", "api")
 # the maximal runs of HEX that are long enough: the greedy pattern's own runs
 LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{%d,}" % LEAST_HEX)
 
-CANDIDATE = re.compile(r"(?<![\w+/-])[A-Za-z0-9+/_-]{20,}={0,2}(?!\w)")
+CANDIDATE = re.compile(r"(?<![\w+/-])[A-Za-z0-9+/_-]{16,}={0,2}(?!\w)")
 MOST_RATIO = 2.0
 DIGEST_HEX = (32, 40, 56, 64, 96, 128)      # MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512
 UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE | re.ASCII)
@@ -65,10 +65,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def known_kind(s: str) -> bool:
-    """A digest by its length, a UUID, or a string of one character class (a
-    word, a number, a rule of dashes), which is no key."""
-    classes = sum(any(test(c) for c in s) for test in (str.isdigit, str.islower, str.isupper))
-    return classes < 2 or bool(UUID.fullmatch(s)) or (len(s) in DIGEST_HEX and bool(ALL_HEX.fullmatch(s)))
+    """A digest by its length, a UUID, or a string without a letter (a number, a
+    rule of dashes), which is no key."""
+    return not any(map(str.isalpha, s)) or bool(UUID.fullmatch(s)) or (len(s) in DIGEST_HEX and bool(ALL_HEX.fullmatch(s)))
 
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], enc, most_ratio: float) -> list[tuple[int, int, int]]:

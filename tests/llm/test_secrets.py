@@ -68,3 +68,10 @@ def test_rows_and_spans(spark, docs):
     assert one[0].base_sha256 == hashlib.sha256(one[0].spans.encode()).hexdigest()
     assert (one[0].n_assign, one[0].n_access, one[0].n_hex) == (1, 1, 1)
     assert rows(op.scan(empty_docs(spark), tokenizer("byte_bpe_50k.tiktoken"))) == []
+
+
+@pytest.mark.parametrize("letters", [string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters + string.digits])
+def test_short_and_letter_only_random_strings_are_found(enc, letters):
+    rng = random.Random(6)
+    keys = ["".join(rng.choice(letters) for _ in range(n)) for n in (16, 17, 19, 32, 48) for _ in range(20)]
+    assert sum(found(f"use {k} here", enc) == [k] for k in keys) >= 0.95 * len(keys)
