@@ -552,6 +552,12 @@ SELECT *, {_epop()} AS "EPOP" FROM z"""
 def j9_counties_unmatched() -> str:
     return _with(PERSONS, GEO, _COUNTY) + """
 SELECT DISTINCT "COUNTYFIP" FROM county_tbl t
+WHERE NOT EXISTS (SELECT 1 FROM czones c WHERE c.county_fips = t."COUNTYFIP")"""
+
+
+def j9_counties_unmatched_partial() -> str:
+    return _with(PERSONS, GEO, _COUNTY) + """
+SELECT DISTINCT "COUNTYFIP" FROM county_tbl t
 WHERE NOT EXISTS (SELECT 1 FROM czones c WHERE c.county_fips = t."COUNTYFIP"
                   AND c.ers90 NOT IN (103, 302))"""
 
@@ -566,6 +572,14 @@ def j7_zone_coverage() -> str:
     return _with(GEO, """
 czones AS (SELECT DISTINCT cz90 AS ers90 FROM geo)""") + """
 SELECT key, bool_or(side = 1) AS in_left, bool_or(side = 2) AS in_right
+FROM (SELECT 1 AS side, cz90 AS key FROM xwalk UNION ALL SELECT 2, ers90 FROM czones)
+GROUP BY key"""
+
+
+def j7_zone_coverage_partial() -> str:
+    return _with(GEO, """
+czones AS (SELECT DISTINCT cz90 AS ers90 FROM geo)""") + """
+SELECT key, bool_or(side = 1) AS in_left, bool_or(side = 2) AS in_right
 FROM (SELECT 1 AS side, NULLIF(cz90, 101) AS key FROM xwalk WHERE cz90 % 100 < 5
       UNION ALL SELECT 2, NULLIF(ers90, 201) FROM czones WHERE ers90 > 200)
 GROUP BY key"""

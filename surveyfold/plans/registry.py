@@ -153,6 +153,10 @@ def _a17(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _j7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.coverage(analog.crosswalk(spark, sf_dir), analog.county_zones(spark, sf_dir), "cz90", "ers90")
+
+
+def _j7_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tables whose zones overlap in part, with a NULL zone on either side."""
     units = analog.crosswalk(spark, sf_dir).where("cz90 % 100 < 5").withColumn(
         "cz90", F.expr("nullif(cz90, 101)"))
@@ -162,6 +166,10 @@ def _j7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _j9_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _survey(spark, sf_dir).county_unmatched()
+
+
+def _j9_counties_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     """County zones without the counties of two zones, so counties of the data go unmatched."""
     s = _survey(spark, sf_dir)
     s.county_zones = analog.county_zones(spark, sf_dir).where("ers90 NOT IN (103, 302)")
@@ -246,7 +254,9 @@ def queries() -> dict[str, Query]:
         "w2_zone_group_total": _w2,
         "w3_keep_last": _w3,
         "j7_zone_coverage": _j7,
+        "j7_zone_coverage_partial": _j7_partial,
         "j9_counties_unmatched": _j9_counties,
+        "j9_counties_unmatched_partial": _j9_counties_partial,
         "j11_merge_indicator": _j11,
         "t15_unmatched_units": _t15_unmatched,
         "j9_zones_without_data": _product("zones_without_data"),
@@ -313,9 +323,11 @@ def oracle_sql() -> dict[str, str]:
         "w2_zone_group_total": o.w2_zone_group_total(),
         "w3_keep_last": o.w3_keep_last(),
         "j7_zone_coverage": o.j7_zone_coverage(),
+        "j7_zone_coverage_partial": o.j7_zone_coverage_partial(),
         "j11_merge_indicator": o.j11_merge_indicator(),
         "t15_unmatched_units": o.t15_crosswalk_apportion(UNMATCHED_XWALK),
         "j9_counties_unmatched": o.j9_counties_unmatched(),
+        "j9_counties_unmatched_partial": o.j9_counties_unmatched_partial(),
         "j9_zones_without_data": o.j9_zones_without_data(),
         "x12_geo_units": o.x12_geo_units(),
         "x14_minor_codes": o.x14_minor_codes(),

@@ -51,3 +51,13 @@ def test_plan_at_scale(scale_conf, name):
         # a broadcast side may read a big table only through an aggregate
         if any(t in BIG for t in scanned):
             assert "HashAggregate" in sub or "SortAggregate" in sub, (name, sub[:400])
+
+
+def test_zone_queries_cover_the_whole_tables(spark):
+    """The plain names compare whole tables, the partial ones constructed mismatches."""
+    from surveyfold.plans import analog
+    whole = {r.cz90 for r in analog.crosswalk(spark, SF_SMALL).select("cz90").collect()}
+    found = registry.queries()
+    assert {r.key for r in found["j7_zone_coverage"](spark, SF_SMALL).collect()} == whole
+    assert found["j9_counties_unmatched"](spark, SF_SMALL).count() == 0
+    assert found["j9_counties_unmatched_partial"](spark, SF_SMALL).count() > 0
