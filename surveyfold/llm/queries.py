@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import balltree as op8
 from . import exact_dedup as op4
 from . import language as op1
+from . import minhash as op11
 from . import mixing as op9
 from . import packing as op6
 from . import repeats as op7
@@ -110,6 +111,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.predict(docs, op10.learn(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language": op1_language,
@@ -122,6 +127,7 @@ def queries() -> dict[str, Query]:
         "op8_search": op8_search,
         "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
+        "op11_minhash": op11_minhash,
     }
 
 
