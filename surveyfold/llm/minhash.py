@@ -205,12 +205,9 @@ def judged(pairs: DataFrame, classes: DataFrame, kept: int = KEPT, percent: int
 
 # --- long lists --------------------------------------------------------------
 
-def overlaps(values: list[np.ndarray]) -> np.ndarray:
-    """Shared values of every two sketches (the diagonal is not filled)."""
-    m = len(values)
-    row = np.repeat(np.arange(m), [len(v) for v in values])
-    flat = np.concatenate([np.zeros(0, np.int64), *values])
-    order = np.argsort(flat, kind="stable")
+def overlaps(row: np.ndarray, flat: np.ndarray, m: int) -> np.ndarray:
+    """Shared values of every two of m sketches, given as (row, value); the diagonal is not filled."""
+    order = np.lexsort((row, flat))
     _, at, times = np.unique(flat[order], return_inverse=True, return_counts=True)
     row, out = row[order], np.zeros((m, m), dtype=np.int32)
     thin = (times[at] > 1) & (times[at] <= THIN)
@@ -246,13 +243,21 @@ def spanning_forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def block_pairs(f: pd.DataFrame, kept: int, percent: int) -> pd.DataFrame:
+def block_pairs(f: pd.DataFrame, counts: np.ndarray, kept: int, percent: int) -> pd.DataFrame:
     """(a, b, sure) of two blocks of a list: forests of links and candidates, or,
-    where components are known, every candidate between two of them."""
-    f = f.drop_duplicates("cid")
-    values, n, cid = f["values"].tolist(), f.n.to_numpy(), f.cid.to_numpy()
-    shared = overlaps(values)
+    where components are known, every candidate between two of them.
+
+    A pair belongs to the list of its first shared value in the common order
+    (which both prefixes hold), so one list only looks at it.
+    """
+    f = f.sort_values("cid").drop_duplicates("cid")
+    values, n, cid, own = f["values"].tolist(), f.n.to_numpy(), f.cid.to_numpy(), int(f.value.iloc[0])
+    row, flat = np.repeat(np.arange(len(n)), [len(v) for v in values]), np.concatenate(values)
+    times, here = counts[flat & (COUNTERS - 1)], counts[own & (COUNTERS - 1)]
+    before = (times < here) | (times == here) & (flat < own)
     near = (100 * np.minimum.outer(n, n) >= percent * np.maximum.outer(n, n)) & ~np.eye(len(n), dtype=bool)
+    near &= overlaps(row[before], flat[before], len(n)) == 0
+    shared = overlaps(row, flat, len(n)) if near.any() else np.zeros(near.shape, dtype=np.int32)
     exact = np.maximum.outer(n, n) <= kept
     sure = near & exact & (100 * shared >= percent * (n[:, None] + n[None, :] - shared))
     x, y = np.nonzero(np.triu(near & ~exact & (shared > 0)))
@@ -275,7 +280,7 @@ def block_pairs(f: pd.DataFrame, kept: int, percent: int) -> pd.DataFrame:
                          "sure": np.array([e[2] for e in found], dtype=bool)})
 
 
-def long_pairs(lists: DataFrame, classes: DataFrame, components: DataFrame | None = None,
+def long_pairs(lists: DataFrame, classes: DataFrame, counts: np.ndarray, components: DataFrame | None = None,
                kept: int = KEPT, percent: int = PERCENT) -> DataFrame:
     """(a, b, sure) from the lists of more than SHORT classes, two blocks at a time."""
     own = lists.filter(F.col("members") > SHORT)
@@ -290,9 +295,8 @@ def long_pairs(lists: DataFrame, classes: DataFrame, components: DataFrame | Non
     dealt = (own.withColumn("i", F.pmod(F.xxhash64("cid", "value"), blocks))
              .withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
              .select("value", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "cid", "component"))
-    found = (dealt.join(classes.select("cid", "n", "values"), "cid").groupBy("value", "i", "j")
-             .applyInPandas(lambda f: block_pairs(f, kept, percent), "a long, b long, sure boolean"))
-    return found.groupBy("a", "b").agg(F.max("sure").alias("sure"))
+    return (dealt.join(classes.select("cid", "n", "values"), "cid").groupBy("value", "i", "j")
+            .applyInPandas(lambda f: block_pairs(f, counts, kept, percent), "a long, b long, sure boolean"))
 
 
 # --- exact Jaccard -----------------------------------------------------------
@@ -326,21 +330,23 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame,
 def class_components(classes: DataFrame, docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT,
                      kept: int = KEPT) -> DataFrame:
     """(node, component) for the classes that are linked with another."""
-    rows = stage_table(prefix_rows(classes, retained_counts(classes), kept, percent), "minhash-values")
+    counts = retained_counts(classes)
+    rows = stage_table(prefix_rows(classes, counts, kept, percent), "minhash-values")
     sizes = rows.groupBy("value").agg(F.count("*").alias("members")).filter("members > 1")
     lists = stage_table(rows.join(sizes, "value"), "minhash-lists")
-    first = stage_table(judged(short_pairs(lists, percent), classes, kept, percent)
-                        .unionByName(long_pairs(lists, classes, None, kept, percent)), "minhash-candidates")
+    listed = stage_table(classes.join(lists.select("cid").distinct(), "cid", "left_semi"), "minhash-listed")
+    first = stage_table(judged(short_pairs(lists, percent), listed, kept, percent)
+                        .unionByName(long_pairs(lists, listed, counts, None, kept, percent)), "minhash-candidates")
     sure, open_pairs = first.filter("sure").select("a", "b"), first.filter("not sure").select("a", "b").distinct()
     found = sure
     if not open_pairs.isEmpty():
-        found = stage_table(sure.union(verified(open_pairs, classes, docs, size, percent)), "minhash-links")
+        found = stage_table(sure.union(verified(open_pairs, listed, docs, size, percent)), "minhash-links")
     reach = connected_components(found)
-    rest = stage_table(long_pairs(lists, classes, reach, kept, percent).select("a", "b")
+    rest = stage_table(long_pairs(lists, listed, counts, reach, kept, percent).select("a", "b")
                        .join(open_pairs, ["a", "b"], "left_anti"), "minhash-rest")
     if rest.isEmpty():
         return reach
-    return connected_components(found.union(stage_table(verified(rest, classes, docs, size, percent), "minhash-more")))
+    return connected_components(found.union(stage_table(verified(rest, listed, docs, size, percent), "minhash-more")))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT, kept: int = KEPT) -> DataFrame:

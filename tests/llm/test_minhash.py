@@ -95,7 +95,7 @@ def test_overlaps_of_thin_and_common_values(monkeypatch):
     monkeypatch.setattr(op, "THIN", 3)
     rng = np.random.default_rng(1)
     values = [np.unique(rng.integers(0, 60, rng.integers(0, 30))) for _ in range(25)]
-    got = op.overlaps(values)
+    got = op.overlaps(np.repeat(np.arange(25), [len(v) for v in values]), np.concatenate(values), 25)
     for i in range(25):
         for j in range(25):
             assert i == j or got[i, j] == len(np.intersect1d(values[i], values[j]))
