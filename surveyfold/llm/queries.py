@@ -11,6 +11,7 @@ from . import exact_dedup as op4
 from . import language as op1
 from . import minhash as op11
 from . import mixing as op9
+from . import negatives as op12
 from . import packing as op6
 from . import repeats as op7
 from . import secrets as op5
@@ -115,6 +116,32 @@ def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.hard_negatives(read(spark, sf_dir, "embeddings"))
+
+
+ORACLE_OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, c.vec_id, c.label, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE s.label <> s.own AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language": op1_language,
@@ -128,6 +155,7 @@ def queries() -> dict[str, Query]:
         "op9_mixing": op9_mixing,
         "op10_toxicity": op10_toxicity,
         "op11_minhash": op11_minhash,
+        "op12_hard_negatives": op12_hard_negatives,
     }
 
 
@@ -136,4 +164,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_warc": ORACLE_OP2,
         "op4_exact_dedup": ORACLE_OP4,
         "op8_search": ORACLE_OP8,
+        "op12_hard_negatives": ORACLE_OP12,
     }
