@@ -18,6 +18,7 @@ from . import secrets as op5
 from . import simhash as op3
 from . import toxicity as op10
 from . import wacz as op2
+from . import whitening as op13
 from .common import read, tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +143,10 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 """
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.whiten(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language": op1_language,
@@ -156,6 +161,7 @@ def queries() -> dict[str, Query]:
         "op10_toxicity": op10_toxicity,
         "op11_minhash": op11_minhash,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_whitening": op13_whitening,
     }
 
 

@@ -1,0 +1,120 @@
+import math
+
+import numpy as np
+import pytest
+
+from surveyfold.llm import whitening as op
+
+from .helpers import rows
+
+SCHEMA = "vec_id long, embedding array<float>, label int, component int, n long, y string"
+
+
+def frame(spark, table):
+    return spark.createDataFrame([(*r, 1, 2, 3, "y") for r in table], SCHEMA).repartition(3)
+
+
+def fit_list(vectors):
+    return np.unique([[math.floor(64 * float(np.float32(c))) + 1000000 for c in v] for v in vectors], axis=0)
+
+
+def check(got, table, most=16):
+    """Every column against a dense covariance, and components up to their sign."""
+    fine = [(i, v) for i, v in table if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    fit = fit_list([v for _, v in fine])
+    n, sums = len(fit), fit.sum(axis=0)
+    cov = np.cov(fit.T.astype(float), bias=True).reshape(fit.shape[1], -1)
+    values, vectors = np.linalg.eigh(cov)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    rank = int((values > 1e-9 * values.max()).sum()) if values.max() > 0 else 0
+    count = min(most, rank)
+    assert len(got) == len(fine) * count
+    by = {}
+    for r in got:
+        by.setdefault(r.vec_id, {}).setdefault(r.component, []).append(r)
+    sign = {}
+    for i, v in fine:
+        x = np.array([math.floor(64 * float(np.float32(c))) + 1000000 for c in v])
+        z = (x - sums / n) @ vectors[:, :count] / np.sqrt(values[:count])
+        for c in range(1, count + 1):
+            for r in by[i][c]:
+                assert r.n == n and r.deviation == sum(int(d) ** 2 for d in n * x - sums)
+                assert r.explained == pytest.approx(values[c - 1] / values.sum(), rel=1e-9)
+                assert r.identity_error < 1e-9
+                if abs(z[c - 1]) > 1e-3:
+                    sign.setdefault(c, np.sign(r.whitened / z[c - 1]))
+                assert r.whitened == pytest.approx(sign.get(c, 1) * z[c - 1], abs=1e-5)
+
+
+def test_against_a_dense_covariance_with_awkward_rows(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(150, 20)) * np.linspace(3, 0.2, 20)
+    table = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(base)]
+    table += [(200 + i, table[0][1]) for i in range(40)]          # copies count once
+    table += [(300, None), (301, [math.nan] * 20), (302, [None] + [0.0] * 19), (303, [math.inf] * 20)]
+    got = op.whiten(frame(spark, table))
+    assert got.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    check(got.collect(), table)
+
+
+def test_low_rank_null_ids_and_lengths_apart(spark):
+    line = [(i, [float(i), 2.0 * i, 0.5]) for i in range(6)]
+    got = op.whiten(frame(spark, line))
+    check(got.collect(), line)
+    mixed = op.whiten(frame(spark, line + [(None, [1.0, 2.0]), (9, [3.0, 1.0]), (8, [])])).collect()
+    assert len(mixed) == 6 + 2 and {r.vec_id for r in mixed} >= {None, 9}
+
+
+def test_empty_and_single(spark):
+    assert rows(op.whiten(frame(spark, []))) == []
+    assert rows(op.whiten(frame(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])]))) == []
+
+
+def test_repeated_eigenvalues_get_one_orthonormal_basis(spark):
+    """The corners of a cross: all directions have the same spread."""
+    table = [(2 * d + s, [(1.0 if s else -1.0) if k == d else 0.0 for k in range(5)]) for d in range(5) for s in (0, 1)]
+    got = op.whiten(frame(spark, table)).collect()
+    assert len(got) == 50 and max(r.identity_error for r in got) < 1e-12
+    z = np.zeros((10, 5))
+    for r in got:
+        z[r.vec_id, r.component - 1] = r.whitened
+    assert np.allclose(z.T @ z / 10, np.eye(5)) and {round(r.explained, 12) for r in got} == {0.2}
+
+
+def plain_polynomial(m):
+    """Faddeev-LeVerrier in integers."""
+    d = len(m)
+    one = np.array([[int(i == j) for j in range(d)] for i in range(d)], dtype=object)
+    a, c = np.zeros((d, d), dtype=object), [1]
+    for k in range(1, d + 1):
+        a = m @ a + c[-1] * one
+        c.append(-int(np.trace(m @ a)) // k)
+    return c[::-1]
+
+
+def test_polynomial_by_remainders_is_exact():
+    rng = np.random.default_rng(4)
+    for d in (1, 2, 3, 7, 12):
+        x = rng.integers(-10 ** 6, 10 ** 6, (d + 3, d)).astype(object)
+        m = x.T @ x
+        if d == 7:
+            m[2] = 0
+            m[:, 2] = 0
+        assert op.remaindered([(p, op.polynomial_mod(m, p)) for p in op.primes_for(m)]) == plain_polynomial(m)
+
+
+def test_roots_are_isolated_with_their_multiplicity():
+    poly = [1]
+    for r in (0, 0, 3, 3, 3, 7, 8, 1000):                         # (x - r), the constant first
+        poly = [a - r * b for a, b in zip([0, *poly], [*poly, 0], strict=True)]
+    assert [op.roots_above(poly, a) for a in (0, 2, 3, 7, 999, 1000)] == [6, 6, 3, 2, 1, 0]
+    fine = op.scaled(poly, 10)
+    assert [op.root(fine, k, 1021 << 10) for k in (1, 2, 3, 4, 6)] == [
+        ((1000 << 10) - 1, 1, 1), ((8 << 10) - 1, 2, 2), ((7 << 10) - 1, 3, 3), ((3 << 10) - 1, 4, 6), ((3 << 10) - 1, 4, 6)]
+
+
+def test_large_entries_stay_exact():
+    rows = np.array([[3 * 10 ** 12, -5], [7, 2 * 10 ** 15]])
+    sums, products = op.exact_products(rows)
+    assert sums.tolist() == [3 * 10 ** 12 + 7, 2 * 10 ** 15 - 5] and products[0, 0] == 9 * 10 ** 24 + 49
+    assert op.deviations(rows, 10 ** 6, sums)[1, 1] == 10 ** 6 * 2 * 10 ** 15 - sums[1]
