@@ -181,7 +181,11 @@ def best_in_windows(groups: DataFrame, blocks: DataFrame, zones: DataFrame, chun
     """(tag, window, id, row, score): for every window a superset of its k best rows, written down."""
 
     def starts(data: dict[str, np.ndarray], seed: bytes | None) -> np.ndarray:
-        return unpacked(seed)["kth"] if seed is not None else np.full(len(data["window"]), -LONG, dtype=np.int64)
+        kth = np.full(len(data["window"]), -LONG, dtype=np.int64)
+        if seed is not None:
+            known = unpacked(seed)
+            kth[known["at"]] = known["kth"]
+        return kth
 
     def choose(first: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -225,15 +229,12 @@ def best_in_windows(groups: DataFrame, blocks: DataFrame, zones: DataFrame, chun
                                 "dims long, grp long, at long, score long"), "negatives-opening")
 
     def kth_of(f: pd.DataFrame) -> pd.DataFrame:
-        q = unpacked(f.queries.iloc[0])
-        kth = np.full(len(q["window"]), -LONG, dtype=np.int64)
         full = f.groupby("at").score.agg(["size", "min"])        # one block a window: k rows of it at most
         full = full[full["size"] == k]
-        kth[full.index.to_numpy()] = full["min"].to_numpy()
-        return pd.DataFrame({"dims": f.dims.iloc[:1], "grp": f.grp.iloc[:1], "seed": [packed(kth=kth)]})
+        return pd.DataFrame({"dims": f.dims.iloc[:1], "grp": f.grp.iloc[:1], "seed": [packed(
+            at=full.index.to_numpy(np.int64), kth=full["min"].to_numpy(np.int64))]})
 
-    seeds = (opening.join(groups, ["dims", "grp"]).groupBy("dims", "grp")
-             .applyInPandas(kth_of, "dims long, grp long, seed binary"))
+    seeds = opening.groupBy("dims", "grp").applyInPandas(kth_of, "dims long, grp long, seed binary")
     groups_seeded = stage_table(groups.join(seeds, ["dims", "grp"], "left"), "negatives-seeds")
     everywhere = groups_seeded.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), per_length(chunks) - 1)))
     return stage_table(visit(everywhere, False, "tag long, window long, id long, row long, score long"), "negatives-found")
