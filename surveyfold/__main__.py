@@ -1,6 +1,6 @@
 """Command line: the reference's runner as Spark jobs.
 
-    python -m surveyfold build --sf-dir DIR --out OUT [--panel] [--format csv|parquet]
+    python -m surveyfold build --sf-dir DIR --out OUT [--panel] [--format csv|parquet] [--publish]
     python -m surveyfold files --codebook X.xml --extract X.dat --crosswalk C.csv \\
         --zone-context Z.csv --soc-structure S.csv --sector-titles T.csv --out OUT [--single-year]
     python -m surveyfold panel --dir OUT_CSV --table state_acs_data --schema "..." --out PANEL [--years 2008-2019]
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import argparse
 
-from .plans.build import build_panels, build_tables
+from .plans.build import build_panels, build_tables, publish_panels, publish_tables
 from .plans.products import Survey
 from .session import apply_cluster_conf, is_local
 from .sources.files import read_panel, write_table
@@ -43,6 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--out", required=True)
     b.add_argument("--panel", action="store_true")
     b.add_argument("--format", default="csv")
+    b.add_argument("--publish", action="store_true", help="one build behind a manifest: all tables appear at once")
     f = sub.add_parser("files")
     for name in ("codebook", "extract", "crosswalk", "zone-context", "soc-structure",
                  "sector-titles", "out"):
@@ -52,6 +53,7 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--stage-partitions", type=int,
                    help="spread a gzipped (unsplittable) extract before staging it")
     f.add_argument("--format", default="csv")
+    f.add_argument("--publish", action="store_true")
     p = sub.add_parser("panel")
     p.add_argument("--dir", required=True)
     p.add_argument("--table", required=True)
@@ -61,8 +63,9 @@ def main(argv: list[str] | None = None) -> None:
     ps = sub.add_parser("panels")
     ps.add_argument("--dir", required=True)
     ps.add_argument("--years", type=year_list, required=True)
-    ps.add_argument("--out", required=True)
+    ps.add_argument("--out", help="the panels' folder; published samples get their panels beside them")
     ps.add_argument("--format", default="csv")
+    ps.add_argument("--publish", action="store_true", help="the samples in --dir are published builds")
     h = sub.add_parser("hierarchy")
     h.add_argument("--structure", required=True)
     h.add_argument("--out", required=True)
@@ -80,19 +83,24 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "build":
         survey = Survey.from_driver_tables(spark, args.sf_dir,
                                            ("year",) if args.panel else ())
-        build_tables(survey, args.out, args.format, year_col="YEAR")
+        (publish_tables if args.publish else build_tables)(survey, args.out, args.format, year_col="YEAR")
     elif args.cmd == "files":
         survey = Survey.from_files(spark, args.codebook, args.extract, args.crosswalk,
                                    args.zone_context, args.soc_structure, args.sector_titles,
                                    args.counties, stage_microdata=True,
                                    stage_partitions=args.stage_partitions)
-        build_tables(survey, args.out, args.format,
-                     year_col="YEAR" if args.single_year else "MULTYEAR",
-                     multi_year=not args.single_year)
+        (publish_tables if args.publish else build_tables)(
+            survey, args.out, args.format, year_col="YEAR" if args.single_year else "MULTYEAR",
+            multi_year=not args.single_year)
     elif args.cmd == "panel":
         write_table(read_panel(spark, args.dir, args.table, args.schema, args.years), args.out)
     elif args.cmd == "panels":
-        build_panels(spark, args.dir, args.out, args.years, args.format)
+        if args.publish:
+            publish_panels(spark, args.dir, args.years, args.format)
+        elif not args.out:
+            ap.error("panels: --out is needed unless --publish is given")
+        else:
+            build_panels(spark, args.dir, args.out, args.years, args.format)
     else:
         from .sources.files import read_soc_structure
         hier = Survey.occupation_hierarchy(read_soc_structure(spark, args.structure))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import sum_na_rm
@@ -65,6 +65,80 @@ def apportion(unit_totals: DataFrame, crosswalk: DataFrame, unit: str, zone: str
     ])
 
 
+# digits of the fraction that a group of equal unit totals adds to a zone
+SHARE_DIGITS, WORK_DIGITS = 15, 18
+
+
+def _whole(name: str, decimals: int = 0) -> Column:
+    """A column times ``10 ** decimals`` as an exact integer (``decimal(22,0)``);
+    a value with more decimals fails the job instead of being rounded."""
+    value = F.col(name)
+    exact = value.cast(f"decimal(20,{decimals})")
+    finer = value.isNotNull() & (exact.isNull() | (exact.cast("double") != value.cast("double")))
+    problem = F.raise_error(F.concat(F.lit(f"{name} has more than {decimals} decimals: "), value.cast("string")))
+    return F.when(finer, problem.cast("decimal(22,0)")).otherwise((exact * 10 ** decimals).cast("decimal(22,0)"))
+
+
+def exact_fraction_sum(df: DataFrame, keys: Sequence[str], numerators: dict[str, Column],
+                       denominators: dict[str, Column]) -> DataFrame:
+    """``sum(numerator / denominator)`` by ``keys``, the same for any order and partitioning.
+
+    Integer numerators are first summed per denominator, exactly, and each such
+    sum is divided once: a whole part, and a fraction rounded to
+    ``SHARE_DIGITS`` digits. Wholes and fractions are decimals, whose sums know
+    no order; the two meet as a double at the end. A zone's error is at most
+    half a unit of the last digit per distinct denominator. Not negative.
+    """
+    names = list(numerators)
+    distinct: dict[str, str] = {}
+    columns: dict[str, Column] = {}
+    for bottom in denominators.values():                        # equal expressions are one group column
+        if str(bottom) not in distinct:
+            distinct[str(bottom)] = f"__d{len(distinct)}"
+            columns[distinct[str(bottom)]] = bottom.cast("decimal(38,0)")
+    of = {name: distinct[str(bottom)] for name, bottom in denominators.items()}
+    groups = df.select(*keys, *[c.alias(n) for n, c in columns.items()], *[numerators[n].cast("decimal(38,0)").alias(n) for n in names])
+    sums = groups.groupBy(*keys, *columns).agg(*[F.sum(n).alias(n) for n in names])
+    wholes, parts = {}, {}
+    for n in names:
+        bottom = F.col(of[n])
+        rest = F.col(n) % bottom
+        wholes[f"__q_{n}"] = ((F.col(n) - rest) / bottom).cast("decimal(38,0)")
+        share = (rest.cast("decimal(20,0)") / bottom.cast("decimal(20,0)")).cast(f"decimal(38,{WORK_DIGITS})")
+        parts[f"__f_{n}"] = share.cast(f"decimal(38,{SHARE_DIGITS})")
+    divided = sums.select(*keys, *[c.alias(n) for n, c in (wholes | parts).items()])
+    total = divided.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (*wholes, *parts)])
+
+    def joined(n: str) -> Column:
+        # 30 digits: a difference of wider decimals would lose places
+        whole, part = F.col(f"__q_{n}"), F.col(f"__f_{n}").cast(f"decimal(30,{SHARE_DIGITS})")
+        return ((whole + F.floor(part)).cast("double") + (part - F.floor(part)).cast("double")).alias(n)
+    return total.select(*keys, *[joined(n) for n in names])
+
+
+def apportion_exact(unit_totals: DataFrame, crosswalk: DataFrame, unit: str, zone: str, prefixes: Sequence[str],
+                    extra_keys: Sequence[str] = (), crosswalk_rows: int | None = None, decimals: int = 2) -> DataFrame:
+    """A11 by integers: like :func:`apportion` with ``prefixes``, order-independent.
+
+    A share is ``pop / pumapop``, so ``sum(m * share)`` is a sum of ``m * pop``
+    over ``pumapop``; the crosswalk's own two columns (quirk Q14) are
+    ``pop * pop`` over ``czpop * pumapop`` and over ``pumapop`` squared. Measures
+    carry at most ``decimals`` decimals, as survey weights do, populations none.
+    """
+    from ..functions.columns import select_prefix
+    joined = unit_totals.join(broadcast_bounded(crosswalk, crosswalk_rows), on=unit, how="inner").na.drop(how="any")
+    keys = [zone, *extra_keys]
+    shares = {"county_prop_incz", "county_prop_inpuma"}
+    measures = [c for c in select_prefix(joined, *prefixes) if c not in {unit, *keys}]
+    scaled = joined.withColumns({f"__{c}": _whole(c) for c in ("pop", "pumapop", "czpop")}
+                                | {f"__m_{m}": _whole(m, decimals) for m in measures if m not in shares})
+    pop, unit_pop, zone_pop = (F.col(f"__{c}").cast("decimal(16,0)") for c in ("pop", "pumapop", "czpop"))
+    tops = {m: pop * pop if m in shares else F.col(f"__m_{m}").cast("decimal(22,0)") * pop.cast("decimal(15,0)") for m in measures}
+    bottoms = {m: unit_pop * 10 ** decimals for m in measures} | {
+        m: unit_pop * (zone_pop if m == "county_prop_incz" else unit_pop) for m in measures if m in shares}
+    return exact_fraction_sum(scaled, keys, tops, bottoms)
+
+
 def zone_group_total(df: DataFrame, zone: str, value: str, name: str,
                      zone_rows: int | None = None) -> DataFrame:
     """Group total on every row (Stata ``bysort zone: egen name = sum(value)``).

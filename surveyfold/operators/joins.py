@@ -89,14 +89,18 @@ def anti_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
 
 
 def merge_indicator(master: DataFrame, using: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stata ``merge`` with ``_merge`` = 1 master only, 2 using only, 3 both."""
+    """Stata ``merge`` with ``_merge`` = 1 master only, 2 using only, 3 both.
+
+    A missing key matches a missing key, as in Stata (and in dplyr, N3).
+    """
     m = master.withColumn("__in_m", F.lit(True))
-    u = using.withColumn("__in_u", F.lit(True))
-    out = m.join(u, on=list(keys), how="full")
-    return out.withColumn(
-        "_merge",
-        F.when(F.col("__in_m") & F.col("__in_u"), 3).when(F.col("__in_m"), 1).otherwise(2),
-    ).drop("__in_m", "__in_u")
+    u = using.withColumns({"__in_u": F.lit(True)}).withColumnsRenamed({k: f"__u_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__u_{k}")) for k in keys])
+    out = m.join(u, same, "full")
+    told = {k: F.when(F.col("__in_m"), F.col(k)).otherwise(F.col(f"__u_{k}")) for k in keys}
+    told["_merge"] = F.when(F.col("__in_m") & F.col("__in_u"), 3).when(F.col("__in_m"), 1).otherwise(2)
+    rest = [c for c in master.columns if c not in keys], [c for c in using.columns if c not in keys]
+    return out.withColumns(told).select(*keys, *rest[0], *rest[1], "_merge")
 
 
 def decode_labels(df: DataFrame, code: str, labels: DataFrame, variable: str,

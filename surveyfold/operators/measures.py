@@ -104,7 +104,7 @@ def level_aggregates(measures: Sequence[Measure], level_col: str,
 
 
 def pivot_wider(df: DataFrame, keys: Sequence[str], names_from: str,
-                values: dict[str, Column], levels: Sequence[str],
+                values: dict[str, Column], levels: Sequence[str | None],
                 count_names: Sequence[str] = ()) -> DataFrame:
     """A5: ``pivot_wider(names_from, values_from, names_sep="_")`` + ``clean_names``.
 
@@ -118,12 +118,38 @@ def pivot_wider(df: DataFrame, keys: Sequence[str], names_from: str,
     aggs = []
     for name, value in values.items():
         for level in levels:
-            cond = F.col(names_from) == F.lit(level)
+            cond = F.col(names_from).isNull() if level is None else F.col(names_from) == F.lit(level)
             expr = row_count(cond) if name in count_names else F.sum(F.when(cond, value))
-            aggs.append(expr.alias(f"{name}_{snake_case(level)}"))
+            aggs.append(expr.alias(f"{name}_{'na' if level is None else snake_case(level)}"))
     return df.groupBy(*keys).agg(*aggs)
 
 
+def levels_as_seen(df: DataFrame, names_from: str, order_by: Sequence[str], most: int = 200) -> list:
+    """A5: the levels of a column in the order in which they first occur.
+
+    Rows have no order of their own in Spark, so the first position of a level
+    is its smallest ``order_by`` (NULLs last, then the level itself); one
+    aggregate keeps it, whatever the number of rows. A NULL is a level. More
+    than ``most`` levels raise: a pivot would make a column of each.
+    """
+    place = F.struct(*[x for c in order_by for x in (F.col(c).isNull().alias(f"{c}_null"), F.col(c).alias(c))],
+                     F.col(names_from).isNull().alias("__null"), F.col(names_from).alias("__level"))
+    found = (df.groupBy(names_from).agg(F.min(place).alias("__first"))
+             .orderBy("__first").select(names_from).limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"{names_from}: more than {most} levels to pivot")
+    return [r[0] for r in found]
+
+
+def pivot_as_seen(df: DataFrame, keys: Sequence[str], names_from: str, values: dict[str, Column],
+                  order_by: Sequence[str], most: int = 200, count_names: Sequence[str] = ()) -> DataFrame:
+    """A5 with the levels found in the data, columns in first-seen order, ``{value}_na`` for NULL.
+
+    Finding the levels is a job of its own; a pivot of known levels needs none.
+    """
+    return pivot_wider(df, keys, names_from, values, levels_as_seen(df, names_from, order_by, most), count_names)
+
+
 def prepare_persons(clean: DataFrame) -> DataFrame:
     """T0 derivations used by the cube: flags, status, origin."""
     imm = D.immigrant_flag("CITIZEN")
@@ -138,7 +164,7 @@ def prepare_persons(clean: DataFrame) -> DataFrame:
 
 
 def master_cube(persons: DataFrame, keys: Sequence[str] = CUBE_KEYS,
-                strict: bool = True, two_phase: bool = True) -> DataFrame:
+                strict: bool = True, two_phase: bool = False) -> DataFrame:
     """T1 (A1 + A2 + A3 + A4 + X11): the finest cube.
 
     ``persons`` must carry ``stpuma, soc_minor, naics_2d, STATEFIP`` (int),
@@ -146,13 +172,13 @@ def master_cube(persons: DataFrame, keys: Sequence[str] = CUBE_KEYS,
     Output: keys, ``state_code`` (first state of the group, A2), then the
     measures in the source's column order and ``EPOP``.
 
-    ``two_phase`` (default) first sums four narrow measures by key x birth
+    ``two_phase`` first sums four narrow measures by key x birth
     status x kept origin, then pivots that aggregate wide. When a task sees
     about as many distinct keys as rows (a fine cube over a large input),
     partial aggregation cannot shrink much, and what crosses the exchange
     is then 4 measures per row instead of 22. The pivot step reads the
     aggregate, whose size is bounded by keys x 8 levels. ``two_phase=False``
-    is the single conditional aggregate (one exchange), best when each task
+    (default) is the single conditional aggregate (one exchange), best when each task
     holds many rows per key.
     """
     if two_phase:

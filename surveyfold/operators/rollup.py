@@ -27,6 +27,31 @@ def rollup_prefixed(df: DataFrame, keys: Sequence[str], prefixes: Sequence[str])
     return rollup_sum(df, keys, select_prefix(df, *prefixes))
 
 
+SET = "_set"
+
+
+def _set_number(keys: Sequence[str], columns: Sequence[str]) -> int:
+    """``grouping_id`` of the set ``keys``: a bit per column that is summed over, the first one highest."""
+    return sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+
+
+def rollup_lattice(df: DataFrame, sets: Sequence[Sequence[str]], measures: Sequence[str]) -> DataFrame:
+    """A10 for several key sets in one pass: ``GROUPING SETS`` over one scan.
+
+    Each row is fed to every set before the partial aggregate, so what crosses
+    the exchange is partial sums. ``SET`` tells the set apart from a NULL key.
+    """
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    return df.groupingSets([list(s) for s in sets], *columns).agg(
+        *[sum_na_rm(m).alias(m) for m in measures], F.grouping_id().alias(SET))
+
+
+def lattice_level(lattice: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The rows of one key set of a lattice over ``columns``, under its keys and measures."""
+    rows = lattice.where(F.col(SET) == _set_number(keys, columns))
+    return rows.select(*keys, *[c for c in lattice.columns if c not in columns and c != SET])
+
+
 def with_epop(df: DataFrame) -> DataFrame:
     """X11 recomputed at each level (EPOP is not additive)."""
     return df.withColumn(EPOP, pct_ratio(EMP, POP))

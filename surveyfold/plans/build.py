@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.files import period_tag, read_built_panel, write_table
+from ..sources.published import publish_frames, read_published_panel
 from .products import Survey
 
 # Keys of each output table, for the key order at the sink (O1).
@@ -53,16 +54,53 @@ def build_tables(survey: Survey, out_dir: str, fmt: str = "csv",
     """
     try:
         # one pass over the person joins serves the cube and the labour-force tables
-        survey.materialize(single_pass=True)
+        survey.materialize(single_pass=True).roll_up_once(write=True)
         _write_tables(survey, out_dir, fmt, year_col, multi_year)
     finally:
         survey.release()
 
 
+def publish_tables(survey: Survey, out_dir: str, fmt: str = "csv",
+                   year_col: str = "MULTYEAR", multi_year: bool = True) -> int:
+    """The same tables as one published build: readers see all of them or none.
+
+    The part is the sample's period tag (``panel`` where tables are keyed by
+    year). Returns the version. A failure leaves the version before as it was.
+    """
+    try:
+        survey.materialize(single_pass=True).roll_up_once(write=True)
+        tables, period = _tables(survey), "panel"
+        if not survey.period_keys:
+            sample = _sample(survey, year_col, multi_year)
+            tables["sample_description"] = survey.spark.createDataFrame(
+                [(sample["sample_description"],)], "sample_description string")
+            period = sample["first_last_year"]
+        keys = {name: [*(k for k in survey.period_keys if k in df.columns), *TABLE_KEYS.get(name, [])]
+                for name, df in tables.items()}
+        return publish_frames(survey.spark, out_dir, tables, period, fmt, keys)
+    finally:
+        survey.release()
+
+
+def publish_panels(spark: SparkSession, out_dir: str, years, fmt: str = "csv", tables=PANEL_TABLES) -> int:
+    """Stack published single-year samples and publish the panels as one build (part ``panel``)."""
+    frames = {f"{name}_panel": read_published_panel(spark, out_dir, name, years) for name in tables}
+    return publish_frames(spark, out_dir, frames, "panel", fmt, {f"{n}_panel": ["year", *TABLE_KEYS[n]] for n in tables})
+
+
+def _tables(survey: Survey) -> dict:
+    return {**survey.tables(), "quality_conservation": survey.conservation(),
+            "quality_unlisted_levels": survey.unlisted_levels()}
+
+
+def _sample(survey: Survey, year_col: str, multi_year: bool):
+    """Period tag and description: one tiny aggregate over the distinct years."""
+    years = survey.sample_years()
+    return period_tag(years, year_col if year_col in years.columns else "YEAR", multi_year).first()
+
+
 def _write_tables(survey: Survey, out_dir: str, fmt: str, year_col: str, multi_year: bool) -> None:
-    tables = dict(survey.tables())
-    tables["quality_conservation"] = survey.conservation()
-    tables["quality_unlisted_levels"] = survey.unlisted_levels()
+    tables = _tables(survey)
     schemas = survey.spark.createDataFrame(
         [(name, df.schema.json()) for name, df in tables.items()], "table string, schema string")
     schemas.coalesce(1).write.mode("overwrite").parquet(os.path.join(out_dir, SCHEMA_TABLE))
@@ -75,11 +113,8 @@ def _write_tables(survey: Survey, out_dir: str, fmt: str, year_col: str, multi_y
                         partition_by=parts if all(k in df.columns for k in parts) else None,
                         order_by=keys)
         return
-    years = survey.sample_years()
-    col = year_col if year_col in years.columns else "YEAR"
-    # the tag is one short string (like the source's file-name suffix): one
-    # tiny aggregate over the distinct years, then a literal on every table
-    sample = period_tag(years, col, multi_year).first()
+    # the tag is one short string (like the source's file-name suffix): a literal on every table
+    sample = _sample(survey, year_col, multi_year)
     tables["sample_description"] = survey.spark.createDataFrame(
         [(sample["sample_description"],)], "sample_description string")
     for name, df in tables.items():

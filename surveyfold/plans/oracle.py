@@ -342,22 +342,32 @@ Q14 = ["county_prop_incz", "county_prop_inpuma"]
 def _zone(extra: list[str], names: list[str], period: bool, suffix: str = "") -> str:
     """CTEs ``unit{suffix}`` (roll-up by unit) and ``zone{suffix}`` (apportioned)."""
     pk = ["year"] if period else []
-    unit = _rollup(pk + ["stpuma"] + extra, names)
+    unit_sql = _rollup(pk + ["stpuma"] + extra, names)
     not_null = " AND ".join(f"u.{c} IS NOT NULL" for c in ["stpuma"] + extra)
-    share = ", ".join(_sum0(n, f"u.{n} * x.county_prop_inpuma", integral=False) for n in names)
-    # the source's starts_with("count") also takes the crosswalk shares (Q14)
-    share += (", COALESCE(SUM(x.county_prop_incz * x.county_prop_inpuma), 0) AS county_prop_incz"
-              ", COALESCE(SUM(x.county_prop_inpuma * x.county_prop_inpuma), 0) AS county_prop_inpuma")
     gk = ", ".join([f"u.{c}" for c in pk] + ["x.cz90"] + [f"u.{c}" for c in extra])
-    return (f"\nunit{suffix} AS ({unit}),\nzone{suffix} AS (SELECT {gk}, {share} FROM unit{suffix} u "
-            f"JOIN xwalk x ON u.stpuma = x.stpuma WHERE {not_null} GROUP BY {gk})")
+    names_k = ", ".join(pk + ["cz90"] + extra)
+    pop, unit, zone = (f"CAST(x.{c} AS HUGEINT)" for c in ("pop", "pumapop", "czpop"))
+    # numerators over (d0) 100 * pumapop, (d1) czpop * pumapop, (d2) pumapop squared; the source's
+    # starts_with("count") also takes the crosswalk's two shares (Q14)
+    tops = [(n, f"CAST(u.{n} * 100 AS HUGEINT) * {pop}", "d0") for n in names]
+    tops += [("county_prop_incz", f"{pop} * {pop}", "d1"), ("county_prop_inpuma", f"{pop} * {pop}", "d2")]
+    sums = ", ".join(f"CAST(SUM({e}) AS HUGEINT) AS {n}" for n, e, _ in tops)
+    # each sum over equal denominators is divided once: whole part, and a fraction of 15 digits (by way of 18)
+    split = ", ".join(f"{n} // {d} AS q_{n}, ((({n} % {d}) * 1000000000000000000 * 2 + {d}) // (2 * {d}) + 500) // 1000 AS f_{n}"
+                      for n, _, d in tops)
+    back = ", ".join(f"CAST(SUM(q_{n}) + SUM(f_{n}) // 1000000000000000 AS DOUBLE) "
+                     f"+ CAST(SUM(f_{n}) % 1000000000000000 AS DOUBLE) / 1e15 AS {n}" for n, _, _ in tops)
+    return (f"\nunit{suffix} AS ({unit_sql}),\nzsum{suffix} AS (SELECT {gk}, 100 * {unit} AS d0, {zone} * {unit} AS d1, "
+            f"{unit} * {unit} AS d2, {sums} FROM unit{suffix} u JOIN xwalk x ON u.stpuma = x.stpuma WHERE {not_null} "
+            f"GROUP BY {gk}, d0, d1, d2),\nzsplit{suffix} AS (SELECT {names_k}, {split} FROM zsum{suffix}),\n"
+            f"zone{suffix} AS (SELECT {names_k}, {back} FROM zsplit{suffix} GROUP BY {names_k})")
 
 
 def t2_zone(period: bool = False) -> str:
     body = _with(PERSONS, CLEAN, master_cte(period), GEO, _zone([], FULL, period))
     pk = "z.year, " if period else ""
-    cols = ", ".join(_r(f"z.{n}") + f" AS {n}" for n in FULL + Q14)
-    return body + (f"\nSELECT {pk}z.cz90, {cols}, {_r(_epop('z.' + EMP, 'z.' + POP))} "
+    cols = ", ".join(f"z.{n}" for n in FULL + Q14)
+    return body + (f"\nSELECT {pk}z.cz90, {cols}, {_epop('z.' + EMP, 'z.' + POP)} "
                    f"AS \"EPOP\", c.state_fips, c.state_abbv, c.states_count, c.states_abbv "
                    f"FROM zone z LEFT JOIN zctx c ON z.cz90 = c.ers90")
 
@@ -366,7 +376,7 @@ def _zone_titled(extra: str, join: str, where: str, period: bool) -> str:
     body = _with(PERSONS, CLEAN, master_cte(period), GEO, SOC_TITLES, SECTOR_TITLES,
                  _zone([extra], EMPLOYMENT, period))
     pk = "z.year, " if period else ""
-    cols = ", ".join(_r(f"z.{n}") + f" AS {n}" for n in EMPLOYMENT + Q14)
+    cols = ", ".join(f"z.{n}" for n in EMPLOYMENT + Q14)
     return body + (f"\nSELECT {pk}z.cz90, z.{extra}, {cols}, c.state_fips, c.state_abbv, "
                    f"c.states_count, c.states_abbv, t.* EXCLUDE ({extra}) FROM zone z "
                    f"LEFT JOIN zctx c ON z.cz90 = c.ers90 {join} {where}")
@@ -725,3 +735,25 @@ def a5_unlisted_levels() -> str:
 SELECT CAST(COUNT(CASE WHEN foreign_born IS NULL OR foreign_born NOT IN ('Local', 'immigrant')
                        THEN 1 END) AS BIGINT) AS unlisted_status_rows
 FROM clean"""
+
+
+def a5_first_seen() -> str:
+    levels = [("foreign_born = 'Local'", "local"), ("foreign_born = 'immigrant'", "immigrant"), ("foreign_born IS NULL", "na")]
+    pop = ", ".join(f"SUM(CASE WHEN {c} THEN {_W} END) AS pop_{n}" for c, n in levels)
+    cnt = ", ".join(f"CAST(SUM(CASE WHEN {c} THEN 1 END) AS BIGINT) AS n_{n}" for c, n in levels)
+    return _with(PERSONS, CLEAN) + f"""
+, seen AS (SELECT COALESCE(foreign_born, 'NA') AS level, MIN(100000 * "STATEFIP" + "PUMA") AS first,
+                  MIN(foreign_born) AS own FROM clean GROUP BY foreign_born)
+SELECT "STATEFIP", {pop}, {cnt},
+       (SELECT string_agg(level, ',' ORDER BY first, own NULLS LAST) FROM seen) AS level_order
+FROM clean GROUP BY 1"""
+
+
+def j11_merge_null_keys() -> str:
+    return _with(GEO) + """
+SELECT CASE WHEN u.here AND x.there THEN 3 WHEN u.here THEN 1 ELSE 2 END AS "_merge",
+       CASE WHEN u.here THEN u.puma ELSE x.puma END AS puma, COUNT(*) AS n_rows
+FROM (SELECT DISTINCT statefip, NULLIF(puma, 3) AS puma, true AS here FROM geo) u
+FULL JOIN (SELECT statefip, NULLIF(puma, 3) AS puma, true AS there FROM xwalk) x
+  ON u.statefip = x.statefip AND u.puma IS NOT DISTINCT FROM x.puma
+GROUP BY 1, 2"""

@@ -13,6 +13,7 @@ over files.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Sequence
 from functools import cached_property
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import derive as D
-from ..functions.columns import move_first
+from ..functions.columns import move_first, select_prefix
 from ..functions.scalars import flag_times, pad_left, r_ifelse
 from ..operators import apportion as AP
 from ..operators import joins as J
@@ -55,6 +56,21 @@ def clean_microdata(micro: DataFrame, period: str | None = None) -> DataFrame:
     return M.prepare_persons(df.withColumns(cols))
 
 
+# the person columns of an extract, and those that are not whole numbers
+PERSON_COLUMNS = ("YEAR", "MULTYEAR", "STATEFIP", "COUNTYFIP", "PUMA", "GQ", "EMPSTAT", "EMPSTATD", "LABFORCE",
+                  "AGE", "CITIZEN", "BPL", "PERWT", "OCCSOC", "INDNAICS")
+WEIGHT, CODES = "PERWT", ("OCCSOC", "INDNAICS")
+
+
+def read_persons(spark: SparkSession, codebook: str, extract: str) -> tuple[DataFrame, DataFrame]:
+    """S1 + S2: typed persons of a fixed-width extract, and the codebook's value labels."""
+    from ..sources import codebook as CB
+    variables, labels = CB.read_codebook(spark, codebook)
+    micro = CB.read_fixed_width(spark, extract, variables, keep=list(PERSON_COLUMNS), text_columns=CODES)
+    whole = [c for c in PERSON_COLUMNS if c in micro.columns and c not in (WEIGHT, *CODES)]
+    return micro.withColumns({c: F.col(c).cast("int") for c in whole} | {WEIGHT: F.col(WEIGHT).cast("double")}), labels
+
+
 def state_names(labels: DataFrame) -> DataFrame:
     """STATEFIP labels as ``(state_code, state)`` for the post-aggregate decode."""
     return labels.where(F.col("name") == "STATEFIP").select(
@@ -108,7 +124,7 @@ class Survey:
     def __init__(self, spark: SparkSession, microdata, labels, crosswalk, zone_context,
                  soc_titles, sector_titles, county_zones=None,
                  period_keys: Sequence[str] = (), dimension_rows: int | None = None,
-                 strict_na: bool = True, two_phase_cube: bool = True):
+                 strict_na: bool = True, two_phase_cube: bool = False, exact_shares: bool = False):
         self.spark = spark
         self.microdata = microdata
         self.labels = labels
@@ -121,18 +137,22 @@ class Survey:
         # proven row bound of every dimension, or None: no broadcast hint then
         self.dim_rows = dimension_rows
         self.strict_na = strict_na
-        # two-phase cube aggregation (narrow sums, then pivot; see master_cube)
+        # narrow sums, then pivot (see master_cube): for cubes about as fine as the
+        # persons that a task sees; measured slower where tasks hold many rows a key
         self.two_phase_cube = two_phase_cube
+        # apportion by the crosswalk's populations in integers, not by its rounded shares
+        self.exact_shares = exact_shares
         self._staged: list[DataFrame] = []
         self._cube: DataFrame | None = None
         self._labor_base: DataFrame | None = None
         self._years: DataFrame | None = None
         self._narrow: DataFrame | None = None
+        self._lattice: DataFrame | None = None
 
     # -- construction from the driver tables --------------------------------
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str,
-                           period_keys: Sequence[str] = (), **options) -> "Survey":
+                           period_keys: Sequence[str] = (), exact_shares: bool = True, **options) -> "Survey":
         return cls(
             spark,
             microdata=lambda: analog.microdata(spark, sf_dir),
@@ -144,6 +164,7 @@ class Survey:
             county_zones=lambda: analog.county_zones(spark, sf_dir),
             period_keys=period_keys,
             dimension_rows=analog.CROSSWALK_ROWS,
+            exact_shares=exact_shares,
             **options,
         )
 
@@ -163,17 +184,9 @@ class Survey:
         the decoded rows over that many partitions before the write, making
         the staged table (which every product reads) splittable.
         """
-        from ..sources import codebook as CB
         from ..sources import files as FS
         from ..session import stage_table
-        variables, labels = CB.read_codebook(spark, codebook)
-        keep = ["YEAR", "MULTYEAR", "STATEFIP", "COUNTYFIP", "PUMA", "GQ", "EMPSTAT",
-                "EMPSTATD", "LABFORCE", "AGE", "CITIZEN", "BPL", "PERWT", "OCCSOC", "INDNAICS"]
-        micro = CB.read_fixed_width(spark, extract, variables, keep=keep,
-                                    text_columns=("OCCSOC", "INDNAICS"))
-        micro = micro.withColumns({c: F.col(c).cast("int") for c in keep
-                                   if c in micro.columns and c not in ("PERWT", "OCCSOC", "INDNAICS")})
-        micro = micro.withColumn("PERWT", F.col("PERWT").cast("double"))
+        micro, labels = read_persons(spark, codebook, extract)
         if stage_microdata:
             if stage_partitions:
                 micro = micro.repartition(stage_partitions)
@@ -337,6 +350,49 @@ class Survey:
                 *[F.col(f"_{c}").alias(c) for c in year_cols])
         return self
 
+    def roll_up_once(self, write: bool = False) -> "Survey":
+        """Every roll-up of T2-T9 in one pass over the cube (``GROUPING SETS``).
+
+        The products then read their own key set of that one aggregate, which
+        ``write`` puts down once; :meth:`release` deletes it.
+        """
+        if self._lattice is None:
+            cube = self.master()
+            lattice = R.rollup_lattice(cube, self._sets, select_prefix(cube, *M.FULL_PREFIXES))
+            if write:
+                lattice = cut_lineage(lattice, "rollups")
+                self._staged.append(lattice)
+            self._lattice = lattice
+        return self
+
+    @property
+    def _sets(self) -> list[list[str]]:
+        """The key sets of the roll-ups: zone tables start from units."""
+        bases = ((UNIT,), (UNIT, "soc_minor"), (UNIT, "naics_2d"), STATE_KEYS, (*STATE_KEYS, "soc_minor"),
+                 (*STATE_KEYS, "naics_2d"), ("soc_minor",), ("naics_2d",))
+        return [self._k(*b) for b in bases]
+
+    def _rolled(self, keys: Sequence[str], prefixes: Sequence[str]) -> DataFrame:
+        """A10 by ``keys``: from the lattice if there is one, else from the cube."""
+        if self._lattice is None:
+            return R.rollup_prefixed(self.master(), keys, prefixes)
+        columns = list(dict.fromkeys(c for s in self._sets for c in s))
+        level = R.lattice_level(self._lattice, keys, columns)
+        return level.select(*keys, *select_prefix(level, *prefixes))
+
+    def years_of_cube(self, years: Sequence[int]) -> dict[int, "Survey"]:
+        """Single-year surveys that share this one's cube, which must be keyed by year:
+        their roll-ups read it and no persons."""
+        if "year" not in self.period_keys:
+            raise ValueError("the cube is not keyed by year")
+        out = {}
+        for year in years:
+            one = copy.copy(self)
+            one.period_keys = tuple(k for k in self.period_keys if k != "year")
+            one._cube, one._lattice, one._staged = self.master().where(F.col("year") == year).drop("year"), None, []
+            out[year] = one
+        return out
+
     def sample_years(self) -> DataFrame:
         """Distinct survey years (``YEAR``, ``MULTYEAR``) of the sample, for S10/S11.
 
@@ -353,8 +409,9 @@ class Survey:
         return [*self.period_keys, *keys]
 
     def _apportioned(self, extra: Sequence[str], prefixes: Sequence[str]) -> DataFrame:
-        cube = self.master()
-        by_unit = R.rollup_prefixed(cube, self._k(UNIT, *extra), prefixes)
+        by_unit = self._rolled(self._k(UNIT, *extra), prefixes)
+        if self.exact_shares:
+            return AP.apportion_exact(by_unit, self.crosswalk, UNIT, ZONE, prefixes, self._k(*extra), self.dim_rows)
         return AP.apportion(by_unit, self.crosswalk, UNIT, ZONE, prefixes=prefixes,
                             extra_keys=self._k(*extra), crosswalk_rows=self.dim_rows)
 
@@ -376,7 +433,7 @@ class Survey:
 
     def state(self) -> DataFrame:
         """State table, all measures, EPOP."""
-        return R.with_epop(R.rollup_prefixed(self.master(), self._k(*STATE_KEYS), M.FULL_PREFIXES))
+        return R.with_epop(self._rolled(self._k(*STATE_KEYS), M.FULL_PREFIXES))
 
     def zone_occupation(self) -> DataFrame:
         """T4: zone x occupation, employment measures, context + titles, no military."""
@@ -385,13 +442,13 @@ class Survey:
 
     def state_occupation(self) -> DataFrame:
         """T5: state x occupation, employment measures + titles, no military."""
-        df = R.rollup_prefixed(self.master(), self._k(*STATE_KEYS, "soc_minor"),
+        df = self._rolled(self._k(*STATE_KEYS, "soc_minor"),
                                M.EMPLOYMENT_PREFIXES)
         return self._occupation_titles(df)
 
     def occupation(self) -> DataFrame:
         """Occupation, employment measures + titles, no military."""
-        df = R.rollup_prefixed(self.master(), self._k("soc_minor"), M.EMPLOYMENT_PREFIXES)
+        df = self._rolled(self._k("soc_minor"), M.EMPLOYMENT_PREFIXES)
         return self._occupation_titles(df)
 
     def zone_sector(self) -> DataFrame:
@@ -401,13 +458,13 @@ class Survey:
 
     def state_sector(self) -> DataFrame:
         """State x sector, employment measures + sector titles."""
-        df = R.rollup_prefixed(self.master(), self._k(*STATE_KEYS, "naics_2d"),
+        df = self._rolled(self._k(*STATE_KEYS, "naics_2d"),
                                M.EMPLOYMENT_PREFIXES)
         return self._sector_titles(df)
 
     def sector(self) -> DataFrame:
         """Sector, employment measures + sector titles."""
-        df = R.rollup_prefixed(self.master(), self._k("naics_2d"), M.EMPLOYMENT_PREFIXES)
+        df = self._rolled(self._k("naics_2d"), M.EMPLOYMENT_PREFIXES)
         return self._sector_titles(df)
 
     def tables(self) -> dict[str, DataFrame]:

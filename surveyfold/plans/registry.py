@@ -1,12 +1,15 @@
 """Registered queries: one Spark builder and one oracle SQL per operator group.
 
 Keys follow the operator IDs of the blueprint. Every query reads the driver
-tables in full (no row caps, no key subsets); fractional results are rounded
-to 6 decimals here, at the comparison, never inside the library.
+tables in full, without row caps; those named ``_partial`` or ``unmatched``, and
+``j11_merge_indicator``, then drop keys so that two sides differ. Shares of the
+crosswalk, conservation totals and the Stata recipe are rounded to 6 decimals
+here, at the comparison, never inside the library; the apportioned tables are not.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +20,15 @@ from ..functions import derive as D
 from ..functions.scalars import pad_left
 from ..operators import joins as J
 from ..operators.apportion import main_state, zone_group_total, zone_states
-from ..operators.measures import pivot_wider
+from ..operators.measures import levels_as_seen, pivot_wider
 from ..operators.rollup import keep_last
-from ..sources.files import period_tag
+from ..session import checkpoint_root, cut_lineage, person_pass
+from ..sources.files import period_tag, write_table
+from ..sources.layout import layout_of, write_codebook, write_fixed_width
+from ..sources.published import publish_frames, read_published, read_published_panel
+from ..streaming.panel import start_published_panel_stream
 from . import analog, oracle
-from .products import Survey, soc_minor_titles, stack_panels, tag_period
+from .products import PERSON_COLUMNS, Survey, read_persons, soc_minor_titles, stack_panels, tag_period
 
 ROUND = oracle.ROUND
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,14 +77,91 @@ def _with_nulls(method: str, single_pass: bool = False, rounded: bool = False) -
     return run
 
 
-def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Survey.from_driver_tables(spark, sf_dir, two_phase_cube=False).master()
+def _two_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Survey.from_driver_tables(spark, sf_dir, two_phase_cube=True).master()
+
+
+def _lattice(method: str) -> Query:
+    """A product read from the one pass that makes all roll-ups of the cube."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return getattr(_survey(spark, sf_dir).roll_up_once(), method)()
+    run.__name__ = f"{method}_lattice"
+    return run
 
 
 def _u1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The state table of every survey year on its own, stacked by name."""
-    years = analog.survey_years(spark, sf_dir)
-    return stack_panels([tag_period(_survey(spark, sf_dir).where_year(y).state(), y) for y in years])
+    """The state table of every survey year on its own, stacked by name; one person pass for all."""
+    cube = _survey(spark, sf_dir, period=True).materialize()
+    years = [r.year for r in cube.master().select("year").distinct().orderBy("year").collect()]    # a row a year
+    return stack_panels([tag_period(one.state(), y) for y, one in cube.years_of_cube(years).items()])
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _s9_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + S3 + S4: the state table published as CSV over an older build, and read back."""
+    out, state = _scratch(spark, "published"), _survey(spark, sf_dir).state()
+    publish_frames(spark, out, {"state_acs_data": state.where("state_fips < '10'")}, "sample")
+    publish_frames(spark, out, {"state_acs_data": state}, "sample", order_by={"state_acs_data": ["state_fips"]})
+    return read_published(spark, out, "state_acs_data").drop("period")
+
+
+def _s1_s2_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2: all persons as fixed-width lines with an XML codebook, read back; their state table."""
+    place, survey = _scratch(spark, "extract"), _survey(spark, sf_dir)
+    with person_pass(spark):
+        persons = cut_lineage(survey.microdata, "persons")
+    layout = layout_of(persons, PERSON_COLUMNS, {"PERWT": 2})
+    write_fixed_width(persons, f"{place}/persons.dat", layout)
+    write_codebook(spark, f"{place}/codebook.xml", layout, survey.labels)
+    survey.microdata, survey.labels = read_persons(spark, f"{place}/codebook.xml", f"{place}/persons.dat")
+    return survey.state()
+
+
+def _u2_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state panel from year files in three deliveries; the second is wrong in every
+    other year, the third corrects it, and an early one comes late."""
+    place, table = _scratch(spark, "deliveries"), "state_acs_data"
+    panel = cut_lineage(_survey(spark, sf_dir, period=True).state(), "state-panel")
+    years = [r.year for r in panel.select("year").distinct().orderBy("year").collect()]            # a row a year
+    wrong = panel.withColumn("count", F.col("count") + 1)
+
+    def deliver(number: int, rows: DataFrame, which: list[int]) -> None:
+        for year in which:
+            write_table(rows.where(F.col("year") == year).drop("year"), f"{place}/in/{number}/{table}_{year}.csv")
+        start_published_panel_stream(spark, f"{place}/in", table, panel.drop("year").schema, f"{place}/out").awaitTermination()
+
+    deliver(2, wrong, years[::2])
+    deliver(3, panel, years[::2])
+    deliver(1, wrong, years[::2])
+    deliver(4, panel, years[1::2])
+    return read_published_panel(spark, f"{place}/out", table, years)
+
+
+def _a5_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 with levels found in the data: birth status, NULL among them, in the order of states."""
+    survey = _survey(spark, sf_dir)
+    survey.microdata = analog.microdata_with_nulls(spark, sf_dir)
+    order = ["STATEFIP", "PUMA"]
+    levels = levels_as_seen(survey.clean, "foreign_born", order)
+    wide = pivot_wider(survey.clean, ["STATEFIP"], "foreign_born",
+                       {"pop": F.col("PERWT"), "n": F.lit(1)}, levels, count_names=["n"])
+    return wide.withColumn("level_order", F.lit(",".join("NA" if x is None else x for x in levels)))
+
+
+def _j11_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole tables, with a missing unit on both sides: missing keys meet."""
+    gone = F.expr("nullif(puma, 3)").alias("puma")
+    units = analog.customer_geo(spark, sf_dir).select("statefip", gone).distinct()
+    xw = analog.crosswalk(spark, sf_dir).select("statefip", gone, "cz90")
+    merged = J.merge_indicator(units, xw, ["statefip", "puma"])
+    return merged.groupBy("_merge", "puma").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# queries that write, stream or list levels while they are built
+STARTS_JOBS = ("u1_stack", "s9_published_state", "s1_s2_round_trip", "u2_corrected_panel", "a5_first_seen")
 
 
 def _x14(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,24 +285,36 @@ def queries() -> dict[str, Query]:
     return {
         # products
         "t1_master_cube": _product("master"),
-        "t2_zone": _product("zone", rounded=True),
+        "t2_zone": _product("zone"),
         "t3_state": _product("state"),
-        "t4_zone_occupation": _product("zone_occupation", rounded=True),
+        "t4_zone_occupation": _product("zone_occupation"),
         "t5_state_occupation": _product("state_occupation"),
         "t6_occupation": _product("occupation"),
-        "t7_zone_sector": _product("zone_sector", rounded=True),
+        "t7_zone_sector": _product("zone_sector"),
         "t8_state_sector": _product("state_sector"),
         "t9_sector": _product("sector"),
         "t10_labor_force_citizenship": _product("labor_force_by_citizenship"),
         "t11_labor_force_birthplace": _product("labor_force_by_birthplace"),
-        "t1_master_cube_fused": _fused,
+        "t1_master_cube_fused": _product("master"),
+        "t1_master_cube_two_phase": _two_phase,
+        "t2_zone_lattice": _lattice("zone"),
+        "t3_state_lattice": _lattice("state"),
+        "t5_state_occupation_lattice": _lattice("state_occupation"),
+        "t6_occupation_lattice": _lattice("occupation"),
+        "t7_zone_sector_lattice": _lattice("zone_sector"),
+        "t9_sector_lattice": _lattice("sector"),
+        "s9_published_state": _s9_published,
+        "s1_s2_round_trip": _s1_s2_round_trip,
+        "u2_corrected_panel": _u2_corrected,
+        "a5_first_seen": _a5_first_seen,
+        "j11_merge_null_keys": _j11_nulls,
         "j1_j2_join_form": _product("join_form"),
         "u1_stack": _u1,
         # persons with NULLs
         "t1_nulls": _with_nulls("master"),
         "t1_nulls_join_form": _with_nulls("join_form"),
         "t1_nulls_single_pass": _with_nulls("master", single_pass=True),
-        "t2_nulls": _with_nulls("zone", rounded=True),
+        "t2_nulls": _with_nulls("zone"),
         "t3_nulls": _with_nulls("state"),
         "t10_nulls": _with_nulls("labor_force_by_citizenship"),
         "t11_nulls": _with_nulls("labor_force_by_birthplace"),
@@ -227,12 +323,12 @@ def queries() -> dict[str, Query]:
         "a5_nulls_unlisted_levels": _with_nulls("unlisted_levels"),
         "t1_master_cube_single_pass": _single_pass("master"),
         "t11_labor_force_birthplace_single_pass": _single_pass("labor_force_by_birthplace"),
-        "t12_zone_panel": _product("zone", period=True, rounded=True),
+        "t12_zone_panel": _product("zone", period=True),
         "t12_state_panel": _product("state", period=True),
-        "t12_zone_occupation_panel": _product("zone_occupation", period=True, rounded=True),
+        "t12_zone_occupation_panel": _product("zone_occupation", period=True),
         "t12_state_occupation_panel": _product("state_occupation", period=True),
         "t12_occupation_panel": _product("occupation", period=True),
-        "t12_zone_sector_panel": _product("zone_sector", period=True, rounded=True),
+        "t12_zone_sector_panel": _product("zone_sector", period=True),
         "t12_state_sector_panel": _product("state_sector", period=True),
         "t12_sector_panel": _product("sector", period=True),
         "t13_occupation_hierarchy": _t13,
@@ -283,6 +379,18 @@ def oracle_sql() -> dict[str, str]:
         "t10_labor_force_citizenship": o.t10_labor_force_citizenship(),
         "t11_labor_force_birthplace": o.t11_labor_force_birthplace(),
         "t1_master_cube_fused": o.t1_master(),
+        "t1_master_cube_two_phase": o.t1_master(),
+        "t2_zone_lattice": o.t2_zone(),
+        "t3_state_lattice": o.t3_state(),
+        "t5_state_occupation_lattice": o.t5_state_occupation(),
+        "t6_occupation_lattice": o.t6_occupation(),
+        "t7_zone_sector_lattice": o.t7_zone_sector(),
+        "t9_sector_lattice": o.t9_sector(),
+        "s9_published_state": o.t3_state(),
+        "s1_s2_round_trip": o.t3_state(),
+        "u2_corrected_panel": o.t3_state(period=True),
+        "a5_first_seen": o.with_nulls(o.a5_first_seen()),
+        "j11_merge_null_keys": o.j11_merge_null_keys(),
         "j1_j2_join_form": o.t1_master(),
         "u1_stack": o.t3_state(period=True),
         "t1_nulls": o.with_nulls(o.t1_master()),
