@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import sum_na_rm
-from ..session import broadcast_bounded
+from ..session import BROADCAST_ROW_LIMIT, broadcast_bounded
 
 
 def build_crosswalk(pieces: DataFrame, unit_keys: Sequence[str], zone: str,
@@ -36,10 +36,41 @@ def crosswalk_pieces(df: DataFrame, unit_keys: Sequence[str], zone: str,
     return df.groupBy(*unit_keys, zone).agg(pop.alias("pop"))
 
 
+# units that may be hot, and from how many rows on one is
+MOST_HOT, HOT_ROWS = 200, 100_000
+
+
+def fan_out(unit_totals: DataFrame, crosswalk: DataFrame, unit: str, crosswalk_rows: int | None = None,
+            salts: int = 0, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every unit row meets the pieces of its unit (NULL units meet none).
+
+    A crosswalk within the broadcast bound is broadcast. For a larger one, with
+    ``salts``, the rows of a hot unit are spread over that many join keys and
+    its pieces are repeated under each, so no task gets more than about a
+    ``salts``-th of a unit; other units keep one key. Hot are the units of more
+    than ``hot_rows`` rows among the ``MOST_HOT`` largest: one count by unit, of
+    which the driver sees those few rows. Any unit beyond them holds less than
+    one part in ``MOST_HOT`` of all rows. The result is the plain join's.
+    """
+    bounded = crosswalk_rows is not None and crosswalk_rows <= BROADCAST_ROW_LIMIT
+    if bounded or salts < 2:
+        return unit_totals.join(broadcast_bounded(crosswalk, crosswalk_rows), on=unit, how="inner")
+    largest = unit_totals.where(F.col(unit).isNotNull()).groupBy(unit).count().orderBy(F.desc("count")).limit(MOST_HOT)
+    hot = [r[0] for r in largest.where(F.col("count") > hot_rows).collect()]
+    if not hot:
+        return unit_totals.join(crosswalk, on=unit, how="inner")
+    is_hot = F.col(unit).isin(hot)
+    spread = F.pmod(F.xxhash64(*[c for c in unit_totals.columns if c != unit]), F.lit(salts)).cast("int")
+    rows = unit_totals.withColumn("__salt", F.when(is_hot, spread).otherwise(0))
+    pieces = crosswalk.withColumn("__salt", F.explode(
+        F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return rows.join(pieces, on=[unit, "__salt"], how="inner").drop("__salt")
+
+
 def apportion(unit_totals: DataFrame, crosswalk: DataFrame, unit: str, zone: str,
               measures: Sequence[str] | None = None, extra_keys: Sequence[str] = (),
               share: str = "county_prop_inpuma", crosswalk_rows: int | None = None,
-              drop_na: bool = True, prefixes: Sequence[str] = ()) -> DataFrame:
+              drop_na: bool = True, prefixes: Sequence[str] = (), salts: int = 0) -> DataFrame:
     """A11 (J3 + fan-out): spread unit totals over zones by share, sum by zone.
 
     ``left_join`` + ``drop_na`` of the source is an inner join on the unit
@@ -52,8 +83,7 @@ def apportion(unit_totals: DataFrame, crosswalk: DataFrame, unit: str, zone: str
     ``county_prop_incz`` / ``county_prop_inpuma`` columns, which come out as
     ``sum(col * share)`` per zone (quirk Q14).
     """
-    xw = broadcast_bounded(crosswalk, crosswalk_rows)
-    joined = unit_totals.join(xw, on=unit, how="inner")
+    joined = fan_out(unit_totals, crosswalk, unit, crosswalk_rows, salts)
     if drop_na:
         joined = joined.na.drop(how="any")
     if prefixes:
@@ -117,7 +147,8 @@ def exact_fraction_sum(df: DataFrame, keys: Sequence[str], numerators: dict[str,
 
 
 def apportion_exact(unit_totals: DataFrame, crosswalk: DataFrame, unit: str, zone: str, prefixes: Sequence[str],
-                    extra_keys: Sequence[str] = (), crosswalk_rows: int | None = None, decimals: int = 2) -> DataFrame:
+                    extra_keys: Sequence[str] = (), crosswalk_rows: int | None = None, decimals: int = 2,
+                    salts: int = 0) -> DataFrame:
     """A11 by integers: like :func:`apportion` with ``prefixes``, order-independent.
 
     A share is ``pop / pumapop``, so ``sum(m * share)`` is a sum of ``m * pop``
@@ -126,7 +157,7 @@ def apportion_exact(unit_totals: DataFrame, crosswalk: DataFrame, unit: str, zon
     carry at most ``decimals`` decimals, as survey weights do, populations none.
     """
     from ..functions.columns import select_prefix
-    joined = unit_totals.join(broadcast_bounded(crosswalk, crosswalk_rows), on=unit, how="inner").na.drop(how="any")
+    joined = fan_out(unit_totals, crosswalk, unit, crosswalk_rows, salts).na.drop(how="any")
     keys = [zone, *extra_keys]
     shares = {"county_prop_incz", "county_prop_inpuma"}
     measures = [c for c in select_prefix(joined, *prefixes) if c not in {unit, *keys}]

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_bounded
+from ..sources.codebook import labels_of
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -107,9 +108,15 @@ def decode_labels(df: DataFrame, code: str, labels: DataFrame, variable: str,
                   out: str, label_rows: int | None = None) -> DataFrame:
     """Code -> label from the codebook, falling back to the code as text.
 
-    ``labels`` has columns ``name, value, label``; only ``variable``'s labels
-    are broadcast (a codebook dictionary is bounded by the variable's codes).
+    A column that carries its dictionary (``codebook.with_value_labels``) is
+    decoded by a literal map, without a join. Else ``labels`` has columns ``name,
+    value, label``; only ``variable``'s labels are broadcast (a codebook
+    dictionary is bounded by the variable's codes).
     """
+    held = labels_of(df, code)
+    if held is not None:
+        told = F.create_map(*[F.lit(x) for kv in held.items() for x in kv])[F.col(code)] if held else F.lit(None).cast("string")
+        return df.withColumn(out, F.coalesce(told, F.col(code).cast("string")))
     lab = (labels.where(F.col("name") == variable)
            .select(F.col("value").alias("__v"), F.col("label").alias("__l")))
     joined = df.join(broadcast_bounded(lab, label_rows), df[code] == F.col("__v"), "left")

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import derive as D
-from ..session import broadcast_bounded
+from ..session import broadcast_bounded, stage_bucketed
 from . import titles
 
 # ---------------------------------------------------------------------------
@@ -133,17 +133,41 @@ def microdata_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "PERWT": gone("PERWT", 1009), "AGE": 2 * F.col("AGE")}).drop("PARTKEY")
 
 
-def microdata(spark: SparkSession, sf_dir: str, keep_part: bool = False) -> DataFrame:
-    """Person-level microdata in the census layout (all persons, no filter).
-
-    A person is a line whose order, part and supplier all exist; every table
-    starts from this one set. ``keep_part`` adds the line's part key.
-    """
-    li = table(spark, sf_dir, "lineitem").select(
+def person_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a person takes from ``lineitem``."""
+    return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
+
+
+def person_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a person takes from its order and the order's customer."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return orders.join(cust, orders["o_custkey"] == cust["c_custkey"]).select(
+        "o_orderkey", "c_custkey", "c_nationkey",
+        F.year("o_orderdate").alias("YEAR"),
+        F.when(F.col("o_orderstatus") == "P", 3).otherwise(1).alias("GQ"),
+        F.when(F.col("o_orderpriority") == "5-LOW", 14).otherwise(10).alias("EMPSTATD"),
+    )
+
+
+def stage_person_tables(spark: SparkSession, sf_dir: str, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """The two largest sides of the person join, written once, bucketed and sorted by
+    the order key: every later join of them needs no exchange. ``unstage`` both at the end."""
+    return (stage_bucketed(person_lines(spark, sf_dir), "person-lines", ["l_orderkey"], buckets),
+            stage_bucketed(person_orders(spark, sf_dir), "person-orders", ["o_orderkey"], buckets))
+
+
+def microdata(spark: SparkSession, sf_dir: str, keep_part: bool = False,
+              staged: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Person-level microdata in the census layout (all persons, no filter).
+
+    A person is a line whose order, part and supplier all exist; every table
+    starts from this one set. ``keep_part`` adds the line's part key;
+    ``staged`` takes lines and orders from :func:`stage_person_tables`.
+    """
+    li, order_attrs = staged or (person_lines(spark, sf_dir), person_orders(spark, sf_dir))
     part = table(spark, sf_dir, "part")
     part = part.select(
         "p_partkey",
@@ -156,13 +180,6 @@ def microdata(spark: SparkSession, sf_dir: str, keep_part: bool = False) -> Data
         table(spark, sf_dir, "nation").select(
             F.col("n_nationkey").alias("s_nationkey"), F.col("n_regionkey").alias("s_regionkey")),
         MAX_STATES)
-
-    order_attrs = orders.join(cust, orders["o_custkey"] == cust["c_custkey"]).select(
-        "o_orderkey", "c_custkey", "c_nationkey",
-        F.year("o_orderdate").alias("YEAR"),
-        F.when(F.col("o_orderstatus") == "P", 3).otherwise(1).alias("GQ"),
-        F.when(F.col("o_orderpriority") == "5-LOW", 14).otherwise(10).alias("EMPSTATD"),
-    )
     people = (li.join(order_attrs, li["l_orderkey"] == order_attrs["o_orderkey"])
               .join(part, li["l_partkey"] == part["p_partkey"])
               .join(supp, li["l_suppkey"] == supp["s_suppkey"])

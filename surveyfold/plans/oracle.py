@@ -757,3 +757,10 @@ FROM (SELECT DISTINCT statefip, NULLIF(puma, 3) AS puma, true AS here FROM geo)
 FULL JOIN (SELECT statefip, NULLIF(puma, 3) AS puma, true AS there FROM xwalk) x
   ON u.statefip = x.statefip AND u.puma IS NOT DISTINCT FROM x.puma
 GROUP BY 1, 2"""
+
+
+def j3_fan_out() -> str:
+    return _with(PERSONS, CLEAN, master_cte(), GEO) + f"""
+, unit AS ({_rollup(["stpuma", "naics_2d"], [N])})
+SELECT x.cz90, u.naics_2d, COUNT(*) AS n_rows, CAST(SUM(u.count) AS BIGINT) AS persons, CAST(SUM(x.pop) AS BIGINT) AS pop
+FROM unit u JOIN xwalk x ON u.stpuma = x.stpuma WHERE u.naics_2d IS NOT NULL GROUP BY 1, 2"""

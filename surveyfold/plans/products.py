@@ -63,12 +63,16 @@ WEIGHT, CODES = "PERWT", ("OCCSOC", "INDNAICS")
 
 
 def read_persons(spark: SparkSession, codebook: str, extract: str) -> tuple[DataFrame, DataFrame]:
-    """S1 + S2: typed persons of a fixed-width extract, and the codebook's value labels."""
+    """S1 + S2: typed persons of a fixed-width extract, and the codebook's value labels.
+
+    Columns with a small dictionary carry it as metadata too (X7 without a join).
+    """
     from ..sources import codebook as CB
     variables, labels = CB.read_codebook(spark, codebook)
     micro = CB.read_fixed_width(spark, extract, variables, keep=list(PERSON_COLUMNS), text_columns=CODES)
     whole = [c for c in PERSON_COLUMNS if c in micro.columns and c not in (WEIGHT, *CODES)]
-    return micro.withColumns({c: F.col(c).cast("int") for c in whole} | {WEIGHT: F.col(WEIGHT).cast("double")}), labels
+    typed = micro.withColumns({c: F.col(c).cast("int") for c in whole} | {WEIGHT: F.col(WEIGHT).cast("double")})
+    return CB.with_value_labels(typed, labels), labels
 
 
 def state_names(labels: DataFrame) -> DataFrame:
@@ -124,7 +128,8 @@ class Survey:
     def __init__(self, spark: SparkSession, microdata, labels, crosswalk, zone_context,
                  soc_titles, sector_titles, county_zones=None,
                  period_keys: Sequence[str] = (), dimension_rows: int | None = None,
-                 strict_na: bool = True, two_phase_cube: bool = False, exact_shares: bool = False):
+                 strict_na: bool = True, two_phase_cube: bool = False, exact_shares: bool = False,
+                 fan_out_salts: int = 0):
         self.spark = spark
         self.microdata = microdata
         self.labels = labels
@@ -142,6 +147,9 @@ class Survey:
         self.two_phase_cube = two_phase_cube
         # apportion by the crosswalk's populations in integers, not by its rounded shares
         self.exact_shares = exact_shares
+        # parts that a unit with very many rows is spread over in the zone join, where
+        # the crosswalk is too large to broadcast (0: left to the planner)
+        self.fan_out_salts = fan_out_salts
         self._staged: list[DataFrame] = []
         self._cube: DataFrame | None = None
         self._labor_base: DataFrame | None = None
@@ -152,10 +160,14 @@ class Survey:
     # -- construction from the driver tables --------------------------------
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str,
-                           period_keys: Sequence[str] = (), exact_shares: bool = True, **options) -> "Survey":
-        return cls(
+                           period_keys: Sequence[str] = (), exact_shares: bool = True,
+                           buckets: int = 0, **options) -> "Survey":
+        """With ``buckets`` the two largest tables are first staged by the order key, so
+        that no pass over the persons moves them again; :meth:`release` deletes them."""
+        staged = analog.stage_person_tables(spark, sf_dir, buckets) if buckets else None
+        survey = cls(
             spark,
-            microdata=lambda: analog.microdata(spark, sf_dir),
+            microdata=lambda: analog.microdata(spark, sf_dir, staged=staged),
             labels=lambda: analog.value_labels(spark, sf_dir),
             crosswalk=lambda: analog.crosswalk(spark, sf_dir),
             zone_context=lambda: analog.zone_context(spark, sf_dir),
@@ -167,6 +179,8 @@ class Survey:
             exact_shares=exact_shares,
             **options,
         )
+        survey._staged += staged or ()
+        return survey
 
     @classmethod
     def from_files(cls, spark: SparkSession, codebook: str, extract: str, crosswalk: str,
@@ -411,9 +425,11 @@ class Survey:
     def _apportioned(self, extra: Sequence[str], prefixes: Sequence[str]) -> DataFrame:
         by_unit = self._rolled(self._k(UNIT, *extra), prefixes)
         if self.exact_shares:
-            return AP.apportion_exact(by_unit, self.crosswalk, UNIT, ZONE, prefixes, self._k(*extra), self.dim_rows)
+            return AP.apportion_exact(by_unit, self.crosswalk, UNIT, ZONE, prefixes, self._k(*extra), self.dim_rows,
+                                      salts=self.fan_out_salts)
         return AP.apportion(by_unit, self.crosswalk, UNIT, ZONE, prefixes=prefixes,
-                            extra_keys=self._k(*extra), crosswalk_rows=self.dim_rows)
+                            extra_keys=self._k(*extra), crosswalk_rows=self.dim_rows,
+                            salts=self.fan_out_salts)
 
     def _with_zone_context(self, df: DataFrame) -> DataFrame:
         return J.context_join(df, self.zone_context, ZONE, "ers90", self.dim_rows)

@@ -19,7 +19,8 @@ from pyspark.sql.types import DoubleType, FloatType
 from ..functions import derive as D
 from ..functions.scalars import pad_left
 from ..operators import joins as J
-from ..operators.apportion import main_state, zone_group_total, zone_states
+from ..operators import measures as M
+from ..operators.apportion import fan_out, main_state, zone_group_total, zone_states
 from ..operators.measures import levels_as_seen, pivot_wider
 from ..operators.rollup import keep_last
 from ..session import checkpoint_root, cut_lineage, person_pass
@@ -108,8 +109,8 @@ def _s9_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, out, "state_acs_data").drop("period")
 
 
-def _s1_s2_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 + S2: all persons as fixed-width lines with an XML codebook, read back; their state table."""
+def _s1_s2_round_trip(spark: SparkSession, sf_dir: str, method: str = "state") -> DataFrame:
+    """S1 + S2: all persons as fixed-width lines with an XML codebook, read back; a table of theirs."""
     place, survey = _scratch(spark, "extract"), _survey(spark, sf_dir)
     with person_pass(spark):
         persons = cut_lineage(survey.microdata, "persons")
@@ -117,7 +118,7 @@ def _s1_s2_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_fixed_width(persons, f"{place}/persons.dat", layout)
     write_codebook(spark, f"{place}/codebook.xml", layout, survey.labels)
     survey.microdata, survey.labels = read_persons(spark, f"{place}/codebook.xml", f"{place}/persons.dat")
-    return survey.state()
+    return getattr(survey, method)()
 
 
 def _u2_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,8 +161,28 @@ def _j11_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.groupBy("_merge", "puma").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _x7_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T10 of the persons read from files, whose columns carry their value labels."""
+    return _s1_s2_round_trip(spark, sf_dir, "labor_force_by_citizenship")
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T0 + T1 on lines and orders that are staged bucketed by the order key."""
+    return Survey.from_driver_tables(spark, sf_dir, buckets=int(spark.conf.get("spark.sql.shuffle.partitions"))).master()
+
+
+def _j3_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 with the crosswalk taken for too large to broadcast, its largest units salted."""
+    survey = Survey.from_driver_tables(spark, sf_dir, fan_out_salts=4)
+    by_unit = survey._rolled(["stpuma", "naics_2d"], M.EMPLOYMENT_PREFIXES)
+    joined = fan_out(by_unit, survey.crosswalk, "stpuma", None, salts=4, hot_rows=20)
+    return joined.na.drop("any").groupBy("cz90", "naics_2d").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(M.N).alias("persons"), F.sum("pop").cast("bigint").alias("pop"))
+
+
 # queries that write, stream or list levels while they are built
-STARTS_JOBS = ("u1_stack", "s9_published_state", "s1_s2_round_trip", "u2_corrected_panel", "a5_first_seen")
+STARTS_JOBS = ("u1_stack", "s9_published_state", "s1_s2_round_trip", "u2_corrected_panel", "a5_first_seen",
+               "x7_labels_from_metadata", "t1_master_cube_bucketed", "j3_salted_fan_out")
 
 
 def _x14(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,6 +328,9 @@ def queries() -> dict[str, Query]:
         "s1_s2_round_trip": _s1_s2_round_trip,
         "u2_corrected_panel": _u2_corrected,
         "a5_first_seen": _a5_first_seen,
+        "x7_labels_from_metadata": _x7_metadata,
+        "t1_master_cube_bucketed": _bucketed,
+        "j3_salted_fan_out": _j3_salted,
         "j11_merge_null_keys": _j11_nulls,
         "j1_j2_join_form": _product("join_form"),
         "u1_stack": _u1,
@@ -390,6 +414,9 @@ def oracle_sql() -> dict[str, str]:
         "s1_s2_round_trip": o.t3_state(),
         "u2_corrected_panel": o.t3_state(period=True),
         "a5_first_seen": o.with_nulls(o.a5_first_seen()),
+        "x7_labels_from_metadata": o.t10_labor_force_citizenship(),
+        "t1_master_cube_bucketed": o.t1_master(),
+        "j3_salted_fan_out": o.j3_fan_out(),
         "j11_merge_null_keys": o.j11_merge_null_keys(),
         "j1_j2_join_form": o.t1_master(),
         "u1_stack": o.t3_state(period=True),

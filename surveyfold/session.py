@@ -147,9 +147,31 @@ def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
     return out
 
 
+def stage_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write ``df`` bucketed and sorted by ``keys`` and read it back.
+
+    Two tables with the same keys and buckets join on them without an exchange.
+    Buckets are known to the catalog only, so the files (in the shared folder)
+    are an external table until :func:`unstage`. Rows are dealt to their buckets
+    before the write, so each bucket is one file. A bucket has to fit the join's
+    sort: take bytes / 256 MB for the number.
+    """
+    spark = df.sparkSession
+    unique = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = os.path.join(checkpoint_root(spark), unique)
+    (df.repartition(buckets, *keys).write.option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
+     .format("parquet").saveAsTable(unique))
+    out = spark.table(unique)
+    out.staged_path, out.staged_table = path, unique
+    return out
+
+
 def unstage(df: DataFrame) -> None:
-    """Delete the folder behind a frame of :func:`stage_table`; it is unusable then."""
+    """Delete the folder behind a frame of :func:`stage_table` (or
+    :func:`stage_bucketed`, and its table); it is unusable then."""
     path = df.staged_path
+    if hasattr(df, "staged_table"):
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {df.staged_table}")
     jvm = df.sparkSession._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, IntegralType
 
 VARIABLES_SCHEMA = "name string, start int, width int, dcml int, label string"
 
@@ -85,3 +85,32 @@ def read_fixed_width(spark: SparkSession, path: str, variables: DataFrame,
         cols.append(_field(line, v["start"], v["width"], v["dcml"] or 0,
                            v["name"] in text_columns).alias(v["name"]))
     return spark.read.text(path).select(*cols)
+
+
+# where a column keeps its value labels, and how many it may have there
+LABELS_KEY, MOST_LABELS = "value_labels", 500
+
+
+def with_value_labels(df: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> DataFrame:
+    """Labelled integers: each whole-number column carries its dictionary as metadata.
+
+    A variable with more than ``most`` labels carries none (and is decoded by a
+    join). The metadata goes through projections, grouping keys and Parquet, so
+    a small dictionary decodes anywhere without a join. At most ``most`` rows
+    per column reach the driver.
+    """
+    whole = [f.name for f in df.schema.fields if isinstance(f.dataType, IntegralType)]
+    own = labels.where(F.col("name").isin(whole) & F.col("value").isNotNull() & F.col("label").isNotNull())
+    small = [r["name"] for r in own.groupBy("name").count().where(F.col("count") <= most).collect()]
+    held: dict[str, dict[str, str]] = {}
+    for r in own.where(F.col("name").isin(small)).select("name", "value", "label").collect() if small else ():
+        held.setdefault(r["name"], {})[str(r["value"])] = r["label"]
+    for name, dictionary in held.items():
+        df = df.withMetadata(name, {**df.schema[name].metadata, LABELS_KEY: dictionary})
+    return df
+
+
+def labels_of(df: DataFrame, column: str) -> dict[int, str] | None:
+    """The dictionary that a column carries, None if it carries none."""
+    held = df.schema[column].metadata.get(LABELS_KEY)
+    return None if held is None else {int(k): v for k, v in held.items()}
