@@ -45,7 +45,7 @@ GATHER_WORDS = 1 << 18
 # apostrophe (which may begin a contraction)
 PLAIN = "^(?P<a>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<b>[!-&(-/:-@\\[-`{-~]*)$"
 JOINED = 64                  # pre-tokens that are encoded in one call
-MOST_KNOWN, MOST_WORDS = 150_000, 250_000    # pre-tokens and whole words a worker remembers
+MOST_KNOWN = 150_000         # pre-tokens a worker remembers
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -86,8 +86,6 @@ class WordTokenizer:
         self.ends_word[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
         self.index: dict[str, int] = {}                  # pre-tokens met before
         self.known = Flat.of(np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64))
-        self.word_index: dict[str, int] = {}             # whole words met before
-        self.known_words = self.known
 
     def one_by_one(self, parts: list[str]) -> Flat:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
@@ -104,9 +102,9 @@ class WordTokenizer:
             found, base = self._pre_tokens(fresh), len(self.index)
             at[at < 0] = np.arange(len(fresh)) + base
             both = Flat.of(np.concatenate([self.known.ids, found.ids]), np.concatenate([self.known.sizes, found.sizes]))
-            room = max(0, MOST_KNOWN - base)             # bounded: what comes later is encoded again
-            self.known = both if len(fresh) <= room else both.take(np.arange(base + room))
-            self.index.update(zip(fresh[:room], range(base, MOST_KNOWN), strict=False))
+            if base + len(fresh) <= MOST_KNOWN:          # bounded: what comes later is encoded again
+                self.known = both
+                self.index.update(zip(fresh, range(base, base + len(fresh)), strict=True))
             return both.take(at)
         return self.known.take(at)
 
@@ -121,21 +119,7 @@ class WordTokenizer:
         return Flat.of(out.ids, np.diff(np.concatenate([[0], stops])))
 
     def words(self, words: pa.Array) -> Flat:
-        """Ids of distinct words; those met before are looked up."""
-        at = np.fromiter((self.word_index.get(w, -1) for w in words.to_pylist()), dtype=np.int64, count=len(words))
-        fresh = np.flatnonzero(at < 0)
-        if not len(fresh):
-            return self.known_words.take(at)
-        base, new = len(self.word_index), words.take(pa.array(fresh))
-        found = self._words(new)
-        both = Flat.of(np.concatenate([self.known_words.ids, found.ids]), np.concatenate([self.known_words.sizes, found.sizes]))
-        at[fresh] = np.arange(len(fresh)) + base
-        room = max(0, MOST_WORDS - base)
-        self.known_words = both if len(fresh) <= room else both.take(np.arange(base + room))
-        self.word_index.update(zip(new.slice(0, room).to_pylist(), range(base, MOST_WORDS), strict=False))
-        return both.take(at)
-
-    def _words(self, words: pa.Array) -> Flat:
+        """Ids of distinct words."""
         split = pc.extract_regex(words, PLAIN)
         plain = np.asarray(split.is_valid())
         other = self.one_by_one(words.filter(pa.array(~plain)).to_pylist())
