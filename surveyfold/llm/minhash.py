@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import stage_table
+from ..session import stage_table, unstage
 from .common import bound_batches, tidy
 from .components import connected_components
 
@@ -334,7 +334,9 @@ def class_components(classes: DataFrame, docs: DataFrame, size: int = SHINGLE_WO
     rows = stage_table(prefix_rows(classes, counts, kept, percent), "minhash-values")
     sizes = rows.groupBy("value").agg(F.count("*").alias("members")).filter("members > 1")
     lists = stage_table(rows.join(sizes, "value"), "minhash-lists")
-    listed = stage_table(classes.join(lists.select("cid").distinct(), "cid", "left_semi"), "minhash-listed")
+    # the ids are written first: their size then decides whether the sketches move for this
+    ids = stage_table(lists.select("cid").distinct(), "minhash-ids")
+    listed = stage_table(classes.join(ids, "cid", "left_semi"), "minhash-listed")
     first = stage_table(judged(short_pairs(lists, percent), listed, kept, percent)
                         .unionByName(long_pairs(lists, listed, counts, None, kept, percent)), "minhash-candidates")
     sure, open_pairs = first.filter("sure").select("a", "b"), first.filter("not sure").select("a", "b").distinct()
@@ -359,12 +361,14 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     row's id is the component's, so every row with a null id is kept where the
     whole component has none. Empty in, empty out; other columns are not read.
     """
-    rows = sketches(docs, size, kept)
+    made = sketches(docs, size, kept)
+    rows = stage_table(made.select("doc_id", "n", "digest"), "minhash-rows")
     classes = stage_table(
-        rows.filter("n > 0").groupBy("digest").agg(
+        made.filter("n > 0").groupBy("digest").agg(
             F.min("text_key").alias("text_key"), F.first("n").alias("n"), F.first("values").alias("values"),
             F.min("doc_id").alias("least_id"))
         .withColumn("cid", F.monotonically_increasing_id()), "minhash-classes")
+    unstage(made)                                                # a sketch per class is enough from here
     reach = class_components(classes, docs, size, percent, kept)
     of = classes.select("digest", "cid", "least_id").join(
         reach.select(F.col("node").alias("cid"), "component"), "cid", "left").select(
