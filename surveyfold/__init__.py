@@ -15,7 +15,7 @@ Layout
     streaming/  incremental panel build with Structured Streaming
 """
 
-__all__ = ["Survey", "build_tables", "__version__"]
+__all__ = ["Survey", "build_tables", "publish_tables", "__version__"]
 __version__ = "0.1.0"
 
 
@@ -27,4 +27,7 @@ def __getattr__(name):
     if name == "build_tables":
         from .plans.build import build_tables
         return build_tables
+    if name == "publish_tables":
+        from .plans.build import publish_tables
+        return publish_tables
     raise AttributeError(name)
