@@ -20,7 +20,7 @@ import functools
 import itertools
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
-from .common import BATCH_BYTES, ROW, bound_batches, text_or_empty, tidy
+from .common import ROW, bound_batches, text_or_empty, tidy
 
 LENGTH, END_ID = 4096, 2
 HASHED, DIMS, CURVE_BITS = 256, 3, 10
@@ -45,7 +45,8 @@ GATHER_WORDS = 1 << 18
 # apostrophe (which may begin a contraction)
 PLAIN = "^(?P<a>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<b>[!-&(-/:-@\\[-`{-~]*)$"
 JOINED = 64                  # pre-tokens that are encoded in one call
-MOST_KNOWN = 150_000         # pre-tokens a worker remembers
+MOST_KNOWN = 150_000         # words of a kind that a worker remembers
+SLICE_BYTES = 16 << 20       # of text whose distinct words are found together
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -69,6 +70,30 @@ class Flat(NamedTuple):
         return Flat.of(self.ids[ranges(self.starts[which], self.sizes[which])], self.sizes[which])
 
 
+class Known:
+    """Ids of words met before, the first ``MOST_KNOWN`` of them."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.ids = Flat.of(np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64))
+
+    def look_up(self, words: list[str], encode: Callable[[list[str]], Flat]) -> Flat:
+        """Ids of distinct words; those not known are encoded."""
+        at = np.fromiter(map(self.index.get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(at < 0)
+        if not len(new):
+            return self.ids.take(at)
+        fresh, base = [words[i] for i in new], len(self.index)
+        found = encode(fresh)
+        at[new] = np.arange(len(fresh)) + base
+        both = Flat.of(np.concatenate([self.ids.ids, found.ids]), np.concatenate([self.ids.sizes, found.sizes]))
+        room = min(len(fresh), MOST_KNOWN - base)        # bounded: what comes later is encoded again
+        if room > 0:
+            self.ids = both.take(np.arange(base + room))
+            self.index.update(zip(fresh[:room], range(base, base + room), strict=True))
+        return both.take(at)
+
+
 class WordTokenizer:
     """Ids of texts by a tokenizer that drops white space and never joins words.
 
@@ -84,8 +109,7 @@ class WordTokenizer:
         self.size = max(vocabulary.values(), default=0) + 1
         self.ends_word = np.zeros(self.size, dtype=bool)
         self.ends_word[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
-        self.index: dict[str, int] = {}                  # pre-tokens met before
-        self.known = Flat.of(np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64))
+        self.letters, self.marks, self.others = Known(), Known(), Known()
 
     def one_by_one(self, parts: list[str]) -> Flat:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
@@ -96,17 +120,7 @@ class WordTokenizer:
         """Ids of single pre-tokens: many go in one call, word-end tokens part them."""
         if not self.ends_word.any():
             return self.one_by_one(parts)
-        at = np.fromiter((self.index.get(p, -1) for p in parts), dtype=np.int64, count=len(parts))
-        fresh = [parts[i] for i in np.flatnonzero(at < 0)]
-        if fresh:
-            found, base = self._pre_tokens(fresh), len(self.index)
-            at[at < 0] = np.arange(len(fresh)) + base
-            both = Flat.of(np.concatenate([self.known.ids, found.ids]), np.concatenate([self.known.sizes, found.sizes]))
-            if base + len(fresh) <= MOST_KNOWN:          # bounded: what comes later is encoded again
-                self.known = both
-                self.index.update(zip(fresh, range(base, base + len(fresh)), strict=True))
-            return both.take(at)
-        return self.known.take(at)
+        return self.letters.look_up(parts, self._pre_tokens)
 
     def _pre_tokens(self, parts: list[str]) -> Flat:
         calls = [parts[i:i + JOINED] for i in range(0, len(parts), JOINED)]
@@ -122,10 +136,10 @@ class WordTokenizer:
         """Ids of distinct words."""
         split = pc.extract_regex(words, PLAIN)
         plain = np.asarray(split.is_valid())
-        other = self.one_by_one(words.filter(pa.array(~plain)).to_pylist())
+        other = self.others.look_up(words.filter(pa.array(~plain)).to_pylist(), self.one_by_one)
         a, b = (pc.struct_field(split.drop_null(), k).dictionary_encode() for k in "ab")
-        ids_a, ids_b = (self.pre_tokens(x.dictionary.to_pylist()) if k == "a" else self.one_by_one(x.dictionary.to_pylist())
-                        for k, x in (("a", a), ("b", b)))
+        ids_a = self.pre_tokens(a.dictionary.to_pylist())
+        ids_b = self.marks.look_up(b.dictionary.to_pylist(), self.one_by_one)
         both, n_a, n_o = Flat.of(np.concatenate([ids_a.ids, ids_b.ids, other.ids]), np.concatenate(
             [ids_a.sizes, ids_b.sizes, other.sizes])), len(ids_a.sizes), len(ids_a.sizes) + len(ids_b.sizes)
         # a plain word is a pair of pre-tokens, any other one list
@@ -216,20 +230,36 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Dat
     bound_batches(docs.sparkSession)
     schema = "`__at` string, key long, n long, ids binary"
 
-    def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        """Slices of about BATCH_BYTES of text; a longer text is one alone."""
-        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0)).astype(np.int64)
-        part = (np.cumsum(sizes) - sizes) // BATCH_BYTES
-        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
-        for a, b in zip(edges, edges[1:], strict=False):
-            if b > a:
-                yield batch.slice(a, b - a)
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Slices of up to SLICE_BYTES of text; a longer text is one alone."""
+        held, room = [], SLICE_BYTES
+
+        def gathered() -> pa.RecordBatch:
+            return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+        for batch in batches:
+            sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0)).astype(np.int64)
+            ends, first = np.cumsum(sizes), 0
+            while first < len(sizes):
+                before = int(ends[first - 1]) if first else 0
+                last = int(np.searchsorted(ends, before + room, side="right"))
+                if last == first and not held:
+                    last = first + 1
+                if last > first:
+                    held.append(batch.slice(first, last - first))
+                    room -= int(ends[last - 1]) - before
+                    first = last
+                if first < len(sizes):                   # the next text has no room
+                    yield gathered()
+                    held, room = [], SLICE_BYTES
+        if held:
+            yield gathered()
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(tokenizer_path)
         kind = id_type(max(tokenizer.size, end_id + 1))
-        for batch in itertools.chain.from_iterable(map(slices, batches)):
+        for batch in slices(batches):
             for first, found in tokenizer.encode(batch.column(1)):
                 count = len(found.sizes)
                 ids = np.full(len(found.ids) + count, end_id, dtype=kind)
