@@ -15,10 +15,13 @@ inside a shard the pieces are ordered by a seeded hash.
 
 The driver holds one row per source (name, size, quota) and the shard quotas,
 at most ``MAX_SHARDS`` numbers per source; no document or block comes to it.
+Shards of more than ``TASK_WORDS`` words are written by several tasks, each a
+range of the shard's shuffled order.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -36,6 +39,8 @@ SHARE = Fraction(3, 2)       # of all sizes
 MOST = 2                     # times a source's size
 BLOCK_WORDS, LEAST_BLOCKS, LEAST_WORDS = 4096, 1000, 256
 SHARD_WORDS, MAX_SHARDS = 1 << 22, 4096
+TASK_WORDS = 1 << 23         # of one shard in one task
+EXACT_DRAWS = 10**9          # from here on NumPy draws no hypergeometric numbers
 MOST_QUOTAS = 1 << 22        # shard quotas of all sources, which tasks get by broadcast
 ORDER_BITS = 12              # leading bits of the random order that group a source's rows
 WORD = r"[^\x20\x09-\x0D]+"
@@ -60,6 +65,55 @@ def targets(sizes: list[int], weights=WEIGHTS, share: Fraction = SHARE, most: in
     return [float(x) for x in out]
 
 
+def log_factorial_step(n: int, d: int) -> float:
+    """log((n + d)!) - log(n!), without the loss of subtracting two large numbers."""
+    if min(n, n + d) < 1 << 20:
+        return math.lgamma(n + d + 1) - math.lgamma(n + 1)
+    return d * math.log(n) + (n + d + 0.5) * math.log1p(d / n) - d + (1 / (n + d) - 1 / n) / 12
+
+
+def large_hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
+    """How many of ``drawn`` balls of an urn of any size are good.
+
+    Ratio of uniforms under the table mountain hat for log-concave counts
+    (Stadlober 1989), with probabilities relative to the mode's.
+    """
+    if not good or not bad or not drawn or drawn == good + bad:
+        return good if drawn == good + bad else drawn if not bad else 0
+    total = good + bad
+    least, most = max(0, drawn - bad), min(drawn, good)
+    mode = (drawn + 1) * (good + 1) // (total + 2)
+    share = good / total
+    spread = drawn * share * (1 - share) * ((total - drawn) / max(1, total - 1))
+    hat = 2 * math.sqrt(2 / math.e) * math.sqrt(spread + 0.5) + 3 - 2 * math.sqrt(3 / math.e)
+    middle = drawn * good // total                       # exact: a double has no room for the place
+    offset = drawn * good % total / total + 0.5
+    while True:
+        u, v = 1.0 - rng.random(), rng.random()
+        at = middle + math.floor(offset + hat * (v - 0.5) / u)
+        if not least <= at <= most:
+            continue
+        d = at - mode
+        log_odds = -(log_factorial_step(mode, d) + log_factorial_step(good - mode, -d)
+                     + log_factorial_step(drawn - mode, -d) + log_factorial_step(bad - drawn + mode, d))
+        if 2 * math.log(u) <= log_odds:
+            return at
+
+
+def split_draw(rng: np.random.Generator, quota: np.ndarray, drawn: int) -> np.ndarray:
+    """A multivariate hypergeometric draw, source by source where the urn is large."""
+    left = int(quota.sum())
+    if left < EXACT_DRAWS:
+        return rng.multivariate_hypergeometric(quota, drawn, method="marginals")
+    out = np.zeros_like(quota)
+    for k, own in enumerate(quota.tolist()):
+        left -= own
+        draw = rng.hypergeometric if own + left < EXACT_DRAWS else lambda *urn: large_hypergeometric(rng, *urn)
+        out[k] = draw(own, left, drawn) if drawn else 0
+        drawn -= int(out[k])
+    return out
+
+
 def split_tree(quotas: list[int], shards: int, seed: int) -> np.ndarray:
     """Draws of each source in each shard: an array (shards, sources)."""
     out = np.zeros((shards, len(quotas)), dtype=np.int64)
@@ -73,7 +127,7 @@ def split_tree(quotas: list[int], shards: int, seed: int) -> np.ndarray:
             continue
         mid = (lo + hi) // 2
         rng = np.random.default_rng([seed, lo, hi])
-        left = rng.multivariate_hypergeometric(quota, ends[mid] - ends[lo], method="marginals")
+        left = split_draw(rng, quota, ends[mid] - ends[lo])
         work += [(lo, mid, left), (mid, hi, quota - left)]
     return out
 
@@ -146,7 +200,7 @@ def plan(line: DataFrame, seed: int) -> list[dict]:
 
 PLAN_SCHEMA = ("source string, k int, source_size long, target double, blocks long, draws long, "
                "rest long")
-PIECE_SCHEMA = ("doc_id long, `__row_tag` long, size long, source_size long, target double, copy long, "
+PIECE_SCHEMA = ("doc_id string, `__row_tag` long, size long, source_size long, target double, copy long, "
                 "first_word long, words long, shard long, place long")
 
 
@@ -203,16 +257,17 @@ def place_pieces(placed: DataFrame, shard_ends: list[np.ndarray], seed: int) ->
         for c in ("copy", "first_word", "words"):
             out[c] = out[c].fillna(0).astype(np.int64)
         out["shard"] = out["shard"].fillna(-1).astype(np.int64)
-        out["doc_id"] = out["doc_id"].astype("Int64")
         return out[["doc_id", "__row_tag", "size", "source_size", "target", "copy", "first_word", "words", "shard", "place"]]
 
     @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in batches:
-            f["doc_id"] = f["doc_id"].astype("Int64")
             yield pieces(f)
 
-    return placed.mapInPandas(run, PIECE_SCHEMA)
+    # as text an id of any type, null or not, goes through unchanged
+    kind = placed.schema["doc_id"].dataType
+    return (placed.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, PIECE_SCHEMA)
+            .withColumn("doc_id", F.col("doc_id").cast(kind)))
 
 
 def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
@@ -222,8 +277,13 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     A null source is a source of its own, the last. Rows that repeat are
     documents of their own. An empty table gives no rows. What is taken depends
     on ``seed``, ids, sources and texts only, so reruns agree however the table
-    is split into files and tasks.
+    is split into files and tasks. Ids may be of any type that a cast to text keeps.
     """
+    return mix_and_slices(docs, seed)[0]
+
+
+def mix_and_slices(docs: DataFrame, seed: int = 7) -> tuple[DataFrame, int]:
+    """The mix as pieces, and the power of two of tasks that a shard needs."""
     spark = docs.sparkSession
     bound_batches(spark)
     line = stage_table(source_line(docs, seed), "mix-line")
@@ -232,7 +292,9 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     table = spark.createDataFrame(plans, PLAN_SCHEMA).withColumnRenamed("source", "s")
     placed = line.join(table, line.source.eqNullSafe(table.s)).select(
         "doc_id", ROW, "u", "size", "start", "k", "source_size", "target", "blocks", "draws", "rest")
-    return place_pieces(placed, [s["shard_ends"] for s in sources], seed)
+    shards = len(sources[0]["shard_ends"]) if sources else 1
+    tasks = math.ceil(sum(s["target"] for s in sources) / shards / TASK_WORDS)
+    return place_pieces(placed, [s["shard_ends"] for s in sources], seed), max(0, tasks - 1).bit_length()
 
 
 def taken_per_document(pieces: DataFrame) -> DataFrame:
@@ -276,10 +338,12 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
 
     Adjoining pieces of one copy are one run again if they go to the same shard;
     a run that is the whole text keeps it as it was, other rows get the words
-    drawn. A shard's rows are together in one partition, in the shard's shuffled order.
+    drawn. A shard's rows are in its shuffled order, together in one partition or,
+    beyond ``TASK_WORDS`` words, in one for each range of that order.
     """
     tagged = tag_rows(docs, "mix-docs")
-    runs = drawn_runs(mix(tagged, seed))
+    pieces, bits = mix_and_slices(tagged, seed)
+    runs = drawn_runs(pieces)
     cut = F.pandas_udf(word_slice, "string")
     whole = F.col("__words") == F.col("__size")
     out = tagged.join(runs, ROW)
@@ -288,5 +352,6 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
             F.when(whole, 0).otherwise(F.col("__words"))))
     n_chars = {"n_chars": F.char_length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return (out.withColumn("text", text).withColumns(n_chars)
-            .repartition("__shard").sortWithinPartitions("__shard", "__place")
+            .repartition("__shard", *([F.shiftright("__place", 64 - bits)] if bits else []))
+            .sortWithinPartitions("__shard", "__place")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -110,3 +110,56 @@ def test_shards_hold_the_quotas_of_the_tree(spark, monkeypatch):
         for shard, quota in enumerate(quotas.tolist()):
             cut = s["shard_ends"][shard] - quota <= partial < s["shard_ends"][shard]
             assert (quota - cut) * q <= got.get((name, shard), 0) <= quota * (q + 1)
+
+
+def test_tree_of_large_quotas():
+    quotas = [10**12, 0, 600_000_000, 3 * 10**12, 5]
+    out = op.split_tree(quotas, 64, 7)
+    assert out.sum(axis=0).tolist() == quotas and (out >= 0).all()
+    total = sum(quotas)
+    assert out.sum(axis=1).tolist() == [total * (k + 1) // 64 - total * k // 64 for k in range(64)]
+    assert (op.split_tree(quotas, 64, 7) == out).all()
+    # a shard's share of a source has the spread of a hypergeometric count
+    for k in (0, 3):
+        p, n = quotas[k] / total, total / 64
+        z = (out[:, k] - n * p) / np.sqrt(n * p * (1 - p) * (1 - 1 / 64))
+        assert abs(z.mean()) < 1e-6 and 0.7 < z.std() < 1.3
+
+
+@pytest.mark.parametrize("urn", [(7, 12, 9), (300, 40, 100), (2000, 5000, 3000), (1, 9, 4), (5, 3, 7)])
+def test_large_draws_have_the_hypergeometric_law(urn):
+    from math import comb
+    good, bad, drawn = urn
+    rng = np.random.default_rng(3)
+    got = np.bincount([op.large_hypergeometric(rng, *urn) for _ in range(20_000)], minlength=good + 1)
+    want = np.array([comb(good, x) * comb(bad, drawn - x) / comb(good + bad, drawn) if 0 <= drawn - x <= bad else 0.0
+                     for x in range(good + 1)])
+    assert (got[want == 0] == 0).all()
+    assert np.abs(np.cumsum(got) / 20_000 - np.cumsum(want)).max() < 0.02
+
+
+def test_draws_without_choice():
+    rng = np.random.default_rng(1)
+    assert [op.large_hypergeometric(rng, *u) for u in [(0, 5, 3), (5, 0, 3), (5, 4, 0), (5, 4, 9)]] == [0, 3, 0, 5]
+
+
+def test_a_shard_is_written_by_several_tasks(spark, monkeypatch):
+    docs = read(spark, "/root/testdata/sf0.001", "documents")
+    plain = sorted(map(repr, rows(op.mixed_documents(docs))))
+    monkeypatch.setattr(op, "TASK_WORDS", 10_000)
+    assert op.mix_and_slices(docs)[1] >= 2
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"     # of small partitions, as these are
+    before = spark.conf.get(merged)
+    spark.conf.set(merged, "false")
+    try:
+        parts = op.mixed_documents(docs).rdd.glom().map(len).collect()
+    finally:
+        spark.conf.set(merged, before)
+    assert sum(n > 0 for n in parts) > 1 and sum(parts) == len(plain)
+    assert sorted(map(repr, rows(op.mixed_documents(docs)))) == plain
+
+
+def test_ids_of_any_type(spark, docs):
+    named = docs.selectExpr("concat('p', doc_id) AS doc_id", "text", "source")
+    got = op.taken_per_document(op.mix(named)).collect()
+    assert len(got) == docs.count() and {r.doc_id for r in got} == {r.doc_id for r in named.collect()}
