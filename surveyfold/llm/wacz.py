@@ -29,10 +29,11 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
+from urllib.parse import quote, unquote
 
 import pandas as pd
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root, stage_table
@@ -50,12 +51,20 @@ MANIFEST_SCHEMA = "path string, records long, bytes long"
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a shared folder given as a URI or an absolute path."""
+    """File system and path of a folder given as a URI; a bare path is local."""
     if "://" not in uri and not uri.startswith("file:"):
         return pafs.LocalFileSystem(), uri
     return pafs.FileSystem.from_uri(uri)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a full URI, by the file system that Spark finds it on: a
+    path without a scheme is on ``fs.defaultFS``, not on a task's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.makeQualified(path).toUri().toString()
+
+
 # --- ZIP -------------------------------------------------------------------
 
 class Member(NamedTuple):
@@ -176,22 +185,22 @@ def record_bytes(page_id, url, payload: bytes, digest: str, kind: str, refers_to
             "WARC-Date: 1970-01-01T00:00:00Z", "Content-Type: application/http; msgtype=response",
             f"WARC-Payload-Digest: sha256:{digest}"]
     if page_id is not None:
-        head.append(f"X-Page-ID: {page_id}")
+        head.append(f"X-Page-ID: {quote(str(page_id), safe='')}")
     if url is not None:
         head.append(f"WARC-Target-URI: {_header_value(url)}")
     if kind == "revisit":
         head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
         if refers_to is not None:
-            head.append(f"X-Refers-To-Page-ID: {refers_to}")
+            head.append(f"X-Refers-To-Page-ID: {quote(str(refers_to), safe='')}")
     head.append(f"Content-Length: {len(block)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 class Record(NamedTuple):
-    page_id: int | None
+    page_id: str | None
     url: str | None
     kind: str
-    refers_to: int | None
+    refers_to: str | None
     digest: str
     payload_bytes: int
     payload: bytes | None
@@ -209,9 +218,9 @@ def parse_record(data: bytes) -> Record:
     if kind == "response":
         if len(payload) != length or hashlib.sha256(payload).hexdigest() != digest:
             raise ValueError(f"payload of page {fields.get('X-Page-ID')} is damaged")
-    number = lambda k: int(fields[k]) if k in fields else None
-    return Record(number("X-Page-ID"), fields.get("WARC-Target-URI"), kind,
-                  number("X-Refers-To-Page-ID"), digest, length,
+    told = lambda k: unquote(fields[k]) if k in fields else None
+    return Record(told("X-Page-ID"), fields.get("WARC-Target-URI"), kind,
+                  told("X-Refers-To-Page-ID"), digest, length,
                   payload if kind == "response" else None)
 
 
@@ -288,12 +297,12 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = 16 << 2
 
         for frame in batches:
             for page, url, html, digest, kind, refers in zip(
-                    frame.page_id.array, frame.url, frame.html, frame.digest, frame.record_type,
-                    frame.refers_to.array, strict=True):
-                page, refers = (None if pd.isna(x) else int(x) for x in (page, refers))
+                    frame.page_id, frame.url, frame.html, frame.digest, frame.record_type,
+                    frame.refers_to, strict=True):
+                page, refers = (x if isinstance(x, str) else None for x in (page, refers))
                 part = _gzip_member(record_bytes(page, url if isinstance(url, str) else None,
                                                  html.encode(), digest, kind, refers), level)
-                index.append(f"{'-' if page is None else f'{page:020d}'} " + json.dumps(
+                index.append(f"{'-' if page is None else quote(page, safe='').zfill(20)} " + json.dumps(
                     {"offset": pos, "length": len(part), "digest": digest}) + "\n")
                 parts.append(part)
                 pos += len(part)
@@ -304,17 +313,20 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = 16 << 2
         yield pd.DataFrame(done, columns=["path", "records", "bytes"])
 
     bound_batches(records.sparkSession)
-    # ids as nullable numbers: pandas would turn a column with a null into floats
+    folder = qualified(records.sparkSession, folder)
+    # ids as text: of any type, and pandas would turn numbers with a null into floats
     return records.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")}) \
         .mapInPandas(write, MANIFEST_SCHEMA)
 
 
-RECORD_SCHEMA = ("page_id long, url string, record_type string, refers_to long, "
+RECORD_SCHEMA = ("page_id string, url string, record_type string, refers_to string, "
                  "payload_digest string, payload_bytes long, payload binary")
 
 
-def read_archives(manifest: DataFrame, folder: str, payload: bool = True) -> DataFrame:
-    """Records of the archives that the manifest names, one archive at a time."""
+def read_archives(manifest: DataFrame, folder: str, payload: bool = True, id_type: str = "long") -> DataFrame:
+    """Records of the archives that the manifest names, one archive at a time;
+    ids, text in an archive, are cast to ``id_type``."""
+    folder = qualified(manifest.sparkSession, folder)
 
     @tidy
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -322,8 +334,7 @@ def read_archives(manifest: DataFrame, folder: str, payload: bool = True) -> Dat
         columns = [c.split()[0] for c in RECORD_SCHEMA.split(", ")]
 
         def frame(rows):
-            out = pd.DataFrame(rows, columns=columns)
-            return out.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "int64"})
+            return pd.DataFrame(rows, columns=columns).astype({"payload_bytes": "int64"})
 
         for f in batches:
             for path in f.path:
@@ -340,7 +351,8 @@ def read_archives(manifest: DataFrame, folder: str, payload: bool = True) -> Dat
     # a fixed number of tasks: the manifest is small, and adaptive coalescing
     # would put all archives into one
     tasks = shuffle_partitions(manifest.sparkSession)
-    return manifest.repartition(tasks, "path").mapInPandas(read, RECORD_SCHEMA)
+    out = manifest.repartition(tasks, "path").mapInPandas(read, RECORD_SCHEMA)
+    return out.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 100, force64: bool = False) -> DataFrame:
@@ -350,10 +362,11 @@ def round_trip(pages: DataFrame, min_bytes: int = 100, force64: bool = False) ->
     equal payloads of ``min_bytes`` or more the rows with the smallest page_id
     are responses (all of them, where that id repeats) and the others revisit
     it; a null page_id never is the smallest unless all are null, and then all
-    are responses. An empty table gives no archive and no rows.
+    are responses. Ids are of any type that a cast to text and back keeps. An
+    empty table gives no archive and no rows.
     """
     spark = pages.sparkSession
     folder = os.path.join(checkpoint_root(spark), f"warc-{uuid.uuid4().hex}")
     manifest = stage_table(write_archives(classified(pages, min_bytes), folder, force64=force64),
                            "warc-manifest")
-    return read_archives(manifest, folder, payload=False)
+    return read_archives(manifest, folder, payload=False, id_type=pages.schema["page_id"].dataType.simpleString())

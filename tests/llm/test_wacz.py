@@ -84,3 +84,28 @@ def test_damage_is_noticed(tmp_path):
 
 def test_empty_table(spark):
     assert rows(op.round_trip(pages(spark).limit(0))) == []
+
+
+def test_ids_of_any_type(spark):
+    named = pages(spark).selectExpr("concat('p\\r\\n: %', page_id) AS page_id", "url", "html")
+    got = rows(op.round_trip(named).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    assert sorted(map(repr, got)) == sorted(map(repr, model(named.collect())))
+
+
+@pytest.mark.parametrize("form", ["file:{}", "file://{}", "{}"])
+def test_folder_as_uri_or_path(spark, tmp_path, form):
+    folder = form.format(tmp_path / "a b")
+    manifest = op.write_archives(op.classified(pages(spark)), folder).persist()
+    assert manifest.count() > 0 and list((tmp_path / "a b").glob("*.wacz"))
+    assert op.read_archives(manifest, folder).count() == pages(spark).count()
+    assert op.qualified(spark, folder).startswith("file:/")
+
+
+def test_bare_paths_are_on_the_default_file_system(spark):
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    spark.conf.set("fs.defaultFS", "file:///")
+    try:
+        assert op.qualified(spark, "/shared/x") == "file:///shared/x" and before is not None
+    finally:
+        spark.conf.unset("fs.defaultFS")
