@@ -85,5 +85,5 @@ def test_empty_table(spark, tmp_path):
 def test_entry_registers_everything():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
-    assert {n for n in entry.oracle_sql() if n.startswith("op")} == {"op2_warc", "op4_exact_dedup", "op8_search"}
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
+    assert {n for n in entry.oracle_sql() if n.startswith("op")} == {"op2_warc", "op4_exact_dedup", "op8_search", "op12_hard_negatives"}
