@@ -1,27 +1,30 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Terms are the whole words of a text and, since invective is inflected and
-compounded, the 4- and 5-letter pieces of its letters (lower case, every run
-of other characters one space); a term is known by its 64-bit hash. The
-vocabulary holds all terms that ``LEAST_DF`` examples have; document
-frequencies are counted over all documents. A term's weight is its TF-IDF times
-the strength of its association with the label among the examples (phi, the
-root of chi-square per example), so terms that tell the labels apart count most
-and no number of terms or labels is a threshold. Examples are at most
-``PER_CLASS`` labelled rows of either label, picked by a hash of the id.
+Terms are the whole words of a text (lower-case letters; every run of other
+characters parts two words), known by their 64-bit hash. The vocabulary holds
+every word of every example; document frequencies are counted over all
+documents. A weight is plain TF-IDF, ``(1 + ln tf) * (ln((1 + N) / (1 + df)) + 1)``,
+and vectors are of unit length (a word that no example has cannot match and is
+left out of a query's length, which scales all its cosines alike). Examples are
+at most ``PER_CLASS`` labelled rows of either label, picked by a hash of the id.
 
 The index stores, for every term and every block of ``BLOCK`` examples, the
-postings and the largest weight among them. A query adds up the block maxima
-of its terms, visits blocks by that bound, largest first, and stops at the
-first block whose bound is below the k-th best cosine so far: the k neighbours
-are exact (example weights are kept in single precision). Queries go in
-batches, those that visit the same block next together.
-
-Neighbours vote with their squared cosine, times the share that their label
-has among all labelled rows over the share it has among the examples; a prior
-of that base rate keeps weak evidence from deciding. The vote's log-odds are
-calibrated by a logistic curve, fitted to the examples' own votes with each
-left out of its neighbours.
+postings and the largest weight among them; the ``HEAVY`` commonest terms, in
+nearly every block, have their postings as rows of a dense matrix. A query adds
+up the block maxima of its terms and visits blocks by that bound, largest
+first, in growing rounds; blocks whose bound is below the k-th best cosine so
+far are never visited. Heavy parts are first added up in single precision; all
+that come within its error of the k-th are added up again in double, so the k
+neighbours are exact (weights of examples are kept in single precision).
+
+Neighbours vote with the part of their cosine that tells labels apart: every
+shared word's part of the cosine counts by its phi squared, the share of the
+label's variance among the examples that the word explains. That decides how
+much a neighbour's vote weighs, never which examples are neighbours. A label's
+votes weigh the share it has among all labelled rows over its share among the
+examples; a prior of the base rate keeps weak evidence from deciding. The
+vote's log-odds are calibrated by a logistic curve, fitted to the examples' own
+votes with each left out of its neighbours.
 """
 
 from __future__ import annotations
@@ -31,7 +34,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,31 +43,19 @@ from .common import bound_batches, is_held_out, text_or_empty, tidy
 from .language import letters
 from .packing import Flat, ranges
 
-PER_CLASS, LEAST_DF = 4000, 4
-BLOCK, NEIGHBOURS, PRIOR_WEIGHT = 64, 15, 0.5
+PER_CLASS = 4000
+BLOCK, HEAVY, NEIGHBOURS, PRIOR_WEIGHT = 64, 512, 100, 0.01
+EVIDENCE = 15               # neighbours named, those whose votes weigh most
 THRESHOLD = 0.7
-PIECES = (4, 5)
 PROBE_BITS = 22
-BATCH_DOCS = 512
-VISIT_TERMS = 1 << 16        # of the queries that visit a block at once
+BATCH_DOCS = 256
+ROUNDS = 16                 # blocks of the first round; each later one has as many times more
+MOST_POSTINGS = 1 << 22     # of the queries that are looked up at once (one query alone may have more)
+SINGLE = 1e-4               # more than sums of HEAVY products of unit vectors may lose in single precision
 
 
 # --- terms -------------------------------------------------------------------
 
-def piece_hashes(text: str) -> np.ndarray:
-    """Hashes of all pieces of the whole text, repeats included."""
-    points = letters(text)
-    out, k = [], np.uint64(0x9E3779B97F4A7C15)
-    for n in PIECES:
-        if len(points) < n:
-            continue
-        h = np.full(len(points) - n + 1, n, dtype=np.uint64)
-        for i in range(n):
-            h = (h ^ points[i:i + len(h)]) * k
-        out.append(h ^ h >> np.uint64(32))
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
-
-
 def word_hashes(text: str) -> np.ndarray:
     """Hashes of all whole words, repeats included."""
     points = letters(text)
@@ -80,10 +70,6 @@ def word_hashes(text: str) -> np.ndarray:
     return h ^ h >> np.uint64(32)
 
 
-def term_hashes(text: str) -> np.ndarray:
-    return np.concatenate([piece_hashes(text), word_hashes(text)])
-
-
 class Vocabulary:
     """Finds known terms: by their low bits, those that share them by search."""
 
@@ -100,7 +86,7 @@ class Vocabulary:
         """(term numbers ascending, counts)."""
         if not len(self.terms):
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        h = term_hashes(text)
+        h = word_hashes(text)
         low = (h & self.mask).astype(np.int64)
         at = self.probe[low].astype(np.int64)
         search = np.flatnonzero(self.shared[low])
@@ -111,26 +97,27 @@ class Vocabulary:
 # --- index -------------------------------------------------------------------
 
 class Index(NamedTuple):
-    """The examples' unit vectors as postings by term, with block maxima."""
+    """The examples' unit vectors: dense columns of the heavy terms, postings of
+    the others by (term, block), with block maxima of both."""
 
     terms: np.ndarray             # hashes, ascending
-    idf: np.ndarray               # times the association with the label
-    starts: np.ndarray            # (blocks, terms + 1): postings of term t in block b
-    rows: np.ndarray              # example in block, by posting
+    idf: np.ndarray
+    told: np.ndarray              # phi squared of term and label among the examples
+    slot: np.ndarray              # column of a heavy term, else -1
+    dense: np.ndarray             # (examples, heavy)
+    dense_maxima: np.ndarray      # (blocks, heavy)
+    entries: np.ndarray           # (terms + 1): entries of term t, one per block that has it
+    entry_block: np.ndarray
+    entry_max: np.ndarray
+    postings: np.ndarray          # (entries + 1): postings of entry e
+    rows: np.ndarray              # example, by posting
     weights: np.ndarray
-    maxima: np.ndarray            # (terms, blocks)
     labels: np.ndarray
     ids: np.ndarray
     vote: np.ndarray              # weight of either label's vote
     base_rate: float
     scale: tuple[float, float] = (0.0, 1.0)       # of the log-odds of the vote
 
-    def __reduce__(self):
-        """Sent without what the postings tell: workers lay out starts and maxima."""
-        counts = np.diff(self.starts, axis=1).astype(np.uint8)
-        small = zstandard.ZstdCompressor(level=1).compress(counts.tobytes())
-        return unfolded, (small, counts.shape, self._replace(starts=None, maxima=None)._asdict())
-
     def vectors(self, found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[Flat, np.ndarray]:
         """Unit TF-IDF vectors: term numbers of all documents, and their weights."""
         terms = Flat.of(np.concatenate([x[0] for x in found]), np.array([len(x[0]) for x in found], dtype=np.int64))
@@ -139,64 +126,106 @@ class Index(NamedTuple):
         norm = np.sqrt(np.bincount(doc, weights=w * w, minlength=len(found)))
         return terms, w / np.maximum(norm, 1e-12)[doc]
 
-    def nearest(self, terms: Flat, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines), each (documents, k): the k nearest with a cosine
-        above zero, best first, ties to the smaller example; -1 where there are fewer."""
-        n, blocks = len(terms.sizes), self.maxima.shape[1]
-        near, cos = np.full((n, k), -1, dtype=np.int64), np.zeros((n, k))
-        doc = np.repeat(np.arange(n), terms.sizes)
-        bound = np.zeros((n, blocks))
-        some = np.flatnonzero(terms.sizes)
-        if not len(some) or not blocks:
-            return near, cos
-        for q in some:
-            own = slice(terms.starts[q], terms.starts[q] + terms.sizes[q])
-            bound[q] = w[own] @ self.maxima[terms.ids[own]].astype(np.float64)
+    def nearest(self, terms: Flat, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(examples, cosines, telling parts), each (documents, k): the k nearest with
+        a cosine above zero, best first, ties to the smaller example; -1 where there
+        are fewer. The telling part is the cosine with each term's share times ``told``."""
+        size = self.postings[self.entries[terms.ids + 1]] - self.postings[self.entries[terms.ids]]
+        total = np.add.reduceat(np.append(size, 0), terms.starts) * (terms.sizes > 0)
+        out, begin = [], 0
+        while begin < len(total):
+            end = begin + max(1, int(np.searchsorted(np.cumsum(total[begin:]), MOST_POSTINGS, side="right")))
+            part = slice(terms.starts[begin], terms.starts[end - 1] + terms.sizes[end - 1])
+            out.append(self._nearest(Flat.of(terms.ids[part], terms.sizes[begin:end]), w[part], k))
+            begin = end
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+    def _nearest(self, terms: Flat, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n, examples, blocks = len(terms.sizes), len(self.ids), len(self.dense_maxima)
+        near, cos, tells = np.full((n, k), -1, dtype=np.int64), np.zeros((n, k)), np.zeros((n, k))
+        if not blocks:
+            return near, cos, tells
+        doc, slot = np.repeat(np.arange(n), terms.sizes), self.slot[terms.ids]
+        heavy = np.zeros((n, self.dense.shape[1]))
+        heavy[doc[slot >= 0], slot[slot >= 0]] = w[slot >= 0]
+        single = heavy.astype(np.float32)
+
+        light = np.flatnonzero(slot < 0)
+        lo, hi = self.entries[terms.ids[light]], self.entries[terms.ids[light] + 1]
+        entry, of = ranges(lo, hi - lo), np.repeat(light, hi - lo)
+        cell = doc[of] * blocks + self.entry_block[entry]
+        bound = (single @ self.dense_maxima.T).astype(np.float64)
+        bound += np.bincount(cell, weights=w[of] * self.entry_max[entry], minlength=n * blocks).reshape(n, blocks)
         order = np.argsort(-bound, axis=1, kind="stable")
-        active = some
-        for step in range(blocks):
-            block = order[active, step]
-            top = bound[active, block]
-            go = (top > 0) & (top >= cos[active, k - 1] - 1e-9)      # later bounds are no larger
-            active, block = active[go], block[go]
-            if not len(active):
+        place = np.empty_like(order)
+        np.put_along_axis(place, order, np.arange(blocks)[None, :], axis=1)
+
+        sums, kth = np.zeros((n, examples)), np.zeros(n)
+        posts, begin, size = [], 0, ROUNDS
+        while begin < blocks:
+            visit = (place >= begin) & (place < begin + size) & (bound > 0) & (bound >= kth[:, None] - SINGLE)
+            if not visit.any():                       # later bounds are no larger
                 break
-            by = np.lexsort((active, block))
-            held = np.cumsum(terms.sizes[active[by]]) // VISIT_TERMS
-            cuts = np.flatnonzero((np.diff(block[by]) != 0) | (np.diff(held) != 0)) + 1
-            for own in np.split(by, cuts):
-                b, own = block[own[0]], active[own]
-                at = ranges(terms.starts[own], terms.sizes[own])
-                lo, hi = self.starts[b, terms.ids[at]], self.starts[b, terms.ids[at] + 1]
-                posting = ranges(lo.astype(np.int64), (hi - lo).astype(np.int64))
-                row = np.repeat(np.searchsorted(own, doc[at]), hi - lo)
-                sums = np.bincount(row * BLOCK + self.rows[posting], minlength=len(own) * BLOCK,
-                                   weights=self.weights[posting] * np.repeat(w[at], hi - lo)).reshape(-1, BLOCK)
-                # cosines of equal examples may differ in the last bit; rounded, ties are ties
-                both = np.concatenate([cos[own], np.round(sums, 12)], axis=1)
-                ids = np.concatenate([near[own], np.broadcast_to(np.arange(BLOCK) + b * BLOCK, sums.shape)], axis=1)
-                ids = np.where(both > 0, ids, -1)
-                best = np.lexsort((ids, -both), axis=1)[:, :k]
-                near[own], cos[own] = np.take_along_axis(ids, best, 1), np.take_along_axis(both, best, 1)
-        return near, cos
+            for b in np.flatnonzero(visit.any(axis=0)):
+                own, part = np.flatnonzero(visit[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                sums[own, part] = single[own] @ self.dense[part].T
+            seen = np.flatnonzero(visit.ravel()[cell])
+            first, last = self.postings[entry[seen]], self.postings[entry[seen] + 1]
+            post = ranges(first, last - first)
+            at = np.repeat(of[seen], last - first)    # position of the term in its document
+            flat = doc[at] * examples + self.rows[post]
+            sums += np.bincount(flat, weights=w[at] * self.weights[post], minlength=n * examples).reshape(n, examples)
+            posts.append((flat, at, post))
+            if k <= examples:
+                kth = np.partition(sums, examples - k, axis=1)[:, examples - k]
+            begin, size = begin + size, size * ROUNDS
+
+        # candidates within the single precision's error of the k-th, again in double
+        chosen = (sums > SINGLE) & (sums >= kth[:, None] - 2 * SINGLE)
+        chosen |= (sums > 0) & (kth[:, None] <= 2 * SINGLE)
+        q, e = np.nonzero(chosen)
+        number = np.full(n * examples, -1, dtype=np.int64)
+        number[q * examples + e] = np.arange(len(q))
+        exact, telling = np.zeros(len(q)), np.zeros(len(q))
+        for flat, at, post in posts:
+            hit = np.flatnonzero(number[flat] >= 0)
+            part, to = w[at[hit]] * self.weights[post[hit]], number[flat[hit]]
+            exact += np.bincount(to, weights=part, minlength=len(q))
+            telling += np.bincount(to, weights=part * self.told[terms.ids[at[hit]]], minlength=len(q))
+        told = np.zeros(self.dense.shape[1])
+        told[self.slot[self.slot >= 0]] = self.told[self.slot >= 0]
+        starts = np.searchsorted(q, np.arange(n + 1))
+        for i in range(n):
+            own = slice(starts[i], starts[i + 1])
+            both = self.dense[e[own]].astype(np.float64) @ np.stack([heavy[i], heavy[i] * told], axis=1)
+            # cosines of equal examples may differ in the last bit; rounded, ties are ties
+            c = np.round(exact[own] + both[:, 0], 12)
+            best = np.lexsort((e[own], -c))[:k]
+            best = best[c[best] > 0]
+            near[i, :len(best)], cos[i, :len(best)] = e[own][best], c[best]
+            tells[i, :len(best)] = (telling[own] + both[:, 1])[best]
+        return near, cos, tells
 
     def odds(self, found: list[tuple[np.ndarray, np.ndarray]], k: int, but: np.ndarray | None = None,
              ) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Log-odds of every document's vote and its neighbours' ids, without the example ``but``."""
-        near, cos = self.nearest(*self.vectors(found), k + (but is not None))
+        """Log-odds of every document's vote and the ids of the neighbours that
+        weigh most in it, without the example ``but``."""
+        near, cos, tells = self.nearest(*self.vectors(found), k + (but is not None))
         if but is not None:
             cos = np.where(self.ids[near] == but[:, None], 0, cos)
             order = np.argsort(-cos, axis=1, kind="stable")[:, :k]
-            near, cos = np.take_along_axis(near, order, 1), np.take_along_axis(cos, order, 1)
+            near, cos, tells = (np.take_along_axis(x, order, 1) for x in (near, cos, tells))
         labels = self.labels[near]
-        votes = cos * cos * self.vote[labels]
+        votes = np.where(cos > 0, tells, 0) * self.vote[labels]
         share = ((votes * labels).sum(axis=1) + PRIOR_WEIGHT * self.base_rate) / (votes.sum(axis=1) + PRIOR_WEIGHT)
+        weigh = np.argsort(-votes, axis=1, kind="stable")[:, :EVIDENCE]
+        near, cos = np.take_along_axis(near, weigh, 1), np.take_along_axis(cos, weigh, 1)
         return np.log(share / (1 - share)), [self.ids[x[c > 0]] for x, c in zip(near, cos, strict=True)]
 
     def score(self, found: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Calibrated scores and the neighbours' ids; no known term gives the base rate."""
+        """Calibrated scores and the heaviest voters' ids; no known term gives the base rate."""
         known = np.array([len(x[0]) > 0 for x in found], dtype=bool)
-        scores, ids = np.full(len(found), self.base_rate), [np.zeros(0, dtype=np.int64)] * len(found)
+        scores, ids = np.full(len(found), self.base_rate), [self.ids[:0]] * len(found)
         if known.any() and len(self.labels):
             x, voted = self.odds([f for f in found if len(f[0])], k)
             scores[known] = 1 / (1 + np.exp(-(self.scale[0] + self.scale[1] * x)))
@@ -219,44 +248,37 @@ def platt(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, floa
     return float(w[0]), float(max(w[1], 0.0))
 
 
-def build_index(terms: np.ndarray, idf: np.ndarray, examples: list, vote: np.ndarray, base_rate: float) -> Index:
+def build_index(terms: np.ndarray, idf: np.ndarray, told: np.ndarray, examples: list, vote: np.ndarray,
+                base_rate: float, heavy: int = HEAVY) -> Index:
     """``examples``: (id, label, term ids, unit weights). Like examples get into
-    the same block: they are ordered by their heaviest term."""
+    the same block: they are ordered by their heaviest term. Its size is that of
+    the postings and of ``heavy`` columns."""
     examples = sorted(examples, key=lambda e: (int(e[2][np.argmax(e[3])]) if len(e[2]) else -1, e[0]))
     blocks = -(-len(examples) // BLOCK)
-    starts, rows, weights = np.zeros((blocks, len(idf) + 1), dtype=np.int32), [], []
+    row = np.repeat(np.arange(len(examples), dtype=np.int32), [len(e[2]) for e in examples])
+    term = np.concatenate([e[2] for e in examples]).astype(np.int64) if examples else np.zeros(0, dtype=np.int64)
+    weight = np.concatenate([e[3] for e in examples]).astype(np.float32) if examples else np.zeros(0, dtype=np.float32)
+    having = np.bincount(term, minlength=len(terms))
+    common = np.argsort(-having, kind="stable")[:heavy]
+    slot = np.full(len(terms), -1, dtype=np.int32)
+    slot[common] = np.arange(len(common))
+
+    dense = np.zeros((len(examples), len(common)), dtype=np.float32)
+    at = slot[term] >= 0
+    dense[row[at], slot[term[at]]] = weight[at]
+    maxima = np.zeros((blocks, len(common)), dtype=np.float32)
     for b in range(blocks):
-        part = examples[b * BLOCK:(b + 1) * BLOCK]
-        term = np.concatenate([e[2] for e in part])
-        order = np.argsort(term, kind="stable")
-        starts[b, 1:] = np.cumsum(np.bincount(term, minlength=len(idf)))
-        starts[b] += sum(map(len, rows))
-        rows.append(np.repeat(np.arange(len(part), dtype=np.uint8), [len(e[2]) for e in part])[order])
-        weights.append(np.concatenate([e[3] for e in part])[order])
-    weight = np.concatenate(weights) if weights else np.zeros(0)
-    return Index(terms, idf, starts, np.concatenate(rows) if rows else np.zeros(0, dtype=np.uint8), weight,
-                 block_maxima(starts, weight),
-                 np.array([e[1] for e in examples], dtype=np.int64), np.array([e[0] for e in examples], dtype=np.int64),
-                 vote, base_rate)
-
-
-def block_maxima(starts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """(terms, blocks): the largest weight of a term in a block."""
-    out = np.zeros((starts.shape[1] - 1, len(starts)), dtype=weights.dtype)
-    for b, s in enumerate(starts):
-        has = np.flatnonzero(s[1:] > s[:-1])
-        if len(has):
-            out[has, b] = np.maximum.reduceat(weights[:s[-1]], s[has])
-    return out
-
-
-def unfolded(small: bytes, shape: tuple[int, int], fields: dict) -> Index:
-    counts = np.frombuffer(zstandard.ZstdDecompressor().decompress(small), dtype=np.uint8).reshape(shape)
-    starts = np.zeros((shape[0], shape[1] + 1), dtype=np.int32)
-    for b in range(shape[0]):
-        starts[b, 1:] = np.cumsum(counts[b])
-        starts[b] += starts[b - 1, -1] if b else 0
-    return Index(**fields | {"starts": starts, "maxima": block_maxima(starts, fields["weights"])})
+        maxima[b] = dense[b * BLOCK:(b + 1) * BLOCK].max(axis=0)
+    term, row, weight = term[~at], row[~at], weight[~at]
+    order = np.lexsort((row, term))
+    term, row, weight = term[order], row[order], weight[order]
+    cell = term * max(blocks, 1) + row // BLOCK
+    first = np.flatnonzero(np.diff(cell, prepend=-1))
+    entries = np.searchsorted(term[first], np.arange(len(terms) + 1))
+    return Index(terms, idf, told, slot, dense, maxima, entries, row[first] // BLOCK,
+                 np.maximum.reduceat(weight, first) if len(first) else weight,
+                 np.append(first, len(term)), row, weight, np.array([e[1] for e in examples], dtype=np.int64),
+                 np.array([e[0] for e in examples] + [None], dtype=object)[:-1], vote, base_rate)
 
 
 # --- learning on Spark -------------------------------------------------------
@@ -268,10 +290,11 @@ def labelled(labels: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")).filter(F.col("toxic").isin(0, 1))
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 11) -> Index:
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 11, k: int = NEIGHBOURS) -> Index:
     """The index; without examples of both labels it has none and scores are the base rate.
 
-    To the driver come two counts, the terms that ``LEAST_DF`` examples have, and
+    Of documents with one id, the example has the greatest text. To the driver
+    come two counts, three numbers for every distinct word of the examples, and
     the term vectors of at most ``2 * per_class`` examples.
     """
     bound_batches(docs.sparkSession)
@@ -282,35 +305,34 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed:
     # at most 2 * per_class ids, so the documents need no shuffle
     chosen = F.broadcast(stage_table(picked[0].unionByName(picked[1]), "tox-picked"))
     examples = stage_table(docs.select("doc_id", text_or_empty().alias("text")).join(chosen, "doc_id")
-                           .dropDuplicates(["doc_id"]), "tox-examples")
-    base = totals.get(1, 0) / max(1, sum(totals.values()))
+                           .groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("text").alias("text")), "tox-examples")
+    base = float(totals.get(1, 0) / max(1, sum(totals.values())))
+    have = {r.toxic: r["count"] for r in examples.groupBy("toxic").count().collect()}
+    if len(have) < 2:
+        return build_index(np.zeros(0, dtype=np.uint64), np.zeros(0), np.zeros(0), [], np.ones(2), base)    # nothing to tell apart
 
     @tidy
     def term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in batches:
-            seen = [np.unique(term_hashes(t)) for t in f["text"]]
+            seen = [np.unique(word_hashes(t)) for t in f["text"]]
             label = np.repeat(f["toxic"].to_numpy(), [len(x) for x in seen])
             term, at = np.unique(np.concatenate(seen), return_inverse=True)
             n = [np.bincount(at[label == y], minlength=len(term)) for y in (0, 1)]
             yield pd.DataFrame({"term": term.view(np.int64), "n0": n[0], "n1": n[1]})
 
-    counts = (examples.mapInPandas(term_counts, "term long, n0 long, n1 long")
-              .groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-    have = {r.toxic: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    if len(have) < 2:
-        return build_index(np.zeros(0, dtype=np.uint64), np.zeros(0), [], np.ones(2), float(base))    # nothing to tell apart
-    d0, d1 = F.lit(float(have[0])), F.lit(float(have[1]))
-    a, b = F.col("n1"), F.col("n0")
-    chi = (d0 + d1) * F.pow(a * (d0 - b) - b * (d1 - a), F.lit(2)) / (d0 * d1 * (a + b) * (d0 + d1 - a - b + 1e-9))
-    found = (counts.filter(a + b >= LEAST_DF)
-             .select("term", F.sqrt(chi / (d0 + d1)).alias("phi")).toPandas())
-    terms = found.term.to_numpy(np.int64).view(np.uint64)
+    found = (examples.mapInPandas(term_counts, "term long, n0 long, n1 long")
+             .groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())
+    terms = found["term"].to_numpy().view(np.uint64)
     order = np.argsort(terms)
-    terms, phi = terms[order], found.phi.to_numpy(np.float64)[order]
+    terms, b, a = (x[order] for x in (terms, found["n0"].to_numpy().astype(float), found["n1"].to_numpy().astype(float)))
+    d0, d1 = float(have[0]), float(have[1])
+    told = (a * (d0 - b) - b * (d1 - a)) ** 2 / np.maximum(d0 * d1 * (a + b) * (d0 + d1 - a - b), 1.0)
+    lookup = docs.sparkSession.sparkContext.broadcast(terms)
 
     @tidy
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, df = Vocabulary(terms), np.zeros(len(terms) + 1, dtype=np.int64)
+        words = Vocabulary(lookup.value)
+        df = np.zeros(len(words.terms) + 1, dtype=np.int64)
         for f in batches:
             for text in f["text"]:
                 df[words.counts(text)[0]] += 1
@@ -320,13 +342,14 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed:
 
     df = np.zeros(len(terms) + 1)
     seen = (docs.select(text_or_empty().alias("text")).mapInPandas(frequencies, "term int, df long")
-            .groupBy("term").agg(F.sum("df").alias("df")).toPandas())
-    df[seen.term.to_numpy()] = seen.df
-    gain = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * phi
+            .groupBy("term").agg(F.sum("df").alias("df")).toArrow())
+    df[seen["term"].to_numpy()] = seen["df"].to_numpy()
+    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+    shared_idf = docs.sparkSession.sparkContext.broadcast(idf)
 
     @tidy
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Vocabulary(terms)
+        words, gain = Vocabulary(lookup.value), shared_idf.value
         for f in batches:
             blobs = []
             for ids, n in map(words.counts, f["text"]):
@@ -335,10 +358,11 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed:
                 blobs.append(packed(terms=ids.astype(np.int32), weights=unit.astype(np.float32)))
             yield pd.DataFrame({"doc_id": f["doc_id"], "toxic": f["toxic"], "vector": blobs})
 
-    sparse = examples.mapInPandas(vectors, "doc_id long, toxic int, vector binary").toLocalIterator()
+    kind = examples.schema["doc_id"].dataType.simpleString()
+    sparse = examples.mapInPandas(vectors, f"doc_id {kind}, toxic int, vector binary").toLocalIterator()
     made = [(r.doc_id, r.toxic, v["terms"], v["weights"]) for r in sparse for v in [unpacked(r.vector)]]
     shares = np.array([1 - base, base]) / np.array([have[0], have[1]]) * sum(have.values())
-    index = build_index(terms, gain, made, shares / shares[1], float(base))
+    index = build_index(terms, idf, told, made, shares / shares[1], base)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     @tidy
@@ -351,19 +375,21 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed:
                 found = [words.counts(t) for t in part["text"]]
                 some = np.array([len(x[0]) > 0 for x in found], dtype=bool)
                 if some.any():
-                    odds, _ = own.odds([x for x in found if len(x[0])], NEIGHBOURS, part["doc_id"].to_numpy()[some])
+                    odds, _ = own.odds([x for x in found if len(x[0])], k, part["doc_id"].to_numpy(dtype=object)[some])
                     yield pd.DataFrame({"toxic": part["toxic"].to_numpy()[some], "odds": odds})
 
-    odds = examples.mapInPandas(left_out, "toxic int, odds double").toPandas()     # two numbers per example
-    shared.destroy()
-    if odds.empty:
+    odds = examples.mapInPandas(left_out, "toxic int, odds double").toArrow()     # two numbers per example
+    for x in (shared, lookup, shared_idf):
+        x.destroy()
+    if not odds.num_rows:
         return index
-    y = odds.toxic.to_numpy()
-    return index._replace(scale=platt(odds.odds.to_numpy(), y, shares[y]))
+    y = odds["toxic"].to_numpy()
+    return index._replace(scale=platt(odds["odds"].to_numpy(), y, shares[y]))
 
 
 def predict(docs: DataFrame, index: Index, threshold: float = THRESHOLD, k: int = NEIGHBOURS) -> DataFrame:
-    """doc_id, held_out, score, predicted, evidence (ids of the examples that voted) for every row.
+    """doc_id, held_out, score, predicted, evidence (ids of the ``EVIDENCE`` examples whose votes
+    weigh most) for every row.
 
     The score uses the whole text and nothing else. A null or empty text, and
     one without a known term, scores the base rate. Rows that repeat score
@@ -380,12 +406,12 @@ def predict(docs: DataFrame, index: Index, threshold: float = THRESHOLD, k: int
             for a in range(0, len(f), BATCH_DOCS):
                 part = f.iloc[a:a + BATCH_DOCS]
                 scores, voted = own.score([words.counts(t) for t in part["__text"]], k)
-                yield pd.DataFrame({"__at": part["__at"].to_numpy(), "score": scores, "evidence": voted})
+                yield pd.DataFrame({"__at": part["__at"].to_numpy(), "score": scores, "evidence": [list(v) for v in voted]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     at = F.to_json(F.struct("doc_id", is_held_out().alias("held_out")))
     out = docs.select(at.alias("__at"), text_or_empty().alias("__text")).mapInPandas(
-        run, "`__at` string, score double, evidence array<long>")
+        run, f"`__at` string, score double, evidence array<{kind}>")
     back = F.from_json("__at", f"doc_id {kind}, held_out boolean").alias("at")
     return out.select(back, "score", "evidence").select(
         "at.*", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")
