@@ -44,13 +44,13 @@ from .language import letters
 from .packing import Flat, ranges
 
 PER_CLASS = 4000
-BLOCK, HEAVY, NEIGHBOURS, PRIOR_WEIGHT = 64, 512, 100, 0.01
+BLOCK, HEAVY, NEIGHBOURS, PRIOR_WEIGHT = 256, 512, 100, 0.01
 EVIDENCE = 15               # neighbours named, those whose votes weigh most
 THRESHOLD = 0.7
 PROBE_BITS = 22
 BATCH_DOCS = 256
-ROUNDS = 16                 # blocks of the first round; each later one has as many times more
-MOST_POSTINGS = 1 << 22     # of the queries that are looked up at once (one query alone may have more)
+ROUNDS = 4                  # blocks of the first round; each later one has as many times more
+MOST_POSTINGS = 1 << 20     # of the queries that are looked up at once (one query alone may have more)
 SINGLE = 1e-4               # more than sums of HEAVY products of unit vectors may lose in single precision
 
 
@@ -170,14 +170,15 @@ class Index(NamedTuple):
                 own, part = np.flatnonzero(visit[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
                 sums[own, part] = single[own] @ self.dense[part].T
             seen = np.flatnonzero(visit.ravel()[cell])
-            first, last = self.postings[entry[seen]], self.postings[entry[seen] + 1]
-            post = ranges(first, last - first)
-            at = np.repeat(of[seen], last - first)    # position of the term in its document
-            flat = doc[at] * examples + self.rows[post]
-            sums += np.bincount(flat, weights=w[at] * self.weights[post], minlength=n * examples).reshape(n, examples)
-            posts.append((flat, at, post))
+            first, term = self.postings[entry[seen]], of[seen]
+            many = self.postings[entry[seen] + 1] - first
+            post = ranges(first, many)
+            flat = np.repeat(doc[term] * examples, many) + self.rows[post]
+            sums += np.bincount(flat, weights=np.repeat(w[term], many) * self.weights[post],
+                                minlength=n * examples).reshape(n, examples)
+            posts.append((flat, post, term, np.cumsum(many)))
             if k <= examples:
-                kth = np.partition(sums, examples - k, axis=1)[:, examples - k]
+                kth = np.partition(sums.astype(np.float32), examples - k, axis=1)[:, examples - k].astype(np.float64)
             begin, size = begin + size, size * ROUNDS
 
         # candidates within the single precision's error of the k-th, again in double
@@ -187,17 +188,19 @@ class Index(NamedTuple):
         number = np.full(n * examples, -1, dtype=np.int64)
         number[q * examples + e] = np.arange(len(q))
         exact, telling = np.zeros(len(q)), np.zeros(len(q))
-        for flat, at, post in posts:
-            hit = np.flatnonzero(number[flat] >= 0)
-            part, to = w[at[hit]] * self.weights[post[hit]], number[flat[hit]]
+        for flat, post, term, ends in posts:
+            hit = np.flatnonzero(chosen.ravel()[flat])
+            to, at = number[flat[hit]], term[np.searchsorted(ends, hit, side="right")]
+            part = w[at] * self.weights[post[hit]]
             exact += np.bincount(to, weights=part, minlength=len(q))
-            telling += np.bincount(to, weights=part * self.told[terms.ids[at[hit]]], minlength=len(q))
+            telling += np.bincount(to, weights=part * self.told[terms.ids[at]], minlength=len(q))
         told = np.zeros(self.dense.shape[1])
         told[self.slot[self.slot >= 0]] = self.told[self.slot >= 0]
         starts = np.searchsorted(q, np.arange(n + 1))
         for i in range(n):
             own = slice(starts[i], starts[i + 1])
-            both = self.dense[e[own]].astype(np.float64) @ np.stack([heavy[i], heavy[i] * told], axis=1)
+            has = np.flatnonzero(heavy[i])
+            both = self.dense[np.ix_(e[own], has)] @ np.stack([heavy[i, has], heavy[i, has] * told[has]], axis=1)
             # cosines of equal examples may differ in the last bit; rounded, ties are ties
             c = np.round(exact[own] + both[:, 0], 12)
             best = np.lexsort((e[own], -c))[:k]
