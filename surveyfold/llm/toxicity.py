@@ -10,12 +10,15 @@ at most ``PER_CLASS`` labelled rows of either label, picked by a hash of the id.
 
 The index stores, for every term and every block of ``BLOCK`` examples, the
 postings and the largest weight among them; the ``HEAVY`` commonest terms, in
-nearly every block, have their postings as rows of a dense matrix. A query adds
-up the block maxima of its terms and visits blocks by that bound, largest
-first, in growing rounds; blocks whose bound is below the k-th best cosine so
-far are never visited. Heavy parts are first added up in single precision; all
-that come within its error of the k-th are added up again in double, so the k
-neighbours are exact (weights of examples are kept in single precision).
+nearly every block, are columns of a dense matrix. Heavy parts are added up in
+single precision, by one matrix product. A block's bound is the largest heavy
+part in it and the block maxima of a query's other terms; a query visits the
+``ROUNDS`` blocks of the largest bounds first, then those whose bound is not
+below the k-th best cosine so far; postings of the others are never read. A
+block's postings lie together and are read for all queries that visit it at
+once. All that come within the single precision's error of the k-th have their
+heavy parts added up again in double, so the k neighbours are exact (weights of
+examples are kept in single precision).
 
 Neighbours vote with the part of their cosine that tells labels apart: every
 shared word's part of the cosine counts by its phi squared, the share of the
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from ..session import stage_table
 from .balltree import packed, unpacked
 from .common import bound_batches, is_held_out, text_or_empty, tidy
-from .language import letters
+from .language import letter_table
 from .packing import Flat, ranges
 
 PER_CLASS = 4000
@@ -49,7 +52,7 @@ EVIDENCE = 15               # neighbours named, those whose votes weigh most
 THRESHOLD = 0.7
 PROBE_BITS = 22
 BATCH_DOCS = 256
-ROUNDS = 4                  # blocks of the first round; each later one has as many times more
+ROUNDS = 4                  # blocks of the first round; the second has all others
 MOST_POSTINGS = 1 << 20     # of the queries that are looked up at once (one query alone may have more)
 SINGLE = 1e-4               # more than sums of HEAVY products of unit vectors may lose in single precision
 
@@ -58,15 +61,17 @@ SINGLE = 1e-4               # more than sums of HEAVY products of unit vectors m
 
 def word_hashes(text: str) -> np.ndarray:
     """Hashes of all whole words, repeats included."""
-    points = letters(text)
-    at = np.flatnonzero(points != 32)
-    if not len(at):
+    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    is_letter = letter_table()[points]
+    edges = np.flatnonzero(is_letter[1:] != is_letter[:-1]) + 1         # a word's first letter, then the end of it
+    begin, size = edges[::2], edges[1::2] - edges[::2]
+    if not len(begin):
         return np.zeros(0, dtype=np.uint64)
-    begin = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
-    place = np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))
-    x = points[at] * np.uint64(0x9E3779B97F4A7C15) ^ (place + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    at = np.flatnonzero(is_letter)
+    place = (at - np.repeat(begin - 1, size)).astype(np.uint64)         # from 1
+    x = points[at] * np.uint64(0x9E3779B97F4A7C15) ^ place * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-    h = np.add.reduceat(x ^ x >> np.uint64(32), begin) * np.uint64(0x94D049BB133111EB)
+    h = np.add.reduceat(x ^ x >> np.uint64(32), np.cumsum(size) - size) * np.uint64(0x94D049BB133111EB)
     return h ^ h >> np.uint64(32)
 
 
@@ -98,19 +103,20 @@ class Vocabulary:
 
 class Index(NamedTuple):
     """The examples' unit vectors: dense columns of the heavy terms, postings of
-    the others by (term, block), with block maxima of both."""
+    the others by (block, term), with block maxima."""
 
     terms: np.ndarray             # hashes, ascending
     idf: np.ndarray
     told: np.ndarray              # phi squared of term and label among the examples
     slot: np.ndarray              # column of a heavy term, else -1
     dense: np.ndarray             # (examples, heavy)
-    dense_maxima: np.ndarray      # (blocks, heavy)
     entries: np.ndarray           # (terms + 1): entries of term t, one per block that has it
     entry_block: np.ndarray
     entry_max: np.ndarray
-    postings: np.ndarray          # (entries + 1): postings of entry e
-    rows: np.ndarray              # example, by posting
+    entry_first: np.ndarray       # its postings, which lie by (block, term)
+    entry_size: np.ndarray
+    having: np.ndarray            # postings of term t
+    place: np.ndarray             # of the example in its block, by posting
     weights: np.ndarray
     labels: np.ndarray
     ids: np.ndarray
@@ -130,8 +136,7 @@ class Index(NamedTuple):
         """(examples, cosines, telling parts), each (documents, k): the k nearest with
         a cosine above zero, best first, ties to the smaller example; -1 where there
         are fewer. The telling part is the cosine with each term's share times ``told``."""
-        size = self.postings[self.entries[terms.ids + 1]] - self.postings[self.entries[terms.ids]]
-        total = np.add.reduceat(np.append(size, 0), terms.starts) * (terms.sizes > 0)
+        total = np.add.reduceat(np.append(self.having[terms.ids], 0), terms.starts) * (terms.sizes > 0)
         out, begin = [], 0
         while begin < len(total):
             end = begin + max(1, int(np.searchsorted(np.cumsum(total[begin:]), MOST_POSTINGS, side="right")))
@@ -141,72 +146,77 @@ class Index(NamedTuple):
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def _nearest(self, terms: Flat, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        n, examples, blocks = len(terms.sizes), len(self.ids), len(self.dense_maxima)
+        n, examples, blocks = len(terms.sizes), len(self.ids), -(-len(self.ids) // BLOCK)
         near, cos, tells = np.full((n, k), -1, dtype=np.int64), np.zeros((n, k)), np.zeros((n, k))
         if not blocks:
             return near, cos, tells
         doc, slot = np.repeat(np.arange(n), terms.sizes), self.slot[terms.ids]
         heavy = np.zeros((n, self.dense.shape[1]))
         heavy[doc[slot >= 0], slot[slot >= 0]] = w[slot >= 0]
-        single = heavy.astype(np.float32)
+        sums = heavy.astype(np.float32) @ self.dense.T
 
         light = np.flatnonzero(slot < 0)
         lo, hi = self.entries[terms.ids[light]], self.entries[terms.ids[light] + 1]
         entry, of = ranges(lo, hi - lo), np.repeat(light, hi - lo)
-        cell = doc[of] * blocks + self.entry_block[entry]
-        bound = (single @ self.dense_maxima.T).astype(np.float64)
-        bound += np.bincount(cell, weights=w[of] * self.entry_max[entry], minlength=n * blocks).reshape(n, blocks)
+        block = self.entry_block[entry]
+        order = np.argsort(block, kind="stable")      # narrow numbers are sorted by digits
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(block, minlength=blocks))])
+        entry, of = entry[order], of[order]
+        block, owner, weight = block[order].astype(np.int64), doc[of], w[of]
+        bound = np.maximum.reduceat(sums, np.arange(0, examples, BLOCK), axis=1).astype(np.float64)
+        bound += np.bincount(owner * blocks + block, weights=weight * self.entry_max[entry], minlength=n * blocks).reshape(n, blocks)
         order = np.argsort(-bound, axis=1, kind="stable")
         place = np.empty_like(order)
         np.put_along_axis(place, order, np.arange(blocks)[None, :], axis=1)
 
-        sums, kth = np.zeros((n, examples)), np.zeros(n)
-        posts, begin, size = [], 0, ROUNDS
-        while begin < blocks:
-            visit = (place >= begin) & (place < begin + size) & (bound > 0) & (bound >= kth[:, None] - SINGLE)
-            if not visit.any():                       # later bounds are no larger
-                break
+        # a block's postings and sums, of all queries that visit it, fit a processor's cache
+        rest, kth = np.zeros((n, examples)), np.zeros(n)
+        known = np.zeros((n, examples), dtype=np.float32)
+        posts = []
+        for begin, end in ((0, ROUNDS), (ROUNDS, blocks)):
+            visit = (place >= begin) & (place < end) & (bound > 0) & (bound >= kth[:, None] - SINGLE)
             for b in np.flatnonzero(visit.any(axis=0)):
-                own, part = np.flatnonzero(visit[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
-                sums[own, part] = single[own] @ self.dense[part].T
-            seen = np.flatnonzero(visit.ravel()[cell])
-            first, term = self.postings[entry[seen]], of[seen]
-            many = self.postings[entry[seen] + 1] - first
-            post = ranges(first, many)
-            flat = np.repeat(doc[term] * examples, many) + self.rows[post]
-            sums += np.bincount(flat, weights=np.repeat(w[term], many) * self.weights[post],
-                                minlength=n * examples).reshape(n, examples)
-            posts.append((flat, post, term, np.cumsum(many)))
-            if k <= examples:
-                kth = np.partition(sums.astype(np.float32), examples - k, axis=1)[:, examples - k].astype(np.float64)
-            begin, size = begin + size, size * ROUNDS
-
-        # candidates within the single precision's error of the k-th, again in double
-        chosen = (sums > SINGLE) & (sums >= kth[:, None] - 2 * SINGLE)
-        chosen |= (sums > 0) & (kth[:, None] <= 2 * SINGLE)
-        q, e = np.nonzero(chosen)
-        number = np.full(n * examples, -1, dtype=np.int64)
-        number[q * examples + e] = np.arange(len(q))
-        exact, telling = np.zeros(len(q)), np.zeros(len(q))
-        for flat, post, term, ends in posts:
-            hit = np.flatnonzero(chosen.ravel()[flat])
-            to, at = number[flat[hit]], term[np.searchsorted(ends, hit, side="right")]
-            part = w[at] * self.weights[post[hit]]
-            exact += np.bincount(to, weights=part, minlength=len(q))
-            telling += np.bincount(to, weights=part * self.told[terms.ids[at]], minlength=len(q))
+                own, part = np.flatnonzero(visit[:, b]), slice(b * BLOCK, min((b + 1) * BLOCK, examples))
+                base = np.full(n, -1)
+                base[own] = np.arange(len(own)) * BLOCK
+                base = base[owner[cuts[b]:cuts[b + 1]]]
+                seen = np.flatnonzero(base >= 0)
+                base, seen = base[seen], seen + cuts[b]
+                first, many = self.entry_first[entry[seen]], self.entry_size[entry[seen]]
+                which = np.repeat(np.arange(len(seen)), many)
+                post = (first - np.cumsum(many) + many)[which] + np.arange(len(which))
+                cell = base[which]
+                cell += self.place[post]
+                cosine = weight[seen][which]
+                cosine *= self.weights[post]
+                found = np.bincount(cell, weights=cosine, minlength=len(own) * BLOCK)
+                found = found.reshape(-1, BLOCK)[:, :part.stop - part.start]
+                rest[own, part], known[own, part] = found, sums[own, part] + found
+                posts.append((b, own, cell.astype(np.int32), cosine, which.astype(np.int32), terms.ids[of[seen]]))
+            for i in np.flatnonzero(visit.any(axis=1)):
+                above = known[i][known[i] > kth[i]]   # fewer than k of them leave the k-th as it was
+                if len(above) >= k:
+                    kth[i] = np.partition(above, len(above) - k)[len(above) - k]
+
+        # candidates within the single precision's error of the k-th, heavy parts again in double
         told = np.zeros(self.dense.shape[1])
         told[self.slot[self.slot >= 0]] = self.told[self.slot >= 0]
-        starts = np.searchsorted(q, np.arange(n + 1))
+        number = np.full((blocks, n, BLOCK), -1, dtype=np.int32)
         for i in range(n):
-            own = slice(starts[i], starts[i + 1])
+            e = np.flatnonzero(known[i] > (max(SINGLE, kth[i] - 3 * SINGLE) if kth[i] > 2 * SINGLE else 0))
             has = np.flatnonzero(heavy[i])
-            both = self.dense[np.ix_(e[own], has)] @ np.stack([heavy[i, has], heavy[i, has] * told[has]], axis=1)
+            both = self.dense[e][:, has] @ np.stack([heavy[i, has], heavy[i, has] * told[has]], axis=1)
             # cosines of equal examples may differ in the last bit; rounded, ties are ties
-            c = np.round(exact[own] + both[:, 0], 12)
-            best = np.lexsort((e[own], -c))[:k]
+            c = np.round(rest[i, e] + both[:, 0], 12)
+            best = np.lexsort((e, -c))[:k]
             best = best[c[best] > 0]
-            near[i, :len(best)], cos[i, :len(best)] = e[own][best], c[best]
-            tells[i, :len(best)] = (telling[own] + both[:, 1])[best]
+            near[i, :len(best)], cos[i, :len(best)], tells[i, :len(best)] = e[best], c[best], both[best, 1]
+            number[e[best] // BLOCK, i, e[best] % BLOCK] = i * k + np.arange(len(best))
+        for b, own, cell, cosine, which, term in posts:
+            to = number[b, own].ravel()[cell]
+            hit = np.flatnonzero(to >= 0)
+            share = self.told[term[which[hit]]]
+            tells += np.bincount(to[hit], weights=cosine[hit] * share, minlength=n * k).reshape(n, k)
         return near, cos, tells
 
     def odds(self, found: list[tuple[np.ndarray, np.ndarray]], k: int, but: np.ndarray | None = None,
@@ -269,18 +279,17 @@ def build_index(terms: np.ndarray, idf: np.ndarray, told: np.ndarray, examples:
     dense = np.zeros((len(examples), len(common)), dtype=np.float32)
     at = slot[term] >= 0
     dense[row[at], slot[term[at]]] = weight[at]
-    maxima = np.zeros((blocks, len(common)), dtype=np.float32)
-    for b in range(blocks):
-        maxima[b] = dense[b * BLOCK:(b + 1) * BLOCK].max(axis=0)
     term, row, weight = term[~at], row[~at], weight[~at]
-    order = np.lexsort((row, term))
-    term, row, weight = term[order], row[order], weight[order]
-    cell = term * max(blocks, 1) + row // BLOCK
-    first = np.flatnonzero(np.diff(cell, prepend=-1))
-    entries = np.searchsorted(term[first], np.arange(len(terms) + 1))
-    return Index(terms, idf, told, slot, dense, maxima, entries, row[first] // BLOCK,
-                 np.maximum.reduceat(weight, first) if len(first) else weight,
-                 np.append(first, len(term)), row, weight, np.array([e[1] for e in examples], dtype=np.int64),
+    block = row.astype(np.int64) // BLOCK
+    order = np.lexsort((row, term, block))
+    term, row, weight, block = term[order], row[order], weight[order], block[order]
+    first = np.flatnonzero(np.diff(block * len(terms) + term, prepend=-1))
+    size, largest = np.diff(np.append(first, len(term))), np.maximum.reduceat(weight, first) if len(first) else weight
+    order = np.argsort(term[first], kind="stable")              # a term's entries by block
+    entries = np.searchsorted(term[first][order], np.arange(len(terms) + 1))
+    return Index(terms, idf, told, slot, dense, entries, block[first][order].astype(np.min_scalar_type(blocks)),
+                 largest[order], first[order], size[order], np.where(slot < 0, having, 0),
+                 (row % BLOCK).astype(np.min_scalar_type(BLOCK - 1)), weight, np.array([e[1] for e in examples], dtype=np.int64),
                  np.array([e[0] for e in examples] + [None], dtype=object)[:-1], vote, base_rate)
 
 

@@ -48,6 +48,28 @@ def test_neighbours_equal_all_cosines(n, heavy, monkeypatch):
         assert tells[q][:len(want)] == pytest.approx([t for _, _, t in want])
 
 
+def test_blocks_below_the_bound_are_not_read(monkeypatch):
+    """A bound takes the heavy parts of a block's examples, not the maxima of its heavy terms:
+    block 1 has both heavy terms, but in different examples, so it is out of reach."""
+    monkeypatch.setattr(op, "BLOCK", 2)
+    monkeypatch.setattr(op, "ROUNDS", 1)
+    vectors = [([0, 1], [0.7, 0.7]), ([0, 1, 2], [0.7, 0.7, 0.1]), ([0, 3], [0.7, 0.7]), ([1, 2], [0.7, 0.01])]
+    made = [(i, i % 2, np.array(t), np.array(x, dtype=np.float32)) for i, (t, x) in enumerate(vectors)]
+    index = op.build_index(np.arange(4, dtype=np.uint64), np.ones(4), np.ones(4), made, np.ones(2), 0.5, heavy=2)
+    assert np.flatnonzero(index.slot >= 0).tolist() == [0, 1]
+    query = op.Flat.of(np.array([0, 1, 2]), np.array([3])), np.array([0.7, 0.7, 0.1])
+    want = index.nearest(*query, 2)
+    assert want[0].tolist() == [[1, 0]]
+    spoilt = index.weights.copy()
+    for e in np.flatnonzero(index.entry_block == 1):
+        spoilt[index.entry_first[e]:index.entry_first[e] + index.entry_size[e]] = np.nan
+    assert np.isnan(spoilt).any() and not np.isnan(spoilt).all()
+    for a, b in zip(want, index._replace(weights=spoilt).nearest(*query, 2), strict=True):
+        assert np.array_equal(a, b)
+    spoilt[:] = np.nan
+    assert not np.array_equal(index._replace(weights=spoilt).nearest(*query, 2)[0], want[0])      # block 0 is read
+
+
 def plain_scores(docs, toxic, k):
     """Scores by dictionaries: every word of every example, all cosines, all votes."""
     def words(text):
