@@ -32,7 +32,8 @@ votes with each left out of its neighbours.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -52,6 +53,7 @@ EVIDENCE = 15               # neighbours named, those whose votes weigh most
 THRESHOLD = 0.7
 PROBE_BITS = 22
 BATCH_DOCS = 256
+TOGETHER = 1 << 15          # characters of the texts that are cut into words at once
 ROUNDS = 4                  # blocks of the first round; the second has all others
 MOST_POSTINGS = 1 << 20     # of the queries that are looked up at once (one query alone may have more)
 SINGLE = 1e-4               # more than sums of HEAVY products of unit vectors may lose in single precision
@@ -59,20 +61,39 @@ SINGLE = 1e-4               # more than sums of HEAVY products of unit vectors m
 
 # --- terms -------------------------------------------------------------------
 
-def word_hashes(text: str) -> np.ndarray:
-    """Hashes of all whole words, repeats included."""
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
+def hashes(texts: Sequence[str]) -> Flat:
+    """Hashes of all whole words, repeats included, text by text."""
+    low = [t.lower() for t in texts]
+    points = np.frombuffer(f" {' '.join(low)} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
     is_letter = letter_table()[points]
     edges = np.flatnonzero(is_letter[1:] != is_letter[:-1]) + 1         # a word's first letter, then the end of it
     begin, size = edges[::2], edges[1::2] - edges[::2]
+    words = np.diff(np.searchsorted(begin, np.cumsum([0] + [len(t) + 1 for t in low])))
     if not len(begin):
-        return np.zeros(0, dtype=np.uint64)
+        return Flat.of(np.zeros(0, dtype=np.uint64), words)
     at = np.flatnonzero(is_letter)
     place = (at - np.repeat(begin - 1, size)).astype(np.uint64)         # from 1
     x = points[at] * np.uint64(0x9E3779B97F4A7C15) ^ place * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
     h = np.add.reduceat(x ^ x >> np.uint64(32), np.cumsum(size) - size) * np.uint64(0x94D049BB133111EB)
-    return h ^ h >> np.uint64(32)
+    return Flat.of(h ^ h >> np.uint64(32), words)
+
+
+def word_hashes(text: str) -> np.ndarray:
+    return hashes([text]).ids
+
+
+def together(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Neighbouring texts of at most ``TOGETHER`` characters (a longer one is alone)."""
+    group, size = [], 0
+    for text in texts:
+        if group and size + len(text) > TOGETHER:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
 
 
 class Vocabulary:
@@ -84,19 +105,24 @@ class Vocabulary:
         low = (terms & self.mask).astype(np.int64)
         self.probe = np.full(1 << PROBE_BITS, -1, dtype=np.int32)
         self.probe[low] = np.arange(len(terms))
-        self.shared = np.zeros(1 << PROBE_BITS, dtype=bool)
-        self.shared[low[self.probe[low] != np.arange(len(terms))]] = True
-
-    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(term numbers ascending, counts)."""
-        if not len(self.terms):
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        h = word_hashes(text)
-        low = (h & self.mask).astype(np.int64)
-        at = self.probe[low].astype(np.int64)
-        search = np.flatnonzero(self.shared[low])
-        at[search] = np.minimum(np.searchsorted(self.terms, h[search]), len(self.terms) - 1)
-        return np.unique(at[(at >= 0) & (self.terms[at] == h)], return_counts=True)
+        self.probe[low[self.probe[low] != np.arange(len(terms))]] = -2          # several terms
+
+    def counts(self, texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(term numbers ascending, counts) of every text."""
+        n = max(len(self.terms), 1)
+        for group in together(texts):
+            words = hashes(group)
+            h, of = words.ids, np.repeat(np.arange(len(group)), words.sizes)
+            at = self.probe[(h & self.mask).astype(np.int64)].astype(np.int64)
+            search = np.flatnonzero(at == -2)
+            at[search] = np.minimum(np.searchsorted(self.terms, h[search]), len(self.terms) - 1)
+            known = np.flatnonzero(at >= 0)
+            known = known[self.terms[at[known]] == h[known]]
+            key = np.sort(of[known] * n + at[known])
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            count, cuts = np.diff(first, append=len(key)), np.searchsorted(key[first], np.arange(len(group) + 1) * n)
+            term = key[first] % n
+            yield from ((term[a:b], count[a:b]) for a, b in itertools.pairwise(cuts))
 
 
 # --- index -------------------------------------------------------------------
@@ -109,7 +135,7 @@ class Index(NamedTuple):
     idf: np.ndarray
     told: np.ndarray              # phi squared of term and label among the examples
     slot: np.ndarray              # column of a heavy term, else -1
-    dense: np.ndarray             # (examples, heavy)
+    dense: np.ndarray             # (blocks, BLOCK, heavy), the last block's missing examples zeros
     entries: np.ndarray           # (terms + 1): entries of term t, one per block that has it
     entry_block: np.ndarray
     entry_max: np.ndarray
@@ -146,14 +172,14 @@ class Index(NamedTuple):
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def _nearest(self, terms: Flat, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        n, examples, blocks = len(terms.sizes), len(self.ids), -(-len(self.ids) // BLOCK)
+        n, blocks = len(terms.sizes), len(self.dense)
         near, cos, tells = np.full((n, k), -1, dtype=np.int64), np.zeros((n, k)), np.zeros((n, k))
         if not blocks:
             return near, cos, tells
         doc, slot = np.repeat(np.arange(n), terms.sizes), self.slot[terms.ids]
-        heavy = np.zeros((n, self.dense.shape[1]))
+        heavy = np.zeros((n, self.dense.shape[2]))
         heavy[doc[slot >= 0], slot[slot >= 0]] = w[slot >= 0]
-        sums = heavy.astype(np.float32) @ self.dense.T
+        sums = heavy.astype(np.float32) @ self.dense.transpose(0, 2, 1)         # (blocks, n, BLOCK)
 
         light = np.flatnonzero(slot < 0)
         lo, hi = self.entries[terms.ids[light]], self.entries[terms.ids[light] + 1]
@@ -163,51 +189,51 @@ class Index(NamedTuple):
         cuts = np.concatenate([[0], np.cumsum(np.bincount(block, minlength=blocks))])
         entry, of = entry[order], of[order]
         block, owner, weight = block[order].astype(np.int64), doc[of], w[of]
-        bound = np.maximum.reduceat(sums, np.arange(0, examples, BLOCK), axis=1).astype(np.float64)
+        bound = sums.max(axis=2).T.astype(np.float64)
         bound += np.bincount(owner * blocks + block, weights=weight * self.entry_max[entry], minlength=n * blocks).reshape(n, blocks)
         order = np.argsort(-bound, axis=1, kind="stable")
         place = np.empty_like(order)
         np.put_along_axis(place, order, np.arange(blocks)[None, :], axis=1)
 
         # a block's postings and sums, of all queries that visit it, fit a processor's cache
-        rest, kth = np.zeros((n, examples)), np.zeros(n)
-        known = np.zeros((n, examples), dtype=np.float32)
+        rest, known, kth = np.zeros(sums.shape), np.zeros_like(sums), np.zeros(n)
         posts = []
         for begin, end in ((0, ROUNDS), (ROUNDS, blocks)):
             visit = (place >= begin) & (place < end) & (bound > 0) & (bound >= kth[:, None] - SINGLE)
             for b in np.flatnonzero(visit.any(axis=0)):
-                own, part = np.flatnonzero(visit[:, b]), slice(b * BLOCK, min((b + 1) * BLOCK, examples))
+                own = np.flatnonzero(visit[:, b])
                 base = np.full(n, -1)
                 base[own] = np.arange(len(own)) * BLOCK
                 base = base[owner[cuts[b]:cuts[b + 1]]]
                 seen = np.flatnonzero(base >= 0)
                 base, seen = base[seen], seen + cuts[b]
-                first, many = self.entry_first[entry[seen]], self.entry_size[entry[seen]]
+                first, many = (x[entry[seen]].astype(np.int64) for x in (self.entry_first, self.entry_size))
                 which = np.repeat(np.arange(len(seen)), many)
-                post = (first - np.cumsum(many) + many)[which] + np.arange(len(which))
+                post = (first - np.cumsum(many) + many)[which]
+                post += np.arange(len(which))
                 cell = base[which]
                 cell += self.place[post]
                 cosine = weight[seen][which]
                 cosine *= self.weights[post]
-                found = np.bincount(cell, weights=cosine, minlength=len(own) * BLOCK)
-                found = found.reshape(-1, BLOCK)[:, :part.stop - part.start]
-                rest[own, part], known[own, part] = found, sums[own, part] + found
+                found = np.bincount(cell, weights=cosine, minlength=len(own) * BLOCK).reshape(-1, BLOCK)
+                rest[b, own], known[b, own] = found, sums[b, own] + found
                 posts.append((b, own, cell.astype(np.int32), cosine, which.astype(np.int32), terms.ids[of[seen]]))
             for i in np.flatnonzero(visit.any(axis=1)):
-                above = known[i][known[i] > kth[i]]   # fewer than k of them leave the k-th as it was
+                above = known[:, i][known[:, i] > kth[i]]       # fewer than k of them leave the k-th as it was
                 if len(above) >= k:
                     kth[i] = np.partition(above, len(above) - k)[len(above) - k]
 
         # candidates within the single precision's error of the k-th, heavy parts again in double
-        told = np.zeros(self.dense.shape[1])
+        told = np.zeros(self.dense.shape[2])
         told[self.slot[self.slot >= 0]] = self.told[self.slot >= 0]
-        number = np.full((blocks, n, BLOCK), -1, dtype=np.int32)
+        number = np.full(sums.shape, -1, dtype=np.int32)
+        dense = self.dense.reshape(blocks * BLOCK, self.dense.shape[2])
         for i in range(n):
-            e = np.flatnonzero(known[i] > (max(SINGLE, kth[i] - 3 * SINGLE) if kth[i] > 2 * SINGLE else 0))
+            e = np.flatnonzero(known[:, i] > (max(SINGLE, kth[i] - 3 * SINGLE) if kth[i] > 2 * SINGLE else 0))
             has = np.flatnonzero(heavy[i])
-            both = self.dense[e][:, has] @ np.stack([heavy[i, has], heavy[i, has] * told[has]], axis=1)
+            both = dense[e][:, has] @ np.stack([heavy[i, has], heavy[i, has] * told[has]], axis=1)
             # cosines of equal examples may differ in the last bit; rounded, ties are ties
-            c = np.round(rest[i, e] + both[:, 0], 12)
+            c = np.round(rest[e // BLOCK, i, e % BLOCK] + both[:, 0], 12)
             best = np.lexsort((e, -c))[:k]
             best = best[c[best] > 0]
             near[i, :len(best)], cos[i, :len(best)], tells[i, :len(best)] = e[best], c[best], both[best, 1]
@@ -276,9 +302,9 @@ def build_index(terms: np.ndarray, idf: np.ndarray, told: np.ndarray, examples:
     slot = np.full(len(terms), -1, dtype=np.int32)
     slot[common] = np.arange(len(common))
 
-    dense = np.zeros((len(examples), len(common)), dtype=np.float32)
+    dense = np.zeros((blocks, BLOCK, len(common)), dtype=np.float32)
     at = slot[term] >= 0
-    dense[row[at], slot[term[at]]] = weight[at]
+    dense[row[at] // BLOCK, row[at] % BLOCK, slot[term[at]]] = weight[at]
     term, row, weight = term[~at], row[~at], weight[~at]
     block = row.astype(np.int64) // BLOCK
     order = np.lexsort((row, term, block))
@@ -288,7 +314,8 @@ def build_index(terms: np.ndarray, idf: np.ndarray, told: np.ndarray, examples:
     order = np.argsort(term[first], kind="stable")              # a term's entries by block
     entries = np.searchsorted(term[first][order], np.arange(len(terms) + 1))
     return Index(terms, idf, told, slot, dense, entries, block[first][order].astype(np.min_scalar_type(blocks)),
-                 largest[order], first[order], size[order], np.where(slot < 0, having, 0),
+                 largest[order], first[order].astype(np.min_scalar_type(len(weight))),
+                 size[order].astype(np.min_scalar_type(BLOCK)), np.where(slot < 0, having, 0),
                  (row % BLOCK).astype(np.min_scalar_type(BLOCK - 1)), weight, np.array([e[1] for e in examples], dtype=np.int64),
                  np.array([e[0] for e in examples] + [None], dtype=object)[:-1], vote, base_rate)
 
@@ -346,8 +373,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed:
         words = Vocabulary(lookup.value)
         df = np.zeros(len(words.terms) + 1, dtype=np.int64)
         for f in batches:
-            for text in f["text"]:
-                df[words.counts(text)[0]] += 1
+            for ids, _ in words.counts(f["text"]):
+                df[ids] += 1
             df[-1] += len(f)
         hit = np.flatnonzero(df)
         yield pd.DataFrame({"term": hit, "df": df[hit]})
@@ -364,7 +391,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed:
         words, gain = Vocabulary(lookup.value), shared_idf.value
         for f in batches:
             blobs = []
-            for ids, n in map(words.counts, f["text"]):
+            for ids, n in words.counts(f["text"]):
                 w = (1 + np.log(n)) * gain[ids]
                 unit = w / max(np.sqrt((w * w).sum()), 1e-12)
                 blobs.append(packed(terms=ids.astype(np.int32), weights=unit.astype(np.float32)))
@@ -384,7 +411,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed:
         for f in batches:
             for a in range(0, len(f), BATCH_DOCS):
                 part = f.iloc[a:a + BATCH_DOCS]
-                found = [words.counts(t) for t in part["text"]]
+                found = list(words.counts(part["text"]))
                 some = np.array([len(x[0]) > 0 for x in found], dtype=bool)
                 if some.any():
                     odds, _ = own.odds([x for x in found if len(x[0])], k, part["doc_id"].to_numpy(dtype=object)[some])
@@ -417,7 +444,7 @@ def predict(docs: DataFrame, index: Index, threshold: float = THRESHOLD, k: int
         for f in batches:
             for a in range(0, len(f), BATCH_DOCS):
                 part = f.iloc[a:a + BATCH_DOCS]
-                scores, voted = own.score([words.counts(t) for t in part["__text"]], k)
+                scores, voted = own.score(list(words.counts(part["__text"])), k)
                 yield pd.DataFrame({"__at": part["__at"].to_numpy(), "score": scores, "evidence": [list(v) for v in voted]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()

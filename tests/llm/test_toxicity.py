@@ -171,6 +171,23 @@ def test_every_word_counts(spark):
     assert op.PER_CLASS == 4000
 
 
+@pytest.mark.parametrize("size", [1, 20, 1 << 15])
+def test_texts_cut_together_count_as_alone(size, monkeypatch):
+    """Also words that share the look-up's low bits, and texts whose lower case is longer or depends on an end."""
+    monkeypatch.setattr(op, "TOGETHER", size)
+    monkeypatch.setattr(op, "PROBE_BITS", 3)
+    texts = ["", "one two one", "12", "two", "\u0130x two", "\u039f\u03a3", "\u039f\u03a3 \u039f\u03a3", "\ud800 one", "a\x00b unseen", "", "  "]
+    bags = [Counter("".join(c if c.isalpha() else " " for c in t.lower()).split()) for t in texts]
+    words = sorted({w for b in bags for w in b} - {"unseen"})
+    terms = np.sort([op.word_hashes(w)[0] for w in words])
+    number = {w: int(np.searchsorted(terms, op.word_hashes(w)[0])) for w in words}
+    found = list(op.Vocabulary(terms).counts(texts))
+    assert [dict(zip(i.tolist(), n.tolist(), strict=True)) for i, n in found] == [
+        {number[w]: n for w, n in b.items() if w in number} for b in bags]
+    assert all((np.diff(i) > 0).all() for i, _ in found)
+    assert list(op.Vocabulary(terms).counts([])) == []
+
+
 def test_words_of_a_text():
     a, b = op.word_hashes("Clown, you clown! nwolc"), op.word_hashes("you")
     assert len(a) == 4 and a[0] == a[2] != a[3] and a[1] == b[0]
